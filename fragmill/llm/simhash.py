@@ -114,9 +114,8 @@ def _linked(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     three bits of the block: they stand also under each neighbour of their own
     block's value, where two of them meet again in the middle.
     """
-    many = np.zeros(len(keys), bool)
-    same = keys[1:] == keys[:-1]
-    many[1:], many[:-1] = same, many[:-1] | same
+    same = np.concatenate([[False], keys[1:] == keys[:-1], [False]])
+    many = same[1:] | same[:-1] if len(keys) else np.zeros(0, bool)
     keys, fps = keys[many], fps[many]
     if not len(keys):
         return fps, fps
