@@ -4,27 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe
 from .common import table
 from .exact_dedup import exact_duplicates
+from .linededup import line_dedup
 from .simhash import simhash_groups
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word SimHashes differ in three bits at most."""
     return simhash_groups(table(spark, sf_dir, "documents"), words=3).drop("fp")
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text and what they decode to, as counts and hashes."""
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    rows = bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc_id",
+        (F.length("packed") / 4).cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without later repeats of runs of 50 words or more, as hashes, and the numbers of the lines removed."""
+    rows = line_dedup(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"),
+        F.sha2("text", 256).alias("clean_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
+        "op4_bpe_round_trip": op4_bpe_round_trip,
         "op8_exact_dedup": op8_exact_dedup,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
@@ -40,5 +71,35 @@ FROM d
 """
 
 
+OP10_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text <> ''),
+n AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l),
+c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM n),
+g AS (
+  SELECT a.doc_id, a.pos AS s, min(b.pos) AS e FROM c a JOIN c b
+    ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.words >= 50 GROUP BY 1, 2
+  UNION
+  SELECT b.doc_id, max(a.pos), b.pos FROM c a JOIN c b
+    ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.words >= 50 GROUP BY b.doc_id, b.pos),
+t AS (
+  SELECT g.doc_id, g.s, g.e, string_agg(l.line, chr(10) ORDER BY l.pos) AS run
+  FROM g JOIN l ON l.doc_id = g.doc_id AND l.pos BETWEEN g.s AND g.e GROUP BY 1, 2, 3),
+f AS (SELECT *, min((doc_id, s)) OVER (PARTITION BY run) AS origin FROM t),
+x AS (SELECT DISTINCT f.doc_id, l.pos FROM f JOIN l ON l.doc_id = f.doc_id AND l.pos BETWEEN f.s AND f.e
+      WHERE (f.doc_id, f.s) > origin),
+k AS (
+  SELECT l.doc_id, count(x.pos) AS n_removed,
+         coalesce(string_agg(CAST(x.pos AS VARCHAR), ',' ORDER BY l.pos), '') AS removed_lines,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE x.pos IS NULL), '') AS body
+  FROM l LEFT JOIN x ON x.doc_id = l.doc_id AND x.pos = l.pos GROUP BY 1)
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, '') AS removed_lines,
+       sha256(CASE WHEN k.doc_id IS NULL THEN d.text ELSE body END) AS clean_sha256
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op8_exact_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
