@@ -13,6 +13,7 @@ from .common import table
 from .exact_dedup import exact_duplicates
 from .linededup import line_dedup
 from .simhash import simhash_groups
+from .winnowing import digest, edited_fingerprints
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -22,6 +23,20 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=3).drop("fp")
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every text and of its edited text, and how alike they are."""
+    rows = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        digest(F.col("kept")).alias("fingerprint"),
+        digest(F.col("edited_kept")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text and what they decode to, as counts and hashes."""
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
@@ -53,6 +68,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
+        "op2_winnowing": op2_winnowing,
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_line_dedup": op10_line_dedup,

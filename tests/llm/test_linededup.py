@@ -41,7 +41,7 @@ def test_a_passage_goes_and_clean_texts_stay(spark):
 
 
 def test_odd_rows(spark):
-    long = "\n".join(f"l{i % 700} a b" for i in range(3000))
+    long = "\n".join(f"l{i % 70} a b" for i in range(220))
     rows = [(1, None, "s", 3), (2, "", "s", 4), (None, "a b c d", None, 5), (3, "a b c d", "t", 6), (4, long, "t", 7), (5, "x y z w", "t", 8), (5, "x y z w", "u", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, first string, fp int")
     got = line_dedup(df, 4)
