@@ -12,10 +12,13 @@ from . import bpe
 from .common import table
 from .exact_dedup import exact_duplicates
 from .linededup import line_dedup
+from .pii import pseudonymised
 from .simhash import simhash_groups
 from .winnowing import digest, edited_fingerprints
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Only for the query over the given tables; users pass a key of their own.
+KEY = "given tables"
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +52,17 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms for private numbers, dates and addresses, and what kinds were found."""
+    rows = pseudonymised(table(spark, sf_dir, "documents"), KEY)
+    return rows.select(
+        "doc_id",
+        "text",
+        F.size("found").cast("long").alias("n_found"),
+        F.array_join(F.transform("found", lambda f: f["kind"]), ",").alias("kinds"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -70,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_winnowing": op2_winnowing,
         "op4_bpe_round_trip": op4_bpe_round_trip,
+        "op5_pii": op5_pii,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
