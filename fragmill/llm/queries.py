@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import table
+from .common import scratch_dir, table
 from .exact_dedup import exact_duplicates
 from .linededup import line_dedup
+from .mixing import mixed
 from .pii import pseudonymised
+from .shards import ShardStore, sharded
 from .simhash import simhash_groups
 from .winnowing import digest, edited_fingerprints
 
@@ -40,6 +42,13 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document is after eight arrivals and the compactions between them, and its text's hash as read there."""
+    store = ShardStore(spark, scratch_dir(spark))
+    rows = sharded(table(spark, sf_dir, "documents"), store, arrivals=8)
+    return rows.select("doc_id", F.element_at(F.split("_shard", "/"), -1).alias("shard"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text and what they decode to, as counts and hashes."""
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
@@ -68,6 +77,20 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every document after raking, and whether it is picked."""
+    rows = mixed(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.col("_source").alias("source"),
+        F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").cast("long").alias("n_tokens"),
+        F.col("_probability").alias("probability"),
+        F.col("_picked").alias("picked"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without later repeats of runs of 50 words or more, as hashes, and the numbers of the lines removed."""
     rows = line_dedup(table(spark, sf_dir, "documents"))
@@ -83,9 +106,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_winnowing": op2_winnowing,
+        "op3_sharding": op3_sharding,
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op5_pii": op5_pii,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_mixing": op9_mixing,
         "op10_line_dedup": op10_line_dedup,
     }
 
