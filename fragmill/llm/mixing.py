@@ -163,4 +163,5 @@ def mixed(
     chance = F.least(F.lit(1.0), F.col("rate") * factor) if factor < math.inf else F.when(F.col("rate") > 0, 1.0).otherwise(0.0)
     cells = cells.select(*dims, chance.alias("_probability"))
     draw = (F.xxhash64(F.lit(seed), F.col(id_col)).bitwiseAND((1 << 53) - 1)) / float(1 << 53)
-    return rows.join(cells, dims).withColumn("_picked", draw < F.col("_probability"))
+    found = rows.join(cells, dims).withColumn("_picked", draw < F.col("_probability"))
+    return found.select(*df.columns, *dims, "_tokens", "_probability", "_picked")
