@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, langid, quality
 from .common import scratch_dir, table
 from .exact_dedup import exact_duplicates
 from .linededup import line_dedup
@@ -72,6 +72,23 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(modulus: int, held: int):
+    return (F.crc32(F.col("doc_id").cast("string")) % modulus == held).alias("held_out")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every text, learned from the labels of four folds in five."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learned(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, *model).select("doc_id", _fold(5, 0), "score", "predicted")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from two folds in three."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identified(docs, langid.learned(docs)).select("doc_id", _fold(3, 1), "lang_pred", "score")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -109,6 +126,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": op3_sharding,
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op5_pii": op5_pii,
+        "op6_quality": op6_quality,
+        "op7_language_id": op7_language_id,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
         "op10_line_dedup": op10_line_dedup,
