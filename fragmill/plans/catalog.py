@@ -1,11 +1,478 @@
-"""All queries over the given tables, by name, and their SQL."""
+"""All queries over the given tables, by name, and the SQL that gives the same rows."""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from fragmill.functions import scalars
+from fragmill.operators import audit, dialogue, fragments, graph, telemetry, warehouse
+from fragmill.plans.analogues import Tables, with_views
+from fragmill.streaming import ingest
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None, *views: str, recursive: bool = False):
+    """Registers a function of Tables under its name, with its SQL."""
+
+    def register(function: Callable[[Tables], DataFrame]):
+        _QUERIES[function.__name__] = lambda spark, folder: function(Tables(spark, folder))
+        if sql:
+            _SQL[function.__name__] = with_views(sql, *views, recursive=recursive) if views else sql
+        return function
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+_CARRIED = "min(canonical_smiles) AS canonical_smiles, min(atom_count) AS atom_count, min(bond_count) AS bond_count"
+
+# Fragment warehouse
+
+
+@_query("SELECT count(DISTINCT canonical_smiles) AS n FROM fragments WHERE canonical_smiles <> ''", "fragments")
+def a01_distinct_smiles_count(t: Tables) -> DataFrame:
+    return warehouse.non_blank(t.fragments()).agg(F.count_distinct("canonical_smiles").alias("n"))
+
+
+@_query("SELECT DISTINCT canonical_smiles FROM fragments WHERE canonical_smiles <> ''", "fragments")
+def a02_distinct_smiles(t: Tables) -> DataFrame:
+    return warehouse.non_blank(t.fragments()).select("canonical_smiles").distinct().orderBy("canonical_smiles")
+
+
+@_query(f"SELECT molecule_id, fragment_hash, {_CARRIED}, count(*) AS occurrence_count FROM small GROUP BY 1, 2", "small")
+def a03_small_fragments(t: Tables) -> DataFrame:
+    return warehouse.states(t.small()).orderBy(F.col("occurrence_count").desc())
+
+
+@_query(f"SELECT molecule_id, fragment_hash, batch, {_CARRIED}, count(*) AS occurrence_count FROM big GROUP BY 1, 2, 3", "big")
+def a04_partial_states(t: Tables) -> DataFrame:
+    return warehouse.states(t.big(), "batch")
+
+
+@_query(f"SELECT molecule_id, fragment_hash, {_CARRIED}, count(*) AS occurrence_count FROM big GROUP BY 1, 2", "big")
+def a05_merged_states(t: Tables) -> DataFrame:
+    return warehouse.merged(warehouse.states(t.big(), "batch"))
+
+
+@_query(f"SELECT molecule_id, fragment_hash, {_CARRIED}, count(*) AS occurrence_count FROM big GROUP BY 1, 2", "big")
+def t01_streamed_states(t: Tables) -> DataFrame:
+    return ingest.streamed_states(t)
+
+
+_OF = """SELECT molecule_id, fragment_hash, min(ingredient_name) AS ingredient_name, {carried}, count(*) AS occurrence_count, '{b}' AS source
+  FROM {b} JOIN {i} USING (molecule_id) WHERE ingredient_name = 'NATION_15' GROUP BY 1, 2"""
+
+
+@_query(" UNION ALL ".join(_OF.format(b=b, i="ingredients", carried=_CARRIED) for b in ("small", "big")), "small", "big", "ingredients")
+def u01_unified_fragments(t: Tables) -> DataFrame:
+    rows = warehouse.of_ingredient(t.small(), warehouse.states(t.big(), "batch"), t.ingredients(), "NATION_15")
+    return rows.orderBy("molecule_id", "atom_count", "canonical_smiles")
+
+
+@_query(
+    f"""SELECT molecule_id, fragment_hash, {_CARRIED}, count(*) AS occurrence_count, ingredient_name, 'small' AS source
+    FROM small LEFT JOIN ingredients USING (molecule_id) GROUP BY molecule_id, fragment_hash, ingredient_name
+    UNION ALL SELECT molecule_id, fragment_hash, {_CARRIED}, count(*), ingredient_name, 'big'
+    FROM big LEFT JOIN ingredients USING (molecule_id) GROUP BY molecule_id, fragment_hash, ingredient_name""",
+    "small", "big", "ingredients",
+)
+def u02_all_unique(t: Tables) -> DataFrame:
+    return warehouse.all_unique(t.small(), warehouse.states(t.big(), "batch"), t.ingredients())
+
+
+@_query(
+    f"""SELECT molecule_id, fragment_hash, {_CARRIED}, count(*) AS occurrence_count FROM small JOIN ingredients_twice USING (molecule_id)
+    WHERE ingredient_name LIKE 'NATION_1%' GROUP BY 1, 2""",
+    "small", "ingredients_twice",
+)
+def j01_join_before_aggregate(t: Tables) -> DataFrame:
+    names = t.ingredients_twice().where(F.col("ingredient_name").startswith("NATION_1"))
+    return warehouse.states(t.small().join(names, "molecule_id"))
+
+
+@_query("SELECT molecule_id, canonical_smiles, ingredient_name FROM big LEFT JOIN ingredients USING (molecule_id) WHERE ingredient_name = 'NATION_3'", "big", "ingredients")
+def j02_left_join_null_rejecting(t: Tables) -> DataFrame:
+    rows = warehouse.with_ingredients(t.big(), t.ingredients()).where("ingredient_name = 'NATION_3'")
+    return rows.select("molecule_id", "canonical_smiles", "ingredient_name")
+
+
+@_query("SELECT molecule_id, fragment_hash, canonical_smiles, coalesce(ingredient_name, '') AS ingredient_name FROM small LEFT JOIN (SELECT DISTINCT * FROM ingredients_twice WHERE molecule_id NOT LIKE '1%') USING (molecule_id)", "small", "ingredients_twice")
+def j03_blank_for_missing(t: Tables) -> DataFrame:
+    names = t.ingredients_twice().where(~F.col("molecule_id").startswith("1"))
+    rows = warehouse.with_ingredients(t.small(), names, blank=True, dedupe=True)
+    return rows.select("molecule_id", "fragment_hash", "canonical_smiles", "ingredient_name")
+
+
+@_query(
+    """m AS (SELECT molecule_id, batch, count(*) AS n FROM big GROUP BY 1, 2)
+    SELECT molecule_id, batch, n, 'old' AS version FROM m WHERE batch % 2 = 0
+    UNION ALL SELECT molecule_id, batch, n + 1, 'new' FROM m WHERE batch % 2 = 1""",
+    "big",
+)
+def d08_upsert(t: Tables) -> DataFrame:
+    rows = t.big().groupBy("molecule_id", "batch").agg(F.count("*").alias("n"))
+    new = rows.where("batch % 2 = 1").withColumn("n", F.col("n") + 1).withColumn("version", F.lit("new"))
+    return warehouse.upserted(rows.withColumn("version", F.lit("old")), new, ["molecule_id", "batch"])
+
+
+@_query(
+    """k AS (SELECT DISTINCT molecule_id, batch FROM big), n AS (SELECT molecule_id FROM k WHERE batch = 1995)
+    SELECT molecule_id, batch, CAST(NULL AS VARCHAR) AS added FROM k WHERE molecule_id NOT IN (SELECT molecule_id FROM n)
+    UNION ALL SELECT molecule_id, 9999, 'yes' FROM n""",
+    "big",
+)
+def d09_versions_and_added_columns(t: Tables) -> DataFrame:
+    old = t.big().select("molecule_id", "batch").distinct()
+    new = old.where("batch = 1995").select("molecule_id", F.lit(9999).alias("batch"), F.lit("yes").alias("added"))
+    return warehouse.replaced_version(old.withColumn("added", F.lit(None).cast("string")), new, ["molecule_id"])
+
+
+@_query(
+    """(SELECT canonical_smiles, 'left' AS side FROM (SELECT canonical_smiles FROM small EXCEPT ALL SELECT canonical_smiles FROM big))
+    UNION ALL (SELECT canonical_smiles, 'right' FROM (SELECT canonical_smiles FROM big EXCEPT ALL SELECT canonical_smiles FROM small))""",
+    "small", "big",
+)
+def u03_differences(t: Tables) -> DataFrame:
+    return warehouse.differences(t.small().select("canonical_smiles"), t.big().select("canonical_smiles"))
+
+
+@_query("SELECT atom_count, bond_count, canonical_smiles, fragment_hash FROM fragments WHERE atom_count BETWEEN 8 AND 12 GROUP BY ALL", "fragments")
+def p15_atom_range(t: Tables) -> DataFrame:
+    rows = t.fragments().where(F.col("atom_count").between(8, 12))
+    return rows.select("atom_count", "bond_count", "canonical_smiles", "fragment_hash").distinct().orderBy("atom_count", "canonical_smiles")
+
+
+@_query("SELECT CAST(l_suppkey AS VARCHAR) AS molecule_id, count(*) AS fragments FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def o10_top_molecules(t: Tables) -> DataFrame:
+    rows = t.raw("lineitem").groupBy(F.col("l_suppkey").cast("string").alias("molecule_id")).agg(F.count("*").alias("fragments"))
+    return rows.orderBy(F.col("fragments").desc(), "molecule_id").limit(10)
+
+
+@_query("SELECT molecule_id, row_number() OVER (ORDER BY CAST(molecule_id AS INT)) AS place FROM (SELECT DISTINCT molecule_id FROM fragments)", "fragments")
+def o06_numeric_first(t: Tables) -> DataFrame:
+    rows = t.fragments().select("molecule_id").distinct()  # a row for each molecule
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(*telemetry.numeric_first("molecule_id"))))
+
+
+# Dialogues and reviews
+
+
+@_query("SELECT u.user_id, count(t.turn_id) AS turn_count FROM users u LEFT JOIN (SELECT * FROM dialogues WHERE NOT is_deleted) d USING (user_id) LEFT JOIN turns t USING (dialogue_id) GROUP BY 1", "users", "dialogues", "turns")
+def j07_turns_of_all_users(t: Tables) -> DataFrame:
+    return dialogue.turn_counts(t.users(), t.dialogues(), t.turns())
+
+
+@_query("SELECT u.user_id, count(t.turn_id) AS turn_count FROM users u LEFT JOIN dialogues d USING (user_id) LEFT JOIN turns t USING (dialogue_id) WHERE NOT is_deleted GROUP BY 1", "users", "dialogues", "turns")
+def j06_turns_where_live(t: Tables) -> DataFrame:
+    return dialogue.turn_counts_where(t.users(), t.dialogues(), t.turns())
+
+
+@_query("SELECT dialogue_id, title, count(turn_id) AS n, coalesce(string_agg(turn_no || ':' || kind, ',' ORDER BY turn_no, kind, turn_id), '') AS turns FROM dialogues LEFT JOIN turns USING (dialogue_id) GROUP BY 1, 2", "dialogues", "turns")
+def j15_nested_turns(t: Tables) -> DataFrame:
+    rows = dialogue.nested(t.dialogues(), t.turns(), "dialogue_id", "turn_no", ["turn_no", "kind", "turn_id"], "turns")
+    line = F.array_join(F.transform("turns", lambda x: F.concat_ws(":", x["turn_no"], x["kind"])), ",")
+    return rows.select("dialogue_id", "title", F.size("turns").cast("long").alias("n"), line.alias("turns"))
+
+
+@_query("SELECT t.turn_id, d.user_id, r.status, r.judge_conclusion FROM reviews r JOIN turns t ON r.doc_id = t.turn_id JOIN dialogues d USING (dialogue_id)", "reviews", "turns", "dialogues")
+def j05_reviews_of_users(t: Tables) -> DataFrame:
+    rows = t.reviews().withColumnRenamed("doc_id", "turn_id").join(t.turns(), "turn_id").join(t.dialogues(), "dialogue_id")
+    return rows.select("turn_id", "user_id", rows["status"], "judge_conclusion")
+
+
+@_query("SELECT d.doc_id, l.quality AS review, l.doc_id IS NOT NULL AS review_added FROM documents d LEFT JOIN labels l USING (doc_id)")
+def j14_review_flags(t: Tables) -> DataFrame:
+    rows = dialogue.flagged(t.raw("documents").select("doc_id"), t.raw("labels").withColumnRenamed("quality", "review"), ["doc_id"], "review_added", "review")
+    return rows.select("doc_id", "review", "review_added")
+
+
+@_query("""SELECT conv_id, turn, text AS question, CASE WHEN r2 = 'assistant' THEN t2 END AS answer FROM (
+    SELECT *, lead(role) OVER w AS r2, lead(text) OVER w AS t2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) WHERE role = 'user'""")
+def j04_questions_and_answers(t: Tables) -> DataFrame:
+    return dialogue.paired(t.raw("conversations"))
+
+
+@_query("SELECT doc_id, status, judge_conclusion, comment FROM reviews WHERE status = 'done' AND judge_conclusion = 1 AND (question ILIKE '%idiot%' OR answer ILIKE '%idiot%' OR comment ILIKE '%idiot%')", "reviews")
+def p09_review_filter(t: Tables) -> DataFrame:
+    rows = dialogue.filtered(t.reviews(), dialogue.matching(status="done", conclusion=1, keyword="idiot"))
+    return rows.select("doc_id", "status", "judge_conclusion", "comment")
+
+
+@_query("SELECT dialogue_id, title FROM dialogues WHERE updated_at >= TIMESTAMP '1996-01-01' AND updated_at <= TIMESTAMP '1996-12-31' AND title ILIKE '%urgent%'", "dialogues")
+def f25_time_range(t: Tables) -> DataFrame:
+    found = dialogue.matching(since=dt.datetime(1996, 1, 1), until=dt.datetime(1996, 12, 31), keyword="urgent", columns=("title",))
+    return dialogue.filtered(t.dialogues(), found).select("dialogue_id", "title")
+
+
+@_query("SELECT doc_id, CASE WHEN judge_conclusion = 0 AND comment = 'en' THEN status ELSE 'checked' END AS status FROM reviews", "reviews")
+def p20_review_status(t: Tables) -> DataFrame:
+    rows = t.reviews().withColumn("judge_conclusion", F.nullif("judge_conclusion", F.lit(0)))
+    rows = rows.withColumn("judge_content", F.when(F.col("comment") != "en", F.col("comment"))).withColumn("attachments", F.array().cast("array<string>"))
+    return dialogue.reviewed(rows, "checked").select("doc_id", "status")
+
+
+@_query("SELECT user_id, CASE WHEN n = 1 THEN segment ELSE segment || (n - 1) END AS name FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY user_id) AS n FROM users)", "users")
+def w07_unique_names(t: Tables) -> DataFrame:
+    return dialogue.unique_names(t.users(), "segment", "user_id", "name").select("user_id", "name")
+
+
+@_query("SELECT greatest(1000, coalesce(max(user_id), 0) + 1) AS next_number FROM users", "users")
+def a09_next_number(t: Tables) -> DataFrame:
+    return dialogue.next_number(t.users(), "user_id", 1000)
+
+
+@_query("SELECT user_id, username FROM users WHERE username BETWEEN 'Customer#000000100' AND 'Customer#000000199' OR user_id IN (1, 7, 9)", "users")
+def p11_key_lookups(t: Tables) -> DataFrame:
+    named = F.col("username").between("Customer#000000100", "Customer#000000199")
+    return t.users().where(named | F.col("user_id").isin(1, 7, 9)).select("user_id", "username")
+
+
+@_query("SELECT DISTINCT user_id FROM users SEMI JOIN (SELECT user_id FROM dialogues WHERE NOT is_deleted AND title = '1-URGENT') d USING (user_id)", "users", "dialogues")
+def p13_existence(t: Tables) -> DataFrame:
+    live = t.dialogues().where("not is_deleted and title = '1-URGENT'")
+    return t.users().join(live, "user_id", "left_semi").select("user_id")
+
+
+@_query("SELECT 'turns without a dialogue' AS rule, count(*) AS broken FROM turns ANTI JOIN dialogues USING (dialogue_id) UNION ALL SELECT 'turns twice', coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM turns GROUP BY turn_id) UNION ALL SELECT 'dialogues without a user', count(*) FROM dialogues ANTI JOIN users USING (user_id)", "turns", "dialogues", "users")
+def d02_constraints(t: Tables) -> DataFrame:
+    count = lambda rows, rule: rows.agg(F.count("*").alias("broken")).select(F.lit(rule).alias("rule"), "broken")
+    twice = t.turns().groupBy("turn_id").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("broken"))
+    return (
+        count(t.turns().join(t.dialogues(), "dialogue_id", "left_anti"), "turns without a dialogue")
+        .unionByName(twice.select(F.lit("turns twice").alias("rule"), "broken"))
+        .unionByName(count(t.dialogues().join(t.users(), "user_id", "left_anti"), "dialogues without a user"))
+    )
+
+
+# Graph enrichment
+
+
+_TERMS = "terms AS (SELECT DISTINCT substr(p_brand, 7) AS term FROM part UNION SELECT DISTINCT string_split(p_name, ' ')[1] FROM part)"
+
+
+def _terms(t: Tables) -> DataFrame:
+    part = t.raw("part")
+    return part.select(F.expr("substr(p_brand, 7)").alias("term")).union(part.select(F.split("p_name", " ")[0].alias("term"))).distinct()
+
+
+@_query(f"WITH {_TERMS} SELECT term, p_partkey FROM part JOIN terms ON term <> '' AND contains(lower(p_name), lower(term))")
+def j08_names_containing(t: Tables) -> DataFrame:
+    return graph.containing(t.raw("part").select("p_partkey", "p_name"), "p_name", _terms(t), "term").select("term", "p_partkey")
+
+
+_EDGES = "SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst, 'MADE_BY' AS type FROM lineitem UNION SELECT 's' || s_suppkey, 'n' || s_nationkey, 'IN' FROM supplier"
+
+
+def _edges(t: Tables) -> DataFrame:
+    made = t.raw("lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"), F.lit("MADE_BY").alias("type"))
+    placed = t.raw("supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("src"), F.concat(F.lit("n"), "s_nationkey").alias("dst"), F.lit("IN").alias("type"))
+    return made.unionByName(placed).distinct()
+
+
+@_query(f"WITH e AS ({_EDGES}), b AS (SELECT src, dst, type FROM e UNION ALL SELECT dst, src, type FROM e) SELECT p_partkey, coalesce(string_agg(DISTINCT dst, ',' ORDER BY dst), '') AS makers FROM part LEFT JOIN b ON src = 'p' || p_partkey AND type = 'MADE_BY' GROUP BY 1")
+def j09_one_hop(t: Tables) -> DataFrame:
+    nodes = t.raw("part").select("p_partkey", F.concat(F.lit("p"), "p_partkey").alias("node"))
+    rows = graph.gathered(graph.hop(nodes, _edges(t), "MADE_BY", "node", "maker"), ["p_partkey"], "maker", "makers")
+    return rows.withColumn("makers", F.array_join("makers", ","))
+
+
+@_query(f"WITH e AS ({_EDGES}), b AS (SELECT src, dst, type FROM e UNION ALL SELECT dst, src, type FROM e) SELECT n_nationkey, count(DISTINCT m.dst) AS parts FROM nation LEFT JOIN b s ON s.src = 'n' || n_nationkey AND s.type = 'IN' LEFT JOIN b m ON m.src = s.dst AND m.type = 'MADE_BY' GROUP BY 1")
+def j10_two_hops(t: Tables) -> DataFrame:
+    nodes = t.raw("nation").select("n_nationkey", F.concat(F.lit("n"), "n_nationkey").alias("node"))
+    rows = graph.hop(graph.hop(nodes, _edges(t), "IN", "node", "supplier"), _edges(t), "MADE_BY", "supplier", "part")
+    return rows.groupBy("n_nationkey").agg(F.count_distinct("part").alias("parts"))
+
+
+@_query(f"""WITH {_TERMS}, m AS (SELECT term, p_partkey, p_brand FROM part JOIN terms ON term <> '' AND contains(lower(p_name), lower(term))),
+    k AS (SELECT term, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands, count(*) AS drugs FROM m GROUP BY 1)
+    SELECT term, coalesce(brands, '') AS brands, coalesce(drugs, 0) AS drugs FROM terms LEFT JOIN k USING (term)""")
+def a11_details_of_terms(t: Tables) -> DataFrame:
+    found = graph.containing(t.raw("part").select("p_brand", "p_name"), "p_name", _terms(t), "term")
+    rows = found.groupBy("term").agg(F.array_join(F.array_sort(F.collect_set("p_brand")), ",").alias("brands"), F.count("*").alias("drugs"))
+    return _terms(t).join(rows, "term", "left").select("term", F.coalesce("brands", F.lit("")).alias("brands"), F.coalesce("drugs", F.lit(0)).alias("drugs"))
+
+
+@_query("SELECT p_brand, p_partkey, p_retailprice FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) = 1")
+def w04_last_of_each(t: Tables) -> DataFrame:
+    return graph.last_of_each(t.raw("part").select("p_brand", "p_partkey", "p_retailprice"), "p_brand", "p_partkey")
+
+
+@_query("SELECT p_partkey, p_name FROM part ORDER BY p_name, p_partkey LIMIT 100 OFFSET 100")
+def o07_page(t: Tables) -> DataFrame:
+    return graph.page(t.raw("part").select("p_partkey", "p_name"), ["p_name", "p_partkey"], 100, 100)
+
+
+# Builds and telemetry
+
+
+@_query("SELECT o_orderkey FROM orders ANTI JOIN (SELECT l_orderkey AS o_orderkey FROM lineitem WHERE l_linestatus = 'F') l USING (o_orderkey)")
+def j17_missing(t: Tables) -> DataFrame:
+    done = t.raw("lineitem").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return telemetry.missing(t.raw("orders").select("o_orderkey"), done, ["o_orderkey"])
+
+
+@_query("""WITH p AS (SELECT o_orderkey AS molecule_id, unnest(range(least(greatest(o_custkey % 9, 1), 7) * 2)) AS shard FROM orders),
+    d AS (SELECT DISTINCT l_orderkey AS molecule_id, l_linenumber - 1 AS shard FROM lineitem),
+    n AS (SELECT p.molecule_id, count(*) AS total FROM p GROUP BY 1), r AS (SELECT molecule_id, count(*) AS done FROM d GROUP BY 1)
+    SELECT molecule_id, total, coalesce(done, 0) AS done, total - coalesce(done, 0) AS missing, total - coalesce(done, 0) BETWEEN 1 AND 3 AS nearly FROM n LEFT JOIN r USING (molecule_id)""")
+def a23_shard_tail(t: Tables) -> DataFrame:
+    molecules = t.raw("orders").select(F.col("o_orderkey").alias("molecule_id"), (F.col("o_custkey") % 9).alias("unit_count"))
+    done = t.raw("lineitem").select(F.col("l_orderkey").alias("molecule_id"), (F.col("l_linenumber") - 1).alias("shard"))
+    return telemetry.tail(telemetry.planned(molecules, "unit_count", 7, 2), done, 3)
+
+
+@_query("""SELECT l_suppkey AS molecule_id, count(*) AS shards, CAST(sum(l_linenumber) AS BIGINT) AS emitted, round(sum(l_quantity), 2) AS worker_seconds,
+    CASE WHEN sum(l_quantity) > 0 THEN round(sum(l_linenumber) / sum(l_quantity), 3) ELSE 0 END AS per_second FROM lineitem GROUP BY 1""")
+def a15_shard_rollup(t: Tables) -> DataFrame:
+    rows = t.raw("lineitem").groupBy(F.col("l_suppkey").alias("molecule_id")).agg(
+        F.count("*").alias("shards"), F.sum("l_linenumber").alias("emitted"), F.sum("l_quantity").alias("s")
+    )
+    return rows.select("molecule_id", "shards", "emitted", F.round("s", 2).alias("worker_seconds"), telemetry.rate(F.col("emitted"), F.col("s")).alias("per_second"))
+
+
+@_query("SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS success, count(*) FILTER (WHERE o_orderstatus = 'O') AS skipped, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS failed, round(sum(o_totalprice), 0) AS fragment_rows FROM orders")
+def a13_build_summary(t: Tables) -> DataFrame:
+    s = F.col("o_orderstatus")
+    return t.raw("orders").agg(
+        F.count("*").alias("total"), F.count_if(s == "F").alias("success"), F.count_if(s == "O").alias("skipped"),
+        F.count_if(~s.isin("F", "O")).alias("failed"), F.round(F.sum("o_totalprice"), 0).alias("fragment_rows"),
+    )
+
+
+@_query("SELECT user_id, count(*) AS n, round(date_diff('microsecond', min(ts), max(ts)) / 3600000000.0, 3) AS hours FROM events GROUP BY 1")
+def a17_durations(t: Tables) -> DataFrame:
+    span = (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 3_600_000_000
+    return t.raw("events").groupBy("user_id").agg(F.count("*").alias("n"), F.round(span, 3).alias("hours"))
+
+
+@_query("SELECT o_custkey, o_orderkey, row_number() OVER w AS chunk, sum(o_shippriority) OVER w AS so_far FROM (SELECT *, o_orderkey % 100 AS o_shippriority FROM orders) WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)")
+def w08_running_chunks(t: Tables) -> DataFrame:
+    rows = t.raw("orders").select("o_custkey", "o_orderkey", (F.col("o_orderkey") % 100).alias("rows"))
+    return telemetry.running(rows, "o_custkey", "o_orderkey", "rows").drop("rows")
+
+
+@_query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")
+def d11_ledger_latest(t: Tables) -> DataFrame:
+    return telemetry.latest(t.raw("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@_query("""SELECT string_agg(w || '(' || n || ')', '; ' ORDER BY n DESC, w) AS labels FROM (
+    SELECT w, count(*) AS n FROM (SELECT unnest(string_split(replace(p_type, ' ', ';'), ';')) AS w FROM part) WHERE trim(w) <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8)""")
+def a20_label_frequencies(t: Tables) -> DataFrame:
+    return telemetry.label_frequencies(t.raw("part").select(F.replace("p_type", F.lit(" "), F.lit(";")).alias("labels")), "labels", 8)
+
+
+@_query("""SELECT coalesce(source, '(none)') AS source, count(*) FILTER (WHERE lang = 'en') AS en, count(*) FILTER (WHERE lang = 'fr') AS fr,
+    string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs, round(avg(CASE WHEN quality = 1 THEN 1.0 ELSE 0 END), 6) AS good FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
+def a19_rollup_by_source(t: Tables) -> DataFrame:
+    rows = t.raw("documents").join(t.raw("labels"), "doc_id").groupBy(F.coalesce("source", F.lit("(none)")).alias("source"))
+    return rows.agg(
+        F.count_if(F.col("lang") == "en").alias("en"), F.count_if(F.col("lang") == "fr").alias("fr"),
+        F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"), F.round(F.avg((F.col("quality") == 1).cast("double")), 6).alias("good"),
+    )
+
+
+@_query("SELECT * FROM (SELECT source, lang FROM documents) PIVOT (count(*) FOR lang IN ('de', 'en', 'es', 'fr') GROUP BY source)")
+def a18_counts_by_kind(t: Tables) -> DataFrame:
+    rows = t.raw("documents").groupBy("source").pivot("lang", ["de", "en", "es", "fr"]).agg(F.count("doc_id"))
+    return rows.na.fill(0)
+
+
+@_query("SELECT p_partkey, round(0.23 * p_size + 0.13 * (p_size % 7) + 0.06 * (p_partkey % 5) + 0.04 * length(p_name) + 0.02 * length(p_type), 6) AS score FROM part")
+def f22_complexity_score(t: Tables) -> DataFrame:
+    size = F.col("p_size")
+    value = telemetry.score(size, size % 7, F.col("p_partkey") % 5, F.length("p_name"), F.length("p_type"))
+    return t.raw("part").select("p_partkey", F.round(value, 6).alias("score"))
+
+
+# Audit
+
+
+@_query("SELECT event_id, event_type, CASE WHEN user_id % 3 = 0 THEN CAST(user_id AS VARCHAR) WHEN user_id % 3 = 1 THEN 'u' || user_id ELSE 'b' || user_id END AS user_id, CASE WHEN user_id % 3 = 0 THEN 'header:x-user-id' WHEN user_id % 3 = 1 THEN 'path' ELSE 'json:user_id' END AS user_id_source FROM events")
+def f16_identity(t: Tables) -> DataFrame:
+    user, kind = F.col("user_id").cast("string"), F.col("user_id") % 3
+    headers = F.when(kind == 0, F.create_map(F.lit("X-User-Id"), user)).otherwise(F.create_map(F.lit("accept"), F.lit("*")))
+    path = F.when(kind == 1, F.concat(F.lit("/api/users/u"), user, F.lit("/x"))).otherwise(F.lit("/api/items"))
+    body = F.to_json(F.struct(F.concat(F.lit("b"), user).alias("user_id")))
+    found = audit.identity(headers, F.lit("page=2"), path, body)
+    return t.raw("events").select("event_id", "event_type", found["user_id"].alias("user_id"), found["user_id_source"].alias("user_id_source"))
+
+
+@_query("""SELECT event_id, '{"password":"***","event":"' || event_type || '"}' AS record FROM events""")
+def f13_masked(t: Tables) -> DataFrame:
+    record = F.to_json(F.struct(F.col("user_id").cast("string").alias("password"), F.col("event_type").alias("event")))
+    return t.raw("events").select("event_id", audit.masked(record).alias("record"))
+
+
+@_query("SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def t08_requests_by_day(t: Tables) -> DataFrame:
+    rows = audit.requests_by(t.raw("events"), "ts", "event_type", "1 day")
+    return rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+@_query("SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def t08_streamed_requests_by_day(t: Tables) -> DataFrame:
+    return ingest.streamed_requests(t)
+
+
+@_query("SELECT page_id, url, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, CASE WHEN length(url) > 20 THEN left(url, 20) || '…' ELSE url END AS short FROM pages")
+def f12_urls(t: Tables) -> DataFrame:
+    host = F.regexp_extract("url", "^https?://([^/:?#]+)", 1)
+    return t.raw("pages").select("page_id", "url", host.alias("host"), audit.truncated(F.col("url"), 20, "…").alias("short"))
+
+
+# Fragments of graphs
+
+
+_UNITS = """u AS (SELECT molecule_id, (row_number() OVER (PARTITION BY molecule_id ORDER BY a, b) - 1) AS n, a, b, (a = 1 AND b <= 3) OR (a = 2 AND b = 3) AS ring FROM bonds),
+    g AS (SELECT molecule_id, CASE WHEN ring AND count(*) FILTER (WHERE ring) OVER (PARTITION BY molecule_id) = 3 THEN min(n) FILTER (WHERE ring) OVER (PARTITION BY molecule_id) ELSE n END AS unit, a, b FROM u),
+    w AS (SELECT molecule_id, unit, list_sort(list_distinct(list(a) || list(b))) AS own FROM g GROUP BY 1, 2),
+    f AS (SELECT molecule_id, [unit] AS units, own AS atoms FROM w
+          UNION SELECT f.molecule_id, list_sort(list_append(units, unit)), list_sort(list_distinct(atoms || own)) FROM f JOIN w ON f.molecule_id = w.molecule_id
+          WHERE NOT list_contains(units, unit) AND list_has_any(atoms, own) AND len(list_distinct(atoms || own)) <= 5)
+    SELECT molecule_id, array_to_string(units, ',') AS units, array_to_string(atoms, ',') AS atoms FROM f WHERE len(atoms) <= 5"""
+
+
+@_query(_UNITS, "bonds", recursive=True)
+def c12_connected_fragments(t: Tables) -> DataFrame:
+    bonds = fragments.with_bond_numbers(t.bonds())
+    ring = ((F.col("a") == 1) & (F.col("b") <= 3)) | ((F.col("a") == 2) & (F.col("b") == 3))
+    whole = F.count_if(ring).over(Window.partitionBy("molecule_id")) == 3
+    units = fragments.super_units(bonds.withColumn("system", F.when(ring & whole, F.lit(0))))
+    each = units.select("molecule_id", "unit", F.explode(F.array("a", "b")).alias("atom")).distinct()
+    found = fragments.enumerated(each, 5)
+    return found.select("molecule_id", F.array_join("units", ",").alias("units"), F.array_join("atoms", ",").alias("atoms"))
+
+
+@_query("""SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus AS kind FROM (SELECT * FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity DESC, l_tax DESC, l_partkey DESC, l_linestatus) = 1)
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_quantity DESC, l_tax DESC, l_partkey DESC, l_linestatus, l_linenumber) = 1""")
+def w01_best_candidates(t: Tables) -> DataFrame:
+    rows = t.raw("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").alias("priority"), F.col("l_tax").alias("is_protected"),
+        F.col("l_partkey").alias("heavy_atoms"), F.col("l_linestatus").alias("kind"),
+    )
+    best = fragments.best_of(rows, "l_orderkey", "l_linenumber", "l_returnflag")
+    return best.select("l_orderkey", "l_linenumber", "l_returnflag", "kind")
+
+
+@_query("SELECT p_partkey, sha256(p_name) AS sha256, sha1(p_name) AS sha1, trim(lower(p_name)) AS low, list_aggregate(list_filter(list_transform(string_split(p_type, ' '), lambda x: trim(x)), lambda x: x <> ''), 'string_agg', ';') AS parts FROM part")
+def f18_hashes_and_splits(t: Tables) -> DataFrame:
+    return t.raw("part").select(
+        "p_partkey", F.sha2("p_name", 256).alias("sha256"), F.sha1("p_name").alias("sha1"), F.trim(F.lower("p_name")).alias("low"),
+        F.array_join(scalars.split_trimmed(F.col("p_type"), " "), ";").alias("parts"),
+    )
