@@ -22,7 +22,30 @@ def super_units(bonds: DataFrame) -> DataFrame:
     return bonds.withColumn("unit", F.when(F.col("system").isNull(), F.col("bond")).otherwise(lead))
 
 
-def enumerated(units: DataFrame, max_atoms: int) -> DataFrame:
+def closed(units: DataFrame, systems: DataFrame | None = None) -> DataFrame:
+    """(molecule_id, unit, has, own): of each unit, the units that come with it and all their atoms.
+
+    systems (molecule_id, unit) are aromatic systems: a unit that touches one of
+    their atoms brings the whole of it, so that no fragment holds a part.
+    """
+    whole = units.groupBy("molecule_id", "unit").agg(F.array_sort(F.collect_set("atom")).alias("own"))
+    if systems is None:
+        return whole.select("molecule_id", "unit", F.array("unit").alias("has"), "own")
+    rings = units.join(systems.distinct(), ["molecule_id", "unit"]).select("molecule_id", "atom", F.col("unit").alias("ring"))
+    touched = units.join(rings, ["molecule_id", "atom"]).select("molecule_id", "unit", "ring").distinct()
+    bodies = whole.select("molecule_id", F.col("unit").alias("ring"), F.col("own").alias("body"))
+    brought = touched.join(bodies, ["molecule_id", "ring"]).groupBy("molecule_id", "unit").agg(
+        F.collect_set("ring").alias("rings"), F.flatten(F.collect_list("body")).alias("bodies")
+    )
+    return whole.join(brought, ["molecule_id", "unit"], "left").select(
+        "molecule_id",
+        "unit",
+        F.array_sort(F.array_union(F.array("unit"), F.coalesce("rings", F.array("unit")))).alias("has"),
+        F.array_sort(F.array_union("own", F.coalesce("bodies", "own"))).alias("own"),
+    )
+
+
+def enumerated(units: DataFrame, max_atoms: int, systems: DataFrame | None = None) -> DataFrame:
     """(molecule_id, units, atoms) of every connected, not necessarily induced, set of units with at most so many atoms.
 
     units has (molecule_id, unit, atom), a row for each atom of a unit. Each round
@@ -31,26 +54,28 @@ def enumerated(units: DataFrame, max_atoms: int) -> DataFrame:
     cut off by where it began. Sets that are too large are dropped before the next
     round: a larger set holds them. The bound on atoms bounds the rounds.
     """
-    whole = units.groupBy("molecule_id", "unit").agg(F.array_sort(F.collect_set("atom")).alias("own"))
-    level = whole.select("molecule_id", F.array("unit").alias("units"), F.col("own").alias("atoms")).where(F.size("atoms") <= max_atoms)
+    whole = closed(units, systems)
+    level = whole.select("molecule_id", F.col("has").alias("units"), F.col("own").alias("atoms")).where(F.size("atoms") <= max_atoms).distinct()
     found = level
     touch = units.select("molecule_id", F.col("atom").alias("at"), F.col("unit").alias("next")).join(
         whole.withColumnRenamed("unit", "next"), ["molecule_id", "next"]
     )
-    for _ in range(max(max_atoms * (max_atoms - 1) // 2, 1) - 1):
+    shared = units.sparkSession.conf.get("spark.checkpoint.dir", None)
+    while True:
         grown = (
             level.withColumn("at", F.explode("atoms"))
             .join(touch, ["molecule_id", "at"])
             .where(~F.array_contains("units", F.col("next")))
-            .select("molecule_id", F.array_sort(F.array_append("units", F.col("next"))).alias("units"), F.array_sort(F.array_union("atoms", "own")).alias("atoms"))
+            .select("molecule_id", F.array_sort(F.array_union("units", "has")).alias("units"), F.array_sort(F.array_union("atoms", "own")).alias("atoms"))
             .where(F.size("atoms") <= max_atoms)
             .distinct()
         )
-        grown = grown.persist() if not grown.sparkSession.conf.get("spark.checkpoint.dir", None) else grown.checkpoint()
+        # A written copy where executors share a folder, so that a lost one costs a round at most.
+        grown = grown.checkpoint() if shared else grown.persist()
         if grown.isEmpty():
-            break
+            # Systems bring units of their own, so one set may come up in several rounds.
+            return found.distinct() if systems is not None else found
         found, level = found.unionByName(grown), grown
-    return found
 
 
 def labelled(fragments: DataFrame, atoms: DataFrame) -> DataFrame:

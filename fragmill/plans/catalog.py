@@ -438,11 +438,13 @@ def f12_urls(t: Tables) -> DataFrame:
 # Fragments of graphs
 
 
-_UNITS = """u AS (SELECT molecule_id, (row_number() OVER (PARTITION BY molecule_id ORDER BY a, b) - 1) AS n, a, b, (a = 1 AND b <= 3) OR (a = 2 AND b = 3) AS ring FROM bonds),
-    g AS (SELECT molecule_id, CASE WHEN ring AND count(*) FILTER (WHERE ring) OVER (PARTITION BY molecule_id) = 3 THEN min(n) FILTER (WHERE ring) OVER (PARTITION BY molecule_id) ELSE n END AS unit, a, b FROM u),
-    w AS (SELECT molecule_id, unit, list_sort(list_distinct(list(a) || list(b))) AS own FROM g GROUP BY 1, 2),
-    f AS (SELECT molecule_id, [unit] AS units, own AS atoms FROM w
-          UNION SELECT f.molecule_id, list_sort(list_append(units, unit)), list_sort(list_distinct(atoms || own)) FROM f JOIN w ON f.molecule_id = w.molecule_id
+_UNITS = """u AS (SELECT molecule_id, (row_number() OVER (PARTITION BY molecule_id ORDER BY a, b) - 1) AS n, a, b, b <= 3 AS ring FROM bonds),
+    g AS (SELECT molecule_id, ring AND count(*) FILTER (WHERE ring) OVER (PARTITION BY molecule_id) = 3 AS sys, n, a, b FROM u),
+    o AS (SELECT molecule_id, CASE WHEN sys THEN 0 ELSE n END AS unit, bool_or(sys) AS sys, list_sort(list_distinct(list(a) || list(b))) AS own FROM g GROUP BY 1, 2),
+    w AS (SELECT x.molecule_id, x.unit, list_sort(list_distinct([x.unit, coalesce(s.unit, x.unit)])) AS has, list_sort(list_distinct(x.own || coalesce(s.own, x.own))) AS own
+          FROM o x LEFT JOIN o s ON s.molecule_id = x.molecule_id AND s.sys AND list_has_any(x.own, s.own)),
+    f AS (SELECT molecule_id, has AS units, own AS atoms FROM w
+          UNION SELECT f.molecule_id, list_sort(list_distinct(units || has)), list_sort(list_distinct(atoms || own)) FROM f JOIN w ON f.molecule_id = w.molecule_id
           WHERE NOT list_contains(units, unit) AND list_has_any(atoms, own) AND len(list_distinct(atoms || own)) <= 5)
     SELECT molecule_id, array_to_string(units, ',') AS units, array_to_string(atoms, ',') AS atoms FROM f WHERE len(atoms) <= 5"""
 
@@ -450,11 +452,12 @@ _UNITS = """u AS (SELECT molecule_id, (row_number() OVER (PARTITION BY molecule_
 @_query(_UNITS, "bonds", recursive=True)
 def c12_connected_fragments(t: Tables) -> DataFrame:
     bonds = fragments.with_bond_numbers(t.bonds())
-    ring = ((F.col("a") == 1) & (F.col("b") <= 3)) | ((F.col("a") == 2) & (F.col("b") == 3))
+    ring = F.col("b") <= 3
     whole = F.count_if(ring).over(Window.partitionBy("molecule_id")) == 3
     units = fragments.super_units(bonds.withColumn("system", F.when(ring & whole, F.lit(0))))
     each = units.select("molecule_id", "unit", F.explode(F.array("a", "b")).alias("atom")).distinct()
-    found = fragments.enumerated(each, 5)
+    systems = units.where("system is not null").select("molecule_id", "unit").distinct()
+    found = fragments.enumerated(each, 5, systems)
     return found.select("molecule_id", F.array_join("units", ",").alias("units"), F.array_join("atoms", ",").alias("atoms"))
 
 
