@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fragmill.functions import scalars
-from fragmill.operators import audit, dialogue, fragments, graph, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, matching, telemetry, warehouse
 from fragmill.plans.analogues import Tables, with_views
 from fragmill.streaming import ingest
 
@@ -461,6 +461,37 @@ def c12_connected_fragments(t: Tables) -> DataFrame:
     return found.select("molecule_id", F.array_join("units", ",").alias("units"), F.array_join("atoms", ",").alias("atoms"))
 
 
+_WAYS = "w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds)"
+
+
+@_query(
+    f"""{_WAYS}, p AS (SELECT x.molecule_id, x.atom AS i, y.atom AS j, z.atom AS k FROM atoms x
+      JOIN w v ON v.molecule_id = x.molecule_id AND v.a = x.atom JOIN atoms y ON y.molecule_id = x.molecule_id AND y.atom = v.b
+      JOIN w u ON u.molecule_id = x.molecule_id AND u.a = y.atom JOIN atoms z ON z.molecule_id = x.molecule_id AND z.atom = u.b
+      WHERE x.label = 'A' AND y.label = 'R' AND z.label = 'A' AND z.atom <> x.atom),
+    q AS (SELECT x.molecule_id, x.atom AS i, y.atom AS j FROM atoms x JOIN w v ON v.molecule_id = x.molecule_id AND v.a = x.atom
+      JOIN atoms y ON y.molecule_id = x.molecule_id AND y.atom = v.b WHERE x.label = 'A' AND y.label = 'N')
+    SELECT DISTINCT p.molecule_id FROM p JOIN q ON p.molecule_id = q.molecule_id AND q.i NOT IN (p.i, p.j, p.k) AND q.j NOT IN (p.i, p.j, p.k)""",
+    "bonds", "atoms",
+)
+def c30_disjoint_substructures(t: Tables) -> DataFrame:
+    patterns = [matching.Pattern(("A", "R", "A"), ((0, 1), (1, 2))), matching.Pattern(("A", "N"), ((0, 1),))]
+    return matching.disjoint(patterns, t.atoms(), t.bonds())
+
+
+@_query(
+    """w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds),
+    l AS (SELECT x.molecule_id, x.atom, sha256(x.label || '|' || coalesce(string_agg(y.label, ',' ORDER BY y.label), '')) AS label
+      FROM atoms x LEFT JOIN w ON w.molecule_id = x.molecule_id AND w.a = x.atom LEFT JOIN atoms y ON y.molecule_id = x.molecule_id AND y.atom = w.b
+      GROUP BY x.molecule_id, x.atom, x.label)
+    SELECT molecule_id, sha256(string_agg(label, ',' ORDER BY label)) AS signature FROM l GROUP BY 1""",
+    "bonds", "atoms",
+)
+def c02_molecule_signatures(t: Tables) -> DataFrame:
+    whole = t.atoms().groupBy("molecule_id").agg(F.array_sort(F.collect_list("atom")).alias("atoms")).withColumn("units", F.array(F.lit(0)))
+    return matching.signatures(whole, t.atoms(), t.bonds(), 1).select("molecule_id", "signature")
+
+
 @_query("""SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus AS kind FROM (SELECT * FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity DESC, l_tax DESC, l_partkey DESC, l_linestatus) = 1)
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_quantity DESC, l_tax DESC, l_partkey DESC, l_linestatus, l_linenumber) = 1""")
