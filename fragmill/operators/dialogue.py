@@ -96,3 +96,22 @@ def unique_names(rows: DataFrame, name: str, order: str, out: str) -> DataFrame:
 def next_number(rows: DataFrame, column: str, least: int) -> DataFrame:
     """One row: the number after the largest, and at least the given one."""
     return rows.agg(F.greatest(F.lit(least).cast("bigint"), F.coalesce(F.max(F.col(column).cast("bigint")), F.lit(0)) + 1).alias("next_number"))
+
+
+def exploded(records: DataFrame, key: str, children: str) -> DataFrame:
+    """A row for each child of nested records, with its number from 1 and its fields; records without children give none."""
+    each = records.select(key, F.posexplode(children).alias("_at", "_child"))
+    return each.select(key, (F.col("_at") + 1).alias("number"), "_child.*")
+
+
+def appended(old: DataFrame, new: DataFrame, unique: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(all rows, refused rows): new rows whose unique columns stand in old, or earlier in new by all their columns, are refused."""
+    n = F.row_number().over(Window.partitionBy(*unique).orderBy(*[c for c in new.columns if c not in unique] or unique))
+    ranked = new.withColumn("_n", n).join(old.select(*unique).distinct().withColumn("_old", F.lit(True)), unique, "left")
+    fresh = F.col("_old").isNull() & (F.col("_n") == 1)
+    return old.unionByName(ranked.where(fresh).select(old.columns)), ranked.where(~fresh).select(new.columns)
+
+
+def updated(rows: DataFrame, chosen: Column, **values: Column) -> DataFrame:
+    """rows with new values of columns where a condition holds."""
+    return rows.withColumns({name: F.when(chosen, value).otherwise(F.col(name)) for name, value in values.items()})

@@ -100,3 +100,36 @@ def not_within(parts: DataFrame, residues: DataFrame, molecule: str) -> DataFram
     inside = (F.size(F.array_except("atoms", "_residue")) == 0) & (F.size("atoms") < F.size("_residue"))
     held = residues.select(F.col(molecule).alias("_m"), F.col("atoms").alias("_residue"))
     return parts.join(held, (F.col(molecule) == F.col("_m")) & inside, "left_anti")
+
+
+def connected_atoms(bonds: DataFrame, least: int, most: int) -> DataFrame:
+    """(molecule_id, atoms) of every connected set of atoms, with all bonds among them, of a size from least to most."""
+    ways = bonds.select("molecule_id", "a", "b").union(bonds.select("molecule_id", F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    level = ways.select("molecule_id", F.array("a").alias("atoms")).distinct()
+    found = level
+    for _ in range(most - 1):
+        level = (
+            level.withColumn("a", F.explode("atoms"))
+            .join(ways, ["molecule_id", "a"])
+            .where(~F.array_contains("atoms", F.col("b")))
+            .select("molecule_id", F.array_sort(F.array_append("atoms", F.col("b"))).alias("atoms"))
+            .distinct()
+        )
+        found = found.unionByName(level)
+    return found.where(F.size("atoms") >= least)
+
+
+def shapes(bonds: DataFrame, atoms: DataFrame) -> DataFrame:
+    """(molecule_id, heavy_atoms, bonds, rings, branches, hetero_atoms): rings are independent ones of connected molecules, branches are atoms with three bonds or more."""
+    ends = bonds.select("molecule_id", F.explode(F.array("a", "b")).alias("atom")).groupBy("molecule_id", "atom").count()
+    degrees = ends.groupBy("molecule_id").agg((F.sum("count") / 2).cast("long").alias("bonds"), F.count_if(F.col("count") >= 3).alias("branches"))
+    sizes = atoms.groupBy("molecule_id").agg(F.count("*").alias("heavy_atoms"), F.count_if(~F.col("label").isin("A", "C")).alias("hetero_atoms"))
+    rows = sizes.join(degrees, "molecule_id", "left").na.fill(0, ["bonds", "branches"])
+    rings = F.greatest(F.col("bonds") - F.col("heavy_atoms") + 1, F.lit(0))
+    return rows.select("molecule_id", "heavy_atoms", "bonds", rings.alias("rings"), "branches", "hetero_atoms")
+
+
+def witnesses(rows: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """For each key its smallest row by the given columns."""
+    least = rows.groupBy(*keys).agg(F.min(F.struct(*by)).alias("_w"))
+    return least.select(*keys, "_w.*")

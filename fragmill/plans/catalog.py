@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fragmill.functions import scalars
 from fragmill.operators import audit, dialogue, fragments, graph, matching, telemetry, warehouse
 from fragmill.plans.analogues import Tables, with_views
+from fragmill.sources import readers
 from fragmill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -510,3 +511,138 @@ def f18_hashes_and_splits(t: Tables) -> DataFrame:
         "p_partkey", F.sha2("p_name", 256).alias("sha256"), F.sha1("p_name").alias("sha1"), F.trim(F.lower("p_name")).alias("low"),
         F.array_join(scalars.split_trimmed(F.col("p_type"), " "), ";").alias("parts"),
     )
+
+
+# More of the same tables
+
+
+@_query("SELECT CAST(batch AS INT) AS batch, count(DISTINCT molecule_id) AS molecules, count(*) AS fragment_rows FROM fragments GROUP BY 1", "fragments")
+def a16_totals_by_batch(t: Tables) -> DataFrame:
+    return t.fragments().groupBy("batch").agg(F.count_distinct("molecule_id").alias("molecules"), F.count("*").alias("fragment_rows"))
+
+
+@_query("SELECT p_brand, count(*) AS fragments, count(*) FILTER (WHERE p_type LIKE '%STEEL%') AS with_ring, round(100.0 * count(*) FILTER (WHERE p_type LIKE '%STEEL%') / count(*), 4) AS ring_pct FROM part GROUP BY 1")
+def a22_shares_by_brand(t: Tables) -> DataFrame:
+    ring = F.contains("p_type", F.lit("STEEL"))
+    rows = t.raw("part").groupBy("p_brand").agg(F.count("*").alias("fragments"), F.count_if(ring).alias("with_ring"))
+    return rows.withColumn("ring_pct", F.round(100.0 * F.col("with_ring") / F.col("fragments"), 4))
+
+
+@_query("SELECT count(*) AS total, count(TRY_CAST(regexp_extract(url, '(\\d+)', 1) AS INT)) AS success, count(*) - count(TRY_CAST(regexp_extract(url, '(\\d+)', 1) AS INT)) AS fail FROM pages")
+def a24_success_and_failure(t: Tables) -> DataFrame:
+    number = F.expr(r"try_cast(regexp_extract(url, '(\\d+)', 1) AS INT)")
+    return t.raw("pages").agg(F.count("*").alias("total"), F.count_if(number.isNotNull()).alias("success"), F.count_if(number.isNull()).alias("fail"))
+
+
+@_query("SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS place FROM part")
+def o11_ranking(t: Tables) -> DataFrame:
+    rows = t.raw("part").select("p_brand", "p_partkey", F.col("p_size").alias("score"))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("p_brand").orderBy(F.col("score").desc(), "p_partkey"))).drop("score")
+
+
+@_query("SELECT l_suppkey, l_partkey, min((l_orderkey, l_linenumber))[1] AS l_orderkey, min((l_orderkey, l_linenumber))[2] AS l_linenumber FROM lineitem GROUP BY 1, 2")
+def w02_witnesses(t: Tables) -> DataFrame:
+    return fragments.witnesses(t.raw("lineitem"), ["l_suppkey", "l_partkey"], ["l_orderkey", "l_linenumber"])
+
+
+@_query("SELECT p_partkey, unnest(range(len(string_split(p_type, ' ')))) + 1 AS number, unnest(string_split(p_type, ' ')) AS word FROM part")
+def w06_numbered_children(t: Tables) -> DataFrame:
+    words = F.transform(F.split("p_type", " "), lambda w: F.struct(w.alias("word")))
+    return dialogue.exploded(t.raw("part").select("p_partkey", words.alias("words")), "p_partkey", "words")
+
+
+@_query("SELECT x.p_partkey AS a, y.p_partkey AS b, list_has_any(string_split(x.p_type, ' '), string_split(y.p_type, ' ')) AS overlap, len(list_intersect(string_split(x.p_type, ' '), string_split(y.p_type, ' '))) AS common FROM part x JOIN part y ON y.p_partkey = x.p_partkey + 1")
+def u05_array_sets(t: Tables) -> DataFrame:
+    rows = t.raw("part").select(F.col("p_partkey").alias("a"), F.split("p_type", " ").alias("x"))
+    after = rows.select((F.col("a") - 1).alias("a"), F.col("a").alias("b"), F.col("x").alias("y"))
+    return rows.join(after, "a").select("a", "b", F.arrays_overlap("x", "y").alias("overlap"), F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
+
+
+@_query("SELECT doc_id FROM documents WHERE n_chars <> length(text)")
+def u04_lengths_that_differ(t: Tables) -> DataFrame:
+    return t.raw("documents").where(F.col("n_chars") != F.char_length("text")).select("doc_id")
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_suppkey = o.o_custkey % 100)")
+def j16_not_in_ledger(t: Tables) -> DataFrame:
+    listing = t.raw("orders").select("o_orderkey", "o_custkey", (F.col("o_custkey") % 100).alias("place"))
+    ledger = t.raw("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("place"))
+    return telemetry.missing(listing, ledger, ["o_orderkey", "place"]).drop("place")
+
+
+@_query("WITH c AS (SELECT upper(n_name) AS k, min(n_nationkey) AS smiles FROM nation WHERE n_nationkey % 2 = 0 GROUP BY 1) SELECT s_suppkey, CAST(c.smiles AS VARCHAR) AS smiles FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN c ON upper(lower(n_name)) = c.k")
+def j18_lookup_in_any_case(t: Tables) -> DataFrame:
+    cache = t.raw("nation").where("n_nationkey % 2 = 0").select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("smiles"))
+    names = t.raw("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.lower("n_name").alias("ingredient"))
+    return readers.looked_up(t.raw("supplier").join(names, "s_nationkey").select("s_suppkey", "ingredient"), "ingredient", cache).select("s_suppkey", "smiles")
+
+
+@_query("SELECT DISTINCT o.dialogue_id, p.p_partkey FROM (SELECT * FROM dialogues WHERE title = '1-URGENT') o JOIN turns t USING (dialogue_id) JOIN part p ON p.p_partkey = t.part AND p.p_size >= 40", "dialogues", "turns")
+def j19_rules_by_key(t: Tables) -> DataFrame:
+    rules = t.raw("part").where("p_size >= 40").select(F.col("p_partkey").alias("part"))
+    rows = t.dialogues().where("title = '1-URGENT'").join(t.turns(), "dialogue_id").join(rules, "part")
+    return rows.select("dialogue_id", F.col("part").alias("p_partkey")).distinct()
+
+
+@_query("WITH l AS (SELECT l_orderkey, count(*) AS shards FROM lineitem GROUP BY 1) SELECT o_orderkey, c_mktsegment AS segment, coalesce(shards, 0) AS shards FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0 LEFT JOIN l ON l_orderkey = o_orderkey")
+def j21_features_and_status(t: Tables) -> DataFrame:
+    features = t.raw("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    status = t.raw("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("shards"))
+    rows = t.raw("orders").join(features, "o_custkey", "left").join(status, "o_orderkey", "left")
+    return rows.select("o_orderkey", "segment", F.coalesce("shards", F.lit(0)).alias("shards"))
+
+
+@_query(
+    """p AS (SELECT molecule_id, list_sort([a, b]) AS atoms FROM bonds),
+    r AS (SELECT molecule_id, list_sort(list(atom)) AS atoms FROM atoms WHERE label = 'N' GROUP BY 1)
+    SELECT molecule_id, array_to_string(atoms, ',') AS atoms FROM p WHERE NOT EXISTS (
+      SELECT 1 FROM r WHERE r.molecule_id = p.molecule_id AND list_has_all(r.atoms, p.atoms) AND len(p.atoms) < len(r.atoms))""",
+    "bonds", "atoms",
+)
+def p19_not_within_residues(t: Tables) -> DataFrame:
+    parts = t.bonds().select("molecule_id", F.array("a", "b").alias("atoms"))
+    residues = t.atoms().where("label = 'N'").groupBy("molecule_id").agg(F.collect_list("atom").alias("atoms"))
+    return fragments.not_within(parts, residues, "molecule_id").select("molecule_id", F.array_join("atoms", ",").alias("atoms"))
+
+
+@_query(
+    """w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds),
+    f AS (SELECT DISTINCT molecule_id, [a] AS atoms FROM w
+          UNION SELECT f.molecule_id, list_sort(list_append(atoms, b)) FROM f JOIN w ON f.molecule_id = w.molecule_id
+          AND list_contains(atoms, a) AND NOT list_contains(atoms, b) WHERE len(atoms) < 4)
+    SELECT molecule_id, array_to_string(atoms, ',') AS atoms FROM f WHERE len(atoms) >= 3""",
+    "bonds", recursive=True,
+)
+def c16_connected_atoms(t: Tables) -> DataFrame:
+    return fragments.connected_atoms(t.bonds(), 3, 4).select("molecule_id", F.array_join("atoms", ",").alias("atoms"))
+
+
+@_query(
+    """e AS (SELECT molecule_id, a AS atom FROM bonds UNION ALL SELECT molecule_id, b FROM bonds), d AS (SELECT molecule_id, atom, count(*) AS n FROM e GROUP BY 1, 2),
+    g AS (SELECT molecule_id, CAST(sum(n) / 2 AS BIGINT) AS bonds, count(*) FILTER (WHERE n >= 3) AS branches FROM d GROUP BY 1),
+    s AS (SELECT molecule_id, count(*) AS heavy_atoms, count(*) FILTER (WHERE label NOT IN ('A', 'C')) AS hetero_atoms FROM atoms GROUP BY 1)
+    SELECT molecule_id, heavy_atoms, coalesce(bonds, 0) AS bonds, greatest(coalesce(bonds, 0) - heavy_atoms + 1, 0) AS rings, coalesce(branches, 0) AS branches, hetero_atoms FROM s LEFT JOIN g USING (molecule_id)""",
+    "bonds", "atoms",
+)
+def c31_structural_features(t: Tables) -> DataFrame:
+    return fragments.shapes(t.bonds(), t.atoms())
+
+
+@_query("SELECT dialogue_id, CASE WHEN user_id % 10 = 0 THEN 'renamed' ELSE title END AS title, is_deleted OR user_id % 25 = 0 AS is_deleted FROM dialogues", "dialogues")
+def d05_updates_and_soft_deletes(t: Tables) -> DataFrame:
+    rows = dialogue.updated(t.dialogues(), F.col("user_id") % 10 == 0, title=F.lit("renamed"))
+    return dialogue.updated(rows, F.col("user_id") % 25 == 0, is_deleted=F.lit(True)).select("dialogue_id", "title", "is_deleted")
+
+
+@_query("SELECT l_orderkey, l_suppkey, min(l_linenumber) AS l_linenumber FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2")
+def d06_refused_duplicates(t: Tables) -> DataFrame:
+    new = t.raw("lineitem").where("l_returnflag = 'N'").select("l_orderkey", "l_suppkey", "l_linenumber")
+    return dialogue.appended(new.limit(0), new, ["l_orderkey", "l_suppkey"])[0]
+
+
+@_query("SELECT n_name, round(sum(s_acctbal), 2) AS balance, CAST(NULL AS VARCHAR) AS note FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1 UNION ALL SELECT r_name, 0, 'region' FROM region")
+def d10_added_columns(t: Tables) -> DataFrame:
+    nations = t.raw("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    old = t.raw("supplier").join(nations, "s_nationkey").groupBy("n_name").agg(F.round(F.sum("s_acctbal"), 2).alias("balance"))
+    new = t.raw("region").select(F.col("r_name").alias("n_name"), F.lit(0.0).alias("balance"), F.lit("region").alias("note"))
+    return old.unionByName(new, allowMissingColumns=True)
