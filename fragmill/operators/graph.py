@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fragmill.operators.ranking import last
+
 MAX_PAGE = 2000
 
 
@@ -49,8 +51,7 @@ def containing(names: DataFrame, name: str, terms: DataFrame, term: str) -> Data
 
 def last_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The row of each key that comes last by an order without ties."""
-    window = Window.partitionBy(key).orderBy(F.col(order).desc())
-    return rows.withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
+    return last(rows, [key], [order])
 
 
 def page(rows: DataFrame, order: list[str], offset: int = 0, limit: int = 100) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fragmill.operators.ranking import last
+
 
 def rate(amount: Column, seconds: Column, digits: int = 3) -> Column:
     """amount a second, 0 where no time has passed."""
@@ -18,8 +20,7 @@ def missing(expected: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 def latest(ledger: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last entry of each key."""
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return ledger.withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
+    return last(ledger, keys, order)
 
 
 def planned(molecules: DataFrame, units: str, wanted: int, buckets: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fragmill.functions import scalars
-from fragmill.operators import audit, dialogue, fragments, graph, matching, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, matching, ranking, telemetry, warehouse
 from fragmill.plans.analogues import Tables, with_views
 from fragmill.sources import readers
 from fragmill.streaming import ingest
@@ -165,8 +165,7 @@ def o10_top_molecules(t: Tables) -> DataFrame:
 
 @_query("SELECT molecule_id, row_number() OVER (ORDER BY CAST(molecule_id AS INT)) AS place FROM (SELECT DISTINCT molecule_id FROM fragments)", "fragments")
 def o06_numeric_first(t: Tables) -> DataFrame:
-    rows = t.fragments().select("molecule_id").distinct()  # a row for each molecule
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(*telemetry.numeric_first("molecule_id"))))
+    return ranking.numbered(t.fragments().select("molecule_id").distinct(), telemetry.numeric_first("molecule_id"), "place")
 
 
 # Dialogues and reviews

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fragmill.operators.ranking import numbered
 from fragmill.operators.telemetry import missing
 
 LEDGER = ["path", "bytes", "modified", "target"]
@@ -65,8 +66,9 @@ def export_csv(rows: DataFrame, path: str, columns: list[str] | None = None, lim
 
 def report(rows: DataFrame, order: list[str], by: str | None = None) -> DataFrame:
     """rows with index, their number from 1 in an order, within each value of by if given."""
-    window = Window.partitionBy(by) if by else Window.partitionBy()
-    return rows.withColumn("index", F.row_number().over(window.orderBy(*order)))
+    if by is None:
+        return numbered(rows, order, "index")
+    return rows.withColumn("index", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
 
 
 def append_audit(records: DataFrame, path: str) -> None:

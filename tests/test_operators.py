@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from fragmill.functions import scalars
-from fragmill.operators import audit, dialogue, fragments, graph, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, ranking, telemetry, warehouse
 from fragmill.sources import readers, sinks
 from pyspark.sql import functions as F
 
@@ -100,6 +100,19 @@ def test_numeric_first_order(spark):
     assert [r.i for r in df.orderBy(*telemetry.numeric_first("i")).collect()] == ["9", "10", "a", "b"]
 
 
+def test_numbers_run_over_all_ranges(spark):
+    df = spark.range(0, 5000, 1, 7).selectExpr("id", "5000 - id AS k")
+    got = ranking.numbered(df, [F.col("k")], "n")
+    assert got.columns == ["id", "k", "n"] and got.where("n <> k").count() == 0 and got.count() == 5000
+    assert [tuple(r) for r in sinks.report(df.limit(3), ["id"], "k").orderBy("id").collect()] == [(0, 5000, 1), (1, 4999, 1), (2, 4998, 1)]
+
+
+def test_last_rows(spark):
+    rows = [("a", 1, None), ("a", 3, "x"), ("b", None, "y"), (None, 2, "z"), ("a", 2, "w")]
+    got = ranking.last(spark.createDataFrame(rows, "k string, t int, v string"), ["k"], ["t"]).collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", 3, "x"), ("b", None, "y"), (None, 2, "z")]
+
+
 def test_scalars(spark):
     import hashlib
 
