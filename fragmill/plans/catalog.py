@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fragmill.functions import scalars
-from fragmill.operators import audit, dialogue, fragments, graph, matching, ranking, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, matching, ranking, semantics, telemetry, warehouse
 from fragmill.plans.analogues import Tables, with_views
 from fragmill.sources import readers
 from fragmill.streaming import ingest
@@ -370,7 +370,7 @@ def d11_ledger_latest(t: Tables) -> DataFrame:
     return telemetry.latest(t.raw("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
-@_query("""SELECT string_agg(w || '(' || n || ')', '; ' ORDER BY n DESC, w) AS labels FROM (
+@_query("""SELECT string_agg(w || ':' || n, '; ' ORDER BY n DESC, w) AS labels FROM (
     SELECT w, count(*) AS n FROM (SELECT unnest(string_split(replace(p_type, ' ', ';'), ';')) AS w FROM part) WHERE trim(w) <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8)""")
 def a20_label_frequencies(t: Tables) -> DataFrame:
     return telemetry.label_frequencies(t.raw("part").select(F.replace("p_type", F.lit(" "), F.lit(";")).alias("labels")), "labels", 8)
@@ -645,3 +645,36 @@ def d10_added_columns(t: Tables) -> DataFrame:
     old = t.raw("supplier").join(nations, "s_nationkey").groupBy("n_name").agg(F.round(F.sum("s_acctbal"), 2).alias("balance"))
     new = t.raw("region").select(F.col("r_name").alias("n_name"), F.lit(0.0).alias("balance"), F.lit("region").alias("note"))
     return old.unionByName(new, allowMissingColumns=True)
+
+
+_KINDS = ["module", "linker", "functional_group", "amino_acid_residue", "other"]
+_CLASSES = ["fused_ring", "ring_system", "rigid_linker", "amide", "small_group", "amine", "flexible_linker"]
+
+
+@_query(
+    """WITH k AS (SELECT p_partkey, (['module', 'linker', 'functional_group', 'amino_acid_residue', 'other'])[p_partkey % 5 + 1] AS kind,
+      (['fused_ring', 'ring_system', 'rigid_linker', 'amide', 'small_group', 'amine', 'flexible_linker'])[p_size % 7 + 1] AS label,
+      p_size * 2 AS high, p_size % 9 AS heavy, p_partkey % 3 AS rings, p_partkey % 4 AS rotatable, p_partkey % 11 = 0 AS side FROM part)
+    SELECT p_partkey, CASE WHEN kind = 'amino_acid_residue' THEN 'complete_amino_acid_residue' WHEN side THEN 'recognized_amino_acid_side_chain'
+      WHEN kind = 'module' AND label = 'fused_ring' THEN 'privileged_or_fused_module'
+      WHEN kind = 'module' AND label = 'ring_system' AND heavy >= 5 AND rings >= 1 AND high >= 85 THEN 'high_semantic_module'
+      WHEN kind = 'module' AND NOT heavy <= 4 AND NOT (heavy <= 5 AND rings <= 1 AND label IN ('amine', 'ring_system', 'amide')) AND high >= 88 THEN 'high_semantic_module'
+      WHEN kind = 'module' THEN 'small_common_module_without_distinctive_semantic_density'
+      WHEN kind = 'linker' AND (label = 'rigid_linker' AND heavy >= 4 OR label = 'flexible_linker' AND heavy >= 5 AND rotatable >= 2) THEN 'distinctive_linker_unit'
+      WHEN kind = 'linker' THEN 'short_low_information_linker'
+      WHEN kind = 'functional_group' AND label = 'amide' THEN 'high_semantic_functional_group'
+      WHEN kind = 'functional_group' AND high >= 45 AND heavy >= 4 THEN 'medium_complex_functional_group'
+      WHEN kind = 'functional_group' AND (label = 'small_group' OR heavy <= 2) THEN 'small_low_information_group'
+      WHEN kind = 'functional_group' THEN 'default_functional_group'
+      WHEN high >= 90 AND (rings >= 1 OR heavy >= 6) THEN 'fallback_high_priority_semantic_unit' ELSE 'default_fallback_non_terminal_unit' END AS reason FROM k"""
+)
+def c27_stop_rules(t: Tables) -> DataFrame:
+    key, size = F.col("p_partkey"), F.col("p_size")
+    rows = t.raw("part").select(
+        "p_partkey",
+        F.get(F.array(*map(F.lit, _KINDS)), (key % 5).cast("int")).alias("semantic_type"),
+        F.array(F.get(F.array(*map(F.lit, _CLASSES)), size % 7)).alias("semantic_class"),
+        (size * 2).alias("priority"), (size % 9).alias("heavy_atoms"), (key % 3).alias("ring_count"), F.lit(0).alias("aromatic_ring_count"),
+        (key % 4).alias("rotatable_bonds"), F.lit(False).alias("is_complete_residue"), (key % 11 == 0).alias("is_side_chain"),
+    )
+    return rows.select("p_partkey", semantics.stop()["reason"].alias("reason"))

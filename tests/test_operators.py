@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from fragmill.functions import scalars
-from fragmill.operators import audit, dialogue, fragments, graph, ranking, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, ranking, semantics, telemetry, warehouse
 from fragmill.sources import readers, sinks
 from pyspark.sql import functions as F
 
@@ -72,6 +72,22 @@ def test_subsets_of_residues_go(spark):
     assert sorted(map(tuple, (r.atoms for r in fragments.not_within(parts, residues, "molecule_id").collect()))) == [(1, 2), (1, 2, 3), (1, 9)]
 
 
+def test_candidates_are_resolved(spark):
+    columns = "molecule_id string, atoms array<int>, smiles string, kind string, priority int, is_protected boolean, is_complete_residue boolean, heavy_atoms int, rings int, carbons int"
+    rows = [
+        ("m", [1, 2, 3, 4], "NCCO", "amino_acid_residue", 1000, True, True, 4, 0, 2),
+        ("m", [1, 2, 3], "NCC", "path", 450, False, False, 3, 0, 2),
+        ("m", [1, 2, 4], "NCO", "drug_feature_rule", 920, False, False, 3, 0, 1),
+        ("m", [5, 6, 7], "CCC", "path", 450, False, False, 3, 0, 3),
+        ("m", [5, 6], "CO", "functional_group", 650, False, False, 2, 0, 1),
+        ("m", [5, 6, 8], "CCO", "path", 450, False, False, 3, 0, 2),
+        ("m", [5, 6, 8], "CCO", "functional_group", 650, False, False, 3, 0, 2),
+        ("m", [9, 10, 11], "CCO", "path", 450, False, False, 3, 0, 2),
+    ]
+    got = sorted((r.smiles, r.kind) for r in semantics.resolved(spark.createDataFrame(rows, columns)).collect())
+    assert got == [("CCO", "functional_group"), ("NCCO", "amino_acid_residue"), ("NCO", "drug_feature_rule")]
+
+
 def test_containment_join_loses_no_pair(spark):
     names = spark.createDataFrame([("Aspirin Plus",), ("",), (None,), ("xin",), ("Ünlü",), ("aaaa",)], "name string")
     terms = spark.createDataFrame([("in",), ("PIR",), ("x",), ("",), ("nlü",), ("aa",), ("aspirin plus",)], "term string")
