@@ -21,22 +21,20 @@ NONE = "(none)"
 TOPICS = 8
 
 
-def words_of(text: Column) -> Column:
-    """The runs of anything but ASCII white space."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-
 def with_tokens_and_topic(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with _tokens, its words or 1, and _topic: of eight hash classes of words, the one most of its words are in, the lowest of equals."""
-    rows = df.withColumn("_mix_words", words_of(F.col(text_col)))
-    rows = rows.withColumn("_mix_class", F.transform("_mix_words", lambda w: F.pmod(F.hash(w), F.lit(TOPICS))))
-    counts = F.array(*[_count(t) for t in range(TOPICS)])
-    return (
-        rows.withColumn("_mix_counts", counts)
-        .withColumn("_tokens", F.greatest(F.size("_mix_words"), F.lit(1)).cast("double"))
-        .withColumn("_topic", F.concat(F.lit("t"), (F.array_position("_mix_counts", F.array_max("_mix_counts")) - 1).cast("string")))
-        .drop("_mix_words", "_mix_class", "_mix_counts")
-    )
+    """df with _tokens, its words or 1, and _topic: of eight hash classes of words, the one most of its words are in, the lowest of equals.
+
+    Words are runs of anything but ASCII white space.
+    """
+    # Splitting at one plain character needs no pattern; what lies between two blanks is no word.
+    pieces = F.split(F.translate(F.coalesce(F.col(text_col), F.lit("")), "\t\n\x0b\x0c\r", "     "), " ")
+    rows = df.withColumn("_mix_class", F.transform(pieces, lambda w: F.when(w != "", F.pmod(F.hash(w), F.lit(TOPICS)))))
+    rows = rows.withColumn("_mix_counts", F.array(*[_count(t) for t in range(TOPICS)]))
+    words = F.aggregate("_mix_counts", F.lit(0), lambda n, c: n + c)
+    topic = F.concat(F.lit("t"), (F.array_position("_mix_counts", F.array_max("_mix_counts")) - 1).cast("string"))
+    # Not null by its type: a join on the topic then needs no filter, which would count all words once more.
+    rows = rows.withColumn("_tokens", F.greatest(words, F.lit(1)).cast("double")).withColumn("_topic", F.coalesce(topic, F.lit("t0")))
+    return rows.drop("_mix_class", "_mix_counts")
 
 
 def _count(topic: int) -> Column:
