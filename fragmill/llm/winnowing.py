@@ -25,14 +25,8 @@ def _rolled(factor: int):
     return lambda a, b: (a * factor + b).bitwiseAND(_LOW)
 
 
-def with_winnowed(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """df with out, array<struct<hash, at>>: the grams of the text that winnowing keeps, in order.
-
-    Grams are eight code points, windows 32 grams; each window keeps its least
-    hash, the rightmost of equals, and a gram kept by several windows stands once.
-    Two texts that share 39 characters so share a hash. A text with fewer grams is
-    one window, one with fewer characters is one gram, and an empty or null text
-    has none. Hashes have 32 bits; at counts from 0.
+def with_minima(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """df with out, array<bigint>: the least gram of each window, as its hash above its place counted from the end of 31 bits.
 
     Rolling sums and minima double their reach with each step, so a text costs a
     fixed number of passes over its characters, whatever the gram and window.
@@ -60,17 +54,33 @@ def with_winnowed(df: DataFrame, text_col: str, out: str) -> DataFrame:
         frame = frame.withColumn(v, _beside(v, step, lambda a, b: F.least(a, b)))
         step *= 2
     whole = F.slice(F.col(v), F.lit(1), F.greatest(F.size(v) - (WINDOW - 1), F.lit(1)))
-    kept = F.transform(
-        F.array_distinct(whole),
+    return frame.withColumn(out, F.when(F.col(n) == 0, F.array().cast("array<bigint>")).otherwise(whole)).drop(v, n)
+
+
+def placed(minima: Column) -> Column:
+    """array<struct<hash, at>> of the different minima, in order."""
+    return F.transform(
+        minima,
         lambda x: F.struct(F.shiftright(x, 31).alias("hash"), (F.lit(_PLACE) - x.bitwiseAND(_PLACE)).cast("int").alias("at")),
     )
-    none = F.array().cast("array<struct<hash:bigint,at:int>>")
-    return frame.withColumn(out, F.when(F.col(n) == 0, none).otherwise(kept)).drop(v, n)
+
+
+def with_winnowed(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """df with out, array<struct<hash, at>>: the grams of the text that winnowing keeps, in order.
+
+    Grams are eight code points, windows 32 grams; each window keeps its least
+    hash, the rightmost of equals, and a gram kept by several windows stands once.
+    Two texts that share 39 characters so share a hash. A text with fewer grams is
+    one window, one with fewer characters is one gram, and an empty or null text
+    has none. Hashes have 32 bits; at counts from 0.
+    """
+    m = f"_m_{out}"
+    return with_minima(df, text_col, m).withColumn(out, placed(F.array_distinct(m))).drop(m)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The Jaccard likeness of the hashes that two texts keep; 1 if neither keeps any."""
-    a, b = (F.array_distinct(F.transform(x, lambda g: g["hash"])) for x in (a, b))
+    """The Jaccard likeness of the hashes of two texts' minima; 1 if neither has any."""
+    a, b = (F.array_distinct(F.transform(x, lambda g: F.shiftright(g, 31))) for x in (a, b))
     both = F.size(F.array_union(a, b))
     return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
 
@@ -133,17 +143,25 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     text. Other columns are not read; no rows give no rows.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ranged = with_winnowed(dealt_by_range(docs, "doc_id"), "text", "kept")
-    rows = following(ranged, "doc_id", ["text", "kept"]).withColumn("n_chars", F.char_length("text").cast("long"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    edited = F.concat(F.expr("left(text, cast(n_chars - floor(n_chars / 4) as int))"), F.left(F.col("next.text"), quarter))
-    rows = with_winnowed(rows.withColumn("edited", edited), "edited", "edited_kept")
+    rows = with_minima(dealt_by_range(docs, "doc_id"), "text", "minima")
+    rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("quarter", F.floor(F.col("n_chars") / 4).cast("int"))
+    # Windows within what is not edited keep their minima: only the end of the edited text is winnowed.
+    reach = WINDOW + GRAM - 2
+    rows = rows.withColumn("same", F.greatest(F.col("n_chars").cast("int") - F.col("quarter") - reach, F.lit(0)))
+    rows = rows.withColumn("head", F.array_distinct(F.slice("minima", F.lit(1), F.col("same")))).withColumn("minima", F.array_distinct("minima"))
+    rows = following(rows, "doc_id", ["text", "minima"])
+    edited = F.concat(F.expr("left(text, cast(n_chars - quarter as int))"), F.left(F.col("next.text"), F.col("quarter")))
+    rows = rows.withColumn("edited", edited).withColumn("end", F.expr("substring(edited, same + 1)"))
+    rows = with_minima(rows, "end", "tail")
+    moved = F.transform(F.array_distinct("tail"), lambda x: x - F.col("same"))
+    short = (F.col("same") > 0) & (F.char_length("end") <= reach)
+    rows = rows.withColumn("edited_minima", F.when(short, F.col("head")).otherwise(F.array_distinct(F.concat("head", moved))))
     return rows.select(
         "doc_id",
         "n_chars",
         "edited",
-        "kept",
-        "edited_kept",
-        likeness(F.col("kept"), F.col("edited_kept")).alias("near_edited"),
-        likeness(F.col("kept"), F.col("next.kept")).alias("near_next"),
+        placed(F.col("minima")).alias("kept"),
+        placed(F.col("edited_minima")).alias("edited_kept"),
+        likeness(F.col("minima"), F.col("edited_minima")).alias("near_edited"),
+        likeness(F.col("minima"), F.col("next.minima")).alias("near_next"),
     )

@@ -35,10 +35,12 @@ def test_shared_passage_is_found(spark):
 
 def test_edited_and_next(spark):
     rng = random.Random(6)
-    docs = [(i * 3 - 20, "".join(rng.choice("abc é") for _ in range(rng.choice([0, 1, 3, 7, 50, 200])))) for i in range(40)]
+    docs = [(i * 3 - 20, "".join(rng.choice("abc é") for _ in range(rng.choice([0, 1, 3, 7, 40, 50, 56, 200])))) for i in range(40)]
     docs[7] = (docs[7][0], None)
     got = {r.doc_id: r for r in W.edited_fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     docs = sorted((d, t or "") for d, t in docs)
+    whole = kept(spark, [got[d].edited for d, _ in docs])
+    assert all([(g["hash"], g["at"]) for g in got[d].edited_kept] == whole[i] for i, (d, _) in enumerate(docs))
     for i, (d, t) in enumerate(docs):
         after = docs[(i + 1) % len(docs)]
         edited = t[: len(t) - len(t) // 4] + after[1][: len(t) // 4]
