@@ -8,6 +8,25 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 #: Days from 1900-01-01 that are permuted: 271 x 270, up to 2100-05-01.
 _DAYS = (271, 270)
+#: Rounds in which a date is permuted until its day is no month; each leaves four in ten.
+_WALKS = 24
+
+#: Countries by the length of their IBANs.
+_IBANS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|CR|HR|LI|LV",
+    22: "BG|BH|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE",
+    31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _own_length(size: int, countries: str) -> str:
+    """IBANs of this many characters, in groups of four or none."""
+    groups, rest = divmod(size - 4, 4)
+    return rf"(?:{countries})\d{{2}}(?: ?[0-9A-Z]{{4}}){{{groups}}}" + (f" ?[0-9A-Z]{{{rest}}}" if rest else "")
+
+
+_IBAN = "|".join([*(_own_length(*i) for i in _IBANS.items()), r"[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,4})?"])
 
 #: What may be private, longest kinds first; each match is validated before it is replaced.
 KINDS = {
@@ -15,9 +34,9 @@ KINDS = {
     "email": r"(?<![\w.%+-])[\w.%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,18}",
     "date": r"(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d]|[./-]\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
-    "phone": r"(?<![\d+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\d.-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)",
+    "phone": r"(?<![\d+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)|(?<![\d.-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,4})?(?![0-9A-Za-z])",
+    "iban": rf"(?<![0-9A-Za-z])(?:{_IBAN})(?![0-9A-Za-z])",
     "account": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
 _ANY = "|".join(KINDS.values())
@@ -45,7 +64,7 @@ def _format(match: Column) -> Column:
 
 def _day(match: Column) -> Column:
     """Days since 1900-01-01 of a date that the calendar has; else null."""
-    stamp = F.coalesce(*(F.try_to_timestamp(match, F.lit(f)) for f in ("yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy")))
+    stamp = F.coalesce(*(F.try_to_timestamp(match, F.lit(f)) for f in ("yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy", "MM/dd/yyyy")))
     return F.datediff(stamp.cast("date"), F.lit("1900-01-01").cast("date"))
 
 
@@ -136,6 +155,50 @@ def _account(key: str, match: Column) -> Column:
     return _filled(match, F.concat(new, last.cast("string")))
 
 
+def _card(match: Column) -> Column:
+    """The longest card number with a right check digit that whole groups of a match make up; else null."""
+    groups = F.split(match, "(?<=[ -])")
+
+    def made(i: Column) -> Column:
+        return F.transform(F.sequence(i, F.size(groups)), lambda j: F.struct((-i).alias("at"), F.regexp_replace(F.array_join(F.slice(groups, i, j - i + 1), ""), "[ -]+$", "").alias("was")))
+
+    spans = F.transform(
+        F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), made)),
+        lambda s: F.struct(F.regexp_replace(s["was"], "[ -]", "").alias("digits"), s["at"].alias("at"), s["was"].alias("was")),
+    )
+    right = lambda d: (_luhn(F.substring(d, F.lit(1), F.length(d) - 1)) + F.right(d, F.lit(1)).cast("int")) % 10 == 0
+    cards = F.filter(spans, lambda s: s["digits"].rlike("^[2-6][0-9]{12,15}([0-9]{3})?$") & F.length(s["digits"]).isin(13, 14, 15, 16, 19) & right(s["digits"]))
+    # Nineteen digits count last unless they are grouped as one number.
+    odd = lambda s: (F.length(s["digits"]) == 19) & ~s["was"].rlike("^(?:[0-9]{19}|(?:[0-9]{4}[ -]){4}[0-9]{3})$")
+    return F.array_max(F.transform(cards, lambda s: F.struct(F.when(odd(s), 0).otherwise(F.length(s["digits"])).alias("n"), s["at"].alias("at"), s["was"].alias("was"))))["was"]
+
+
+def _within(gap: Column, match: Column) -> Column:
+    """array<struct<gap, was>>: what is to be judged of a match, each with the text before it; the last may be empty."""
+    part = lambda g, w: F.struct(g.alias("gap"), w.alias("was"))
+
+    def carded(gap: Column, match: Column, card: Column, other: Column) -> Column:
+        at = F.instr(match, card)
+        before = part(F.concat(gap, F.substring(match, F.lit(1), at - 1)), card)
+        after = part(F.substring(match, at + F.length(card), F.length(match)), F.lit(""))
+        return F.when(card.isNotNull(), F.array(before, after)).otherwise(F.array(other))
+
+    # In what is no IBAN only numbers with a right check digit count.
+    account = KINDS["account"]
+    inner = F.zip_with(
+        F.split(match, account, -1),
+        F.regexp_extract_all(match, F.lit(f"({account})"), F.lit(1)),
+        lambda g, w: part(g, F.coalesce(w, F.lit(""))),
+    )
+    before = lambda p, i: F.concat(F.when(i == 0, gap).otherwise(F.lit("")), p["gap"])
+    inner = F.flatten(
+        F.transform(inner, lambda p, i: carded(before(p, i), p["was"], _card(p["was"]), part(F.concat(before(p, i), p["was"]), F.lit(""))))
+    )
+    grouped = match.rlike("^[0-9]+[ -]") & match.rlike(f"^(?:{account})$")
+    no_iban = match.rlike("^[A-Z]{2}[0-9]{2}") & match.rlike(f"^(?:{KINDS['iban']})$")
+    return F.when(no_iban & (_iban_remainder(match) != 1), inner).otherwise(carded(gap, match, F.when(grouped, _card(match)), part(gap, match)))
+
+
 def _filled(match: Column, digits: Column) -> Column:
     """The match with its digits replaced in order."""
 
@@ -146,10 +209,23 @@ def _filled(match: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.split(match, ""), put), "")
 
 
+def _month_first(match: Column) -> Column:
+    """Whether a date has its month before its day: MM/dd/yyyy where dd/MM/yyyy is no date."""
+    return match.rlike("^[0-9]{2}/(1[3-9]|[23][0-9])/")
+
+
 def _date(key: str, match: Column) -> Column:
-    day = _day(match)
-    to = _pair(key, "date", F.floor(day / _DAYS[1]), day % _DAYS[1], *_DAYS)
-    return F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), (to["a"] * _DAYS[1] + to["b"]).cast("int")), "yyyy-MM-dd")
+    """The permuted date; those with the month first are permuted until they can be read so only, so they stay apart from the rest."""
+
+    def moved(day: Column) -> Column:
+        to = _pair(key, "date", F.floor(day / _DAYS[1]), day % _DAYS[1], *_DAYS)
+        return (to["a"] * _DAYS[1] + to["b"]).cast("int")
+
+    at = lambda day: F.date_add(F.lit("1900-01-01").cast("date"), day)
+    again = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_WALKS)), moved(_day(match)), lambda day, i: F.when(F.dayofmonth(at(day)) > 12, day).otherwise(moved(day))
+    )
+    return F.date_format(at(F.when(_month_first(match), again).otherwise(moved(_day(match)))), "yyyy-MM-dd")
 
 
 def _dated(key: str, match: Column) -> Column:
@@ -158,6 +234,7 @@ def _dated(key: str, match: Column) -> Column:
     year, month, day = F.substring(made, 1, 4), F.substring(made, 6, 2), F.substring(made, 9, 2)
     return (
         F.when(match.contains("-"), made)
+        .when(_month_first(match), F.concat_ws("/", month, day, year))
         .when(match.contains("/"), F.concat_ws("/", day, month, year))
         .otherwise(F.concat_ws(".", day, month, year))
     )
@@ -220,6 +297,16 @@ def pseudonymised(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     maybe = text.rlike("[0-9@]")
     rows = df.drop("found").withColumn("_pii_hits", F.when(maybe, F.regexp_extract_all(text, F.lit(f"({_ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>")))
     rows = rows.withColumn("_pii_gaps", F.when(F.size("_pii_hits") > 0, F.split(text, _ANY, -1)).otherwise(F.array(text)))
+    rows = rows.withColumn(
+        "_pii_parts",
+        F.when(
+            F.size("_pii_hits") > 0,
+            F.flatten(F.zip_with("_pii_gaps", "_pii_hits", lambda g, h: F.when(h.isNull(), F.array(F.struct(g.alias("gap"), F.lit("").alias("was")))).otherwise(_within(g, h)))),
+        ),
+    )
+    split = F.col("_pii_parts").isNotNull()
+    rows = rows.withColumn("_pii_gaps", F.when(split, F.col("_pii_parts.gap")).otherwise(F.col("_pii_gaps")))
+    rows = rows.withColumn("_pii_hits", F.when(split, F.col("_pii_parts.was")).otherwise(F.col("_pii_hits")))
     rows = rows.withColumn("_pii_kinds", F.transform("_pii_hits", lambda m: F.struct(m.alias("was"), kind_of(m).alias("kind"))))
     rows = rows.withColumn(
         "_pii_kinds", F.transform("_pii_kinds", lambda k: F.struct(k["was"].alias("was"), k["kind"].alias("kind"), pseudonym(k["was"], k["kind"], key).alias("now")))

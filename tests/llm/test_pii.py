@@ -80,3 +80,32 @@ def test_odd_rows(spark):
     assert got[0] == (None, []) and got[1] == ("", []) and got[3] == got[4]
     assert got[2][0] == "z " * 100_000 + got[3][0]
     assert pseudonymised(spark.createDataFrame([], SCHEMA), "k").count() == 0
+
+
+def test_values_are_found_beside_others(spark):
+    iban, card = "ES91 2100 0418 4502 0005 1332", "4111 1111 1111 1111"
+    texts = [f"{iban} EUR", "BE68 5390 0754 7034 BIC", iban, f"{card} 12", f"5 {card}", card, "4111111111111111 300", f"XY12 {card}"]
+    got = run(spark, texts)
+    assert [[f[:3] for f in got[i][1]] for i in range(8)] == [
+        [("iban", 0, iban)],
+        [("iban", 0, "BE68 5390 0754 7034")],
+        [("iban", 0, iban)],
+        [("account", 0, card)],
+        [("account", 2, card)],
+        [("account", 0, card)],
+        [("account", 0, "4111111111111111")],
+        [("account", 5, card)],
+    ]
+    iban, card = got[2][0], got[5][0]
+    assert [got[i][0] for i in (0, 3, 4, 7)] == [f"{iban} EUR", f"{card} 12", f"5 {card}", f"XY12 {card}"]
+    assert got[6][0] == card.replace(" ", "") + " 300"
+
+
+def test_month_first_dates_and_unseparated_phones(spark):
+    days = [(dt.date(2000, 1, 1) + dt.timedelta(i)) for i in range(200)]
+    texts = [f"{d:%m/%d/%Y}" for d in days if d.day > 12] + ["+442079460958"]
+    got = run(spark, texts)
+    new = [got[i][0] for i in range(len(texts))]
+    assert all(len(got[i][1]) == 1 for i in got) and len(set(new)) == len(texts) and all(n != t for n, t in zip(new, texts))
+    assert all(dt.datetime.strptime(n, "%m/%d/%Y").day > 12 for n in new[:-1])
+    assert got[len(texts) - 1][1][0][0] == "phone" and shape(new[-1]) == shape(texts[-1])
