@@ -1,6 +1,6 @@
 import random
 
-from fragmill.llm.linededup import line_dedup
+from fragmill.llm.linededup import fingerprints, line_dedup
 
 
 def brute(docs, least):
@@ -51,3 +51,33 @@ def test_odd_rows(spark):
     assert found[8] == found[9] == ("x y z w", 0)
     assert found[7][1] == brute([(4, long)], 4)[4][0].__len__()
     assert line_dedup(df.limit(0)).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    names = ["_id", "_body", "_spans", "_out", "key", "body", "spans", "out", "fp", "n", "run", "_salt", "salt"]
+    df = spark.createDataFrame([(i, "a b\nc d", *names) for i in range(3)], f"doc_id long, text string, {' string, '.join(names)} string")
+    got = line_dedup(df, 4)
+    assert got.columns == [*df.columns, "removed"]
+    rows = got.orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["a b\nc d", "", ""] and all(list(r)[2:-1] == names for r in rows)
+
+
+def test_a_text_of_blank_lines_takes_linear_time(spark):
+    import time
+
+    from fragmill.llm.linededup import chosen
+
+    def seconds(n):
+        text = "\n" * n + "a b c d e\n" * 20 + "\n" * n
+        start = time.perf_counter()
+        chosen([1], [1], [text], 50)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(200_000) < 60 * seconds(10_000) + 1
+
+
+def test_lines_that_windows_share_are_chosen_once(spark):
+    text = "\n".join(f"line {i} of a text" for i in range(400))
+    rows = fingerprints(spark.createDataFrame([(1, text)], "doc_id long, text string"), 50).collect()
+    assert len(rows) < sum(len(r.windows) for r in rows) / 4 and len({r.at for r in rows}) == len(rows)
