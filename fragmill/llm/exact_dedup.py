@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, joined
 
 
 def squeezed(text: Column) -> Column:
@@ -19,7 +19,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are grouped by the MD5 of their squeezed form and, within a hash, by
     the bytes themselves, so two texts that collide stay apart. The smallest id of
     a group stays. Equal texts are pre-aggregated where they are read, so a group
-    that holds a third of all rows costs its readers one row each.
+    that holds a third of all rows costs its readers one row each, and its rows
+    are dealt to all tasks when they learn their group.
 
     Null texts are empty texts. Rows with one id stay separate rows, each kept if
     its id is the smallest; a null id is kept only if its whole group has none.
@@ -29,13 +30,13 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("h", F.unhex(F.md5("body")))
     texts = rows.groupBy("h", "body").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     # One row for each text, without the text unless its hash is shared.
-    classes = cut(texts.select("h", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size"))
+    classes = cut(texts.select("h", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size", F.col("group_size").alias("n")))
     shared = classes.groupBy("h").count().where("count > 1").select("h")
     plain = rows.select("doc_id", "h")
     if shared.isEmpty():
-        found = plain.join(classes, "h")
+        found = joined(plain, classes, ["h"])
     else:
-        alone = plain.join(classes.join(shared, "h", "left_anti"), "h")
+        alone = joined(plain, classes.join(shared, "h", "left_anti"), ["h"])
         apart = rows.join(shared, "h").withColumn("text_sha256", F.sha2("body", 256))
         collided = texts.join(shared, "h").select("h", "body", "keep_id", "group_size")
         found = alone.unionByName(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, hex16, partitions
+from .common import components, cut, hex16, joined, partitions
 
 SEED = 42
 RADIUS = 3
@@ -198,11 +198,9 @@ def simhash_groups(df: DataFrame, words: int = 5, id_col: str = "doc_id", text_c
     are not read; no rows give no rows.
     """
     docs = cut(fingerprints(df, words, id_col, text_col))
-    distinct = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    distinct = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     roots = components(near_links(distinct))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(named, "root").select("fp", "component_id")
-    return docs.join(labels, "fp").select("doc_id", "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    rooted = cut(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")))
+    named = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("fps")))
+    labels = joined(rooted.select("fp", "n", "root"), named, ["root"], "fps").select("fp", "n", "component_id")
+    return joined(docs, cut(labels), ["fp"]).select("doc_id", "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
