@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 ROUNDS = 8
 #: Days from 1900-01-01 that are permuted: 271 x 270, up to 2100-05-01.
 _DAYS = (271, 270)
@@ -40,6 +42,8 @@ KINDS = {
     "account": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
 _ANY = "|".join(KINDS.values())
+#: Matches whose places are counted together.
+_BLOCK = 128
 
 
 def kind_of(match: Column) -> Column:
@@ -54,7 +58,7 @@ def kind_of(match: Column) -> Column:
         .when(whole("phone"), F.lit("phone"))
         .when(whole("ssn"), F.when(~match.rlike("^(000|666|9)|-00-|-0000$"), F.lit("ssn")))
         .when(whole("iban"), F.when(_iban_remainder(match) == 1, F.lit("iban")))
-        .when(whole("account"), F.lit("account"))
+        .when(whole("account"), F.when(_is_card(F.regexp_replace(match, "[ -]", "")), F.lit("account")))
     )
 
 
@@ -80,8 +84,8 @@ def _iban_remainder(match: Column) -> Column:
 
 
 def _noise(key: str, tag: Column, turn: Column, other: Column) -> Column:
-    """Keyed hex digits that depend on what a round does not change."""
-    return F.sha2(F.concat_ws("|", F.lit(key), tag, turn.cast("string"), other), 256)
+    """128 keyed hex digits that depend on what a round does not change."""
+    return F.sha2(F.concat_ws("|", F.lit(key), tag, turn.cast("string"), other), 512)
 
 
 def _number(hexits: Column, size: Column) -> Column:
@@ -102,10 +106,10 @@ def _pair(key: str, tag: str, a: Column, b: Column, size_a: int, size_b: int) ->
 
 
 def _shifted(part: Column, hexits: Column, hexadecimal: Column) -> Column:
-    """Each digit and letter moved within its own alphabet, the rest as it is."""
+    """Each digit and letter moved within its own alphabet, the rest as it is; no half that is permuted is longer than 32."""
 
     def moved(c: Column, i: Column) -> Column:
-        by = F.conv(F.substring(hexits, (i % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int")
+        by = F.conv(F.substring(hexits, (i % 32) * 4 + 1, F.lit(4)), 16, 10).cast("int")
         at = lambda first, size: F.char(F.lit(first) + (F.ascii(c) - first + by) % size)
         sixteen = lambda digits: F.substring(F.lit(digits), (F.instr(F.lit(digits), c) - 1 + by) % 16 + 1, F.lit(1))
         return (
@@ -145,14 +149,32 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.reverse(F.split(digits, "")), worth), F.lit(0), lambda s, w: s + w) % 10
 
 
+def _is_card(digits: Column) -> Column:
+    """Whether the last digit is the check digit of those before it."""
+    return (_luhn(F.substring(digits, F.lit(1), F.length(digits) - 1)) + F.right(digits, F.lit(1)).cast("int")) % 10 == 0
+
+
+def _phone(key: str, match: Column) -> Column:
+    """The digits alone are permuted, so that one number is the same in every way of writing it."""
+    return _filled(match, _letters(key, F.lit("phone"), F.regexp_replace(match, "[^0-9]", ""), F.lit(False)))
+
+
+def _ssn(key: str, match: Column) -> Column:
+    """A permutation of the valid numbers: area 001 to 899 without 666, group 01 to 99, serial 0001 to 9999."""
+    area, group, serial = (F.substring(match, i, n).cast("int") for i, n in ((1, 3), (5, 2), (8, 4)))
+    to = _pair(key, "ssn", area - 1 - (area > 666).cast("int"), (group - 1) * 9999 + serial - 1, 898, 99 * 9999)
+    digits = lambda n, size: F.lpad(n.cast("string"), size, "0")
+    return F.concat_ws(
+        "-", digits(to["a"] + 1 + (to["a"] >= 665).cast("int"), 3), digits(F.floor(to["b"] / 9999) + 1, 2), digits(to["b"] % 9999 + 1, 4)
+    )
+
+
 def _account(key: str, match: Column) -> Column:
-    """Digits before the last are permuted; the last follows, so that numbers with a valid check digit keep one."""
+    """Digits before the last are permuted; the last follows as their check digit."""
     digits = F.regexp_replace(match, "[ -]", "")
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
     new = _letters(key, F.lit("account"), body, F.lit(False))
-    # A check digit and a Luhn sum cancel out modulo 10.
-    last = ((F.right(digits, F.lit(1)).cast("int") + _luhn(body) - _luhn(new)) % 10 + 10) % 10
-    return _filled(match, F.concat(new, last.cast("string")))
+    return _filled(match, F.concat(new, ((10 - _luhn(new)) % 10).cast("string")))
 
 
 def _card(match: Column) -> Column:
@@ -166,8 +188,7 @@ def _card(match: Column) -> Column:
         F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), made)),
         lambda s: F.struct(F.regexp_replace(s["was"], "[ -]", "").alias("digits"), s["at"].alias("at"), s["was"].alias("was")),
     )
-    right = lambda d: (_luhn(F.substring(d, F.lit(1), F.length(d) - 1)) + F.right(d, F.lit(1)).cast("int")) % 10 == 0
-    cards = F.filter(spans, lambda s: s["digits"].rlike("^[2-6][0-9]{12,15}([0-9]{3})?$") & F.length(s["digits"]).isin(13, 14, 15, 16, 19) & right(s["digits"]))
+    cards = F.filter(spans, lambda s: s["digits"].rlike("^[2-6][0-9]{12,15}([0-9]{3})?$") & F.length(s["digits"]).isin(13, 14, 15, 16, 19) & _is_card(s["digits"]))
     # Nineteen digits count last unless they are grouped as one number.
     odd = lambda s: (F.length(s["digits"]) == 19) & ~s["was"].rlike("^(?:[0-9]{19}|(?:[0-9]{4}[ -]){4}[0-9]{3})$")
     return F.array_max(F.transform(cards, lambda s: F.struct(F.when(odd(s), 0).otherwise(F.length(s["digits"])).alias("n"), s["at"].alias("at"), s["was"].alias("was"))))["was"]
@@ -270,6 +291,8 @@ def pseudonym(match: Column, kind: Column, key: str) -> Column:
         .when(kind == "date", _dated(key, match))
         .when(kind == "ip", _address(key, match))
         .when(kind == "iban", _iban(key, match))
+        .when(kind == "phone", _phone(key, match))
+        .when(kind == "ssn", _ssn(key, match))
         .when(kind == "email", F.concat(_letters(key, kind, user, F.lit(False)), F.lit("@"), host))
         .when(kind == "secret", _letters(key, kind, match, match == F.lower(match)))
         .otherwise(_letters(key, kind, match, F.lit(False)))
@@ -279,13 +302,14 @@ def pseudonym(match: Column, kind: Column, key: str) -> Column:
 def pseudonymised(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The rows and columns of df with their text pseudonymised, and found, array<struct<kind, at, was, now>>.
 
-    Numbers and dates that are valid (accounts of 13 to 19 digits, phones, IPv4
-    addresses, calendar dates, social security numbers, IBANs with right check
-    digits), the users of e-mail addresses and long hexadecimal secrets are
-    replaced by a keyed Feistel permutation within their format: length,
-    punctuation, letter case and the validity of check digits stay, different
-    values stay different, and equal values are equal in every document. at counts
-    code points from 0, in the text as it was.
+    Numbers and dates that are valid (accounts of 13 to 19 digits with a right
+    check digit, phones, IPv4 addresses, calendar dates, social security numbers,
+    IBANs with right check digits), the users of e-mail addresses and long
+    hexadecimal secrets are replaced by a keyed Feistel permutation within their
+    format: length, punctuation, letter case and validity stay, different values
+    stay different, and equal values are equal in every document, accounts and
+    phones also if they are grouped otherwise. at counts code points from 0, in
+    the text as it was.
 
     A null text stays null and an empty one empty, both with nothing found; text
     of any length is read whole. A column named found is replaced; no other is
@@ -293,40 +317,36 @@ def pseudonymised(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """
     quiet = F.array().cast("array<struct<kind:string,at:int,was:string,now:string>>")
     text = F.coalesce(F.col(text_col), F.lit(""))
+    hits, gaps, parts, kinds, wide, sums, ends = fresh(df.columns, "hits", "gaps", "parts", "kinds", "wide", "sums", "ends")
     # A cheap test keeps the patterns off most texts: each kind has a digit or an @.
     maybe = text.rlike("[0-9@]")
-    rows = df.drop("found").withColumn("_pii_hits", F.when(maybe, F.regexp_extract_all(text, F.lit(f"({_ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("_pii_gaps", F.when(F.size("_pii_hits") > 0, F.split(text, _ANY, -1)).otherwise(F.array(text)))
+    rows = df.drop("found").withColumn(hits, F.when(maybe, F.regexp_extract_all(text, F.lit(f"({_ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn(gaps, F.when(F.size(hits) > 0, F.split(text, _ANY, -1)).otherwise(F.array(text)))
+    last = lambda g: F.array(F.struct(g.alias("gap"), F.lit("").alias("was")))
     rows = rows.withColumn(
-        "_pii_parts",
-        F.when(
-            F.size("_pii_hits") > 0,
-            F.flatten(F.zip_with("_pii_gaps", "_pii_hits", lambda g, h: F.when(h.isNull(), F.array(F.struct(g.alias("gap"), F.lit("").alias("was")))).otherwise(_within(g, h)))),
-        ),
+        parts, F.when(F.size(hits) > 0, F.flatten(F.zip_with(gaps, hits, lambda g, h: F.when(h.isNull(), last(g)).otherwise(_within(g, h)))))
     )
-    split = F.col("_pii_parts").isNotNull()
-    rows = rows.withColumn("_pii_gaps", F.when(split, F.col("_pii_parts.gap")).otherwise(F.col("_pii_gaps")))
-    rows = rows.withColumn("_pii_hits", F.when(split, F.col("_pii_parts.was")).otherwise(F.col("_pii_hits")))
-    rows = rows.withColumn("_pii_kinds", F.transform("_pii_hits", lambda m: F.struct(m.alias("was"), kind_of(m).alias("kind"))))
+    split = F.col(parts).isNotNull()
+    rows = rows.withColumn(gaps, F.when(split, F.col(f"{parts}.gap")).otherwise(F.col(gaps)))
+    rows = rows.withColumn(hits, F.when(split, F.col(f"{parts}.was")).otherwise(F.col(hits)))
+    rows = rows.withColumn(kinds, F.transform(hits, lambda m: F.struct(m.alias("was"), kind_of(m).alias("kind"))))
     rows = rows.withColumn(
-        "_pii_kinds", F.transform("_pii_kinds", lambda k: F.struct(k["was"].alias("was"), k["kind"].alias("kind"), pseudonym(k["was"], k["kind"], key).alias("now")))
+        kinds, F.transform(kinds, lambda k: F.struct(k["was"].alias("was"), k["kind"].alias("kind"), pseudonym(k["was"], k["kind"], key).alias("now")))
     )
+    # Where each match begins: what stands before its block of matches, and before it in the block.
+    total = lambda x: F.aggregate(x, F.lit(0), lambda n, w: n + w)
+    rows = rows.withColumn(wide, F.zip_with(gaps, hits, lambda g, h: F.char_length(g) + F.coalesce(F.char_length(h), F.lit(0))))
     rows = rows.withColumn(
-        "_pii_ends",
-        F.transform(
-            "_pii_kinds",
-            lambda k, i: F.aggregate(
-                F.slice(F.col("_pii_gaps"), F.lit(1), i + 1), F.lit(0), lambda n, g: n + F.char_length(g)
-            )
-            + F.aggregate(F.slice(F.col("_pii_kinds"), F.lit(1), i), F.lit(0), lambda n, h: n + F.char_length(h["was"])),
-        ),
+        sums, F.when(F.size(kinds) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(wide) - 1) / _BLOCK)), lambda b: total(F.slice(F.col(wide), b.cast("int") * _BLOCK + 1, F.lit(_BLOCK)))))
     )
+    rows = rows.withColumn(sums, F.transform(sums, lambda _, b: total(F.slice(F.col(sums), F.lit(1), b))))
+    before = lambda i: F.get(F.col(sums), F.floor(i / _BLOCK).cast("int")) + total(F.slice(F.col(wide), i - i % _BLOCK + 1, i % _BLOCK))
+    rows = rows.withColumn(ends, F.transform(kinds, lambda k, i: before(i) + F.char_length(F.get(F.col(gaps), i))))
     found = F.filter(
-        F.zip_with("_pii_kinds", "_pii_ends", lambda k, at: F.struct(k["kind"].alias("kind"), at.alias("at"), k["was"].alias("was"), k["now"].alias("now"))),
+        F.zip_with(kinds, ends, lambda k, at: F.struct(k["kind"].alias("kind"), at.alias("at"), k["was"].alias("was"), k["now"].alias("now"))),
         lambda f: f["kind"].isNotNull(),
     )
-    clean = F.array_join(F.zip_with("_pii_gaps", "_pii_kinds", lambda g, k: F.concat(g, F.coalesce(k["now"], F.lit("")))), "")
-    kept = [c for c in df.columns if c != "found"]
-    return rows.withColumn("found", F.when(F.size("_pii_kinds") > 0, found).otherwise(quiet)).withColumn(
-        text_col, F.when(F.col(text_col).isNotNull(), F.when(F.size("_pii_kinds") > 0, clean).otherwise(F.col(text_col)))
-    ).select(*kept, "found")
+    clean = F.array_join(F.zip_with(gaps, kinds, lambda g, k: F.concat(g, F.coalesce(k["now"], F.lit("")))), "")
+    some = F.size(kinds) > 0
+    kept = [F.when(F.col(c).isNotNull(), F.when(some, clean).otherwise(F.col(c))).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns if c != "found"]
+    return rows.select(*kept, F.when(some, found).otherwise(quiet).alias("found"))
