@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import math
+import warnings
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, joined
 
-#: The marginals count as met within this relative difference.
-TOLERANCE = 1e-6
-MAX_ROUNDS = 50
-#: Cells up to which raking needs no jobs; more are raked by joins and aggregates.
-FEW_CELLS = 100_000
-#: Steps of the logarithm of a cell's rate at which the scale is solved.
-STEPS_PER_E = 2000
+#: The marginals count as met within this relative difference; rounds in a row without a gain after which targets count as in conflict.
+TOLERANCE, PATIENCE = 1e-6, 20
+#: A value of a dimension with less than one in so many tokens, and no target of its own, is raked together with the others like it.
+VALUES = 256
+REST = "(rest)"
 NONE = "(none)"
 TOPICS = 8
 
@@ -41,82 +41,79 @@ def _count(topic: int) -> Column:
     return F.size(F.filter("_mix_class", lambda c: c == topic))
 
 
-def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
-    """Target shares of a dimension: its token shares to a power below 1, so that rare values gain."""
-    shares = cells.groupBy(dim).agg(F.sum("tokens").alias("t"))
-    return shares.select(dim, F.pow("t", F.lit(power)).alias("target"))
+def classes(cells: DataFrame, dim: str, named: Iterable[str] = ()) -> list[str]:
+    """The values of a dimension that are raked on their own: those named, and those with a 256th of the tokens or more, of which there are 256 at most."""
+    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
+    large = cells.groupBy(dim).agg(F.sum("tokens").alias("t")).where(F.col("t") * VALUES >= total)
+    return sorted({*named, *(r[dim] for r in large.collect())})
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
-    """cells with weight: tokens, scaled by a factor for each value of each dimension until every marginal is its target.
+def tempered(cells: DataFrame, dim: str, class_of: Column, power: float) -> dict[str, float]:
+    """Target shares of the classes of a dimension: its values' token shares to a power below 1, so that rare values gain."""
+    shares = cells.groupBy(dim).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("t"))
+    return dict(shares.groupBy(class_of.alias("c")).agg(F.sum("t")).collect())
 
-    Targets are (value, target), in any unit; values that no cell has do not
-    count, and a value without a target keeps its share of the tokens. All of the
-    work is on cells, whose number is that of the combinations there are, and the
-    sums of a dimension are aggregates that Spark joins back.
+
+def raked(tokens: np.ndarray, codes: dict[str, np.ndarray], targets: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
+    """Weights of cells, and how far the worst marginal is from its target, relatively.
+
+    tokens has a number for each cell, codes its class in each dimension, and
+    targets what each class is to have, in any unit; not-a-number keeps its share
+    of the tokens. Weights begin as the tokens and are scaled by a factor for each
+    class of each dimension in turn, until every marginal is its target within
+    TOLERANCE. Where targets conflict, rounds end when they no longer come nearer.
     """
-    total = cells.agg(F.sum("tokens")).first()[0]
-    if not total:
-        return cells.withColumn("weight", F.col("tokens"))
-    wanted = {}
-    for dim, given in targets.items():
-        here = cells.groupBy(dim).agg(F.sum("tokens").alias("own")).join(given.groupBy(dim).agg(F.sum("target").alias("target")), dim, "left")
-        here = cut(here)
-        free, fixed = here.agg(
-            F.sum(F.when(F.col("target").isNull(), F.col("own")).otherwise(0.0)), F.sum("target")
-        ).first()
-        share = (total - (free or 0.0)) / fixed if fixed else 0.0
-        wanted[dim] = here.select(dim, F.coalesce(F.col("target") * share, F.col("own")).alias("goal"))
-    if cells.count() <= FEW_CELLS:
-        return _raked_here(cells, wanted)
-    rows = cells.withColumn("weight", F.col("tokens"))
-    for _ in range(MAX_ROUNDS):
-        for dim, goal in wanted.items():
-            sums = rows.groupBy(dim).agg(F.sum("weight").alias("sum")).join(goal, dim)
-            factor = F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0)
-            rows = rows.join(sums.select(dim, factor.alias("factor")), dim).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        rows = cut(rows.select(*cells.columns, "weight"))
-        # The last dimension is met exactly; the rest say how far the round is from the end.
-        worst = 0.0
-        for dim, goal in list(wanted.items())[:-1]:
-            off = F.max(F.abs(F.col("sum") - F.col("goal")) / F.greatest(F.col("goal"), F.lit(1e-300)))
-            worst = max(worst, rows.groupBy(dim).agg(F.sum("weight").alias("sum")).join(goal, dim).agg(off).first()[0] or 0.0)
-        if worst <= TOLERANCE:
-            break
-    return rows
-
-
-def _raked_here(cells: DataFrame, wanted: dict[str, DataFrame]) -> DataFrame:
-    """The same on the driver, for cells that are few by count: a round is then no Spark job."""
-    held = cells.toPandas()
-    weight, codes, goals = held["tokens"].to_numpy(float), {}, {}
-    for dim, goal in wanted.items():
-        goal = goal.toPandas().set_index(dim)["goal"]
-        codes[dim] = goal.index.get_indexer(held[dim])
-        goals[dim] = goal.to_numpy(float)
-    for _ in range(MAX_ROUNDS):
+    weight, goals, total = tokens.astype(float), {}, tokens.sum()
+    for dim, target in targets.items():
+        own = np.bincount(codes[dim], tokens, len(target))
+        fixed = np.where(np.isnan(target) | (own == 0), 0.0, target)
+        free = np.where(np.isnan(target), own, 0.0)
+        goals[dim] = fixed * ((total - free.sum()) / fixed.sum() if fixed.sum() else 0.0) + free
+    best, stalled, off = math.inf, 0, 0.0
+    while total:
         for dim, code in codes.items():
             sums = np.bincount(code, weight, len(goals[dim]))
             weight = weight * np.divide(goals[dim], sums, out=np.zeros_like(sums), where=sums > 0)[code]
-        off = [np.abs(np.bincount(c, weight, len(goals[d])) - goals[d]) / np.maximum(goals[d], 1e-300) for d, c in codes.items()]
-        if max(x.max() for x in off) <= TOLERANCE:
+        off = max(float(np.max(np.abs(np.bincount(c, weight, len(goals[d])) - goals[d]) / np.maximum(goals[d], TOLERANCE * total))) for d, c in codes.items())
+        stalled = stalled + 1 if off > 0.999 * best else 0
+        best = min(best, off)
+        if off <= TOLERANCE or stalled >= PATIENCE:
             break
-    return cells.sparkSession.createDataFrame(held.assign(weight=weight), f"{cells.schema.simpleString()[7:-1]},weight:double")
-
-
-def scale(cells: DataFrame, budget: float) -> float:
-    """The factor at which cells, each taken at a rate of 1 at most, give so many tokens."""
-    step = F.floor(F.log("rate") * STEPS_PER_E)
-    steps = cells.where("rate > 0").groupBy(step.alias("step")).agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight"))
-    rows = sorted(map(tuple, steps.collect()), reverse=True)  # bounded by the range of a double's logarithm
-    full, left = 0.0, sum(r[2] for r in rows)
-    for step, tokens, weight in rows:
-        # Cells from here up are taken whole, if the factor that is then needed says so.
-        factor = (budget - full) / left if left > 0 else math.inf
-        if factor <= 0 or factor * math.exp((step + 0.5) / STEPS_PER_E) < 1:
-            return max(factor, 0.0)
-        full, left = full + tokens, left - weight
-    return math.inf
+    return weight, off
+
+
+def sampled_at(tokens: np.ndarray, weight: np.ndarray, budget: float) -> np.ndarray:
+    """Probabilities of cells: in proportion to weight over tokens, 1 at most, so that so many tokens are expected."""
+    rate = weight / np.maximum(tokens, 1e-300)
+    order = np.argsort(-rate, kind="stable")
+    taken = np.concatenate([[0.0], np.cumsum(tokens[order])])[:-1]
+    left = np.cumsum(weight[order][::-1])[::-1]
+    # The first cell, from the highest rate down, that the factor it would need does not take whole.
+    factor = np.divide(budget - taken, left, out=np.full(len(left), math.inf), where=left > 0)
+    short = np.flatnonzero((factor * rate[order] < 1) | (factor <= 0))
+    if not len(short):
+        return (rate > 0).astype(float)
+    return np.minimum(1.0, rate * max(float(factor[short[0]]), 0.0))
+
+
+def _chances(cells: DataFrame, alone: dict, class_of: dict, given: dict, fraction: float, power: float) -> DataFrame:
+    """(the class of each dimension, n, _probability) of the cells of classes, which have a bound whatever the corpus."""
+    keys = {dim: f"{dim}_class" for dim in class_of}
+    merged = cells.groupBy(*[c.alias(keys[dim]) for dim, c in class_of.items()]).agg(F.sum("tokens").alias("tokens"), F.sum("n").alias("n"))
+    held = merged.toPandas().sort_values(list(keys.values()), ignore_index=True)
+    codes, targets = {}, {}
+    for dim, values in alone.items():
+        values = [*values, REST]
+        wanted = given[dim] if given[dim] is not None else tempered(cells, dim, class_of[dim], power)
+        codes[dim] = held[keys[dim]].map({v: i for i, v in enumerate(values)}).to_numpy(int)
+        targets[dim] = np.array([wanted.get(v, math.nan) for v in values], float)
+    tokens = held["tokens"].to_numpy(float)
+    weight, off = raked(tokens, codes, targets)
+    if off > TOLERANCE:
+        warnings.warn(f"the targets conflict: the worst marginal is {off:.2%} off", stacklevel=3)
+    held["_probability"] = sampled_at(tokens, weight, fraction * tokens.sum())
+    columns = ", ".join(f"{k} string" for k in keys.values())
+    return cells.sparkSession.createDataFrame(held[[*keys.values(), "n", "_probability"]], f"{columns}, n long, _probability double")
 
 
 def mixed(
@@ -129,6 +126,7 @@ def mixed(
     text_col: str = "text",
     source_col: str = "source",
     lang_col: str = "lang",
+    topic_col: str | None = None,
 ) -> DataFrame:
     """The rows and columns of df with _source, _lang, _topic, _tokens, _probability and _picked.
 
@@ -136,30 +134,36 @@ def mixed(
     shares: those given by value for a dimension ("source", "lang", "topic"), else
     its own shares to a power. A document's probability is its cell's weight over
     its tokens, times the one factor that makes the expected tokens the wanted
-    fraction of all, 1 at most. It is picked if a hash of its id is below that, so
-    that one seed always picks the same.
-
-    Null sources and languages are the value "(none)"; a null text has one token.
-    Rows with one id are picked alike if their cell is the same; so are null ids.
-    Other columns stay, but for those named here. No rows give no rows.
+    fraction of all, 1 at most: cells that are too few for that are taken whole. A
+    document is picked if a hash of its id is below its probability, so that one
+    seed always picks the same. A warning says so where targets conflict.
+
+    Values with less than a 256th of all tokens and no target of their own are
+    raked together, as small classes are in raking: they keep their shares of each
+    other. So the classes are few by proof, and so is what the driver rakes.
+
+    Topics are those of topic_col; without one, classes of words stand for them.
+    Null sources, languages and topics are the value "(none)"; a null text has one
+    token. Rows with one id are picked alike if their cell is the same; so are null
+    ids. Other columns stay; those with the names above are replaced. No rows give
+    no rows.
     """
-    given = {"_source": (targets or {}).get("source"), "_lang": (targets or {}).get("lang"), "_topic": (targets or {}).get("topic")}
-    rows = df.withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit(NONE))).withColumn(
-        "_lang", F.coalesce(F.col(lang_col).cast("string"), F.lit(NONE))
-    )
-    rows = with_tokens_and_topic(rows, text_col)
-    dims = list(given)
-    cells = cut(rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens")))
-    spark = df.sparkSession
-    wanted = {
-        dim: tempered(cells, dim, power) if shares is None else spark.createDataFrame(list(shares.items()), f"{dim} string, target double")
-        for dim, shares in given.items()
-    }
-    cells = raked(cells, wanted).withColumn("rate", F.col("weight") / F.col("tokens"))
-    budget = fraction * (cells.agg(F.sum("tokens")).first()[0] or 0.0)
-    factor = scale(cells, budget)
-    chance = F.least(F.lit(1.0), F.col("rate") * factor) if factor < math.inf else F.when(F.col("rate") > 0, 1.0).otherwise(0.0)
-    cells = cells.select(*dims, chance.alias("_probability"))
-    draw = (F.xxhash64(F.lit(seed), F.col(id_col)).bitwiseAND((1 << 53) - 1)) / float(1 << 53)
-    found = rows.join(cells, dims).withColumn("_picked", draw < F.col("_probability"))
-    return found.select(*df.columns, *dims, "_tokens", "_probability", "_picked")
+    dims = ["_source", "_lang", "_topic"]
+    given = {dim: (targets or {}).get(dim[1:]) for dim in dims}
+    made = [*dims, "_tokens", "_probability", "_picked"]
+    kept = [c for c in df.columns if c.lower() not in made]
+    words = with_tokens_and_topic(df.select(F.col(f"`{text_col}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")))
+    value = lambda c: F.coalesce(F.col(f"_row.`{c}`").cast("string"), F.lit(NONE))
+    rows = words.withColumn("_source", value(source_col)).withColumn("_lang", value(lang_col))
+    if topic_col:
+        rows = rows.withColumn("_topic", value(topic_col))
+    cells = cut(rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("n")))
+    alone = {dim: classes(cells, dim, given[dim] or ()) for dim in dims}
+    class_of = {dim: F.when(F.col(dim).isin(alone[dim]), F.col(dim)).otherwise(F.lit(REST)) for dim in dims}
+    chances = cut(_chances(cells, alone, class_of, given, fraction, power))
+    keys = [f"{dim}_class" for dim in dims]
+    rows = rows.withColumns(dict(zip(keys, class_of.values())))
+    found = joined(rows, chances, keys)
+    draw = (F.xxhash64(F.lit(seed), F.col(f"_row.`{id_col}`")).bitwiseAND((1 << 53) - 1)) / float(1 << 53)
+    found = found.withColumn("_picked", draw < F.col("_probability"))
+    return found.select(*[F.col(f"_row.`{c}`") for c in kept], *made)

@@ -1,5 +1,6 @@
+import numpy as np
 import pandas as pd
-import pytest
+from pyspark.sql import functions as F
 
 from fragmill.llm import mixing as M
 
@@ -15,7 +16,6 @@ def brute(cells, targets, dims):
     w = cells["tokens"].astype(float).copy()
     for _ in range(400):
         for d in dims:
-            t = cells[d].map(targets[d])
             own = cells.groupby(d)["tokens"].sum()
             free = own[~own.index.isin(targets[d])]
             present = {k: v for k, v in targets[d].items() if k in own.index}
@@ -25,15 +25,60 @@ def brute(cells, targets, dims):
     return w
 
 
-@pytest.mark.parametrize("few", [100_000, 0])
-def test_raking_meets_all_marginals(spark, monkeypatch, few):
-    monkeypatch.setattr(M, "FEW_CELLS", few)
+def coded(cells, targets):
+    values = {d: sorted({*cells[d], *t}) for d, t in targets.items()}
+    codes = {d: np.array([values[d].index(v) for v in cells[d]], int) for d in targets}
+    return cells["tokens"].to_numpy(float), codes, {d: np.array([t.get(v, np.nan) for v in values[d]]) for d, t in targets.items()}
+
+
+def test_raking_meets_all_marginals():
     cells = pd.DataFrame([(s, l, 10.0 + 7 * i * j + j) for i, s in enumerate("abc") for j, l in enumerate("xyz")], columns=["s", "l", "tokens"])
     targets = {"s": {"a": 3.0, "b": 1.0, "gone": 9.0}, "l": {"x": 1.0, "y": 1.0, "z": 2.0}}
-    given = {d: spark.createDataFrame(list(t.items()), f"{d} string, target double") for d, t in targets.items()}
-    got = M.raked(spark.createDataFrame(cells), given).toPandas().sort_values(["s", "l"])
-    want = brute(cells, targets, ["s", "l"])
-    assert abs(got["weight"].to_numpy() - want.to_numpy()).max() < 1e-3
+    got, off = M.raked(*coded(cells, targets))
+    assert off <= M.TOLERANCE and abs(got - brute(cells, targets, ["s", "l"]).to_numpy()).max() < 1e-3
+
+
+def test_targets_in_conflict_say_how_far_they_are():
+    # Only a has x, so half of x and a tenth of a cannot both be.
+    cells = pd.DataFrame([("a", "x", 10.0), ("a", "y", 90.0), ("b", "y", 50.0)], columns=["s", "l", "tokens"])
+    _, off = M.raked(*coded(cells, {"s": {"a": 1.0, "b": 9.0}, "l": {"x": 1.0, "y": 1.0}}))
+    assert off > 0.1
+    assert M.raked(*coded(cells.iloc[:0], {"s": {}, "l": {"x": 1.0}}))[1] == 0.0
+
+
+def test_probabilities_follow_rates_up_to_one():
+    rng = np.random.default_rng(3)
+    tokens, weight = rng.integers(1, 100, 50).astype(float), rng.random(50) * 100
+    for fraction in (0.0, 0.1, 0.6, 0.95, 1.0):
+        p = M.sampled_at(tokens, weight, fraction * tokens.sum())
+        assert abs((p * tokens).sum() - fraction * tokens.sum()) < 1e-6 and p.max(initial=0) <= 1
+        free = p < 1
+        assert not free.any() or np.ptp((p / (weight / tokens))[free]) < 1e-9
+
+
+def test_small_values_are_raked_together(spark):
+    rows = [(i, "w " * 4, "en", "big" if i < 900 else f"tiny{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = M.mixed(df, 0.5, targets={"source": {"big": 1.0, "tiny950": 1.0}}).toPandas()
+    by = got.groupby("_source")["_probability"].first()
+    assert by["tiny950"] == 1 and by["tiny901"] == by["tiny999"] and set(got["_source"]) == set(got["source"])
+
+
+def test_probabilities_give_the_budget_and_the_targets(spark):
+    got = M.mixed(docs(spark), fraction=0.2, targets={"lang": {"en": 1.0, "fr": 1.0}}).toPandas()
+    assert len(got) == 600 and got["_probability"].between(0, 1).all()
+    expected = got["_probability"] * got["_tokens"]
+    assert abs(expected.sum() / got["_tokens"].sum() - 0.2) < 0.002
+    assert abs(expected.groupby(got["_lang"]).sum()["en"] / expected.sum() - 0.5) < 0.02
+    again = M.mixed(docs(spark).orderBy("text"), fraction=0.2, targets={"lang": {"en": 1.0, "fr": 1.0}}).toPandas()
+    assert set(again[again["_picked"]].doc_id) == set(got[got["_picked"]].doc_id)
+    assert M.mixed(docs(spark), fraction=1.0, power=1.0).where("not _picked").count() == 0
+
+
+def test_topics_can_be_given(spark):
+    rows = docs(spark, 200).withColumn("about", F.when(F.col("doc_id") < 20, "rare").when(F.col("doc_id") < 190, "common"))
+    got = M.mixed(rows, 0.3, targets={"topic": {"rare": 1.0, "common": 1.0}}, topic_col="about").toPandas()
+    assert set(got["_topic"]) == {"rare", "common", "(none)"} and (got[got["_topic"] == "rare"]["_probability"] > 0.99).all()
 
 
 def test_probabilities_give_the_budget_and_the_targets(spark):
@@ -60,3 +105,6 @@ def test_odd_rows(spark):
     assert len(got) == 4 and list(got.columns[:6]) == ["doc_id", "text", "lang", "source", "weight", "rate"]
     assert set(got["_source"]) == {"(none)", "s"} and got["_tokens"].max() == 60_000
     assert M.mixed(spark.createDataFrame([], SCHEMA)).count() == 0
+    clash = docs(spark, 30).withColumn("_lang", F.lit("x")).withColumn("_salt", F.lit("y")).withColumn("tokens", F.lit(1))
+    got = M.mixed(clash)
+    assert len(set(got.columns)) == len(got.columns) == 14 - 0 and set(got.toPandas()["_lang"]) == {"en", "fr"}
