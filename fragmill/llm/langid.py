@@ -12,10 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 #: Lengths of n-grams that the spectrum blends, and the hash classes they share.
 LENGTHS, CLASSES = (1, 2, 3), 1 << 13
 #: Texts of a language that are learned from, about, and those of them that are landmarks, at most.
 PER_LANGUAGE, LANDMARKS = 800, 192
+#: Languages that are learned at most.
+LANGUAGES = 256
 RIDGE, SHARPNESS = 1e-3, 6.0
 ROWS = 256
 UNKNOWN = "und"
@@ -95,17 +99,17 @@ def fit(rows: np.ndarray, langs: list[str]) -> Model:
 def learning_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """(doc_id, text, lang) of about so many texts of each language, by a hash of their ids.
 
-    Only rows whose crc32 of the id as text is not 1 modulo 3, with a language and
+    At most LANGUAGES languages are learned, those with the most texts: this bounds
+    the sample, whatever a dirty column holds. Only rows whose crc32 of the id as text is not 1 modulo 3, with a language and
     a text, count. Null ids do not.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null").where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-    counts = rows.groupBy("lang").count().collect()  # a row for each language
-    rate = F.lit(0.0)
-    for r in counts:
-        rate = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))).otherwise(rate)
+    # Languages join their rates; those beyond the most frequent are too rare to be told apart, and no driver holds them.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    rates = F.broadcast(counts.select("lang", F.least(F.lit(1.0), per_language / F.col("n")).alias("rate")))
     draw = F.xxhash64(F.lit(11), "doc_id").bitwiseAND((1 << 53) - 1) / float(1 << 53)
-    return rows.where(draw < rate)
+    return rows.join(rates, "lang").where(draw < F.col("rate")).drop("rate")
 
 
 def learned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
@@ -146,8 +150,9 @@ def identified(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang": [], "score": []})
 
     udf = F.pandas_udf(predicted, _OUT)
-    rows = df.withColumn("_lang_id", udf(F.col(text_col).cast("string")))
-    return rows.withColumn("lang_pred", F.col("_lang_id.lang")).withColumn("score", F.col("_lang_id.score")).drop("_lang_id")
+    (both,) = fresh(df.columns, "both")
+    rows = df.withColumn(both, udf(F.col(text_col).cast("string")))
+    return rows.withColumn("lang_pred", F.col(f"{both}.lang")).withColumn("score", F.col(f"{both}.score")).drop(both)
 
 
 def _predicted(texts: pd.Series, model: Model) -> pd.DataFrame:

@@ -206,7 +206,9 @@ def learned(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # The bound on labelled rows bounds both what is broadcast and what comes to the driver.
     chosen = F.broadcast(labelled(labels, bound=bound))
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(chosen, "doc_id")
-    train = rows.dropDuplicates(["doc_id"]).select("text", F.col("label").cast("double").alias("label"))
+    # Of several texts with one id the smallest counts.
+    one = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").cast("double").alias("label"))
+    train = one.select("text", "label")
     both = train.mapInArrow(_labelled_features(features), "x binary, label double").collect()
     x = np.array([np.frombuffer(r.x, np.float32) for r in both], float).reshape(-1, 2 * SIZE + 3)
     y = np.array([r.label for r in both], float)
