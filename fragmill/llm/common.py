@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +39,16 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder and read again.
 
     This ends the lineage: a lost executor costs a re-read, not a recomputation
-    of everything before.
+    of everything before. What was shuffled for it is deleted once it is written.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
