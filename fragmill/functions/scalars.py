@@ -51,12 +51,12 @@ def zero_as_null(number: Column) -> Column:
 
 
 def column_at(columns: list[str], place: str) -> str:
-    """A column by header in any case, number from 1, or spreadsheet letters."""
+    """A column by number from 1, else by header in any case, else by spreadsheet letters."""
     by_name = {c.lower(): c for c in columns}
-    if place.lower() in by_name:
-        return by_name[place.lower()]
     if place.isdigit():
         at = int(place)
+    elif place.lower() in by_name:
+        return by_name[place.lower()]
     elif place.isalpha() and place.isascii():
         at = 0
         for letter in place.upper():

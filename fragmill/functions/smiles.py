@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragmill.operators.fragments import parts
+
 _TOKEN = re.compile(r"\[(?P<bracket>[^\]]+)\]|(?P<atom>Br|Cl|[BCNOPSFI]|[bcnops])|(?P<ring>%\d\d|\d)|(?P<bond>[-=#:/\\$~])|(?P<open>\()|(?P<close>\))|(?P<dot>\.)")
 _BRACKET = re.compile(r"\d*(?P<symbol>[A-Z][a-z]?|[a-z][a-z]?|\*)")
 _ATOM = T.StructType([T.StructField("atom", T.IntegerType()), T.StructField("label", T.StringType()), T.StructField("aromatic", T.BooleanType())])
@@ -111,7 +113,7 @@ def bonds_of(rows: DataFrame) -> DataFrame:
 
 
 def metrics(rows: DataFrame) -> DataFrame:
-    """(molecule_id, heavy_atoms, heavy_bonds, hetero_atoms, aromatic_atoms, rings, formula), each from its own arrays; rings are independent ones of a connected molecule."""
+    """(molecule_id, heavy_atoms, heavy_bonds, hetero_atoms, aromatic_atoms, rings, formula), each from its own arrays; rings are independent ones."""
     atoms, bonds = F.col("molecule.atoms"), F.col("molecule.bonds")
     count = lambda test: F.size(F.filter(atoms, test))
     labels = F.array_sort(F.array_distinct(F.transform(atoms, lambda a: a["label"])))
@@ -122,7 +124,7 @@ def metrics(rows: DataFrame) -> DataFrame:
         F.size(bonds).alias("heavy_bonds"),
         count(lambda a: ~a["label"].isin("C", "H")).alias("hetero_atoms"),
         count(lambda a: a["aromatic"]).alias("aromatic_atoms"),
-        (F.size(bonds) - F.size(atoms) + 1).alias("rings"),
+        (F.size(bonds) - F.size(atoms) + parts(F.transform(atoms, lambda a: a["atom"]), bonds)).alias("rings"),
         F.array_join(F.transform(labels, part), "").alias("formula"),
     )
 

@@ -2,20 +2,51 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Keys whose values are masked, by what they contain.
-SENSITIVE = r"(?i)(password|passwd|pwd|secret|token|api_?key|authorization|cookie)"
+# Keys whose values are masked, and the mask.
+SENSITIVE_KEYS = ["password", "passwd", "token", "access_token", "refresh_token", "authorization", "secret", "api_key"]
 MASK = "***"
 #: Where a path names a user.
 USER_PATH = r"(?i)(?:^|/)users/([^/?#]+)(?:/|$)"
+# Names of a user's id in headers and in fields, in the order they are looked for, and its length at most.
+HEADERS = ["x-user-id", "x-authenticated-user-id"]
+FIELDS = ["user_id", "userId"]
+LONGEST_ID = 256
+
+
+def _hidden(value):
+    if isinstance(value, dict):
+        return {k: MASK if k.lower() in SENSITIVE_KEYS else _hidden(v) for k, v in value.items()}
+    return [_hidden(v) for v in value] if isinstance(value, list) else value
+
+
+@F.pandas_udf(T.StringType())
+def _masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def one(text: str) -> str:
+        try:
+            return json.dumps(_hidden(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
+        except ValueError:
+            return text
+
+    for texts in batches:
+        yield texts.map(one, na_action="ignore")
+
 
+def masked(text: Column) -> Column:
+    """JSON text with the whole value of each sensitive key masked, whatever it is and at any depth.
 
-def masked(json: Column) -> Column:
-    """JSON text with the string, number and literal values of sensitive keys masked, at any depth."""
-    key = r'("[^"]*' + SENSITIVE.replace("(?i)", "") + r'[^"]*"\s*:\s*)("(?:[^"\\]|\\.)*"|[-+.\w]+)'
-    return F.regexp_replace(json, "(?i)" + key, f'$1"{MASK}"')
+    Keys count in any case, but only as a whole. What is no JSON stays as it is, and
+    so does text in which no such key can be; nulls stay null.
+    """
+    maybe = text.rlike("(?i)" + "|".join(SENSITIVE_KEYS)) | text.contains("\\u")
+    return F.when(maybe, _masked(text)).otherwise(text)
 
 
 def truncated(text: Column, length: int, mark: str = "") -> Column:
@@ -23,19 +54,44 @@ def truncated(text: Column, length: int, mark: str = "") -> Column:
     return F.when(F.char_length(text) > length, F.concat(F.left(text, F.lit(length)), F.lit(mark))).otherwise(text)
 
 
+def _parameters(text: Column) -> Column:
+    """array<struct<k, v>> of an encoded query or form, decoded."""
+    part = lambda p: F.split(p, "=", 2)
+    decoded = lambda x: F.coalesce(F.try_url_decode(x), x)
+    return F.transform(
+        F.split(F.coalesce(text, F.lit("")), "&"), lambda p: F.struct(decoded(part(p)[0]).alias("k"), decoded(F.coalesce(F.get(part(p), F.lit(1)), F.lit(""))).alias("v"))
+    )
+
+
+def _scalar(value: Column) -> Column:
+    """A text without blanks around it, of LONGEST_ID characters at most; null if that leaves nothing."""
+    return F.nullif(F.left(F.regexp_replace(value, r"^\s+|\s+$", ""), F.lit(LONGEST_ID)), F.lit(""))
+
+
+def _field(record: Column, name: str) -> Column:
+    """A text, whole number or truth value of a JSON object as text; null for all else."""
+    value = F.try_variant_get(record, f"$.{name}", "variant")
+    kind, text = F.schema_of_variant(value), F.try_variant_get(record, f"$.{name}", "string")
+    return F.when(kind.rlike(r"^(STRING|BIGINT|DECIMAL\(\d+,0\))$"), text).when(kind == "BOOLEAN", F.initcap(text))
+
+
 def identity(headers: Column, query: Column, path: Column, body: Column) -> Column:
-    """struct<user_id, user_id_source>: from a header, else the query, the path, a JSON body or a form body; nulls if none has it."""
-    header = F.get(F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]).isin("x-user-id", "x-userid")), F.lit(0))
-    form = F.when(~F.coalesce(F.trim(body), F.lit("")).startswith("{"), body)
-    parameter = lambda text: F.regexp_extract(text, r"(?:^|&)user_?id=([^&]*)", 1)
-    ways = [
-        (header["value"], F.concat(F.lit("header:"), F.lower(header["key"]))),
-        (parameter(query), F.lit("query:user_id")),
-        (F.regexp_extract(path, USER_PATH, 1), F.lit("path")),
-        (F.coalesce(F.get_json_object(body, "$.user_id"), F.get_json_object(body, "$.userId")), F.lit("json:user_id")),
-        (parameter(form), F.lit("form:user_id")),
-    ]
-    some = [F.when(F.coalesce(F.trim(v), F.lit("")) != "", F.struct(F.trim(v).alias("user_id"), s.alias("user_id_source"))) for v, s in ways]
+    """struct<user_id, user_id_source>: from a header, else the query, the path, or a body that the content type says to be JSON or a form; nulls if none has it.
+
+    Header names count in any case. Of a name that a query repeats the last value
+    counts, in a form the first that is not blank.
+    """
+    head = lambda name: F.get(F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == name), F.lit(0))["value"]
+    kind = F.lower(F.trim(F.substring_index(F.coalesce(head("content-type"), F.lit("")), ";", 1)))
+    named = lambda text, name: F.transform(F.filter(_parameters(text), lambda p: p["k"] == name), lambda p: p["v"])
+    record = F.try_parse_json(F.when(kind == "application/json", body))
+    form = F.when(kind == "application/x-www-form-urlencoded", body)
+    ways = [(head(name), f"header:{name}") for name in HEADERS]
+    ways += [(F.try_element_at(named(query, name), F.lit(-1)), f"query:{name}") for name in FIELDS]
+    ways += [(F.regexp_extract(path, USER_PATH, 1), "path")]
+    ways += [(_field(record, name), f"json:{name}") for name in FIELDS]
+    ways += [(F.get(F.filter(named(form, name), lambda v: v != ""), F.lit(0)), f"form:{name}") for name in FIELDS]
+    some = [F.when(_scalar(v).isNotNull(), F.struct(_scalar(v).alias("user_id"), F.lit(s).alias("user_id_source"))) for v, s in ways]
     none = F.struct(F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("string").alias("user_id_source"))
     return F.coalesce(*some, none)
 

@@ -115,3 +115,17 @@ def appended(old: DataFrame, new: DataFrame, unique: list[str]) -> tuple[DataFra
 def updated(rows: DataFrame, chosen: Column, **values: Column) -> DataFrame:
     """rows with new values of columns where a condition holds."""
     return rows.withColumns({name: F.when(chosen, value).otherwise(F.col(name)) for name, value in values.items()})
+
+
+def removed(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """rows without those whose keys are in gone."""
+    return rows.join(gone.select(*keys).distinct(), keys, "left_anti")
+
+
+def unnested(records: DataFrame, key: str, children: list[str], child: str) -> DataFrame:
+    """(key, turn_count, kind, number and the fields of child) of the arrays of a record, read once; turn_count is the size of the first array."""
+
+    def tagged(kind: str) -> Column:
+        return F.transform(kind, lambda x, i: F.struct(F.lit(kind).alias("kind"), (i + 1).alias("number"), x[child].alias(child)))
+
+    return records.select(key, F.size(children[0]).alias("turn_count"), F.inline(F.flatten(F.array(*map(tagged, children)))))

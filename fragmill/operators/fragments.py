@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -119,14 +119,58 @@ def connected_atoms(bonds: DataFrame, least: int, most: int) -> DataFrame:
     return found.where(F.size("atoms") >= least)
 
 
-def shapes(bonds: DataFrame, atoms: DataFrame) -> DataFrame:
-    """(molecule_id, heavy_atoms, bonds, rings, branches, hetero_atoms): rings are independent ones of connected molecules, branches are atoms with three bonds or more."""
+def parts(atoms: Column, bonds: Column) -> Column:
+    """How many connected parts the atoms (array) of one molecule have, by its bonds (array of a, b): bonds join labels one after another."""
+
+    def joined(labels: Column, bond: Column) -> Column:
+        x, y = (F.get(labels, (F.array_position(atoms, bond[end]) - 1).cast("int")) for end in ("a", "b"))
+        return F.transform(labels, lambda l: F.when(l == F.greatest(x, y), F.least(x, y)).otherwise(l))  # noqa: E741
+
+    pairs = F.transform(bonds, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
+    return F.size(F.array_distinct(F.coalesce(F.aggregate(pairs, atoms, joined), atoms)))
+
+
+def shapes(bonds: DataFrame, atoms: DataFrame, carbons: tuple[str, ...] = ("C",)) -> DataFrame:
+    """(molecule_id, heavy_atoms, bonds, rings, branches, hetero_atoms): rings are independent ones, branches are atoms with three bonds or more."""
     ends = bonds.select("molecule_id", F.explode(F.array("a", "b")).alias("atom")).groupBy("molecule_id", "atom").count()
-    degrees = ends.groupBy("molecule_id").agg((F.sum("count") / 2).cast("long").alias("bonds"), F.count_if(F.col("count") >= 3).alias("branches"))
-    sizes = atoms.groupBy("molecule_id").agg(F.count("*").alias("heavy_atoms"), F.count_if(~F.col("label").isin("A", "C")).alias("hetero_atoms"))
-    rows = sizes.join(degrees, "molecule_id", "left").na.fill(0, ["bonds", "branches"])
-    rings = F.greatest(F.col("bonds") - F.col("heavy_atoms") + 1, F.lit(0))
-    return rows.select("molecule_id", "heavy_atoms", "bonds", rings.alias("rings"), "branches", "hetero_atoms")
+    degrees = ends.groupBy("molecule_id").agg(F.count_if(F.col("count") >= 3).alias("branches"))
+    pairs = bonds.groupBy("molecule_id").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("_bonds"))
+    sizes = atoms.groupBy("molecule_id").agg(
+        F.count("*").alias("heavy_atoms"), F.count_if(~F.col("label").isin(*carbons)).alias("hetero_atoms"), F.array_sort(F.collect_set(F.col("atom").cast("int"))).alias("_atoms")
+    )
+    rows = sizes.join(degrees, "molecule_id", "left").join(pairs, "molecule_id", "left")
+    count = F.coalesce(F.size("_bonds").cast("long"), F.lit(0))
+    rings = count - F.col("heavy_atoms") + parts(F.col("_atoms"), F.col("_bonds"))
+    return rows.select("molecule_id", "heavy_atoms", F.greatest(count, F.lit(0)).alias("bonds"), F.greatest(rings, F.lit(0)).alias("rings"), F.coalesce("branches", F.lit(0)).alias("branches"), "hetero_atoms")
+
+
+def simple_paths(bonds: DataFrame, least: int, most: int) -> DataFrame:
+    """(molecule_id, path) of every path without a repeated atom, of a size from least to most, once: it begins at its smaller end."""
+    ways = bonds.select("molecule_id", "a", "b").union(bonds.select("molecule_id", F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    level = ways.select("molecule_id", F.array("a").alias("path")).distinct()
+    found = None
+    for size in range(2, most + 1):
+        level = (
+            level.withColumn("a", F.element_at("path", -1)).join(ways, ["molecule_id", "a"])
+            .where(~F.array_contains("path", F.col("b")))
+            .select("molecule_id", F.array_append("path", F.col("b")).alias("path"))
+        )
+        if size >= least:
+            found = level if found is None else found.unionByName(level)
+    return found.where(F.element_at("path", 1) < F.element_at("path", -1))
+
+
+def ring_fragments(bonds: DataFrame, most: int) -> DataFrame:
+    """(molecule_id, atoms) of every ring of up to so many atoms, once: a path from its smallest atom whose ends are bonded."""
+    ways = bonds.select("molecule_id", F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
+    paths = simple_paths(bonds, 3, most).where(F.col("path")[0] == F.array_min("path"))
+    ends = (F.col("_a") == F.least(F.col("path")[0], F.element_at("path", -1))) & (F.col("_b") == F.greatest(F.col("path")[0], F.element_at("path", -1)))
+    return paths.join(ways.withColumnRenamed("molecule_id", "_m"), (F.col("molecule_id") == F.col("_m")) & ends, "left_semi").select("molecule_id", F.array_sort("path").alias("atoms")).distinct()
+
+
+def not_all_carbon(atoms: DataFrame, carbons: tuple[str, ...] = ("C",)) -> DataFrame:
+    """(molecule_id) of those with an atom that is no carbon."""
+    return atoms.where(~F.col("label").isin(*carbons)).select("molecule_id").distinct()
 
 
 def witnesses(rows: DataFrame, keys: list[str], by: list[str]) -> DataFrame:

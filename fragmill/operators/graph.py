@@ -26,6 +26,32 @@ def gathered(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFram
     return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(out))
 
 
+def ordered_union(rows: DataFrame, key: str, order: str, values: str, out: str) -> DataFrame:
+    """(key, out): the values of all arrays of a key, each once, in the order they first come up by row and place.
+
+    Values are made one by an aggregate before they are gathered, so a frequent key
+    gathers its different values only.
+    """
+    each = rows.select(key, order, F.posexplode(values).alias("_at", "_value")).where("_value is not null")
+    seen = each.groupBy(key, "_value").agg(F.min(F.struct(order, "_at")).alias("_place"))
+    return seen.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", "_value"))), lambda x: x["_value"]).alias(out))
+
+
+def details(matches: DataFrame, drugs: DataFrame, related: DataFrame, key: str, node: str, fields: list[str], other: str, out: str) -> DataFrame:
+    """matches with drug_found, data (map of the given fields) and out, what the drug is related to, sorted.
+
+    Of several drugs of one key the last by node counts. A match without a drug has
+    an empty map and an empty array.
+    """
+    one = last(drugs.select(key, node, *fields), [key], [node])
+    near = related.groupBy(node).agg(F.array_sort(F.collect_set(other)).alias(out))
+    picked = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("string"))])
+    rows = matches.join(one.join(near, node, "left"), key, "left")
+    found = F.col(node).isNotNull()
+    none = F.create_map().cast("map<string,string>")
+    return rows.select(*matches.columns, found.alias("drug_found"), F.when(found, picked).otherwise(none).alias("data"), F.coalesce(out, F.array().cast(near.schema[out].dataType)).alias(out))
+
+
 def words(text: Column) -> Column:
     """The words of a name, lower-cased."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")

@@ -34,3 +34,10 @@ def last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     best = rows.groupBy(*keys).agg(F.max(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], *rest)).alias("_last"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in rows.columns])
+
+
+def first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of each key that is seen first by an order without ties; an aggregate likewise."""
+    rest = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.min(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], *rest)).alias("_first"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in rows.columns])

@@ -77,7 +77,7 @@ def stop() -> Column:
 
 def low_information(heavy: Column, rings: Column, carbons: Column) -> Column:
     """Two heavy atoms or fewer, or an open chain of up to four carbons."""
-    return (heavy <= 2) | ((heavy <= 4) & (rings == 0) & (carbons == heavy))
+    return (heavy <= 2) | ((heavy <= 4) & (rings == 0) & F.coalesce(carbons == heavy, F.lit(False)))
 
 
 def resolved(candidates: DataFrame, molecule: str = "molecule_id") -> DataFrame:
@@ -90,4 +90,4 @@ def resolved(candidates: DataFrame, molecule: str = "molecule_id") -> DataFrame:
     exempt = (F.col("kind") == "drug_feature_rule") | F.col("is_complete_residue")
     residues = candidates.where("is_complete_residue")
     free = rows.where(exempt).unionByName(not_within(rows.where(~exempt), residues, molecule))
-    return best_of(free.withColumn("atom_key", F.array_join("atoms", ",")), molecule, "atom_key", "smiles").drop("atom_key")
+    return best_of(free, molecule, "atoms", "smiles")

@@ -37,6 +37,24 @@ def tail(plan: DataFrame, done: DataFrame, near: int) -> DataFrame:
     return rows.withColumn("missing", F.col("total") - F.col("done")).withColumn("nearly", F.col("missing").between(1, near))
 
 
+def validation(expected: DataFrame, markers: DataFrame, files: DataFrame) -> DataFrame:
+    """One row of a build's metrics and ok: nothing is missing, unfinished or changed.
+
+    expected and markers have molecule_id; files has name, bytes and intact, whether
+    its checksum is the one recorded.
+    """
+    done = expected.join(markers.select("molecule_id").distinct().withColumn("_done", F.lit(True)), "molecule_id", "left")
+    parquet = F.col("name").endswith(".parquet")
+    of_molecules = done.agg(F.count("*").alias("expected_molecule_count"), F.count("_done").alias("success_molecule_count"), F.count_if(F.col("_done").isNull()).alias("missing_success_count"))
+    of_files = files.agg(
+        F.count_if(F.col("name").endswith(".tmp")).alias("tmp_file_count"), F.count_if(parquet & ~F.coalesce("intact", F.lit(False))).alias("bad_checksum_count"),
+        F.count_if(parquet).alias("total_parquet_files"), F.coalesce(F.sum(F.when(parquet, F.col("bytes"))), F.lit(0)).alias("total_parquet_size_bytes"),
+    )
+    ok = (F.col("missing_success_count") == 0) & (F.col("tmp_file_count") == 0) & (F.col("bad_checksum_count") == 0)
+    both = of_molecules.withColumn("_one", F.lit(1)).join(of_files.withColumn("_one", F.lit(1)), "_one").drop("_one")  # one row each
+    return both.withColumn("ok", ok)
+
+
 def numeric_first(column: str) -> list[Column]:
     """Order keys: numbers by value, then all else by text."""
     number = F.when(F.col(column).rlike("^[0-9]+$"), F.col(column).cast("decimal(38,0)"))

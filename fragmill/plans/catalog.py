@@ -402,22 +402,54 @@ def f22_complexity_score(t: Tables) -> DataFrame:
 # Audit
 
 
-@_query("SELECT event_id, event_type, CASE WHEN user_id % 3 = 0 THEN CAST(user_id AS VARCHAR) WHEN user_id % 3 = 1 THEN 'u' || user_id ELSE 'b' || user_id END AS user_id, CASE WHEN user_id % 3 = 0 THEN 'header:x-user-id' WHEN user_id % 3 = 1 THEN 'path' ELSE 'json:user_id' END AS user_id_source FROM events")
+@_query("""SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'h' || user_id WHEN 1 THEN 'a' || user_id WHEN 2 THEN 'q ' || user_id WHEN 3 THEN 'u' || user_id
+      WHEN 4 THEN CAST(user_id AS VARCHAR) WHEN 5 THEN 'f+' || user_id END AS user_id,
+    CASE event_id % 8 WHEN 0 THEN 'header:x-user-id' WHEN 1 THEN 'header:x-authenticated-user-id' WHEN 2 THEN 'query:userId' WHEN 3 THEN 'path'
+      WHEN 4 THEN 'json:userId' WHEN 5 THEN 'form:user_id' END AS user_id_source FROM events""")
 def f16_identity(t: Tables) -> DataFrame:
-    user, kind = F.col("user_id").cast("string"), F.col("user_id") % 3
-    headers = F.when(kind == 0, F.create_map(F.lit("X-User-Id"), user)).otherwise(F.create_map(F.lit("accept"), F.lit("*")))
-    path = F.when(kind == 1, F.concat(F.lit("/api/users/u"), user, F.lit("/x"))).otherwise(F.lit("/api/items"))
-    body = F.to_json(F.struct(F.concat(F.lit("b"), user).alias("user_id")))
-    found = audit.identity(headers, F.lit("page=2"), path, body)
-    return t.raw("events").select("event_id", "event_type", found["user_id"].alias("user_id"), found["user_id_source"].alias("user_id_source"))
+    user, kind = F.col("user_id").cast("string"), F.col("event_id") % 8
+    own = lambda prefix: F.concat(F.lit(prefix), user)
+    media = F.when(kind.isin(4, 7), "application/json; charset=utf-8").when(kind == 5, "Application/X-WWW-Form-Urlencoded").otherwise("text/plain")
+    headers = F.create_map(
+        F.lit("Content-Type"), media, F.when(kind == 0, "X-User-Id").otherwise("x-userid"), F.concat(F.lit("  "), own("h")),
+        F.when(kind == 1, "X-Authenticated-User-Id").otherwise("accept"), own("a"),
+    )
+    query = F.when(kind == 2, F.concat(F.lit("page=2&userId=old&userId=q%20"), user)).otherwise(F.lit("page=2&userid=9"))
+    path = F.when(kind == 3, F.concat(F.lit("/api/users/u"), user, F.lit("/x"))).otherwise(F.lit("/api/items"))
+    body = (
+        F.when(kind == 4, F.concat(F.lit('{"user_id": [1], "userId": '), user, F.lit("}")))
+        .when(kind == 5, F.concat(F.lit("x=1&user_id=&user_id=f%2B"), user))
+        .when(kind == 7, F.lit('{"user_id": {"a": 1}, "userId": 1.5}'))
+        .otherwise(F.concat(F.lit('{"user_id": "b'), user, F.lit('"}')))
+    )
+    found = audit.identity(headers, query, path, body)
+    return t.raw("events").select("event_id", found["user_id"].alias("user_id"), found["user_id_source"].alias("user_id_source"))
 
 
-@_query("""SELECT event_id, '{"password":"***","event":"' || event_type || '"}' AS record FROM events""")
+@_query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"PASSWORD":"***","event":"' || event_type || '"}'
+    WHEN 1 THEN '{"a":[{"token":"***","max_tokens":' || user_id || '}]}'
+    WHEN 2 THEN '{"Secret":"***","b":{"api_key":"***","c":null}}' ELSE 'password=' || user_id END AS record FROM events""")
 def f13_masked(t: Tables) -> DataFrame:
-    record = F.to_json(F.struct(F.col("user_id").cast("string").alias("password"), F.col("event_type").alias("event")))
+    user, kind = F.col("user_id").cast("string"), F.col("event_id") % 4
+    record = (
+        F.when(kind == 0, F.concat(F.lit('{"PASSWORD": "'), user, F.lit('", "event": "'), F.col("event_type"), F.lit('"}')))
+        .when(kind == 1, F.concat(F.lit('{"a": [{"token": {"a": "'), user, F.lit('"}, "max_tokens": '), user, F.lit("}]}")))
+        .when(kind == 2, F.concat(F.lit('{"Secret": ["'), user, F.lit('", 1], "b": {"api_key": 7.5, "c": null}}')))
+        .otherwise(F.concat(F.lit("password="), user))
+    )
     return t.raw("events").select("event_id", audit.masked(record).alias("record"))
 
 
+@_query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 4 THEN NULL ELSE (['i', 'c', 's', 'n'])[p_partkey % 5 + 1] || p_partkey END AS smiles FROM part")
+def f15_compound_smiles(t: Tables) -> DataFrame:
+    place = (F.col("p_partkey") % 5).cast("int")
+    names = ["ConnectivitySMILES", "SMILES", "CanonicalSMILES", "IsomericSMILES"]
+    value = lambda letter, at: F.when(place <= at, F.concat(F.lit(letter), F.col("p_partkey").cast("string"))).otherwise(F.lit(""))
+    fields = F.struct(*[value(x, at).alias(n) for n, x, at in zip(names, "nsci", (3, 2, 1, 0))])
+    record = F.to_json(F.struct(F.struct(F.array(fields).alias("Properties")).alias("PropertyTable")))
+    return t.raw("part").select("p_partkey", readers.compound_smiles(record).alias("smiles"))
+
+
 @_query("SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def t08_requests_by_day(t: Tables) -> DataFrame:
     rows = audit.requests_by(t.raw("events"), "ts", "event_type", "1 day")
@@ -557,9 +589,10 @@ def u05_array_sets(t: Tables) -> DataFrame:
     return rows.join(after, "a").select("a", "b", F.arrays_overlap("x", "y").alias("overlap"), F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
 
 
-@_query("SELECT doc_id FROM documents WHERE n_chars <> length(text)")
+@_query("SELECT doc_id, strlen(text) - length(text) AS more FROM documents WHERE strlen(text) <> length(text)")
 def u04_lengths_that_differ(t: Tables) -> DataFrame:
-    return t.raw("documents").where(F.col("n_chars") != F.char_length("text")).select("doc_id")
+    more = F.octet_length("text").cast("long") - F.char_length("text")
+    return t.raw("documents").where(F.octet_length("text") != F.char_length("text")).select("doc_id", more.alias("more"))
 
 
 @_query("SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_suppkey = o.o_custkey % 100)")
@@ -619,12 +652,14 @@ def c16_connected_atoms(t: Tables) -> DataFrame:
 @_query(
     """e AS (SELECT molecule_id, a AS atom FROM bonds UNION ALL SELECT molecule_id, b FROM bonds), d AS (SELECT molecule_id, atom, count(*) AS n FROM e GROUP BY 1, 2),
     g AS (SELECT molecule_id, CAST(sum(n) / 2 AS BIGINT) AS bonds, count(*) FILTER (WHERE n >= 3) AS branches FROM d GROUP BY 1),
-    s AS (SELECT molecule_id, count(*) AS heavy_atoms, count(*) FILTER (WHERE label NOT IN ('A', 'C')) AS hetero_atoms FROM atoms GROUP BY 1)
-    SELECT molecule_id, heavy_atoms, coalesce(bonds, 0) AS bonds, greatest(coalesce(bonds, 0) - heavy_atoms + 1, 0) AS rings, coalesce(branches, 0) AS branches, hetero_atoms FROM s LEFT JOIN g USING (molecule_id)""",
+    s AS (SELECT molecule_id, count(*) AS heavy_atoms, count(*) FILTER (WHERE label NOT IN ('A', 'C')) AS hetero_atoms FROM atoms GROUP BY 1),
+    -- Of bonded atoms all but the least of each part end a bond, so the rest are the parts.
+    p AS (SELECT molecule_id, count(DISTINCT b) AS ends FROM bonds GROUP BY 1)
+    SELECT molecule_id, heavy_atoms, coalesce(bonds, 0) AS bonds, coalesce(bonds - ends, 0) AS rings, coalesce(branches, 0) AS branches, hetero_atoms FROM s LEFT JOIN g USING (molecule_id) LEFT JOIN p USING (molecule_id)""",
     "bonds", "atoms",
 )
 def c31_structural_features(t: Tables) -> DataFrame:
-    return fragments.shapes(t.bonds(), t.atoms())
+    return fragments.shapes(t.bonds(), t.atoms(), ("A", "C"))
 
 
 @_query("SELECT dialogue_id, CASE WHEN user_id % 10 = 0 THEN 'renamed' ELSE title END AS title, is_deleted OR user_id % 25 = 0 AS is_deleted FROM dialogues", "dialogues")
@@ -678,3 +713,150 @@ def c27_stop_rules(t: Tables) -> DataFrame:
         (key % 4).alias("rotatable_bonds"), F.lit(False).alias("is_complete_residue"), (key % 11 == 0).alias("is_side_chain"),
     )
     return rows.select("p_partkey", semantics.stop()["reason"].alias("reason"))
+
+
+# Details of drugs, paths and rings, and the rest of the reports
+
+
+@_query("""WITH w AS (SELECT p_brand, p_partkey, unnest(range(len(string_split(p_name, ' ')))) AS pos, unnest(string_split(p_name, ' ')) AS word FROM part),
+    f AS (SELECT p_brand, word, min((p_partkey, pos)) AS place FROM w GROUP BY 1, 2)
+    SELECT p_brand, string_agg(word, ',' ORDER BY place) AS words FROM f GROUP BY 1""")
+def a11_ordered_union(t: Tables) -> DataFrame:
+    rows = graph.ordered_union(t.raw("part").select("p_brand", "p_partkey", F.split("p_name", " ").alias("words")), "p_brand", "p_partkey", "words", "words")
+    return rows.select("p_brand", F.array_join("words", ",").alias("words"))
+
+
+@_query("SELECT p_partkey, array_to_string(list_filter(list_transform(w, lambda x, i: CASE WHEN list_position(w, x) = i THEN x END), lambda x: x IS NOT NULL), ' ') AS words FROM (SELECT p_partkey, string_split(p_type || ' ' || p_name || ' ' || p_type, ' ') AS w FROM part)")
+def a12_words_once(t: Tables) -> DataFrame:
+    words = F.split(F.concat_ws(" ", "p_type", "p_name", "p_type"), " ")
+    return t.raw("part").select("p_partkey", F.array_join(F.array_distinct(words), " ").alias("words"))
+
+
+@_query("""WITH d AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linestatus = 'F'),
+    f AS (SELECT *, l_returnflag = 'R' AS tmp FROM lineitem)
+    SELECT (SELECT count(*) FROM orders) AS expected_molecule_count, (SELECT count(*) FROM orders JOIN d ON o_orderkey = l_orderkey) AS success_molecule_count,
+      (SELECT count(*) FROM orders ANTI JOIN d ON o_orderkey = l_orderkey) AS missing_success_count, count(*) FILTER (WHERE tmp) AS tmp_file_count,
+      count(*) FILTER (WHERE NOT tmp AND l_suppkey % 7 = 0) AS bad_checksum_count, count(*) FILTER (WHERE NOT tmp) AS total_parquet_files,
+      CAST(sum(CASE WHEN NOT tmp THEN l_partkey ELSE 0 END) AS BIGINT) AS total_parquet_size_bytes, false AS ok FROM f""")
+def a14_build_validation(t: Tables) -> DataFrame:
+    lines = t.raw("lineitem")
+    name = F.concat(F.lit("chunk_"), F.col("l_linenumber").cast("string"), F.when(F.col("l_returnflag") == "R", ".parquet.tmp").otherwise(".parquet"))
+    files = lines.select(name.alias("name"), F.col("l_partkey").alias("bytes"), (F.col("l_suppkey") % 7 != 0).alias("intact"))
+    markers = lines.where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("molecule_id"))
+    return telemetry.validation(t.raw("orders").select(F.col("o_orderkey").alias("molecule_id")), markers, files)
+
+
+@_query("SELECT count(*) FILTER (WHERE p_size % 3 = 0) AS missing_smiles, CAST(sum(len(string_split(p_name, ' '))) AS BIGINT) AS expanded_rows FROM part")
+def a25_missing_and_expanded(t: Tables) -> DataFrame:
+    smiles = F.when(F.col("p_size") % 3 != 0, F.col("p_type"))
+    return t.raw("part").agg(F.count_if(smiles.isNull()).alias("missing_smiles"), F.sum(F.size(F.split("p_name", " "))).alias("expanded_rows"))
+
+
+@_query("SELECT conv_id, CAST(sum(len(string_split(text, ' '))) AS BIGINT) AS svg_count FROM conversations GROUP BY 1")
+def a26_summed_sizes(t: Tables) -> DataFrame:
+    turns = t.raw("conversations").groupBy("conv_id").agg(F.collect_list(F.size(F.split("text", " "))).alias("sizes"))
+    return turns.select("conv_id", F.aggregate("sizes", F.lit(0).cast("bigint"), lambda n, x: n + x).alias("svg_count"))
+
+
+@_query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
+def w03_first_seen(t: Tables) -> DataFrame:
+    return ranking.first(t.raw("orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+@_query("SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, p_type, p_partkey) AS place FROM part")
+def o05_largest_first(t: Tables) -> DataFrame:
+    rows = t.raw("part").select("p_partkey", "p_type", (-F.col("p_size")).alias("size"))
+    return ranking.numbered(rows, ["size", "p_type", "p_partkey"], "place").select("p_partkey", "place")
+
+
+@_query("SELECT p_partkey, row_number() OVER (ORDER BY n, length(p_name) DESC, p_partkey) AS place FROM (SELECT p_partkey, p_name, (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey) AS n FROM part)")
+def o13_rare_and_large_first(t: Tables) -> DataFrame:
+    counts = t.raw("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n"))
+    rows = t.raw("part").join(counts, "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit(0)).alias("n"), (-F.length("p_name")).alias("size"))
+    return ranking.numbered(rows, ["n", "size", "p_partkey"], "place").select("p_partkey", "place")
+
+
+@_query("SELECT DISTINCT molecule_id FROM atoms WHERE label <> 'A'", "atoms")
+def p16_not_all_carbon(t: Tables) -> DataFrame:
+    return fragments.not_all_carbon(t.atoms(), ("A",))
+
+
+@_query(
+    """w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds),
+    p AS (SELECT DISTINCT molecule_id, [a] AS path FROM w UNION ALL
+          SELECT p.molecule_id, list_append(path, b) FROM p JOIN w ON p.molecule_id = w.molecule_id AND path[-1] = a AND NOT list_contains(path, b) WHERE len(path) < 5)
+    SELECT molecule_id, array_to_string(path, ',') AS path FROM p WHERE len(path) >= 3 AND path[1] < path[-1]""",
+    "bonds", recursive=True,
+)
+def c22_simple_paths(t: Tables) -> DataFrame:
+    return fragments.simple_paths(t.bonds(), 3, 5).select("molecule_id", F.array_join("path", ",").alias("path"))
+
+
+@_query("SELECT x.molecule_id, '1,2,3' AS atoms FROM bonds x JOIN bonds y ON y.molecule_id = x.molecule_id AND y.a = 2 AND y.b = 3 JOIN bonds z ON z.molecule_id = x.molecule_id AND z.a = 1 AND z.b = 3 WHERE x.a = 1 AND x.b = 2", "bonds")
+def c21_ring_fragments(t: Tables) -> DataFrame:
+    return fragments.ring_fragments(t.bonds(), 5).select("molecule_id", F.array_join("atoms", ",").alias("atoms"))
+
+
+_BRANDS = "m AS (SELECT DISTINCT p_brand FROM part UNION SELECT 'none-' || n_name FROM nation)"
+
+
+@_query(f"""WITH {_BRANDS}, l AS (SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) = 1),
+    e AS (SELECT l_partkey, string_agg(DISTINCT l_suppkey, ',' ORDER BY l_suppkey) AS enzymes FROM lineitem GROUP BY 1)
+    SELECT p_brand, l.p_partkey IS NOT NULL AS drug_found, l.p_type AS type, CAST(l.p_size AS VARCHAR) AS size, CASE WHEN l.p_partkey IS NULL THEN 0 ELSE 2 END AS fields,
+      coalesce(enzymes, '') AS enzymes FROM m LEFT JOIN l USING (p_brand) LEFT JOIN e ON e.l_partkey = l.p_partkey""")
+def e02_details_by_drug(t: Tables) -> DataFrame:
+    part = t.raw("part")
+    names = part.select("p_brand").union(t.raw("nation").select(F.concat(F.lit("none-"), "n_name"))).distinct()
+    near = t.raw("lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
+    rows = graph.details(names, part, near, "p_brand", "p_partkey", ["p_type", "p_size"], "l_suppkey", "enzymes")
+    return rows.select("p_brand", "drug_found", F.col("data")["p_type"].alias("type"), F.col("data")["p_size"].alias("size"), F.size("data").alias("fields"), F.array_join("enzymes", ",").alias("enzymes"))
+
+
+@_query(
+    """w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds),
+    f AS (SELECT DISTINCT x.molecule_id FROM atoms x JOIN w ON w.molecule_id = x.molecule_id AND w.a = x.atom JOIN atoms y ON y.molecule_id = x.molecule_id AND y.atom = w.b WHERE x.label = 'A' AND y.label = 'R')
+    SELECT o_orderkey AS molecule_id, o_orderpriority AS ingredient, c_name AS owner FROM orders JOIN f ON o_orderkey = molecule_id LEFT JOIN customer ON c_custkey = o_custkey""",
+    "bonds", "atoms",
+)
+def e01_fragment_search(t: Tables) -> DataFrame:
+    found = matching.disjoint([matching.Pattern(("A", "R"), ((0, 1),))], t.atoms(), t.bonds())
+    owners = t.raw("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("owner"))
+    rows = t.raw("orders").select(F.col("o_orderkey").alias("molecule_id"), "o_custkey", F.col("o_orderpriority").alias("ingredient"))
+    return rows.join(found, "molecule_id").join(owners, "o_custkey", "left").select("molecule_id", "ingredient", "owner")
+
+
+@_query("SELECT doc_id, status, comment FROM reviews ANTI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) l USING (doc_id)", "reviews")
+def d07_deleted_reviews(t: Tables) -> DataFrame:
+    return dialogue.removed(t.reviews(), t.raw("labels").where("toxic = 1"), ["doc_id"]).select("doc_id", "status", "comment")
+
+
+@_query("""SELECT p_partkey, len(string_split(p_type, ' ')) AS turn_count, 'types' AS kind, unnest(range(len(string_split(p_type, ' ')))) + 1 AS number, unnest(string_split(p_type, ' ')) AS word FROM part
+    UNION ALL SELECT p_partkey, len(string_split(p_type, ' ')), 'names', unnest(range(len(string_split(p_name, ' ')))) + 1, unnest(string_split(p_name, ' ')) FROM part""")
+def d04_nested_records(t: Tables) -> DataFrame:
+    listed = lambda c: F.transform(F.split(c, " "), lambda w: F.struct(w.alias("word")))
+    return dialogue.unnested(t.raw("part").select("p_partkey", listed("p_type").alias("types"), listed("p_name").alias("names")), "p_partkey", ["types", "names"], "word")
+
+
+@_query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'finished' ELSE 'unfinished' END AS half,
+    row_number() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders""")
+def o11_halves(t: Tables) -> DataFrame:
+    rows = t.raw("orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "finished").otherwise("unfinished").alias("half"), (-F.col("o_totalprice")).alias("order"))
+    halves = [ranking.numbered(rows.where(F.col("half") == h), ["order", "o_orderkey"], "place") for h in ("finished", "unfinished")]
+    return halves[0].unionByName(halves[1]).select("o_orderkey", "half", "place")
+
+
+@_query("SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus FROM orders JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_suppkey % 3 = 0) l ON l_orderkey = o_orderkey AND o_orderstatus = 'F'")
+def j11_hop_and_filter(t: Tables) -> DataFrame:
+    edges = t.raw("lineitem").where("l_suppkey % 3 = 0").select(F.concat(F.lit("o"), "l_orderkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"), F.lit("HAS").alias("type")).distinct()
+    nodes = t.raw("orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", F.concat(F.lit("o"), "o_orderkey").alias("node"))
+    return graph.hop(nodes, edges, "HAS", "node", "maker").where("maker is not null").drop("node", "maker").distinct()
+
+
+@_query("SELECT p_partkey, upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS name, coalesce(nullif(p_size % 4, 0), -1) AS size, regexp_extract('x/molecule_id=' || p_partkey || '/y', 'molecule_id=([^/]+)', 1) AS molecule, CASE WHEN p_partkey % 2 = 0 THEN '13800000000' ELSE '23800000000' END SIMILAR TO '1[3-9][0-9]{9}' AS phone, '`a``' || p_partkey || '`' AS quoted FROM part")
+def f07_scalars(t: Tables) -> DataFrame:
+    name = F.concat(F.upper(F.substring("p_name", 1, 1)), F.expr("substring(p_name, 2)"))
+    size = F.coalesce(scalars.zero_as_null(F.col("p_size") % 4), F.lit(-1))
+    molecule = scalars.path_molecule(F.concat(F.lit("x/molecule_id="), F.col("p_partkey").cast("string"), F.lit("/y")))
+    phone = scalars.is_phone(F.when(F.col("p_partkey") % 2 == 0, "13800000000").otherwise("23800000000"))
+    quoted = F.concat(F.lit(scalars.quoted("a`")[:-1]), F.col("p_partkey").cast("string"), F.lit("`"))
+    return t.raw("part").select("p_partkey", name.alias("name"), size.alias("size"), molecule.alias("molecule"), phone.alias("phone"), quoted.alias("quoted"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragmill.functions.scalars import column_at, first_field, path_molecule, split_trimmed
+from fragmill.functions.scalars import column_at, path_molecule, split_trimmed
 
 MOLECULES = "molecule_id string, smiles string"
 SUCCESS = "molecule_id string, status string, chunk_count long, fragment_rows long, elapsed_seconds double, min_atoms int, max_atoms int"
@@ -75,24 +78,25 @@ def files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return spark.createDataFrame(found, "path string, bytes long, modified long")
 
 
-def _content(spark: SparkSession):
-    """A function of a DataFrame of paths to one with their text, read where the driver lists them: markers are small and few."""
+def _content(listing: DataFrame) -> DataFrame:
+    """(path, content) of listed files, opened inside tasks: their names hide them from Spark's own readers."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
 
-    def read(listing: DataFrame) -> DataFrame:
-        configuration, rows = spark._jsc.hadoopConfiguration(), []
-        for row in listing.toLocalIterator():
-            place = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
-            stream = place.getFileSystem(configuration).open(place)
-            rows.append((row["path"], bytes(stream.readAllBytes()).decode("utf-8", "replace")))
-            stream.close()
-        return spark.createDataFrame(rows, "path string, content string")
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, place = fs.FileSystem.from_uri(path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
+                with system.open_input_stream(place) as stream:
+                    text = stream.read().decode("utf-8", "replace")
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([text])], names=["path", "content"])
 
-    return read
+    return listing.select("path").repartition("path").mapInArrow(read, "path string, content string")
 
 
 def success_markers(spark: SparkSession, root: str) -> DataFrame:
     """(path, the fields of SUCCESS, broken) of every _SUCCESS below a folder; the id is the marker's or the path's."""
-    rows = _content(spark)(files(spark, root, "_SUCCESS"))
+    rows = _content(files(spark, root, "_SUCCESS"))
     parsed = rows.withColumn("j", F.from_json("content", SUCCESS))
     fields = [F.col(f"j.{f.name}").alias(f.name) for f in T.StructType.fromDDL(SUCCESS) if f.name != "molecule_id"]
     return parsed.select(
@@ -143,6 +147,13 @@ def looked_up(rows: DataFrame, name: str, cache: DataFrame) -> DataFrame:
 
 
 def compound_smiles(json: Column) -> Column:
-    """The SMILES of a compound record, whichever of its names it has."""
-    at = "PropertyTable.Properties[0]."
-    return first_field(json, at + "IsomericSMILES", at + "SMILES", at + "CanonicalSMILES", at + "ConnectivitySMILES")
+    """The SMILES of a compound record, whichever of its names it has; empty ones do not count."""
+    # Fixed values, in the order they are looked for.
+    names = ["IsomericSMILES", "CanonicalSMILES", "SMILES", "ConnectivitySMILES"]
+    return F.coalesce(*[F.nullif(F.get_json_object(json, f"$.PropertyTable.Properties[0].{n}"), F.lit("")) for n in names])
+
+
+def rows_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n): rows of each Parquet file below a folder."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(path)
+    return rows.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))

@@ -14,10 +14,24 @@ LEDGER = ["path", "bytes", "modified", "target"]
 def write_fragments(rows: DataFrame, path: str, rows_per_file: int = 200_000, overwrite: bool = False) -> None:
     """Fragments by molecule as zstd Parquet, sorted so that readers can skip; Spark's committer makes the write atomic."""
     keys = ["molecule_id", "atom_count", "bond_count"]
-    writer = rows.repartition("molecule_id").sortWithinPartitions(*keys).write.mode("overwrite" if overwrite else "errorifexists")
+    # A molecule with more rows than a file holds is dealt to as many tasks as it has files.
+    files = rows.groupBy("molecule_id").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
+    dealt = rows.join(files, "molecule_id").repartition("molecule_id", F.pmod(F.xxhash64(*[c for c in rows.columns]), F.col("_files"))).drop("_files")
+    writer = dealt.select(*rows.columns).sortWithinPartitions(*keys).write.mode("overwrite" if overwrite else "errorifexists")
     writer.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy("molecule_id").parquet(path)
 
 
+def write_reports(molecules: DataFrame, path: str) -> None:
+    """Of (molecule_id, status, fragment_rows, elapsed_seconds, error): failed_molecules and build_summary below a folder, as JSON lines."""
+    status = F.col("status")
+    molecules.where(status == "failed").select("molecule_id", "error").write.mode("overwrite").json(f"{path}/failed_molecules")
+    molecules.agg(
+        F.count("*").alias("total"), F.count_if(status == "success").alias("success"), F.count_if(status == "skipped").alias("skipped"),
+        F.count_if(status == "failed").alias("failed"), F.coalesce(F.sum("fragment_rows"), F.lit(0)).alias("fragment_rows"),
+        F.coalesce(F.sum("elapsed_seconds"), F.lit(0.0)).alias("elapsed_seconds"),
+    ).write.mode("overwrite").json(f"{path}/build_summary")
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, sha256) of every Parquet file below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)

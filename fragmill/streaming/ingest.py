@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fragmill.operators import audit, warehouse
+from fragmill.operators import warehouse
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -21,9 +21,9 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
 
 
-def drained(stream: DataFrame, folder: str, write) -> None:
+def drained(stream: DataFrame, folder: str, write, mode: str = "append") -> None:
     """Runs a stream over what is there now; write(batch, number) is called once for each batch, again after a failure."""
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -56,16 +56,29 @@ def streamed_states(tables) -> DataFrame:
     return appended_states(stream, folder)
 
 
-def streamed_requests(tables) -> DataFrame:
-    """Requests by day and kind, by a stream with a watermark over files of the events; partial days add up."""
-    folder = work_folder(tables.spark)
-    events = tables.raw("events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    events.write.parquet(f"{folder}/landing")
-    stream = tables.spark.readStream.schema(events.schema).parquet(f"{folder}/landing").withWatermark("ts", "1 day")
+def counted_by_day(stream: DataFrame, folder: str, late: str) -> DataFrame:
+    """(start, event_type, n) of a stream of (event_id, ts, event_type): events by day and kind.
+
+    An event that comes twice within the bound on lateness counts once; days older
+    than the bound are closed, so their state goes and what comes later is left out.
+    Each batch writes the days that it changes, and the last batch's count is valid.
+    """
+    once = stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
+    counts = once.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"))
 
     def write(batch: DataFrame, number: int) -> None:
-        audit.requests_by(batch, "ts", "event_type", "1 day").write.mode("overwrite").parquet(f"{folder}/days/batch={number}")
+        batch.select(F.col("w.start").alias("start"), "event_type", "n").write.mode("overwrite").parquet(f"{folder}/days/batch={number}")
 
-    drained(stream, folder, write)
-    days = tables.spark.read.parquet(f"{folder}/days").groupBy("start", "event_type").agg(F.sum("n").alias("n"))
+    drained(counts, folder, write, "update")
+    days = stream.sparkSession.read.parquet(f"{folder}/days")
+    return days.groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
+
+
+def streamed_requests(tables) -> DataFrame:
+    """Requests by day and kind, by a stream over files of the events."""
+    folder = work_folder(tables.spark)
+    events = tables.raw("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    events.write.parquet(f"{folder}/landing")
+    stream = tables.spark.readStream.schema(events.schema).parquet(f"{folder}/landing")
+    days = counted_by_day(stream, folder, "1 day")
     return days.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")

@@ -18,8 +18,14 @@ def one(spark, column, **values):
         ({"X-User-Id": "42"}, "user_id=17", "/users/23", '{"user_id": 31}', ("42", "header:x-user-id")),
         ({"a": "b"}, "p=1&user_id=17", "/users/23", '{"user_id": 31}', ("17", "query:user_id")),
         ({"a": "b"}, "", "/api/users/23/x", '{"user_id": 31}', ("23", "path")),
-        ({"a": "b"}, "", "/api", '{"userId": 31}', ("31", "json:user_id")),
-        ({"a": "b"}, "", "/api", "a=1&user_id=8", ("8", "form:user_id")),
+        ({"Content-Type": "application/json; charset=utf-8"}, "", "/api", '{"userId": 31}', ("31", "json:userId")),
+        ({"content-type": "application/json"}, "", "/api", '{"user_id": "  ", "userId": true}', ("True", "json:userId")),
+        ({"content-type": "application/json"}, "", "/api", '{"user_id": 1.5}', (None, None)),
+        ({"content-type": "application/json"}, "", "/api", "{broken", (None, None)),
+        ({"a": "b"}, "", "/api", '{"userId": 31}', (None, None)),
+        ({"content-type": "application/x-www-form-urlencoded"}, "", "/api", "a=1&user_id=8%2B", ("8+", "form:user_id")),
+        ({"x-authenticated-user-id": " 5 "}, "userId=7", "/api", "", ("5", "header:x-authenticated-user-id")),
+        ({"x-userid": "5"}, "userId=" + "7" * 300, "/api", "", ("7" * 256, "query:userId")),
         ({"a": "b"}, "", "/api", "", (None, None)),
     ],
 )
@@ -32,7 +38,11 @@ def test_identity_precedence(spark, headers, query, path, body, want):
 def test_masking_reaches_all_depths(spark):
     text = '{"a": {"Password": "x\\"y", "n": 1}, "api_key":12, "list":[{"token":"t"}], "name":"token"}'
     got = spark.range(1).select(audit.masked(F.lit(text)).alias("x")).first()["x"]
-    assert got == '{"a": {"Password": "***", "n": 1}, "api_key":"***", "list":[{"token":"***"}], "name":"token"}'
+    assert got == '{"a":{"Password":"***","n":1},"api_key":"***","list":[{"token":"***"}],"name":"token"}'
+    for same in ('{"max_tokens":5}', "no json, token", '{"note":"secret"}'):
+        assert spark.range(1).select(audit.masked(F.lit(same)).alias("x")).first()["x"] == same
+    whole = '{"token":{"a":"s3cret"},"secret":["a",{"b":1}]}'
+    assert spark.range(1).select(audit.masked(F.lit(whole)).alias("x")).first()["x"] == '{"token":"***","secret":"***"}'
 
 
 def test_states_merge_to_one_shot(spark):
@@ -178,3 +188,34 @@ def test_compacted_states_are_the_same(spark, tmp_path):
     got = ingest.appended_states(stream, str(tmp_path / "w"))
     again = spark.read.parquet(ingest.compacted(spark, str(tmp_path / "w")))
     assert warehouse.differences(got, warehouse.states(rows)).count() == 0 == warehouse.differences(again, got).count()
+
+
+def test_events_count_once_and_late_ones_are_left_out(spark, tmp_path):
+    from fragmill.streaming import ingest
+
+    def rows(*events):
+        return spark.createDataFrame(events, "event_id long, ts string, event_type string").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1)
+
+    rows((1, "2024-01-05 10:00:00", "a"), (2, "2024-01-05 11:00:00", "a"), (2, "2024-01-05 11:00:00", "a")).write.parquet(str(tmp_path / "in/1"))
+    rows((3, "2024-01-20 10:00:00", "a"), (1, "2024-01-20 10:00:00", "b")).write.parquet(str(tmp_path / "in/2"))
+    rows((5, "2024-01-19 12:00:00", "a")).write.parquet(str(tmp_path / "in/3"))
+    rows((4, "2024-01-05 12:00:00", "a")).write.parquet(str(tmp_path / "in/4"))
+    stream = spark.readStream.schema("event_id long, ts timestamp, event_type string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    got = {(str(r.start)[:10], r.event_type): r.n for r in ingest.counted_by_day(stream, str(tmp_path), "2 days").collect()}
+    assert got[("2024-01-05", "a")] == 2 and got[("2024-01-19", "a")] == 1 and got[("2024-01-20", "a")] == 1
+
+
+def test_reports_of_a_build(spark, tmp_path):
+    rows = [("1", "success", 5, 1.0, None), ("2", "failed", None, 0.5, "boom"), ("3", "skipped", None, None, None)]
+    df = spark.createDataFrame(rows, "molecule_id string, status string, fragment_rows long, elapsed_seconds double, error string")
+    sinks.write_reports(df, str(tmp_path))
+    assert [r.asDict() for r in spark.read.json(f"{tmp_path}/failed_molecules").collect()] == [{"error": "boom", "molecule_id": "2"}]
+    summary = spark.read.json(f"{tmp_path}/build_summary").first().asDict()
+    assert summary == {"total": 3, "success": 1, "skipped": 1, "failed": 1, "fragment_rows": 5, "elapsed_seconds": 1.5}
+
+
+def test_a_large_molecule_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("if(id < 900, 'big', 'small') as molecule_id", "sha2(string(id), 256) as fragment_hash", "int(id % 9) as atom_count", "int(id % 9) as bond_count")
+    sinks.write_fragments(rows, str(tmp_path / "f"), rows_per_file=100)
+    files = {r.file: r.n for r in readers.rows_by_file(spark, str(tmp_path / "f")).collect()}
+    assert sum(files.values()) == 1000 and sum("=big" in f for f in files) >= 5 and max(files.values()) <= 100
