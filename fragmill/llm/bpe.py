@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept
+
 #: States, boundaries and pieces that are remembered at a time; each is emptied when full.
 MAX_STATES = 100_000
 MAX_HELD = 400_000
@@ -320,16 +322,9 @@ class _Pieces(dict):
         return packed
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
-
-
 def _codec(data: bytes, pattern: str) -> Codec:
     """One codec in each Python worker."""
-    key = (hash(data), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(parse_ranks(data), pattern)
-    return _CODECS[key]
+    return kept(("codec", hash(data), pattern), lambda: Codec(parse_ranks(data), pattern))
 
 
 def _mapped(df: DataFrame, id_col: str, value_col: str, kind: str, ranks: bytes, pattern: str, work, fields: pa.Schema, ddl: str) -> DataFrame:

@@ -62,6 +62,18 @@ def hex16(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+#: What a Python worker keeps from one task to the next.
+_KEPT: dict = {}
+
+
+def kept(key, build):
+    """What build() gives, kept in this Python worker until another key is asked for: what stages keep does not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, each with as many underscores before it as make it new among columns, in any case."""
     taken, out = {c.lower() for c in columns}, []

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import kept, partitions
 
 #: Words share so many vectors by hash, so that their table has one size whatever the corpus.
 VECTORS, SIZE, NONZERO, REACH, SEED = 1 << 15, 32, 2, 2, 20240501
@@ -37,7 +37,7 @@ class _Numbers(dict):
     """The vector of each word, by a hash; forgotten when many are held."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
         number = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % VECTORS
         return number
@@ -48,7 +48,7 @@ def word_numbers(texts: Iterator[str | None]) -> Iterator[tuple[list[int], np.nd
 
     A text of more words than a group holds is a group of its own.
     """
-    numbers = _Numbers()
+    numbers = kept("words", _Numbers)
     lengths: list[int] = []
     found: list[int] = []
     for text in texts:
