@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from .common import kept
 
-#: States, boundaries and pieces that are remembered at a time; each is emptied when full.
+#: States and boundaries that are remembered at a time; each is emptied when full.
 MAX_STATES = 100_000
 MAX_HELD = 400_000
-MAX_PIECES = 300_000
+#: Pieces of a generation: when it is full it becomes the old one, in which pieces are still found.
+MAX_PIECES = 400_000
 #: Longer pieces are encoded without being remembered.
 LONG_PIECE = 64
 #: Characters of a text that are matched at once, and of texts in one batch of results.
@@ -271,6 +272,9 @@ class Codec:
         self.turns: dict[tuple, dict[int, tuple[str, tuple]]] = {}
         fed = ((rank, Utf8.feed(Utf8.START, token)) for token, rank in ranks.items())
         self.whole = {rank: text for rank, (text, state) in fed if state == Utf8.START}
+        #: Whether a token begins or ends within a character.
+        self.broken = np.ones(max(ranks.values(), default=-1) + 1, bool)
+        self.broken[list(self.whole)] = False
 
     def piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8")
@@ -287,36 +291,50 @@ class Codec:
     def decode(self, packed: bytes) -> str:
         return "".join(self.stream([array("I", packed)]))
 
+    def _turn(self, state: tuple[int, int, int, int], token: int) -> tuple[str, tuple[int, int, int, int]]:
+        """What a token gives in a state of the UTF-8 machine, and the state after."""
+        turns = self.turns.setdefault(state, {})
+        if token not in turns:
+            text, after = Utf8.feed(state, self.bytes[token])
+            turns[token] = text, Utf8.START if after == Utf8.START else after
+        return turns[token]
+
     def stream(self, chunks: Iterable[Iterable[int]]) -> Iterator[str]:
         """The text of tokens that come in chunks; a character may lie across tokens and chunks."""
         state = Utf8.START
         for chunk in chunks:
-            out = []
-            for token in chunk:
-                text = self.whole.get(token) if state is Utf8.START else None
-                if text is None:
-                    turns = self.turns.setdefault(state, {})
-                    if token not in turns:
-                        turns[token] = Utf8.feed(state, self.bytes[token])
-                    text, state = turns[token]
-                    if state == Utf8.START:
-                        state = Utf8.START
-                out.append(text)
-            yield "".join(out)
+            at = np.asarray(chunk, np.int64)
+            broken = np.flatnonzero(self.broken[at]).tolist()
+            tokens, end = at.tolist(), 0
+            texts = list(map(self.whole.get, tokens))
+            # Where a character is cut, the machine reads on until it is whole.
+            for begun in broken if state is Utf8.START else [0, *broken]:
+                if begun >= end:
+                    end = begun
+                    while end < len(tokens):
+                        texts[end], state = self._turn(state, tokens[end])
+                        end += 1
+                        if state is Utf8.START:
+                            break
+            yield "".join(texts)
         yield Utf8.end(state)
 
 
 class _Pieces(dict):
-    """Packed tokens of pieces met before."""
+    """Packed tokens of pieces met before; what the last two generations do not use is forgotten."""
 
     def __init__(self, codec: Codec) -> None:
         super().__init__()
         self.codec = codec
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = self.codec.piece(piece)
+        packed = self.old.get(piece)
+        if packed is None:
+            packed = self.codec.piece(piece)
         if len(piece) <= LONG_PIECE:
             if len(self) >= MAX_PIECES:
+                self.old = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
