@@ -26,6 +26,16 @@ def build_of(path: Column) -> Column:
     return F.element_at(F.filter(F.split(path, r"[\\/]"), lambda p: p.startswith("build_")), -1)
 
 
+def mask_hex(bits: Column) -> Column:
+    """The hexadecimal mask of an array of bit numbers, of any width, without leading zeros; 0 if there are none."""
+    set_bits = F.array_distinct(bits)
+    digit = lambda i: F.aggregate(
+        F.filter(set_bits, lambda b: F.floor(b / 4) == i), F.lit(0), lambda n, b: n + F.pow(F.lit(2), b % 4).cast("int")
+    )
+    places = F.reverse(F.sequence(F.lit(0).cast("bigint"), F.floor(F.coalesce(F.array_max(set_bits), F.lit(0)) / 4)))
+    return F.array_join(F.transform(places, lambda i: F.lower(F.hex(digit(i)))), "")
+
+
 def is_phone(text: Column) -> Column:
     """Whether a text is a mobile number of eleven digits."""
     return text.rlike(r"^1[3-9]\d{9}$")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragmill.operators.ranking import numbered
+
 # Keys whose values are masked, and the mask.
 SENSITIVE_KEYS = ["password", "passwd", "token", "access_token", "refresh_token", "authorization", "secret", "api_key"]
 MASK = "***"
@@ -100,3 +102,17 @@ def requests_by(records: DataFrame, time: str, key: str, span: str) -> DataFrame
     """(start, key, n): records of each key in each span of time."""
     window = F.window(F.col(time).cast("timestamp"), span)
     return records.groupBy(window.alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), key, "n")
+
+
+def path_requests(requests: DataFrame, order: list[str], start: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(recorded, refused) of requests for paths (source_type, aim_type, max_jump_num, max_path_num and more).
+
+    A request needs both types and limits above 0; those that have them get an id
+    after start in an order without ties, the others their error.
+    """
+    blank = (F.coalesce("source_type", F.lit("")) == "") | (F.coalesce("aim_type", F.lit("")) == "")
+    low = ~F.coalesce((F.col("max_jump_num") > 0) & (F.col("max_path_num") > 0), F.lit(False))
+    error = F.when(blank, "source_type and aim_type cannot be empty").when(low, "max_jump_num and max_path_num must be greater than 0")
+    judged = requests.withColumn("error", error)
+    recorded = numbered(judged.where("error is null").drop("error"), order, "_n")
+    return recorded.withColumn("id", F.col("_n") + start).drop("_n"), judged.where("error is not null")

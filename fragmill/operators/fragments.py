@@ -119,26 +119,51 @@ def connected_atoms(bonds: DataFrame, least: int, most: int) -> DataFrame:
     return found.where(F.size("atoms") >= least)
 
 
-def parts(atoms: Column, bonds: Column) -> Column:
-    """How many connected parts the atoms (array) of one molecule have, by its bonds (array of a, b): bonds join labels one after another."""
+def part_of(atoms: Column, bonds: Column) -> Column:
+    """For each of the atoms (array) of one molecule the least atom of its connected part, by bonds (array of a, b) that join labels one after another; a bond to an atom that is not there joins nothing."""
 
     def joined(labels: Column, bond: Column) -> Column:
         x, y = (F.get(labels, (F.array_position(atoms, bond[end]) - 1).cast("int")) for end in ("a", "b"))
         return F.transform(labels, lambda l: F.when(l == F.greatest(x, y), F.least(x, y)).otherwise(l))  # noqa: E741
 
     pairs = F.transform(bonds, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
-    return F.size(F.array_distinct(F.coalesce(F.aggregate(pairs, atoms, joined), atoms)))
+    return F.coalesce(F.aggregate(pairs, atoms, joined), atoms)
+
+
+def parts(atoms: Column, bonds: Column) -> Column:
+    """How many connected parts the atoms of one molecule have."""
+    return F.size(F.array_distinct(part_of(atoms, bonds)))
+
+
+def _of_molecules(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
+    """(molecule_id, _atoms, _bonds): a row for each molecule that has atoms."""
+    pairs = bonds.groupBy("molecule_id").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("_bonds"))
+    return atoms.groupBy("molecule_id").agg(F.array_sort(F.collect_set(F.col("atom").cast("int"))).alias("_atoms")).join(pairs, "molecule_id", "left")
+
+
+def uncovered_parts(atoms: DataFrame, bonds: DataFrame, covered: DataFrame) -> DataFrame:
+    """(molecule_id, atoms) of every connected part of the atoms that no row of covered (molecule_id, atom) has."""
+    left = atoms.join(covered.select("molecule_id", "atom").distinct(), ["molecule_id", "atom"], "left_anti")
+    rows = _of_molecules(left, bonds).select("molecule_id", F.explode(F.arrays_zip(part_of(F.col("_atoms"), F.col("_bonds")).alias("part"), F.col("_atoms").alias("atom"))).alias("x"))
+    return rows.groupBy("molecule_id", "x.part").agg(F.array_sort(F.collect_list("x.atom")).alias("atoms")).drop("part")
+
+
+def path_metrics(paths: DataFrame, atoms: DataFrame, bonds: DataFrame, carbons: tuple[str, ...], aromatic: tuple[str, ...]) -> DataFrame:
+    """paths (molecule_id, path) with heavy_atoms, carbon_atoms, aromatic_atoms and rings, the bonds among a path's atoms beyond those that hold it together."""
+    labels = atoms.groupBy("molecule_id").agg(F.map_from_entries(F.collect_list(F.struct("atom", "label"))).alias("_labels"))
+    pairs = bonds.groupBy("molecule_id").agg(F.collect_set(F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).alias("_bonds"))
+    rows = paths.join(labels, "molecule_id").join(pairs, "molecule_id", "left")
+    count = lambda names: F.size(F.filter("path", lambda a: F.element_at("_labels", a).isin(*names)))
+    among = F.size(F.filter(F.coalesce("_bonds", F.array().cast(pairs.schema["_bonds"].dataType)), lambda x: F.array_contains("path", x["a"]) & F.array_contains("path", x["b"])))
+    return rows.select(*paths.columns, F.size("path").alias("heavy_atoms"), count(carbons).alias("carbon_atoms"), count(aromatic).alias("aromatic_atoms"), (among - F.size("path") + 1).alias("rings"))
 
 
 def shapes(bonds: DataFrame, atoms: DataFrame, carbons: tuple[str, ...] = ("C",)) -> DataFrame:
     """(molecule_id, heavy_atoms, bonds, rings, branches, hetero_atoms): rings are independent ones, branches are atoms with three bonds or more."""
     ends = bonds.select("molecule_id", F.explode(F.array("a", "b")).alias("atom")).groupBy("molecule_id", "atom").count()
     degrees = ends.groupBy("molecule_id").agg(F.count_if(F.col("count") >= 3).alias("branches"))
-    pairs = bonds.groupBy("molecule_id").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("_bonds"))
-    sizes = atoms.groupBy("molecule_id").agg(
-        F.count("*").alias("heavy_atoms"), F.count_if(~F.col("label").isin(*carbons)).alias("hetero_atoms"), F.array_sort(F.collect_set(F.col("atom").cast("int"))).alias("_atoms")
-    )
-    rows = sizes.join(degrees, "molecule_id", "left").join(pairs, "molecule_id", "left")
+    sizes = atoms.groupBy("molecule_id").agg(F.count("*").alias("heavy_atoms"), F.count_if(~F.col("label").isin(*carbons)).alias("hetero_atoms"))
+    rows = sizes.join(degrees, "molecule_id", "left").join(_of_molecules(atoms, bonds), "molecule_id", "left")
     count = F.coalesce(F.size("_bonds").cast("long"), F.lit(0))
     rings = count - F.col("heavy_atoms") + parts(F.col("_atoms"), F.col("_bonds"))
     return rows.select("molecule_id", "heavy_atoms", F.greatest(count, F.lit(0)).alias("bonds"), F.greatest(rings, F.lit(0)).alias("rings"), F.coalesce("branches", F.lit(0)).alias("branches"), "hetero_atoms")

@@ -52,6 +52,28 @@ def details(matches: DataFrame, drugs: DataFrame, related: DataFrame, key: str,
     return rows.select(*matches.columns, found.alias("drug_found"), F.when(found, picked).otherwise(none).alias("data"), F.coalesce(out, F.array().cast(near.schema[out].dataType)).alias(out))
 
 
+def labelled(nodes: DataFrame, label: str) -> DataFrame:
+    """Nodes (labels array) that carry a label."""
+    return nodes.where(F.array_contains("labels", label))
+
+
+def payload(labels: Column, properties: Column) -> Column:
+    """A node as labels, sorted, and properties; without labels and properties where the node is null."""
+    return F.when(labels.isNotNull() | properties.isNotNull(), F.struct(F.array_sort(labels).alias("labels"), properties.alias("properties")))
+
+
+def picked(properties: Column, fields: list[str]) -> Column:
+    """A map of the given fields, with null for those that the properties lack."""
+    return F.create_map(*[x for f in fields for x in (F.lit(f), F.try_element_at(properties, F.lit(f)))])
+
+
+def merged(one: Column, other: Column, without: str | None = None) -> Column:
+    """The entries of two maps, the other's where both have a key, and none of the key without."""
+    kept = lambda key: F.lit(True) if without is None else key != without
+    mine = F.map_filter(one, lambda key, _: kept(key) & ~F.map_contains_key(other, key))
+    return F.map_concat(mine, F.map_filter(other, lambda key, _: kept(key)))
+
+
 def words(text: Column) -> Column:
     """The words of a name, lower-cased."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fragmill.operators.fragments import best_of, not_within
+from fragmill.operators.matching import Pattern, embeddings
 
 # Priorities by kind, and the labels that the stop rules read.
 PRIORITIES = {
@@ -80,6 +81,40 @@ def low_information(heavy: Column, rings: Column, carbons: Column) -> Column:
     return (heavy <= 2) | ((heavy <= 4) & (rings == 0) & F.coalesce(carbons == heavy, F.lit(False)))
 
 
+def informative_path(heavy: Column, carbons: Column, aromatic: Column, rings: Column, least: int = 3, carbon: bool = True) -> Column:
+    """Whether a path says something: large enough, with a carbon (if asked for) and something else, and not a part of an aromatic ring that is cut open."""
+    has_carbon = (carbons > 0) if carbon else F.lit(True)
+    return (heavy >= least) & (heavy > 2) & has_carbon & (carbons < heavy) & ~((aromatic > 0) & (rings == 0))
+
+
+def features(rows: DataFrame, indication: str, fragment: str) -> DataFrame:
+    """(indication, fragment) of rules, trimmed and once each; blank ones are dropped."""
+    trimmed = rows.select(F.trim(indication).alias("indication"), F.trim(fragment).alias("fragment"))
+    return trimmed.where("indication <> '' and fragment <> ''").distinct()
+
+
+def feature_matches(indications: DataFrame, rules: DataFrame, patterns: dict[str, Pattern], atoms: DataFrame, bonds: DataFrame) -> DataFrame:
+    """(molecule_id, source, fragment, atoms) for each place where a fragment fits that a rule names for one of the molecule's indications.
+
+    indications has (molecule_id, indication), rules (indication, fragment);
+    patterns gives the shape of each fragment, and one without a shape never fits.
+    Places with the same atoms count once. Only molecules that a rule asks for are
+    looked at.
+    """
+    asked = indications.select("molecule_id", "indication").distinct().join(rules, "indication")
+    found = None
+    for name, pattern in patterns.items():
+        wanted = asked.where(F.col("fragment") == name)
+        ids = wanted.select("molecule_id").distinct()
+        places = embeddings(pattern, atoms.join(ids, "molecule_id", "left_semi"), bonds.join(ids, "molecule_id", "left_semi"))
+        once = places.select("molecule_id", F.array_sort("at").alias("atoms")).distinct()
+        rows = wanted.join(once, "molecule_id").select("molecule_id", F.concat(F.lit("drug_feature:"), "indication").alias("source"), "fragment", "atoms")
+        found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        raise ValueError("no pattern is given")
+    return found
+
+
 def resolved(candidates: DataFrame, molecule: str = "molecule_id") -> DataFrame:
     """The candidates that are kept: informative ones that are no part of a residue (rules of a drug's features excepted), then the best of each atom set and of each SMILES.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = ["molecule_id", "fragment_hash"]
@@ -74,3 +74,21 @@ def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     columns = left.columns
     right = right.select(columns)
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+
+
+def with_views(spark: SparkSession, sql: str, **views: DataFrame | str) -> DataFrame:
+    """A statement over named views, given as frames or as statements over other views; none outlives the statement.
+
+    A {name} in a statement stands for a view. A view over views is expanded by the
+    optimizer, so nothing is computed twice that its plan shares.
+    """
+    frames = {name: view for name, view in views.items() if isinstance(view, DataFrame)}
+    waiting = {name: view for name, view in views.items() if not isinstance(view, DataFrame)}
+    while waiting:
+        ready = [name for name, view in waiting.items() if not any(f"{{{other}}}" in view for other in waiting)]
+        if not ready:
+            raise ValueError(f"views name each other: {sorted(waiting)}")
+        for name in ready:
+            frames[name] = spark.sql(waiting[name], **{n: f for n, f in frames.items() if f"{{{n}}}" in waiting[name]})
+            del waiting[name]
+    return spark.sql(sql, **{n: f for n, f in frames.items() if f"{{{n}}}" in sql})

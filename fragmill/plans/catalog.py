@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fragmill.functions import scalars
 from fragmill.operators import audit, dialogue, fragments, graph, matching, ranking, semantics, telemetry, warehouse
 from fragmill.plans.analogues import Tables, with_views
-from fragmill.sources import readers
+from fragmill.sources import readers, sinks
 from fragmill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -860,3 +860,160 @@ def f07_scalars(t: Tables) -> DataFrame:
     phone = scalars.is_phone(F.when(F.col("p_partkey") % 2 == 0, "13800000000").otherwise("23800000000"))
     quoted = F.concat(F.lit(scalars.quoted("a`")[:-1]), F.col("p_partkey").cast("string"), F.lit("`"))
     return t.raw("part").select("p_partkey", name.alias("name"), size.alias("size"), molecule.alias("molecule"), phone.alias("phone"), quoted.alias("quoted"))
+
+
+# Parts, paths and rules of molecules; nodes and requests; what is written and read again
+
+
+_TWO_WAYS = "w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds)"
+
+
+@_query(
+    f"""{_TWO_WAYS}, l AS (SELECT molecule_id, atom FROM atoms WHERE label <> 'R'),
+    r AS (SELECT molecule_id, atom, atom AS near FROM l
+          UNION SELECT r.molecule_id, r.atom, w.b FROM r JOIN w ON w.molecule_id = r.molecule_id AND w.a = r.near JOIN l ON l.molecule_id = w.molecule_id AND l.atom = w.b),
+    p AS (SELECT molecule_id, atom, min(near) AS part FROM r GROUP BY 1, 2)
+    SELECT molecule_id, string_agg(atom, ',' ORDER BY atom) AS atoms FROM p GROUP BY molecule_id, part""",
+    "bonds", "atoms", recursive=True,
+)
+def c26_uncovered_parts(t: Tables) -> DataFrame:
+    found = fragments.uncovered_parts(t.atoms(), t.bonds(), t.atoms().where("label = 'R'"))
+    return found.select("molecule_id", F.array_join("atoms", ",").alias("atoms"))
+
+
+@_query(
+    f"""{_TWO_WAYS}, p AS (SELECT DISTINCT molecule_id, [a] AS path FROM w UNION ALL
+          SELECT p.molecule_id, list_append(path, b) FROM p JOIN w ON p.molecule_id = w.molecule_id AND path[-1] = a AND NOT list_contains(path, b) WHERE len(path) < 4),
+    q AS (SELECT molecule_id, path FROM p WHERE len(path) >= 2 AND path[1] < path[-1]),
+    n AS (SELECT q.molecule_id, path, count(*) AS heavy, count(*) FILTER (WHERE label = 'A') AS carbons, count(*) FILTER (WHERE label = 'R') AS aromatic
+          FROM q JOIN atoms ON atoms.molecule_id = q.molecule_id AND list_contains(path, atom) GROUP BY 1, 2),
+    r AS (SELECT q.molecule_id, path, count(*) - len(path) + 1 AS rings FROM q JOIN bonds ON bonds.molecule_id = q.molecule_id AND list_contains(path, a) AND list_contains(path, b) GROUP BY 1, 2)
+    SELECT molecule_id, array_to_string(path, ',') AS path FROM n JOIN r USING (molecule_id, path)
+    WHERE heavy >= 3 AND carbons BETWEEN 1 AND heavy - 1 AND NOT (aromatic > 0 AND rings = 0)""",
+    "bonds", "atoms", recursive=True,
+)
+def p18_informative_paths(t: Tables) -> DataFrame:
+    rows = fragments.path_metrics(fragments.simple_paths(t.bonds(), 2, 4), t.atoms(), t.bonds(), ("A",), ("R",))
+    told = semantics.informative_path(*map(F.col, ("heavy_atoms", "carbon_atoms", "aromatic_atoms", "rings")))
+    return rows.where(told).select("molecule_id", F.array_join("path", ",").alias("path"))
+
+
+_RULES = "u AS (SELECT DISTINCT o_orderpriority AS indication, CASE o_orderkey % 3 WHEN 0 THEN 'AR' WHEN 1 THEN 'AN' END AS fragment FROM orders WHERE o_custkey % 40 = length(o_orderpriority))"
+
+
+def _feature_rules(t: Tables) -> DataFrame:
+    rows = t.raw("orders").where("o_custkey % 40 = length(o_orderpriority)")
+    fragment = F.when(F.col("o_orderkey") % 3 == 0, " AR").when(F.col("o_orderkey") % 3 == 1, "AN ").otherwise(" ")
+    return semantics.features(rows.select(F.concat(F.lit(" "), "o_orderpriority").alias("i"), fragment.alias("f")), "i", "f")
+
+
+@_query(f"WITH {_RULES} SELECT indication, string_agg(fragment, ',' ORDER BY fragment) AS fragments FROM u WHERE fragment IS NOT NULL GROUP BY 1")
+def s19_features_by_indication(t: Tables) -> DataFrame:
+    rows = _feature_rules(t).groupBy("indication").agg(F.array_sort(F.collect_set("fragment")).alias("fragments"))
+    return rows.select("indication", F.array_join("fragments", ",").alias("fragments"))
+
+
+@_query(
+    f"""{_RULES}, x AS (SELECT b.molecule_id, a, b, m.label AS la, n.label AS lb FROM bonds b JOIN atoms m ON m.molecule_id = b.molecule_id AND m.atom = b.a JOIN atoms n ON n.molecule_id = b.molecule_id AND n.atom = b.b)
+    SELECT DISTINCT molecule_id, 'drug_feature:' || indication AS source, fragment, a || ',' || b AS atoms FROM x JOIN orders ON o_orderkey = molecule_id JOIN u ON indication = o_orderpriority AND fragment IN (la || lb, lb || la)""",
+    "bonds", "atoms",
+)
+def c25_feature_matches(t: Tables) -> DataFrame:
+    asked = t.raw("orders").select(F.col("o_orderkey").alias("molecule_id"), F.col("o_orderpriority").alias("indication"))
+    patterns = {name: matching.Pattern(tuple(name), ((0, 1),)) for name in ("AR", "AN")}
+    found = semantics.feature_matches(asked, _feature_rules(t), patterns, t.atoms(), t.bonds())
+    return found.select("molecule_id", "source", "fragment", F.array_join("atoms", ",").alias("atoms"))
+
+
+@_query("SELECT l_orderkey, lower(to_hex(bit_or(CAST(1 AS BIGINT) << CAST(l_linenumber * 8 + l_partkey % 6 AS INT)))) AS state FROM lineitem GROUP BY 1")
+def f19_mask_hex(t: Tables) -> DataFrame:
+    bits = t.raw("lineitem").groupBy("l_orderkey").agg(F.collect_set((F.col("l_linenumber") * 8 + F.col("l_partkey") % 6).cast("int")).alias("bits"))
+    return bits.select("l_orderkey", scalars.mask_hex(F.col("bits")).alias("state"))
+
+
+def _nodes(t: Tables) -> DataFrame:
+    """Parts as nodes: their labels are the words of their type and name, their properties the brand, and for some the size."""
+    both = F.create_map(F.lit("brand"), "p_brand", F.lit("size"), F.col("p_size").cast("string"))
+    properties = F.when(F.col("p_partkey") % 3 == 0, F.create_map(F.lit("brand"), "p_brand")).otherwise(both)
+    return t.raw("part").select("p_partkey", F.split(F.concat_ws(" ", "p_type", "p_name"), " ").alias("labels"), properties.alias("properties"))
+
+
+@_query("SELECT p_partkey, p_brand AS brand FROM part WHERE list_contains(string_split(p_type || ' ' || p_name, ' '), 'ring')")
+def s20_labelled_nodes(t: Tables) -> DataFrame:
+    return graph.labelled(_nodes(t), "ring").select("p_partkey", F.col("properties")["brand"].alias("brand"))
+
+
+@_query("""SELECT p_partkey, array_to_string(list_sort(string_split(p_type || ' ' || p_name, ' ')), ',') AS labels, p_brand AS brand, CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size,
+    3 AS fields FROM part""")
+def f29_node_payloads(t: Tables) -> DataFrame:
+    node = graph.payload(F.col("labels"), F.col("properties"))
+    rows = _nodes(t).select("p_partkey", node.alias("node"))
+    data = graph.picked(F.col("node.properties"), ["brand", "size", "none"])
+    return rows.select("p_partkey", F.array_join("node.labels", ",").alias("labels"), data["brand"].alias("brand"), data["size"].alias("size"), F.size(data).alias("fields"))
+
+
+@_query("""SELECT p_partkey, p_name AS name, CASE WHEN p_partkey % 3 = 0 THEN 'own' ELSE CAST(p_size AS VARCHAR) END AS size, false AS has_brand,
+    2 AS fields FROM part""")
+def f31_merged_records(t: Tables) -> DataFrame:
+    item = F.create_map(F.lit("name"), "p_name", F.lit("size"), F.lit("own"))
+    rows = _nodes(t).join(t.raw("part").select("p_partkey", item.alias("item")), "p_partkey")
+    record = graph.merged(F.col("item"), F.col("properties"), "brand")
+    return rows.select("p_partkey", record["name"].alias("name"), record["size"].alias("size"), F.map_contains_key(record, "brand").alias("has_brand"), F.size(record).alias("fields"))
+
+
+@_query("""WITH q AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END AS s, o_custkey % 4 AS j, o_orderkey % 5 - 1 AS p FROM orders)
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 10 AS id, NULL AS error FROM q WHERE s <> '' AND j > 0 AND p > 0
+    UNION ALL SELECT o_orderkey, NULL, CASE WHEN s = '' THEN 'source_type and aim_type cannot be empty' ELSE 'max_jump_num and max_path_num must be greater than 0' END FROM q WHERE NOT (s <> '' AND j > 0 AND p > 0)""")
+def d12_path_requests(t: Tables) -> DataFrame:
+    asked = t.raw("orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("source_type"), F.lit("Drug").alias("aim_type"),
+        (F.col("o_custkey") % 4).alias("max_jump_num"), (F.col("o_orderkey") % 5 - 1).alias("max_path_num"),
+    )
+    recorded, refused = audit.path_requests(asked, ["o_orderkey"], 10)
+    return recorded.select("o_orderkey", "id").unionByName(refused.select("o_orderkey", "error"), allowMissingColumns=True)
+
+
+@_query("""SELECT coalesce(nullif(CASE WHEN p_partkey % 5 = 0 THEN '' ELSE trim(p_name) END, ''), 'drug_' || row_number() OVER (ORDER BY p_partkey)) AS name, p_type AS smiles FROM part
+    QUALIFY p_type IS NOT NULL AND p_partkey % 7 <> 0 AND row_number() OVER (ORDER BY p_partkey) > 1""")
+def s08_named_smiles(t: Tables) -> DataFrame:
+    sheet = ranking.numbered(t.raw("part").select("p_partkey", "p_name", "p_type"), ["p_partkey"], "n").withColumn("row", F.col("n") - 1)
+    smiles = F.when(F.col("row") == 0, "TABLE").when(F.col("p_partkey") % 7 != 0, F.concat(F.lit(" "), "p_type"))
+    rows = sheet.select("row", F.when(F.col("p_partkey") % 5 != 0, F.col("p_name")).alias("name"), smiles.alias("smiles"))
+    return readers.named_smiles(rows, "row", "name", "smiles")
+
+
+@_query("SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem")
+def s13_rows_by_file(t: Tables) -> DataFrame:
+    return readers.rows_by_file(t.spark, f"{t.folder}/lineitem.parquet").agg(F.sum("n").alias("n"))
+
+
+@_query("SELECT CAST(p_partkey AS VARCHAR) AS molecule_id, trim(p_name) AS smiles FROM part")
+def s01_exported_molecules(t: Tables) -> DataFrame:
+    folder = f"{ingest.work_folder(t.spark)}/csv"
+    sinks.export_csv(t.raw("part"), folder, ["p_partkey", "p_name", "p_brand"])
+    return readers.molecules(t.spark, folder, "p_partkey", "p_name")
+
+
+@_query("SELECT molecule_id, fragment_hash, atom_count FROM small", "small")
+def k01_written_build(t: Tables) -> DataFrame:
+    folder = f"{ingest.work_folder(t.spark)}/build"
+    sinks.write_fragments(t.small(), folder)
+    return t.spark.read.parquet(folder).select(F.col("molecule_id").cast("string").alias("molecule_id"), "fragment_hash", "atom_count")
+
+
+@_query("SELECT CAST(event_id AS VARCHAR) AS request_id, event_type AS method, CAST(user_id AS VARCHAR) AS user_id, 200 AS status_code FROM events")
+def k17_audit_records(t: Tables) -> DataFrame:
+    folder = f"{ingest.work_folder(t.spark)}/audit"
+    records = t.raw("events").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.col("event_id").cast("string").alias("request_id"),
+        F.col("event_type").alias("method"), F.col("user_id").cast("string").alias("user_id"), F.lit(200).alias("status_code"),
+    )
+    sinks.append_audit(records, folder)
+    return readers.audit_records(t.spark, folder).select("request_id", "method", "user_id", "status_code")
+
+
+@_query("SELECT batch, count(*) AS fragment_rows, count(DISTINCT fragment_hash) AS fragments FROM (SELECT * FROM small UNION ALL SELECT * FROM big) GROUP BY 1", "small", "big")
+def d01_views(t: Tables) -> DataFrame:
+    return warehouse.with_views(
+        t.spark, "SELECT batch, count(*) AS fragment_rows, count(DISTINCT fragment_hash) AS fragments FROM {unified} GROUP BY batch", unified="SELECT * FROM {small} UNION ALL SELECT * FROM {big}", small=t.small(), big=t.big()
+    )

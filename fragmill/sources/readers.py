@@ -13,6 +13,8 @@ from fragmill.functions.scalars import column_at, path_molecule, split_trimmed
 
 MOLECULES = "molecule_id string, smiles string"
 SUCCESS = "molecule_id string, status string, chunk_count long, fragment_rows long, elapsed_seconds double, min_atoms int, max_atoms int"
+#: Fixed value: the characters that tell SMILES from a heading.
+SMILES_MARKS = "CNOSPFIcnops()=#@[]"
 AUDIT = (
     "timestamp string, request_id string, client_ip string, listen_port int, method string, path string, "
     "user_id string, user_id_source string, status_code int, duration_ms double, error string"
@@ -41,6 +43,19 @@ def molecules(spark: SparkSession, path: str, id_column: str = "molecule_id", sm
     return rows.withColumn("smiles", checked)
 
 
+def named_smiles(rows: DataFrame, number: str, name: str, smiles: str) -> DataFrame:
+    """(name, smiles) of a sheet's first two columns, trimmed; number counts its rows from 0.
+
+    Rows without SMILES are dropped, and so is the first row if its SMILES has no
+    character of one, as it then is a heading. A row without a name is named
+    drug_ and its number from 1.
+    """
+    text = F.trim(smiles)
+    heading = (F.col(number) == 0) & (F.translate(text, SMILES_MARKS, "") == text)
+    named = F.when(F.coalesce(name, F.lit("")) == "", F.concat(F.lit("drug_"), (F.col(number) + 1).cast("string"))).otherwise(F.trim(name))
+    return rows.where((text != "") & ~heading).select(named.alias("name"), text.alias("smiles"))
+
+
 def expected_ids(spark: SparkSession, path: str) -> DataFrame:
     """(molecule_id) as numbers, one to a line."""
     return spark.read.schema("molecule_id int").csv(path)

@@ -219,3 +219,36 @@ def test_a_large_molecule_is_written_by_many_tasks(spark, tmp_path):
     sinks.write_fragments(rows, str(tmp_path / "f"), rows_per_file=100)
     files = {r.file: r.n for r in readers.rows_by_file(spark, str(tmp_path / "f")).collect()}
     assert sum(files.values()) == 1000 and sum("=big" in f for f in files) >= 5 and max(files.values()) <= 100
+
+
+def test_masks_wider_than_a_number(spark):
+    rows = spark.createDataFrame([(1, [0, 4, 70]), (2, []), (3, [3, 3])], "id int, bits array<int>")
+    got = {r["id"]: r["m"] for r in rows.select("id", scalars.mask_hex(F.col("bits")).alias("m")).collect()}
+    assert got == {1: format(1 | 1 << 4 | 1 << 70, "x"), 2: "0", 3: "8"}
+
+
+def test_views_over_views_and_views_in_a_ring(spark):
+    rows = warehouse.with_views(spark, "SELECT sum(x) AS s FROM {b}", a="SELECT id + 1 AS x FROM {base}", b="SELECT x * 2 AS x FROM {a}", base=spark.range(3))
+    assert rows.collect() == [(12,)]
+    with pytest.raises(ValueError):
+        warehouse.with_views(spark, "SELECT * FROM {a}", a="SELECT * FROM {b}", b="SELECT * FROM {a}")
+
+
+def test_parts_that_nothing_covers(spark):
+    atoms = spark.createDataFrame([(1, i) for i in range(6)] + [(2, 0), (3, 0)], "molecule_id int, atom int")
+    bonds = spark.createDataFrame([(1, 0, 1), (1, 1, 2), (1, 2, 3), (1, 3, 4)], "molecule_id int, a int, b int")
+    got = fragments.uncovered_parts(atoms, bonds, spark.createDataFrame([(1, 2), (3, 0)], "molecule_id int, atom int"))
+    assert sorted((r[0], r[1]) for r in got.collect()) == [(1, [0, 1]), (1, [3, 4]), (1, [5]), (2, [0])]
+
+
+def test_requests_without_types_or_limits_are_refused(spark):
+    rows = spark.createDataFrame([(1, "Drug", "Gene", 2, 3), (2, None, "Gene", 2, 3), (3, "Drug", "Gene", 0, 3), (4, "Drug", "Gene", None, 3), (5, "a", "b", 1, 1)], "n int, source_type string, aim_type string, max_jump_num int, max_path_num int")
+    recorded, refused = audit.path_requests(rows, ["n"])
+    assert sorted((r["n"], r["id"]) for r in recorded.collect()) == [(1, 1), (5, 2)]
+    assert sorted((r["n"], r["error"].split()[0]) for r in refused.collect()) == [(2, "source_type"), (3, "max_jump_num"), (4, "max_jump_num")]
+
+
+def test_nodes_that_are_null_have_no_payload(spark):
+    rows = spark.sql("SELECT array('b', 'a') AS l, map('x', '1') AS p UNION ALL SELECT NULL, NULL")
+    got = rows.select(graph.payload(F.col("l"), F.col("p")).alias("n")).collect()
+    assert {(tuple(r["n"]["labels"]) if r["n"] else None) for r in got} == {("a", "b"), None}
