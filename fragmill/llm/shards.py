@@ -19,6 +19,8 @@ TARGET_BYTES = 128 << 20
 RETAIN, LEFTOVER_AGE = 2, 7 * 86_400
 #: Times that a writer tries again after another has committed first.
 TRIES = 20
+#: Shards whose numbers are broadcast when a version is read, some 100 bytes each; those of more are joined.
+BROADCAST_SHARDS = 100_000
 
 _MANIFEST = "shard string, bytes long, tier int"
 
@@ -213,6 +215,8 @@ class ShardStore:
         tail = F.array_join(F.slice(F.split(F.input_file_name(), "/"), -2, 2), "/")
         rows = self.spark.read.schema(self.schema).parquet(*names).withColumn(file, tail)
         numbers = self.spark.createDataFrame([("/".join(s.split("/")[-2:]), i) for i, s in enumerate(names)], T.StructType([T.StructField(file, T.StringType()), T.StructField(shard_col, T.IntegerType())]))
+        # A row for each shard, counted here; Spark does not know how few they are and would shuffle all texts on them.
+        numbers = F.broadcast(numbers) if len(names) <= BROADCAST_SHARDS else numbers
         return rows.drop(shard_col).join(numbers, file).drop(file)
 
     def vacuum(self, retain: int = RETAIN, leftover_age: float = LEFTOVER_AGE) -> int:

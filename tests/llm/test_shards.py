@@ -127,3 +127,13 @@ def test_odd_rows(spark):
     own = odd.select("doc_id", "text").withColumn("_shard", odd["text"])
     again = S.sharded(own, S.ShardStore(spark, scratch_dir(spark), own.schema), arrivals=2)
     assert again.count() == 4 and dict(again.dtypes)["_shard"] == "int"
+
+
+def test_many_shards_are_numbered_like_few(spark, monkeypatch):
+    s = store(spark, target_bytes=1 << 12)
+    S.sharded(rows(spark, 300).repartition(4, "doc_id"), s, arrivals=6)
+    few = s.read().select("doc_id", "_shard")
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(S, "BROADCAST_SHARDS", 0)
+    many = s.read().select("doc_id", "_shard")
+    assert few.count() == many.count() == 300 and few.exceptAll(many).count() == 0
