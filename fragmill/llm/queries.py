@@ -16,6 +16,7 @@ from .mixing import mixed
 from .pii import pseudonymised
 from .shards import ShardStore, sharded
 from .simhash import simhash_groups
+from .spelling import spelling_variants
 from .winnowing import digest, edited_fingerprints
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -119,6 +120,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit from a far more frequent word, and the word that such forms lead to."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
@@ -131,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
         "op10_line_dedup": op10_line_dedup,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
