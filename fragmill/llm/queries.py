@@ -17,6 +17,7 @@ from .pii import pseudonymised
 from .shards import ShardStore, sharded
 from .simhash import simhash_groups
 from .spelling import spelling_variants
+from .vectors import near_vectors
 from .winnowing import digest, edited_fingerprints
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -120,6 +121,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many vectors of its label each vector is linked to by a cosine of 0.98 or more, and its component."""
+    return near_vectors(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words one edit from a far more frequent word, and the word that such forms lead to."""
     return spelling_variants(table(spark, sf_dir, "documents"))
@@ -137,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
         "op10_line_dedup": op10_line_dedup,
+        "op11_embedding_near_dedup": op11_embedding_near_dedup,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
