@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality
+from . import alignment, bpe, langid, quality
 from .common import scratch_dir, table
 from .exact_dedup import exact_duplicates
 from .linededup import line_dedup
@@ -21,6 +22,7 @@ from .vectors import near_vectors
 from .winnowing import digest, edited_fingerprints
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Only for the query over the given tables; users pass a key of their own.
 KEY = "given tables"
 
@@ -126,6 +128,12 @@ def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings")).drop("label")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every text are aligned, and how often its links stand in all texts."""
+    first, second = (Path(public_tokenizers.path(name)) for name in ALIGNED)
+    return alignment.aligned(table(spark, sf_dir, "documents"), first.read_text("utf-8"), second.read_bytes(), public_tokenizers.PATTERN)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words one edit from a far more frequent word, and the word that such forms lead to."""
     return spelling_variants(table(spark, sf_dir, "documents"))
@@ -144,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mixing": op9_mixing,
         "op10_line_dedup": op10_line_dedup,
         "op11_embedding_near_dedup": op11_embedding_near_dedup,
+        "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
