@@ -10,20 +10,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragmill.functions.rings import ring_bonds, smallest_rings
+from fragmill.operators import telemetry
 from fragmill.operators.fragments import parts
 
 _TOKEN = re.compile(r"\[(?P<bracket>[^\]]+)\]|(?P<atom>Br|Cl|[BCNOPSFI]|[bcnops])|(?P<ring>%\d\d|\d)|(?P<bond>[-=#:/\\$~])|(?P<open>\()|(?P<close>\))|(?P<dot>\.)")
-_BRACKET = re.compile(r"\d*(?P<symbol>[A-Z][a-z]?|[a-z][a-z]?|\*)")
-_ATOM = T.StructType([T.StructField("atom", T.IntegerType()), T.StructField("label", T.StringType()), T.StructField("aromatic", T.BooleanType())])
+_BRACKET = re.compile(r"\d*(?P<symbol>[A-Z][a-z]?|[a-z][a-z]?|\*)@*(?P<hydrogens>H\d*)?(?P<charge>\++\d*|-+\d*)?")
+_ATOM = T.StructType([
+    T.StructField("atom", T.IntegerType()), T.StructField("label", T.StringType()), T.StructField("aromatic", T.BooleanType()),
+    T.StructField("charge", T.IntegerType()), T.StructField("hydrogens", T.IntegerType()),
+])
 _BOND = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("system", T.IntegerType())])
+_RING = T.StructType([T.StructField("atoms", T.ArrayType(T.IntegerType())), T.StructField("bonds", T.ArrayType(T.IntegerType()))])
 _MOLECULE = T.StructType([T.StructField("atoms", T.ArrayType(_ATOM)), T.StructField("bonds", T.ArrayType(_BOND))])
+#: Bonds that an atom without brackets has; hydrogens make up for those it lacks.
+_VALENCES = {"B": (3,), "C": (4,), "N": (3, 5), "O": (2,), "P": (3, 5), "S": (2, 4, 6), "F": (1,), "Cl": (1,), "Br": (1,), "I": (1,)}
+_ORDERS = {"-": 1, "=": 2, "#": 3, "$": 4, ":": 1}
+
+
+def _charge(text: str | None) -> int:
+    """The charge that signs and a number after them stand for."""
+    if not text:
+        return 0
+    size = int(text.lstrip("+-")) if text.lstrip("+-") else len(text)
+    return size if text[0] == "+" else -size
+
+
+def _systems(bonds: list[tuple[int, int, str]]) -> dict[int, int]:
+    """The smallest atom of the aromatic system of each atom that has an aromatic bond."""
+    least: dict[int, int] = {}
+
+    def of(a: int) -> int:
+        while least.setdefault(a, a) != a:
+            least[a] = a = least[least[a]]
+        return a
+
+    for a, b, kind in bonds:
+        if kind == ":":
+            low, high = sorted((of(a), of(b)))
+            least[high] = low
+    return {a: of(a) for a in least}
 
 
 def parsed(smiles: str | None) -> tuple[list, list] | None:
-    """Atoms (number, element, aromatic) and bonds (a, b, kind, system) without hydrogens; None if the text is no SMILES.
+    """Atoms (number, element, aromatic, charge, hydrogens) and bonds (a, b, kind, system) without hydrogens; None if the text is no SMILES.
 
-    A bond between lower-case atoms without a sign is aromatic. Aromatic bonds that
-    share atoms are one system, named by its smallest atom; other bonds have none.
+    A bond between lower-case atoms without a sign is aromatic if it lies in a
+    ring, else single. Aromatic bonds that share atoms are one system, named by its
+    smallest atom; other bonds have none. Atoms outside brackets have the hydrogens
+    that their valence leaves.
     """
     atoms, bonds, branch, rings = [], [], [], {}
     last, kind, at = None, None, 0
@@ -31,10 +66,6 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
     if not text:
         return None
 
-    def bond(a: int, b: int, sign: str | None) -> None:
-        aromatic = sign == ":" or (sign is None and atoms[a][2] and atoms[b][2])
-        bonds.append((min(a, b), max(a, b), ":" if aromatic else sign if sign in ("=", "#", "$") else "-"))
-
     while at < len(text):
         token = _TOKEN.match(text, at)
         if not token:
@@ -45,9 +76,10 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
             if token["bracket"] and not symbol:
                 return None
             name = symbol["symbol"] if symbol else token["atom"]
-            atoms.append((len(atoms), name.capitalize(), name[0].islower()))
+            own = int(symbol["hydrogens"][1:] or 1) if symbol and symbol["hydrogens"] else 0
+            atoms.append((name.capitalize(), name[0].islower(), _charge(symbol["charge"] if symbol else None), own if symbol else None))
             if last is not None:
-                bond(last, len(atoms) - 1, kind)
+                bonds.append((last, len(atoms) - 1, kind))
             last, kind = len(atoms) - 1, None
         elif token["ring"]:
             if last is None:
@@ -57,7 +89,7 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
                 other, sign = rings.pop(number)
                 if other == last:
                     return None
-                bond(other, last, kind or sign)
+                bonds.append((other, last, kind or sign))
             else:
                 rings[number] = (last, kind)
             kind = None
@@ -73,14 +105,22 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
             last, kind = None, None
     if branch or rings or not atoms:
         return None
-    keep = {n: i for i, n in enumerate(n for n, label, _ in atoms if label != "H")}
-    atoms = [(keep[n], label, aromatic) for n, label, aromatic in atoms if n in keep]
+    within = ring_bonds([(a, b) for a, b, _ in bonds]) if any(x[1] for x in atoms) else ()
+    bonds = [(min(a, b), max(a, b), k if k in _ORDERS else ":" if k is None and i in within and atoms[a][1] and atoms[b][1] else "-") for i, (a, b, k) in enumerate(bonds)]
+    used = [0] * len(atoms)
+    for a, b, k in bonds:
+        used[a], used[b] = used[a] + _ORDERS[k], used[b] + _ORDERS[k]
+    aside = [0] * len(atoms)
+    for a, b, _ in bonds:
+        if atoms[b][0] == "H":
+            aside[a] += 1
+        if atoms[a][0] == "H":
+            aside[b] += 1
+    free = lambda i: max(0, next((v for v in _VALENCES.get(atoms[i][0], (0,)) if v >= used[i] + atoms[i][1]), 0) - used[i] - atoms[i][1])
+    keep = {n: i for i, n in enumerate(n for n, x in enumerate(atoms) if x[0] != "H")}
+    atoms = [(keep[n], *x[:3], (free(n) if x[3] is None else x[3]) + aside[n]) for n, x in enumerate(atoms) if n in keep]
     bonds = [(keep[a], keep[b], k) for a, b, k in bonds if a in keep and b in keep]
-    system = {}
-    for a, b, k in bonds * len(atoms) if any(k == ":" for *_, k in bonds) else ():
-        if k == ":":
-            low = min(system.get(a, a), system.get(b, b))
-            system[a] = system[b] = low
+    system = _systems(bonds)
     return atoms, [(a, b, k, system[a] if k == ":" else None) for a, b, k in bonds]
 
 
@@ -90,19 +130,45 @@ def _parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         found = [parsed(t) or (None, None) for t in texts]
         yield pd.DataFrame(
             {
-                "atoms": [None if a is None else [dict(zip(("atom", "label", "aromatic"), x)) for x in a] for a, _ in found],
-                "bonds": [None if b is None else [dict(zip(("a", "b", "kind", "system"), x)) for x in b] for _, b in found],
+                "atoms": [None if a is None else [dict(zip(_ATOM.names, x)) for x in a] for a, _ in found],
+                "bonds": [None if b is None else [dict(zip(_BOND.names, x)) for x in b] for _, b in found],
             }
         )
 
 
+@F.pandas_udf(T.StringType())
+def largest_part(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Of a text's parts between dots that are SMILES, the first of those with most heavy atoms; null if none is."""
+    for texts in batches:
+        out = []
+        for text in texts:
+            sizes = [(len(found[0]), part) for part in (text or "").strip().split(".") if (found := parsed(part)) and found[0]]
+            out.append(max(sizes, key=lambda x: x[0])[1] if sizes else None)
+        yield pd.Series(out, dtype=object)
+
+
 def molecules(df: DataFrame, smiles: str = "smiles") -> DataFrame:
     """df with molecule, struct<atoms, bonds>; its fields are null where the text is no SMILES."""
     return df.withColumn("molecule", _parse(F.col(smiles).cast("string")))
 
 
+@F.pandas_udf(T.ArrayType(_RING))
+def _rings(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for molecules in batches:
+        out = []
+        for bonds in molecules:
+            pairs = [(x["a"], x["b"]) for x in bonds] if bonds is not None else []
+            out.append([{"atoms": sorted({a for k in ring for a in pairs[k]}), "bonds": ring} for ring in smallest_rings(pairs)])
+        yield pd.Series(out)
+
+
+def with_rings(rows: DataFrame) -> DataFrame:
+    """rows with rings, an array of (atoms, bonds) of the smallest rings of each molecule, bonds by number; none for a null molecule."""
+    return rows.withColumn("rings", _rings(F.transform("molecule.bonds", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))))
+
+
 def atoms_of(rows: DataFrame) -> DataFrame:
-    """(molecule_id, atom, label, aromatic)."""
+    """(molecule_id, atom, label, aromatic, charge, hydrogens)."""
     return rows.select("molecule_id", F.inline("molecule.atoms"))
 
 
@@ -129,6 +195,55 @@ def metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def features(rows: DataFrame) -> DataFrame:
+    """(molecule_id, heavy_atoms, rings, aromatic_rings, hetero_atoms, nonring_bonds, rotatable_bonds, branches, has_benzene, score) of rows with rings.
+
+    A branch is each bond of an atom beyond two. A bond is rotatable if it is single
+    and in no ring, neither end is terminal, has a triple bond or carries three
+    equal terminal halogens or methyls, and it is not the bond between the carbon of
+    C=N, C=O or C=S with three neighbours and a further N, O or S that is not
+    terminal. The score weighs what makes fragments many. All is told from each
+    molecule's own arrays, so nothing is shuffled; a null molecule has null counts.
+    """
+    atoms, bonds, rings = F.col("molecule.atoms"), F.col("molecule.bonds"), F.col("rings")
+    label = lambda a: F.get(atoms, a)["label"]
+    at = lambda a: F.filter(bonds, lambda x: (x["a"] == a) | (x["b"] == a))
+    # Of each atom: neighbours, whether a bond is triple, whether it is a crowded end, whether it is the carbon or the other end of an amide-like bond.
+    near = F.transform(atoms, lambda x: F.transform(at(x["atom"]), lambda y: F.struct(F.when(y["a"] == x["atom"], y["b"]).otherwise(y["a"]).alias("atom"), y["kind"].alias("kind"))))
+    rows = rows.withColumn("_near", near).withColumn("_ring", F.array_distinct(F.flatten(F.transform(rings, lambda r: r["bonds"]))))
+    degree = lambda a: F.size(F.get("_near", a))
+    tips = lambda x, name: F.size(F.filter(F.get("_near", x["atom"]), lambda y: (label(y["atom"]) == name) & (degree(y["atom"]) == 1) & (y["kind"] == "-"))) >= 3
+    ends = F.transform(
+        atoms,
+        lambda x: F.struct(
+            degree(x["atom"]).alias("degree"),
+            F.exists(F.get("_near", x["atom"]), lambda y: y["kind"] == "#").alias("triple"),
+            ((x["label"] == "C") & (tips(x, "F") | tips(x, "Cl") | tips(x, "Br") | tips(x, "C"))).alias("crowded"),
+            ((x["label"] == "C") & (degree(x["atom"]) == 3) & F.exists(F.get("_near", x["atom"]), lambda y: (y["kind"] == "=") & label(y["atom"]).isin("N", "O", "S"))).alias("acyl"),
+            (x["label"].isin("N", "O", "S") & ((x["label"] == "N") | (degree(x["atom"]) > 1))).alias("donor"),
+        ),
+    )
+    rows = rows.withColumn("_ends", ends)
+    end = lambda a: F.get("_ends", a)
+    free = lambda a: (end(a)["degree"] > 1) & ~end(a)["triple"] & ~end(a)["crowded"]
+    stiff = lambda x: (end(x["a"])["acyl"] & end(x["b"])["donor"]) | (end(x["b"])["acyl"] & end(x["a"])["donor"])
+    outside = F.filter(F.transform(bonds, lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["kind"].alias("kind"), i.alias("i"))), lambda x: ~F.array_contains("_ring", x["i"]))
+    rows = rows.withColumn("_outside", outside)
+    aromatic = F.filter(rings, lambda r: F.forall(r["bonds"], lambda i: F.get(bonds, i)["kind"] == ":"))
+    rows = rows.select(
+        "molecule_id",
+        F.size(atoms).alias("heavy_atoms"),
+        F.size("rings").alias("rings"),
+        F.size(aromatic).alias("aromatic_rings"),
+        F.size(F.filter(atoms, lambda a: ~a["label"].isin("C", "H"))).alias("hetero_atoms"),
+        F.size("_outside").alias("nonring_bonds"),
+        F.size(F.filter("_outside", lambda x: (x["kind"] == "-") & free(x["a"]) & free(x["b"]) & ~stiff(x))).alias("rotatable_bonds"),
+        F.aggregate("_near", F.lit(0), lambda n, x: n + F.greatest(F.lit(0), F.size(x) - 2)).alias("branches"),
+        F.exists(aromatic, lambda r: F.size(r["atoms"]) == 6).alias("has_benzene"),
+    )
+    return rows.withColumn("score", telemetry.score(*map(F.col, ("nonring_bonds", "rotatable_bonds", "branches", "heavy_atoms", "hetero_atoms"))))
+
+
 def units_of(bonds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(units, systems) of bonds with system, for fragments.enumerated: one unit for each bond, one for each aromatic system."""
     from fragmill.operators.fragments import super_units

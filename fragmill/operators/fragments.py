@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fragmill.functions.rings import smallest_rings
 
 
 def with_bond_numbers(bonds: DataFrame) -> DataFrame:
@@ -159,9 +163,9 @@ def path_metrics(paths: DataFrame, atoms: DataFrame, bonds: DataFrame, carbons:
 
 
 def shapes(bonds: DataFrame, atoms: DataFrame, carbons: tuple[str, ...] = ("C",)) -> DataFrame:
-    """(molecule_id, heavy_atoms, bonds, rings, branches, hetero_atoms): rings are independent ones, branches are atoms with three bonds or more."""
+    """(molecule_id, heavy_atoms, bonds, rings, branches, hetero_atoms): rings are independent ones, branches each bond of an atom beyond two."""
     ends = bonds.select("molecule_id", F.explode(F.array("a", "b")).alias("atom")).groupBy("molecule_id", "atom").count()
-    degrees = ends.groupBy("molecule_id").agg(F.count_if(F.col("count") >= 3).alias("branches"))
+    degrees = ends.groupBy("molecule_id").agg(F.sum(F.greatest(F.col("count") - 2, F.lit(0))).alias("branches"))
     sizes = atoms.groupBy("molecule_id").agg(F.count("*").alias("heavy_atoms"), F.count_if(~F.col("label").isin(*carbons)).alias("hetero_atoms"))
     rows = sizes.join(degrees, "molecule_id", "left").join(_of_molecules(atoms, bonds), "molecule_id", "left")
     count = F.coalesce(F.size("_bonds").cast("long"), F.lit(0))
@@ -185,12 +189,25 @@ def simple_paths(bonds: DataFrame, least: int, most: int) -> DataFrame:
     return found.where(F.element_at("path", 1) < F.element_at("path", -1))
 
 
-def ring_fragments(bonds: DataFrame, most: int) -> DataFrame:
-    """(molecule_id, atoms) of every ring of up to so many atoms, once: a path from its smallest atom whose ends are bonded."""
-    ways = bonds.select("molecule_id", F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
-    paths = simple_paths(bonds, 3, most).where(F.col("path")[0] == F.array_min("path"))
-    ends = (F.col("_a") == F.least(F.col("path")[0], F.element_at("path", -1))) & (F.col("_b") == F.greatest(F.col("path")[0], F.element_at("path", -1)))
-    return paths.join(ways.withColumnRenamed("molecule_id", "_m"), (F.col("molecule_id") == F.col("_m")) & ends, "left_semi").select("molecule_id", F.array_sort("path").alias("atoms")).distinct()
+def atom_paths(bonds: DataFrame, least: int, most: int) -> DataFrame:
+    """(molecule_id, path) of the atoms of simple paths, sorted, each set of atoms once."""
+    return simple_paths(bonds, least, most).select("molecule_id", F.array_sort("path").alias("path")).distinct()
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+def _ring_atoms(molecules: pd.Series) -> pd.Series:
+    out = []
+    for bonds in molecules:
+        pairs = [(x["a"], x["b"]) for x in bonds]
+        out.append([sorted({a for k in ring for a in pairs[k]}) for ring in smallest_rings(pairs)])
+    return pd.Series(out)
+
+
+def ring_fragments(bonds: DataFrame) -> DataFrame:
+    """(molecule_id, atoms) of each ring of a smallest set that all other rings are made of; outlines of fused rings are not in it."""
+    pairs = F.struct(F.least("a", "b").cast("int").alias("a"), F.greatest("a", "b").cast("int").alias("b"))
+    each = bonds.groupBy("molecule_id").agg(F.array_sort(F.collect_set(pairs)).alias("_bonds")).where(F.size("_bonds") > 2)
+    return each.select("molecule_id", F.explode(_ring_atoms("_bonds")).alias("atoms"))
 
 
 def not_all_carbon(atoms: DataFrame, carbons: tuple[str, ...] = ("C",)) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fragmill.operators.fragments import best_of, not_within
-from fragmill.operators.matching import Pattern, embeddings
+from fragmill.operators.matching import Pattern
+from fragmill.operators.patterns import Atom, Structure, matches
 
 # Priorities by kind, and the labels that the stop rules read.
 PRIORITIES = {
@@ -99,20 +100,16 @@ def feature_matches(indications: DataFrame, rules: DataFrame, patterns: dict[str
     indications has (molecule_id, indication), rules (indication, fragment);
     patterns gives the shape of each fragment, and one without a shape never fits.
     Places with the same atoms count once. Only molecules that a rule asks for are
-    looked at.
+    looked at, and all shapes at once: the plan does not grow with the rules.
     """
-    asked = indications.select("molecule_id", "indication").distinct().join(rules, "indication")
-    found = None
-    for name, pattern in patterns.items():
-        wanted = asked.where(F.col("fragment") == name)
-        ids = wanted.select("molecule_id").distinct()
-        places = embeddings(pattern, atoms.join(ids, "molecule_id", "left_semi"), bonds.join(ids, "molecule_id", "left_semi"))
-        once = places.select("molecule_id", F.array_sort("at").alias("atoms")).distinct()
-        rows = wanted.join(once, "molecule_id").select("molecule_id", F.concat(F.lit("drug_feature:"), "indication").alias("source"), "fragment", "atoms")
-        found = rows if found is None else found.unionByName(rows)
-    if found is None:
+    if not patterns:
         raise ValueError("no pattern is given")
-    return found
+    asked = indications.select("molecule_id", "indication").distinct().join(rules, "indication")
+    ids = asked.select("molecule_id").distinct()
+    shapes = [Structure(name, tuple((Atom((label,)),) for label in p.labels), tuple((i, j, ()) for i, j in p.bonds)) for name, p in patterns.items()]
+    found = matches(shapes, atoms.join(ids, "molecule_id", "left_semi"), bonds.join(ids, "molecule_id", "left_semi"))
+    places = found.select("molecule_id", F.col("name").alias("fragment"), F.array_sort("atoms").alias("atoms"))
+    return asked.join(places, ["molecule_id", "fragment"]).select("molecule_id", F.concat(F.lit("drug_feature:"), "indication").alias("source"), "fragment", "atoms")
 
 
 def resolved(candidates: DataFrame, molecule: str = "molecule_id") -> DataFrame:

@@ -74,8 +74,8 @@ def running(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
 
 
 def label_frequencies(rows: DataFrame, column: str, top: int) -> DataFrame:
-    """(labels): the most frequent of labels joined by ';', as "label:count" joined by '; '."""
-    each = rows.select(F.explode(F.split(column, ";")).alias("label")).withColumn("label", F.trim("label")).where("label <> ''")
+    """(labels): the most frequent of labels joined by ';', as they are, as "label:count" joined by '; '."""
+    each = rows.select(F.explode(F.split(column, ";")).alias("label")).where("label <> ''")
     best = each.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(top)
     line = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), F.concat_ws(":", "label", "count").alias("t"))))
     return best.agg(F.array_join(F.transform(line, lambda x: x["t"]), "; ").alias("labels"))

@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: What compounds are put together from, by a part's key and size: each begins and ends with an atom that is bonded on.
+HEADS = ("CCC", "OCC", "NCC", "N#CCC", "CC(C)C", "OC(=O)C", "[O-][N+](=O)C", "CSC")
+CORES = ("c1ccccc1", "c1ccc2ccccc2c1", "C1CCCCC1", "C(=O)N", "COC", "c1ccccc1c1ccccc1", "c1ccsc1", "C1CC(=O)CCC1")
+TAILS = ("CC", "CO", "CN", "CC#N", "CC(=O)O", "CC(N)=O")
+
+
 class Tables:
     """The given tables of a folder and the views of them."""
 
@@ -81,6 +87,13 @@ class Tables:
         pairs = lines.join(ahead, "molecule_id").where((F.col("b") == F.col("a") + 1) | ((F.col("a") == 1) & (F.col("b") == 3)))
         return pairs.select("molecule_id", "a", "b")
 
+    def compounds(self) -> DataFrame:
+        """A part is a compound: its key and size choose head, core and tail of a SMILES text."""
+        key, size = F.col("p_partkey"), F.col("p_size")
+        of = lambda pieces, at: F.get(F.array(*map(F.lit, pieces)), at.cast("int"))
+        text = F.concat(of(HEADS, key % len(HEADS)), of(CORES, size % len(CORES)), of(TAILS, F.floor(key / len(HEADS)) % len(TAILS)))
+        return self.raw("part").select(key.alias("molecule_id"), text.alias("smiles"))
+
     def atoms(self) -> DataFrame:
         rows = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("molecule_id"), F.col("l_linenumber").alias("atom"))
         return rows.agg(F.min("l_returnflag").alias("label"))
@@ -103,6 +116,8 @@ VIEWS = {
         FROM documents JOIN labels USING (doc_id)""",
     "bonds": """SELECT DISTINCT x.l_orderkey AS molecule_id, x.l_linenumber AS a, y.l_linenumber AS b FROM lineitem x JOIN lineitem y
         ON x.l_orderkey = y.l_orderkey AND (y.l_linenumber = x.l_linenumber + 1 OR (x.l_linenumber = 1 AND y.l_linenumber = 3))""",
+    "compounds": f"""SELECT p_partkey AS molecule_id, ({list(HEADS)})[p_partkey % {len(HEADS)} + 1] AS head, ({list(CORES)})[p_size % {len(CORES)} + 1] AS core,
+        ({list(TAILS)})[p_partkey // {len(HEADS)} % {len(TAILS)} + 1] AS tail FROM part""",
     "atoms": "SELECT l_orderkey AS molecule_id, l_linenumber AS atom, min(l_returnflag) AS label FROM lineitem GROUP BY 1, 2",
 }
 

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fragmill.functions import scalars
-from fragmill.operators import audit, dialogue, fragments, graph, matching, ranking, semantics, telemetry, warehouse
+from fragmill.functions import scalars, smiles
+from fragmill.operators import audit, dialogue, fragments, graph, matching, patterns, ranking, semantics, skeletons, telemetry, warehouse
 from fragmill.plans.analogues import Tables, with_views
 from fragmill.sources import readers, sinks
 from fragmill.streaming import ingest
@@ -371,7 +371,7 @@ def d11_ledger_latest(t: Tables) -> DataFrame:
 
 
 @_query("""SELECT string_agg(w || ':' || n, '; ' ORDER BY n DESC, w) AS labels FROM (
-    SELECT w, count(*) AS n FROM (SELECT unnest(string_split(replace(p_type, ' ', ';'), ';')) AS w FROM part) WHERE trim(w) <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8)""")
+    SELECT w, count(*) AS n FROM (SELECT unnest(string_split(replace(p_type, ' ', ';'), ';')) AS w FROM part) WHERE w <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8)""")
 def a20_label_frequencies(t: Tables) -> DataFrame:
     return telemetry.label_frequencies(t.raw("part").select(F.replace("p_type", F.lit(" "), F.lit(";")).alias("labels")), "labels", 8)
 
@@ -651,7 +651,7 @@ def c16_connected_atoms(t: Tables) -> DataFrame:
 
 @_query(
     """e AS (SELECT molecule_id, a AS atom FROM bonds UNION ALL SELECT molecule_id, b FROM bonds), d AS (SELECT molecule_id, atom, count(*) AS n FROM e GROUP BY 1, 2),
-    g AS (SELECT molecule_id, CAST(sum(n) / 2 AS BIGINT) AS bonds, count(*) FILTER (WHERE n >= 3) AS branches FROM d GROUP BY 1),
+    g AS (SELECT molecule_id, CAST(sum(n) / 2 AS BIGINT) AS bonds, CAST(sum(greatest(n - 2, 0)) AS BIGINT) AS branches FROM d GROUP BY 1),
     s AS (SELECT molecule_id, count(*) AS heavy_atoms, count(*) FILTER (WHERE label NOT IN ('A', 'C')) AS hetero_atoms FROM atoms GROUP BY 1),
     -- Of bonded atoms all but the least of each part end a bond, so the rest are the parts.
     p AS (SELECT molecule_id, count(DISTINCT b) AS ends FROM bonds GROUP BY 1)
@@ -785,16 +785,16 @@ def p16_not_all_carbon(t: Tables) -> DataFrame:
     """w AS (SELECT molecule_id, a, b FROM bonds UNION SELECT molecule_id, b, a FROM bonds),
     p AS (SELECT DISTINCT molecule_id, [a] AS path FROM w UNION ALL
           SELECT p.molecule_id, list_append(path, b) FROM p JOIN w ON p.molecule_id = w.molecule_id AND path[-1] = a AND NOT list_contains(path, b) WHERE len(path) < 5)
-    SELECT molecule_id, array_to_string(path, ',') AS path FROM p WHERE len(path) >= 3 AND path[1] < path[-1]""",
+    SELECT DISTINCT molecule_id, array_to_string(list_sort(path), ',') AS path FROM p WHERE len(path) >= 3""",
     "bonds", recursive=True,
 )
 def c22_simple_paths(t: Tables) -> DataFrame:
-    return fragments.simple_paths(t.bonds(), 3, 5).select("molecule_id", F.array_join("path", ",").alias("path"))
+    return fragments.atom_paths(t.bonds(), 3, 5).select("molecule_id", F.array_join("path", ",").alias("path"))
 
 
 @_query("SELECT x.molecule_id, '1,2,3' AS atoms FROM bonds x JOIN bonds y ON y.molecule_id = x.molecule_id AND y.a = 2 AND y.b = 3 JOIN bonds z ON z.molecule_id = x.molecule_id AND z.a = 1 AND z.b = 3 WHERE x.a = 1 AND x.b = 2", "bonds")
 def c21_ring_fragments(t: Tables) -> DataFrame:
-    return fragments.ring_fragments(t.bonds(), 5).select("molecule_id", F.array_join("atoms", ",").alias("atoms"))
+    return fragments.ring_fragments(t.bonds()).select("molecule_id", F.array_join("atoms", ",").alias("atoms"))
 
 
 _BRANDS = "m AS (SELECT DISTINCT p_brand FROM part UNION SELECT 'none-' || n_name FROM nation)"
@@ -884,7 +884,7 @@ def c26_uncovered_parts(t: Tables) -> DataFrame:
 @_query(
     f"""{_TWO_WAYS}, p AS (SELECT DISTINCT molecule_id, [a] AS path FROM w UNION ALL
           SELECT p.molecule_id, list_append(path, b) FROM p JOIN w ON p.molecule_id = w.molecule_id AND path[-1] = a AND NOT list_contains(path, b) WHERE len(path) < 4),
-    q AS (SELECT molecule_id, path FROM p WHERE len(path) >= 2 AND path[1] < path[-1]),
+    q AS (SELECT DISTINCT molecule_id, list_sort(path) AS path FROM p WHERE len(path) >= 2),
     n AS (SELECT q.molecule_id, path, count(*) AS heavy, count(*) FILTER (WHERE label = 'A') AS carbons, count(*) FILTER (WHERE label = 'R') AS aromatic
           FROM q JOIN atoms ON atoms.molecule_id = q.molecule_id AND list_contains(path, atom) GROUP BY 1, 2),
     r AS (SELECT q.molecule_id, path, count(*) - len(path) + 1 AS rings FROM q JOIN bonds ON bonds.molecule_id = q.molecule_id AND list_contains(path, a) AND list_contains(path, b) GROUP BY 1, 2)
@@ -893,7 +893,7 @@ def c26_uncovered_parts(t: Tables) -> DataFrame:
     "bonds", "atoms", recursive=True,
 )
 def p18_informative_paths(t: Tables) -> DataFrame:
-    rows = fragments.path_metrics(fragments.simple_paths(t.bonds(), 2, 4), t.atoms(), t.bonds(), ("A",), ("R",))
+    rows = fragments.path_metrics(fragments.atom_paths(t.bonds(), 2, 4), t.atoms(), t.bonds(), ("A",), ("R",))
     told = semantics.informative_path(*map(F.col, ("heavy_atoms", "carbon_atoms", "aromatic_atoms", "rings")))
     return rows.where(told).select("molecule_id", F.array_join("path", ",").alias("path"))
 
@@ -1017,3 +1017,83 @@ def d01_views(t: Tables) -> DataFrame:
     return warehouse.with_views(
         t.spark, "SELECT batch, count(*) AS fragment_rows, count(DISTINCT fragment_hash) AS fragments FROM {unified} GROUP BY batch", unified="SELECT * FROM {small} UNION ALL SELECT * FROM {big}", small=t.small(), big=t.big()
     )
+
+
+# Compounds drawn as SMILES: what their pieces hold adds up
+
+
+_PIECES = """h(head, heavy, hetero, nonring, branches, hydroxyl, carboxyl, amine, thioether, nitrile, nitro) AS (VALUES
+      ('CCC', 3, 0, 2, 0, 0, 0, 0, 0, 0, 0), ('OCC', 3, 1, 2, 0, 1, 0, 0, 0, 0, 0), ('NCC', 3, 1, 2, 0, 0, 0, 1, 0, 0, 0), ('N#CCC', 4, 1, 3, 0, 0, 0, 0, 0, 1, 0),
+      ('CC(C)C', 4, 0, 3, 1, 0, 0, 0, 0, 0, 0), ('OC(=O)C', 4, 2, 3, 1, 1, 1, 0, 0, 0, 0), ('[O-][N+](=O)C', 4, 3, 3, 1, 0, 0, 1, 0, 0, 1), ('CSC', 3, 1, 2, 0, 0, 0, 0, 1, 0, 0)),
+    c(core, heavy, rings, aromatic, hetero, nonring, rotatable, branches, amide, ether, benzene) AS (VALUES
+      ('c1ccccc1', 6, 1, 1, 0, 0, 0, 2, 0, 0, true), ('c1ccc2ccccc2c1', 10, 2, 2, 0, 0, 0, 4, 0, 0, true), ('C1CCCCC1', 6, 1, 0, 0, 0, 0, 2, 0, 0, false), ('C(=O)N', 3, 0, 0, 2, 2, 0, 1, 1, 0, false),
+      ('COC', 3, 0, 0, 1, 2, 2, 0, 0, 1, false), ('c1ccccc1c1ccccc1', 12, 2, 2, 0, 1, 1, 4, 0, 0, true), ('c1ccsc1', 5, 1, 1, 1, 0, 0, 2, 0, 0, false), ('C1CC(=O)CCC1', 7, 1, 0, 1, 1, 0, 3, 0, 0, false)),
+    e(tail, heavy, hetero, nonring, rotatable, branches, hydroxyl, carboxyl, amine, amide, nitrile) AS (VALUES
+      ('CC', 2, 0, 1, 0, 0, 0, 0, 0, 0, 0), ('CO', 2, 1, 1, 0, 0, 1, 0, 0, 0, 0), ('CN', 2, 1, 1, 0, 0, 0, 0, 1, 0, 0), ('CC#N', 3, 1, 2, 0, 0, 0, 0, 0, 0, 1),
+      ('CC(=O)O', 4, 2, 3, 1, 1, 1, 1, 0, 0, 0), ('CC(N)=O', 4, 2, 3, 1, 1, 0, 0, 0, 1, 0)),
+    x AS (SELECT * FROM compounds JOIN h USING (head) JOIN c USING (core) JOIN e USING (tail))"""
+
+
+def _molecules(t: Tables) -> DataFrame:
+    return smiles.with_rings(smiles.molecules(t.compounds()))
+
+
+@_query(
+    f"""{_PIECES}, n AS (SELECT molecule_id, h.heavy + c.heavy + e.heavy AS heavy_atoms, rings, aromatic AS aromatic_rings, h.hetero + c.hetero + e.hetero AS hetero_atoms,
+      h.nonring + c.nonring + e.nonring + 2 AS nonring_bonds, 1 + c.rotatable + e.rotatable + 2 AS rotatable_bonds, h.branches + c.branches + e.branches AS branches, benzene AS has_benzene
+      FROM compounds JOIN h USING (head) JOIN c USING (core) JOIN e USING (tail))
+    SELECT *, round(0.23 * nonring_bonds + 0.13 * rotatable_bonds + 0.06 * branches + 0.04 * heavy_atoms + 0.02 * hetero_atoms, 6) AS score FROM n""",
+    "compounds",
+)
+def c31_molecule_features(t: Tables) -> DataFrame:
+    return smiles.features(_molecules(t)).withColumn("score", F.round("score", 6))
+
+
+@_query(
+    f"""{_PIECES}, g AS (SELECT molecule_id, unnest(['hydroxyl', 'carboxyl', 'amide', 'amine', 'ether', 'thioether', 'nitrile', 'nitro']) AS name,
+      unnest([h.hydroxyl + e.hydroxyl, h.carboxyl + e.carboxyl, c.amide + e.amide, h.amine + e.amine, ether, thioether, h.nitrile + e.nitrile, nitro]) AS n
+      FROM compounds JOIN h USING (head) JOIN c USING (core) JOIN e USING (tail))
+    SELECT molecule_id, name, CAST(n AS BIGINT) AS n FROM g WHERE n > 0""",
+    "compounds",
+)
+def c20_functional_groups(t: Tables) -> DataFrame:
+    rows = smiles.molecules(t.compounds())
+    found = patterns.matches(patterns.FUNCTIONAL_GROUPS, smiles.atoms_of(rows), smiles.bonds_of(rows))
+    return found.groupBy("molecule_id", "name").agg(F.count("*").alias("n"))
+
+
+@_query(
+    """SELECT 'two nitriles' AS search, molecule_id FROM compounds WHERE head = 'N#CCC' AND tail = 'CC#N'
+    UNION ALL SELECT 'acid with a ring', molecule_id FROM compounds WHERE (head = 'OC(=O)C' OR tail = 'CC(=O)O') AND core IN ('c1ccccc1', 'c1ccc2ccccc2c1', 'c1ccccc1c1ccccc1')
+    UNION ALL SELECT 'thiophene', molecule_id FROM compounds WHERE core = 'c1ccsc1'
+    UNION ALL SELECT 'amide and nitro', molecule_id FROM compounds WHERE head = '[O-][N+](=O)C' AND (core = 'C(=O)N' OR tail = 'CC(N)=O')""",
+    "compounds",
+)
+def e01_smiles_search(t: Tables) -> DataFrame:
+    rows = smiles.molecules(t.compounds())
+    searches = {"two nitriles": ["N#C", "N#C"], "acid with a ring": ["c1ccccc1", "C(=O)O"], "thiophene": ["c1ccsc1"], "amide and nitro": ["NC=O", "[N+](=O)[O-]"]}
+    return patterns.holding(searches, smiles.atoms_of(rows), smiles.bonds_of(rows))
+
+
+@_query(f"{_PIECES} SELECT molecule_id, CAST(c.heavy AS INT) AS n, CAST(h.heavy AS INT) AS first FROM compounds JOIN h USING (head) JOIN c USING (core) WHERE rings > 0", "compounds")
+def c24_scaffolds(t: Tables) -> DataFrame:
+    found = skeletons.scaffold(_molecules(t))
+    return found.select("molecule_id", F.size("atoms").alias("n"), F.array_min("atoms").alias("first"))
+
+
+@_query(f"{_PIECES} SELECT molecule_id, CAST(heavy AS INT) AS heavy_atoms, rings AS ring_count, aromatic AS aromatic_ring_count, benzene AS has_benzene FROM compounds JOIN c USING (core) WHERE rings > 0", "compounds")
+def c17_subset_metrics(t: Tables) -> DataFrame:
+    rows = _molecules(t)
+    return skeletons.subset_metrics(skeletons.scaffold(rows), rows).drop("atoms")
+
+
+@_query(
+    f"""{_PIECES}, m AS (SELECT *, p_partkey % 3 AS salt FROM compounds JOIN part ON p_partkey = molecule_id)
+    SELECT molecule_id, CASE WHEN salt = 2 AND h.heavy + c.heavy + e.heavy <= 14 THEN 'c1ccc2cc3ccccc3cc2c1' ELSE head || core || tail END AS largest
+    FROM m JOIN h USING (head) JOIN c USING (core) JOIN e USING (tail)""",
+    "compounds",
+)
+def f06_largest_part(t: Tables) -> DataFrame:
+    salt = F.get(F.array(*map(F.lit, ("", ".[Na+].[Cl-]", ".oops.c1ccc2cc3ccccc3cc2c1"))), (F.col("molecule_id") % 3).cast("int"))
+    whole = F.when(salt.endswith("c1"), F.concat(F.substring(salt, 2, 99), F.lit("."), F.col("smiles"))).otherwise(F.concat("smiles", salt))
+    return t.compounds().select("molecule_id", smiles.largest_part(whole).alias("largest"))
