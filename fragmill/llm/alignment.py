@@ -68,6 +68,11 @@ class Aligner:
             raise ValueError("a token without bytes")
         if any("▁" in p.lstrip("▁") for p in pieces) or max(self.a_bytes) >= 1 << _SHIFT or len(pieces) >= 1 << _SHIFT:
             raise ValueError("the piece model has a piece with a space inside, or ids are too large")
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
+        self.b_size = np.array([len(x) for x in self.b_bytes])
+        # Each id as text within a group, and as its last of A or B.
+        self.a_text = np.array([[f"{i}{sign}" for i in range(len(self.a_size))] for sign in ",|"], object)
+        self.b_text = np.array([[f"{i}{sign}" for i in range(len(self.b_size))] for sign in ",;"], object)
         self._new: dict[str, tuple] = {}
         self._old: dict[str, tuple] = {}
 
@@ -75,46 +80,47 @@ class Aligner:
         """A space and the text, cut where no token of either kind goes across."""
         return CUTS.split(" " + text)
 
-    def _aligned(self, a: list[int], b: list[int], piece: str) -> tuple:
-        """(n_a, n_b, groups as text, links as codes), or () if bytes differ."""
-        raw, a_end, b_end = piece.encode("utf-8", "surrogatepass"), [], []
-        for ids, texts, ends in ((a, self.a_bytes, a_end), (b, self.b_bytes, b_end)):
-            at = 0
-            for i in ids:
-                at += len(texts[i])
-                ends.append(at)
-            if at != len(raw) or b"".join([texts[i] for i in ids]) != raw:
-                return ()
-        groups, links, i, j, n, m = [], [], 0, 0, len(a), len(b)
-        x = y = 0
-        while x < n and y < m:
-            if a_end[x] < b_end[y]:
-                x += 1
-            elif a_end[x] > b_end[y]:
-                y += 1
-            else:
-                links.append(a[x] << _SHIFT | b[y])
-                x, y = x + 1, y + 1
-                groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-                i, j = x, y
-        return n, m, ";".join(groups), links
+    def _aligned(self, pieces: list[str]) -> list[tuple]:
+        """(n_a, n_b, number of links, groups as text with a last ';', links as codes) of each piece, () where bytes differ.
+
+        Pieces that begin with a space alone and end with none are joined and
+        encoded at once, as no token goes across; the others come one by one.
+        """
+        joined, raw = "".join(pieces), [p.encode("utf-8", "surrogatepass") for p in pieces]
+        a, b = self.a.encode_ordinary(joined), self.b.encode(joined[1:], num_threads=1)
+        if not b"".join(raw) == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b]):
+            return [()] if len(pieces) == 1 else [self._aligned([p])[0] for p in pieces]
+        a, b = np.array(a), np.array(b)
+        a_end, b_end, ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum([len(x) for x in raw])
+        cuts = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+        a_last, b_last = a_end == cuts[a_group], b_end == cuts[b_group]
+        codes = (a[a_last] << _SHIFT | b[b_last]).tolist()
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        texts = np.concatenate([self.a_text[a_last.astype(int), a], self.b_text[b_last.astype(int), b]])[order].tolist()
+        n_a, n_b, n = (np.searchsorted(x, ends, side="right") for x in (a_end, b_end, cuts))
+        out, i, j, k = [], 0, 0, 0
+        for x, y, z in zip(n_a.tolist(), n_b.tolist(), n.tolist()):
+            out.append((x - i, y - j, z - k, "".join(texts[i + j : x + y]), codes[k:z]))
+            i, j, k = x, y, z
+        return out
 
     def of(self, pieces: set[str]) -> dict[str, tuple]:
         """The alignment of each piece; those of short ones are remembered for two generations."""
-        found, missing = {}, []
+        found, missing, alone = {}, [], []
         for p in pieces:
             known = self._new.get(p)
             if known is None and (known := self._old.get(p)) is not None:
                 self._new[p] = known
-            if known is None:
+            if known is not None:
+                found[p] = known
+            elif len(p) <= SHORT and p[1:2].strip() and p[-1].strip():
                 missing.append(p)
             else:
-                found[p] = known
-        for at in range(0, len(missing), 5000):
-            part = missing[at : at + 5000]
-            # The model itself puts the first space there.
-            for p, b in zip(part, self.b.encode([p[1:] for p in part], num_threads=1)):
-                found[p] = one = self._aligned(self.a.encode_ordinary(p), b, p)
+                alone.append([p])
+        for part in chain((missing[at : at + 2000] for at in range(0, len(missing), 2000)), alone):
+            for p, one in zip(part, self._aligned(part)):
+                found[p] = one
                 if len(p) <= SHORT:
                     self._new[p] = one
         if len(self._new) > REMEMBERED:
@@ -254,9 +260,14 @@ def _counted(rows: DataFrame, aligner_of) -> DataFrame:
 
         for batch in batches:
             for found, texts in _in_turns(batch.column(1), aligner):
-                for piece, n in Counter(chain.from_iterable(filter(None, texts))).items():
-                    for code in found[piece][3]:
-                        total[code] += n
+                times = Counter(chain.from_iterable(filter(None, texts)))
+                sizes = [found[p][2] for p in times]
+                codes = np.fromiter(chain.from_iterable(found[p][4] for p in times), np.int64, sum(sizes))
+                each, at = np.unique(codes, return_inverse=True)
+                sums = np.zeros(len(each), np.int64)
+                np.add.at(sums, at, np.repeat(np.fromiter(times.values(), np.int64, len(times)), sizes))
+                for code, n in zip(each.tolist(), sums.tolist()):
+                    total[code] += n
                 if len(total) > COUNTED:
                     yield flush()
         yield flush()
@@ -332,11 +343,11 @@ def _summed(rows: DataFrame, aligner_of, counts_of=None) -> DataFrame:
         for batch in batches:
             out = []
             for found, texts in _in_turns(batch.column(1), aligner):
-                used = {p: found[p] for own in texts if own for p in own}
+                used = {p: found[p] for p in set(chain.from_iterable(filter(None, texts)))}
                 sums = {}
                 if counts and used:
-                    sizes = np.array([len(one[3]) for one in used.values()])
-                    count, best = counts.of(np.fromiter(chain.from_iterable(one[3] for one in used.values()), np.int64, sizes.sum()))
+                    sizes = np.array([one[2] for one in used.values()])
+                    count, best = counts.of(np.fromiter(chain.from_iterable(one[4] for one in used.values()), np.int64, sizes.sum()))
                     ends = np.cumsum(sizes)
                     upto = [np.concatenate([[0], np.cumsum(x)]) for x in (best.astype(np.int64), count)]
                     both = [(x[ends] - x[ends - sizes]).tolist() for x in upto]
@@ -345,9 +356,8 @@ def _summed(rows: DataFrame, aligner_of, counts_of=None) -> DataFrame:
                     if not own:
                         out.append((0, 0, 0, 0, "", *((0, 0) if counts else ([],))))
                         continue
-                    n_a, n_b, groups, links = zip(*map(used.__getitem__, own))
-                    text = ";".join(groups)
-                    n = sum(map(len, links))
+                    n_a, n_b, n, groups, links = zip(*map(used.__getitem__, own))
+                    text, n = "".join(groups)[:-1], sum(n)
                     more = tuple(map(sum, zip(*map(sums.__getitem__, own)))) if counts else ([{"code": c, "times": k} for c, k in Counter(chain.from_iterable(links)).items()],)
                     out.append((sum(n_a), sum(n_b), n, n, hashlib.sha256(text.encode()).hexdigest(), *more))
             columns = [pa.array(c, t.type) for c, t in zip(zip(*out), schema)] if out else [pa.array([], t.type) for t in schema]

@@ -66,7 +66,8 @@ def result(df) -> list[tuple]:
 
 ODD = [
     (1, "The quick  brown fox.\n\n It's   done "), (2, None), (3, ""), (4, " "), (5, "a▁b"), (6, "<|endoftext|> <s> </s> <0x41>"), (7, "naïve café 日本語 ﬁ ½ 😀 end"),
-    (8, "x\x00y \x1c z\x85 w q　r ﻿"), (9, "word " * 5000 + "z" * 9000), (10, "don't we'll I've 12 345 6"), (10, "don't we'll I've 12 345 6"), (None, "the quick brown"), (11, "a ▁"), (12, "\t\n\r lines\r\n of  text\n"),
+    (8, "x\x00y \x1c z\x85 w q　r ﻿"), (9, "word " * 5000 + "z" * 9000), (10, "don't we'll I've 12 345 6"), (10, "don't we'll I've 12 345 6"), (None, "the quick brown"), (11, "a ▁"), (12, "\t\n\r lines\r\n of  text\n"), (13, "many words ▁ in one text, " + "and x▁y more " * 3),
+    (14, "\x1c a\x1c b \x1d c"), (15, "café\u0301 x\u0301y \u0301z"),
 ]
 
 
