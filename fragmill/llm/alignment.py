@@ -6,7 +6,8 @@ import hashlib
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -20,10 +21,9 @@ from .common import cut, discard, joined, kept, partitions
 
 #: Where a text can be cut: at a space alone between two characters that are none. Neither tokenizer has a token across.
 CUTS = re.compile(r"(?<=\S)(?= \S)")
-#: Pieces up to this length are remembered, so many in each of two generations.
-SHORT = 64
-REMEMBERED = 150_000
-#: Different pieces, or documents' characters, that a task counts before it hands counts on.
+#: Pieces of texts that are looked at in one turn, each different one once, and pieces encoded together.
+TURN, TOGETHER = 1_000_000, 20_000
+#: Different pairs that a task counts before it hands counts on.
 COUNTED = 200_000
 #: Keys of a part of the hash, on average.
 PART = 4096
@@ -73,59 +73,63 @@ class Aligner:
         # Each id as text within a group, and as its last of A or B.
         self.a_text = np.array([[f"{i}{sign}" for i in range(len(self.a_size))] for sign in ",|"], object)
         self.b_text = np.array([[f"{i}{sign}" for i in range(len(self.b_size))] for sign in ",;"], object)
-        self._new: dict[str, tuple] = {}
-        self._old: dict[str, tuple] = {}
 
     def pieces(self, text: str) -> list[str]:
         """A space and the text, cut where no token of either kind goes across."""
         return CUTS.split(" " + text)
 
-    def _aligned(self, pieces: list[str]) -> list[tuple]:
-        """(n_a, n_b, number of links, groups as text with a last ';', links as codes) of each piece, () where bytes differ.
+    def of(self, pieces: Iterable[str], texts: bool = True) -> Aligned:
+        """The alignment of different pieces.
 
         Pieces that begin with a space alone and end with none are joined and
-        encoded at once, as no token goes across; the others come one by one.
+        encoded many at once, as no token goes across; the others come one by one.
         """
-        joined, raw = "".join(pieces), [p.encode("utf-8", "surrogatepass") for p in pieces]
-        a, b = self.a.encode_ordinary(joined), self.b.encode(joined[1:], num_threads=1)
+        inner, outer = [], []
+        for p in pieces:
+            (inner if p[1:2].strip() and p[-1].strip() else outer).append(p)
+        parts = [inner[at : at + TOGETHER] for at in range(0, len(inner), TOGETHER)] + [[p] for p in outer]
+        found = [x for part in parts for x in self._aligned(part, texts)] or self._aligned([], texts)
+        return Aligned(inner + outer, *(np.concatenate(x) for x in list(zip(*found))[:5]), [t for x in found for t in x[5]])
+
+    def _aligned(self, pieces: list[str], texts: bool) -> list[tuple]:
+        """(whether bytes are given back, n_a, n_b, n, codes, texts) of pieces that are encoded together."""
+        whole, raw = "".join(pieces), [p.encode("utf-8", "surrogatepass") for p in pieces]
+        a, b = self.a.encode_ordinary(whole), self.b.encode(whole[1:], num_threads=1) if whole else []
         if not b"".join(raw) == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b]):
-            return [()] if len(pieces) == 1 else [self._aligned([p])[0] for p in pieces]
-        a, b = np.array(a), np.array(b)
-        a_end, b_end, ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum([len(x) for x in raw])
+            if len(pieces) > 1:
+                return [x for p in pieces for x in self._aligned([p], texts)]
+            return [(np.zeros(1, bool), *np.zeros((3, 1), np.int64), np.empty(0, np.int64), [""])]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_end, b_end, ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum([len(x) for x in raw], dtype=np.int64)
         cuts = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
-        a_last, b_last = a_end == cuts[a_group], b_end == cuts[b_group]
-        codes = (a[a_last] << _SHIFT | b[b_last]).tolist()
-        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
-        texts = np.concatenate([self.a_text[a_last.astype(int), a], self.b_text[b_last.astype(int), b]])[order].tolist()
+        a_last, b_last = np.diff(a_group, append=len(cuts)) > 0, np.diff(b_group, append=len(cuts)) > 0
         n_a, n_b, n = (np.searchsorted(x, ends, side="right") for x in (a_end, b_end, cuts))
-        out, i, j, k = [], 0, 0, 0
-        for x, y, z in zip(n_a.tolist(), n_b.tolist(), n.tolist()):
-            out.append((x - i, y - j, z - k, "".join(texts[i + j : x + y]), codes[k:z]))
-            i, j, k = x, y, z
-        return out
-
-    def of(self, pieces: set[str]) -> dict[str, tuple]:
-        """The alignment of each piece; those of short ones are remembered for two generations."""
-        found, missing, alone = {}, [], []
-        for p in pieces:
-            known = self._new.get(p)
-            if known is None and (known := self._old.get(p)) is not None:
-                self._new[p] = known
-            if known is not None:
-                found[p] = known
-            elif len(p) <= SHORT and p[1:2].strip() and p[-1].strip():
-                missing.append(p)
-            else:
-                alone.append([p])
-        for part in chain((missing[at : at + 2000] for at in range(0, len(missing), 2000)), alone):
-            for p, one in zip(part, self._aligned(part)):
-                found[p] = one
-                if len(p) <= SHORT:
-                    self._new[p] = one
-        if len(self._new) > REMEMBERED:
-            self._old, self._new = self._new, {}
-        return found
+        words = []
+        if texts:
+            order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+            each = np.concatenate([self.a_text[a_last.astype(int), a], self.b_text[b_last.astype(int), b]])[order].tolist()
+            upto = [0, *(n_a + n_b).tolist()]
+            words = ["".join(each[i:j]) for i, j in zip(upto, upto[1:])]
+        return [(np.ones(len(pieces), bool), *(np.diff(x, prepend=0) for x in (n_a, n_b, n)), a[a_last] << _SHIFT | b[b_last], words)]
+
+
+@dataclass
+class Aligned:
+    """Of each piece: whether both vocabularies give its bytes back, its tokens and links, and its groups as text with a last ';'; codes has the links of all."""
+
+    pieces: list[str]
+    ok: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n: np.ndarray
+    codes: np.ndarray
+    texts: list[str]
+
+    def codes_of(self, at: np.ndarray) -> np.ndarray:
+        """The links of the pieces at these places, one after another."""
+        n = self.n[at]
+        return self.codes[np.repeat(np.cumsum(self.n)[at] - np.cumsum(n), n) + np.arange(n.sum())]
 
 
 def mixed_bits(x: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
@@ -227,17 +231,15 @@ def part_of(codes: np.ndarray, parts: int) -> np.ndarray:
     return (mixed_bits(codes, _SEEDS + 1) % np.uint64(parts)).astype(np.int64)
 
 
-def _in_turns(texts: pa.Array, aligner: Aligner) -> Iterator[tuple[dict, list[list[str] | None]]]:
-    """Some texts at a time: the alignments of their pieces, and each text's pieces, None if it has no tokens."""
+def _in_turns(texts: pa.Array, aligner: Aligner) -> Iterator[list[list[str]]]:
+    """Some texts at a time as lists of pieces, empty ones for those without tokens."""
     held, size = [], 0
     for i, text in enumerate(texts):
         text = text.as_py()
-        held.append(aligner.pieces(text) if text else None)
-        size += len(held[-1] or ())
-        if size > COUNTED or i + 1 == len(texts):
-            found = aligner.of(set(chain.from_iterable(filter(None, held))))
-            odd = {p for p, one in found.items() if not one}
-            yield found, [own if own and odd.isdisjoint(own) else None for own in held]
+        held.append(aligner.pieces(text) if text else [])
+        size += len(held[-1])
+        if size > TURN or i + 1 == len(texts):
+            yield held
             held, size = [], 0
 
 
@@ -259,14 +261,15 @@ def _counted(rows: DataFrame, aligner_of) -> DataFrame:
             return out
 
         for batch in batches:
-            for found, texts in _in_turns(batch.column(1), aligner):
-                times = Counter(chain.from_iterable(filter(None, texts)))
-                sizes = [found[p][2] for p in times]
-                codes = np.fromiter(chain.from_iterable(found[p][4] for p in times), np.int64, sum(sizes))
-                each, at = np.unique(codes, return_inverse=True)
+            for turn in _in_turns(batch.column(1), aligner):
+                times = Counter(chain.from_iterable(turn))
+                found = aligner.of(times, texts=False)
+                if odd := {p for p, ok in zip(found.pieces, found.ok.tolist()) if not ok}:
+                    times = Counter(chain.from_iterable(own for own in turn if odd.isdisjoint(own)))
+                each, at = np.unique(found.codes, return_inverse=True)
                 sums = np.zeros(len(each), np.int64)
-                np.add.at(sums, at, np.repeat(np.fromiter(times.values(), np.int64, len(times)), sizes))
-                for code, n in zip(each.tolist(), sums.tolist()):
+                np.add.at(sums, at, np.repeat(np.fromiter((times[p] for p in found.pieces), np.int64, len(found.pieces)), found.n))
+                for code, n in zip(each[sums > 0].tolist(), sums[sums > 0].tolist()):
                     total[code] += n
                 if len(total) > COUNTED:
                     yield flush()
@@ -342,24 +345,33 @@ def _summed(rows: DataFrame, aligner_of, counts_of=None) -> DataFrame:
         aligner, counts = aligner_of(), counts_of and counts_of()
         for batch in batches:
             out = []
-            for found, texts in _in_turns(batch.column(1), aligner):
-                used = {p: found[p] for p in set(chain.from_iterable(filter(None, texts)))}
-                sums = {}
-                if counts and used:
-                    sizes = np.array([one[2] for one in used.values()])
-                    count, best = counts.of(np.fromiter(chain.from_iterable(one[4] for one in used.values()), np.int64, sizes.sum()))
-                    ends = np.cumsum(sizes)
-                    upto = [np.concatenate([[0], np.cumsum(x)]) for x in (best.astype(np.int64), count)]
-                    both = [(x[ends] - x[ends - sizes]).tolist() for x in upto]
-                    sums = dict(zip(used, zip(*both)))
-                for own in texts:
-                    if not own:
+            for turn in _in_turns(batch.column(1), aligner):
+                found = aligner.of(set(chain.from_iterable(turn)))
+                place = {p: i for i, p in enumerate(found.pieces)}
+                places = [np.fromiter(map(place.__getitem__, own), np.int64, len(own)) for own in turn]
+                places = [at if found.ok[at].all() else at[:0] for at in places]
+                if counts:
+                    # Pieces that stand only in texts without tokens were not counted.
+                    used, upto = np.zeros(len(found.n), bool), np.cumsum(found.n)
+                    for at in places:
+                        used[at] = True
+                    used = np.repeat(used, found.n)
+                    sums = []
+                    for x in counts.of(found.codes[used])[::-1]:
+                        whole = np.zeros(len(used) + 1, np.int64)
+                        whole[1:][used] = x
+                        whole = np.cumsum(whole)
+                        sums.append(whole[upto] - whole[upto - found.n])
+                for at in places:
+                    if not len(at):
                         out.append((0, 0, 0, 0, "", *((0, 0) if counts else ([],))))
                         continue
-                    n_a, n_b, n, groups, links = zip(*map(used.__getitem__, own))
-                    text, n = "".join(groups)[:-1], sum(n)
-                    more = tuple(map(sum, zip(*map(sums.__getitem__, own)))) if counts else ([{"code": c, "times": k} for c, k in Counter(chain.from_iterable(links)).items()],)
-                    out.append((sum(n_a), sum(n_b), n, n, hashlib.sha256(text.encode()).hexdigest(), *more))
+                    text, n = "".join([found.texts[i] for i in at.tolist()])[:-1], int(found.n[at].sum())
+                    if counts:
+                        more = [int(x[at].sum()) for x in sums]
+                    else:
+                        more = [[{"code": c, "times": k} for c, k in zip(*(x.tolist() for x in np.unique(found.codes_of(at), return_counts=True)))]]
+                    out.append((int(found.n_a[at].sum()), int(found.n_b[at].sum()), n, n, hashlib.sha256(text.encode()).hexdigest(), *more))
             columns = [pa.array(c, t.type) for c, t in zip(zip(*out), schema)] if out else [pa.array([], t.type) for t in schema]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *schema.names])
 

@@ -80,7 +80,7 @@ def test_odd_texts_equal_brute_force(spark, monkeypatch, limit):
 
 
 def test_bounds_within_tasks_change_nothing(spark, monkeypatch):
-    for name in ("COUNTED", "REMEMBERED", "PART", "FAN"):
+    for name in ("COUNTED", "TURN", "TOGETHER", "PART", "FAN"):
         monkeypatch.setattr(alignment, name, 2)
     df = spark.createDataFrame(ODD[:8] * 2, "doc_id long, text string").repartition(5)
     assert result(aligned(df, *TOOLS)) == brute(ODD[:8] * 2)
