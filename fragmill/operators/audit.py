@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,19 +24,36 @@ FIELDS = ["user_id", "userId"]
 LONGEST_ID = 256
 
 
-def _hidden(value):
-    if isinstance(value, dict):
-        return {k: MASK if k.lower() in SENSITIVE_KEYS else _hidden(v) for k, v in value.items()}
-    return [_hidden(v) for v in value] if isinstance(value, list) else value
+def _hide(record) -> None:
+    """Masks the values of sensitive keys in place; a stack, so that no depth is too deep."""
+    todo = [record]
+    while todo:
+        at = todo.pop()
+        for key, value in at.items() if isinstance(at, dict) else enumerate(at) if isinstance(at, list) else ():
+            if isinstance(key, str) and key.lower() in SENSITIVE_KEYS:
+                at[key] = MASK
+            elif isinstance(value, (dict, list)):
+                todo.append(value)
+
+
+def _finite(number: str) -> float:
+    value = float(number)
+    if math.isinf(value):
+        raise OverflowError(number)
+    return value
 
 
 @F.pandas_udf(T.StringType())
 def _masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def one(text: str) -> str:
         try:
-            return json.dumps(_hidden(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
+            record = json.loads(text, parse_float=_finite)
+            _hide(record)
+            return json.dumps(record, ensure_ascii=False, separators=(",", ":"))
         except ValueError:
             return text
+        except (RecursionError, OverflowError):
+            return MASK
 
     for texts in batches:
         yield texts.map(one, na_action="ignore")
@@ -45,7 +63,8 @@ def masked(text: Column) -> Column:
     """JSON text with the whole value of each sensitive key masked, whatever it is and at any depth.
 
     Keys count in any case, but only as a whole. What is no JSON stays as it is, and
-    so does text in which no such key can be; nulls stay null.
+    so does text in which no such key can be; nulls stay null. A record that is
+    nested too deep to be read, or holds a number beyond a double, becomes the mask.
     """
     maybe = text.rlike("(?i)" + "|".join(SENSITIVE_KEYS)) | text.contains("\\u")
     return F.when(maybe, _masked(text)).otherwise(text)
@@ -70,32 +89,49 @@ def _scalar(value: Column) -> Column:
     return F.nullif(F.left(F.regexp_replace(value, r"^\s+|\s+$", ""), F.lit(LONGEST_ID)), F.lit(""))
 
 
+def _let(value: Column, body) -> Column:
+    """What body makes of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _field(record: Column, name: str) -> Column:
     """A text, whole number or truth value of a JSON object as text; null for all else."""
-    value = F.try_variant_get(record, f"$.{name}", "variant")
-    kind, text = F.schema_of_variant(value), F.try_variant_get(record, f"$.{name}", "string")
-    return F.when(kind.rlike(r"^(STRING|BIGINT|DECIMAL\(\d+,0\))$"), text).when(kind == "BOOLEAN", F.initcap(text))
+
+    def told(value: Column) -> Column:
+        kind, text = F.schema_of_variant(value), value.cast("string")
+        return F.when(kind.rlike(r"^(STRING|BIGINT|DECIMAL\(\d+,0\))$"), text).when(kind == "BOOLEAN", F.initcap(text))
+
+    return _let(F.try_variant_get(record, f"$.{name}", "variant"), told)
 
 
 def identity(headers: Column, query: Column, path: Column, body: Column) -> Column:
     """struct<user_id, user_id_source>: from a header, else the query, the path, or a body that the content type says to be JSON or a form; nulls if none has it.
 
     Header names count in any case. Of a name that a query repeats the last value
-    counts, in a form the first that is not blank.
+    counts, in a form the first that is not blank. Query, form and JSON are each read
+    once, and the ways to an id are one array of which the first that is left counts.
     """
-    head = lambda name: F.get(F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == name), F.lit(0))["value"]
-    kind = F.lower(F.trim(F.substring_index(F.coalesce(head("content-type"), F.lit("")), ";", 1)))
-    named = lambda text, name: F.transform(F.filter(_parameters(text), lambda p: p["k"] == name), lambda p: p["v"])
-    record = F.try_parse_json(F.when(kind == "application/json", body))
-    form = F.when(kind == "application/x-www-form-urlencoded", body)
-    ways = [(head(name), f"header:{name}") for name in HEADERS]
-    ways += [(F.try_element_at(named(query, name), F.lit(-1)), f"query:{name}") for name in FIELDS]
-    ways += [(F.regexp_extract(path, USER_PATH, 1), "path")]
-    ways += [(_field(record, name), f"json:{name}") for name in FIELDS]
-    ways += [(F.get(F.filter(named(form, name), lambda v: v != ""), F.lit(0)), f"form:{name}") for name in FIELDS]
-    some = [F.when(_scalar(v).isNotNull(), F.struct(_scalar(v).alias("user_id"), F.lit(s).alias("user_id_source"))) for v, s in ways]
+    heads = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v")))
+    named = lambda pairs, name: F.transform(F.filter(pairs, lambda p: p["k"] == name), lambda p: p["v"])
     none = F.struct(F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("string").alias("user_id_source"))
-    return F.coalesce(*some, none)
+
+    def read(x: Column) -> Column:
+        kind = F.lower(F.trim(F.substring_index(F.coalesce(F.get(named(x["heads"], "content-type"), F.lit(0)), F.lit("")), ";", 1)))
+        record = F.try_parse_json(F.when(kind == "application/json", body))
+        form = _parameters(F.when(kind == "application/x-www-form-urlencoded", body))
+        return F.struct(x["heads"].alias("heads"), _parameters(query).alias("query"), record.alias("record"), form.alias("form"))
+
+    def found(x: Column) -> Column:
+        ways = [(F.get(named(x["heads"], name), F.lit(0)), f"header:{name}") for name in HEADERS]
+        ways += [(F.try_element_at(named(x["query"], name), F.lit(-1)), f"query:{name}") for name in FIELDS]
+        ways += [(F.regexp_extract(path, USER_PATH, 1), "path")]
+        ways += [(_field(x["record"], name), f"json:{name}") for name in FIELDS]
+        ways += [(F.get(F.filter(named(x["form"], name), lambda v: v != ""), F.lit(0)), f"form:{name}") for name in FIELDS]
+        each = F.array(*(F.struct(value.cast("string").alias("v"), F.lit(source).alias("s")) for value, source in ways))
+        each = F.transform(each, lambda w: F.struct(_scalar(w["v"]).alias("user_id"), w["s"].alias("user_id_source")))
+        return F.get(F.filter(each, lambda w: w["user_id"].isNotNull()), F.lit(0))
+
+    return F.coalesce(_let(_let(F.struct(heads.alias("heads")), read), found), none)
 
 
 def requests_by(records: DataFrame, time: str, key: str, span: str) -> DataFrame:

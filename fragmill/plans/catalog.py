@@ -422,8 +422,7 @@ def f16_identity(t: Tables) -> DataFrame:
         .when(kind == 7, F.lit('{"user_id": {"a": 1}, "userId": 1.5}'))
         .otherwise(F.concat(F.lit('{"user_id": "b'), user, F.lit('"}')))
     )
-    found = audit.identity(headers, query, path, body)
-    return t.raw("events").select("event_id", found["user_id"].alias("user_id"), found["user_id_source"].alias("user_id_source"))
+    return t.raw("events").select("event_id", audit.identity(headers, query, path, body).alias("found")).select("event_id", "found.user_id", "found.user_id_source")
 
 
 @_query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"PASSWORD":"***","event":"' || event_type || '"}'

@@ -252,3 +252,11 @@ def test_nodes_that_are_null_have_no_payload(spark):
     rows = spark.sql("SELECT array('b', 'a') AS l, map('x', '1') AS p UNION ALL SELECT NULL, NULL")
     got = rows.select(graph.payload(F.col("l"), F.col("p")).alias("n")).collect()
     assert {(tuple(r["n"]["labels"]) if r["n"] else None) for r in got} == {("a", "b"), None}
+
+
+def test_records_too_deep_or_too_large_are_masked_whole(spark):
+    from fragmill.operators import audit
+
+    texts = ["[" * 100_000 + '{"password": 1}' + "]" * 100_000, '{"token": "a", "n": 1e999}', '{"token": "a", "n": [1.5, {"Secret": []}]}', "password=1"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(audit.masked(F.col("t")).alias("t")).collect()
+    assert [r.t for r in rows] == ["***", "***", '{"token":"***","n":[1.5,{"Secret":"***"}]}', "password=1"]
