@@ -11,6 +11,9 @@ HEADS = ("CCC", "OCC", "NCC", "N#CCC", "CC(C)C", "OC(=O)C", "[O-][N+](=O)C", "CS
 CORES = ("c1ccccc1", "c1ccc2ccccc2c1", "C1CCCCC1", "C(=O)N", "COC", "c1ccccc1c1ccccc1", "c1ccsc1", "C1CC(=O)CCC1")
 TAILS = ("CC", "CO", "CN", "CC#N", "CC(=O)O", "CC(N)=O")
 
+#: Residues as SMILES, by a part's key: glycine, alanine, serine, proline.
+RESIDUES = ("NCC(=O)", "NC(C)C(=O)", "NC(CO)C(=O)", "N1CCCC1C(=O)")
+
 
 class Tables:
     """The given tables of a folder and the views of them."""
@@ -94,6 +97,13 @@ class Tables:
         text = F.concat(of(HEADS, key % len(HEADS)), of(CORES, size % len(CORES)), of(TAILS, F.floor(key / len(HEADS)) % len(TAILS)))
         return self.raw("part").select(key.alias("molecule_id"), text.alias("smiles"))
 
+    def peptides(self) -> DataFrame:
+        """An order is a peptide: its lines choose its residues, in order."""
+        lines = self.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+        residue = F.get(F.array(*map(F.lit, RESIDUES)), (F.col("part") % len(RESIDUES)).cast("int"))
+        rows = lines.groupBy(F.col("l_orderkey").alias("molecule_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", residue.alias("r")))).alias("rs"))
+        return rows.select("molecule_id", F.concat(F.array_join(F.transform("rs", lambda x: x["r"]), ""), F.lit("O")).alias("smiles"))
+
     def atoms(self) -> DataFrame:
         rows = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("molecule_id"), F.col("l_linenumber").alias("atom"))
         return rows.agg(F.min("l_returnflag").alias("label"))
@@ -118,6 +128,8 @@ VIEWS = {
         ON x.l_orderkey = y.l_orderkey AND (y.l_linenumber = x.l_linenumber + 1 OR (x.l_linenumber = 1 AND y.l_linenumber = 3))""",
     "compounds": f"""SELECT p_partkey AS molecule_id, ({list(HEADS)})[p_partkey % {len(HEADS)} + 1] AS head, ({list(CORES)})[p_size % {len(CORES)} + 1] AS core,
         ({list(TAILS)})[p_partkey // {len(HEADS)} % {len(TAILS)} + 1] AS tail FROM part""",
+    "residues": """SELECT l_orderkey AS molecule_id, l_linenumber AS place, min(l_partkey) % 4 AS residue,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) = 1 AS last FROM lineitem GROUP BY 1, 2""",
     "atoms": "SELECT l_orderkey AS molecule_id, l_linenumber AS atom, min(l_returnflag) AS label FROM lineitem GROUP BY 1, 2",
 }
 

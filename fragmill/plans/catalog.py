@@ -1096,3 +1096,25 @@ def f06_largest_part(t: Tables) -> DataFrame:
     salt = F.get(F.array(*map(F.lit, ("", ".[Na+].[Cl-]", ".oops.c1ccc2cc3ccccc3cc2c1"))), (F.col("molecule_id") % 3).cast("int"))
     whole = F.when(salt.endswith("c1"), F.concat(F.substring(salt, 2, 99), F.lit("."), F.col("smiles"))).otherwise(F.concat("smiles", salt))
     return t.compounds().select("molecule_id", smiles.largest_part(whole).alias("largest"))
+
+
+@_query(
+    """SELECT molecule_id, CASE residue WHEN 0 THEN 'glycine' WHEN 3 THEN 'proline' ELSE 'amino_acid_like' END AS name,
+      CASE residue WHEN 0 THEN 'special' WHEN 3 THEN 'hydrophobic' ELSE 'unclassified' END AS class,
+      CAST(4 + residue + CAST(last AS INT) AS INT) AS atoms, CAST(residue AS INT) AS side_chain FROM residues""",
+    "residues",
+)
+def c18_residues(t: Tables) -> DataFrame:
+    found = skeletons.residues(smiles.with_rings(smiles.molecules(t.peptides())))
+    return found.select("molecule_id", "name", "class", F.size("atoms").alias("atoms"), F.size("side_chain").alias("side_chain"))
+
+
+# Rings are cut from both sides and from each other, ethers and the bond of an amide within, its nitrogen from a carbon with a carbon, and a sulfide from what follows.
+@_query(
+    """SELECT molecule_id, CAST(CASE core WHEN 'COC' THEN 2 WHEN 'C(=O)N' THEN 1 + CAST(tail NOT IN ('CO', 'CN') AS INT) WHEN 'c1ccccc1c1ccccc1' THEN 3 ELSE 2 END
+      + CAST(head = 'CSC' AS INT) AS BIGINT) AS n FROM compounds""",
+    "compounds",
+)
+def c23_cuts(t: Tables) -> DataFrame:
+    found = skeletons.cuts(_molecules(t)).groupBy("molecule_id").agg(F.count("*").alias("n"))
+    return t.compounds().select("molecule_id").join(found, "molecule_id", "left").select("molecule_id", F.coalesce("n", F.lit(0)).alias("n"))
