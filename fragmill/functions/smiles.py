@@ -36,6 +36,12 @@ def _charge(text: str | None) -> int:
     return size if text[0] == "+" else -size
 
 
+def implied(label: str, aromatic: bool, kinds: list[str]) -> int:
+    """The hydrogens of an atom without brackets that has bonds of these kinds."""
+    used = sum(_ORDERS[k] for k in kinds) + aromatic
+    return max(0, next((v for v in _VALENCES.get(label, ()) if v >= used), 0) - used)
+
+
 def _systems(bonds: list[tuple[int, int, str]]) -> dict[int, int]:
     """The smallest atom of the aromatic system of each atom that has an aromatic bond."""
     least: dict[int, int] = {}
@@ -107,18 +113,18 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
         return None
     within = ring_bonds([(a, b) for a, b, _ in bonds]) if any(x[1] for x in atoms) else ()
     bonds = [(min(a, b), max(a, b), k if k in _ORDERS else ":" if k is None and i in within and atoms[a][1] and atoms[b][1] else "-") for i, (a, b, k) in enumerate(bonds)]
-    used = [0] * len(atoms)
+    kinds = [[] for _ in atoms]
     for a, b, k in bonds:
-        used[a], used[b] = used[a] + _ORDERS[k], used[b] + _ORDERS[k]
+        kinds[a].append(k)
+        kinds[b].append(k)
     aside = [0] * len(atoms)
     for a, b, _ in bonds:
         if atoms[b][0] == "H":
             aside[a] += 1
         if atoms[a][0] == "H":
             aside[b] += 1
-    free = lambda i: max(0, next((v for v in _VALENCES.get(atoms[i][0], (0,)) if v >= used[i] + atoms[i][1]), 0) - used[i] - atoms[i][1])
     keep = {n: i for i, n in enumerate(n for n, x in enumerate(atoms) if x[0] != "H")}
-    atoms = [(keep[n], *x[:3], (free(n) if x[3] is None else x[3]) + aside[n]) for n, x in enumerate(atoms) if n in keep]
+    atoms = [(keep[n], *x[:3], (implied(x[0], x[1], kinds[n]) if x[3] is None else x[3]) + aside[n]) for n, x in enumerate(atoms) if n in keep]
     bonds = [(keep[a], keep[b], k) for a, b, k in bonds if a in keep and b in keep]
     system = _systems(bonds)
     return atoms, [(a, b, k, system[a] if k == ":" else None) for a, b, k in bonds]

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fragmill.functions import scalars, smiles
+from fragmill.functions import canonical, scalars, smiles
 from fragmill.operators import audit, dialogue, fragments, graph, matching, patterns, ranking, semantics, skeletons, telemetry, warehouse
-from fragmill.plans.analogues import Tables, with_views
+from fragmill.plans.analogues import CORES, Tables, with_views
 from fragmill.sources import readers, sinks
 from fragmill.streaming import ingest
 
@@ -1118,3 +1118,23 @@ def c18_residues(t: Tables) -> DataFrame:
 def c23_cuts(t: Tables) -> DataFrame:
     found = skeletons.cuts(_molecules(t)).groupBy("molecule_id").agg(F.count("*").alias("n"))
     return t.compounds().select("molecule_id").join(found, "molecule_id", "left").select("molecule_id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@_query("SELECT molecule_id, true AS same, count(*) OVER (PARTITION BY head, core, tail) AS copies FROM compounds", "compounds")
+def c02_canonical_texts(t: Tables) -> DataFrame:
+    rows = smiles.molecules(t.compounds())
+    atoms, bonds, n = F.col("molecule.atoms"), F.col("molecule.bonds"), F.size("molecule.atoms")
+    # The same molecule with its atoms numbered from the other end.
+    turned = F.transform(atoms, lambda x: x.withField("atom", n - 1 - x["atom"]))
+    ends = F.transform(bonds, lambda x: x.withField("a", n - 1 - x["a"]).withField("b", n - 1 - x["b"]))
+    texts = rows.select("molecule_id", canonical.canonical_smiles(atoms, bonds).alias("text"), canonical.canonical_smiles(turned, ends).alias("other"))
+    counts = texts.groupBy("text").agg(F.count("*").alias("copies"))
+    return texts.join(counts, "text").select("molecule_id", (F.col("text") == F.col("other")).alias("same"), "copies")
+
+
+@_query(f"{_PIECES} SELECT core, count(*) AS n, CAST(1 AS BIGINT) AS texts FROM compounds JOIN c USING (core) WHERE rings > 0 GROUP BY 1", "compounds")
+def c15_scaffold_texts(t: Tables) -> DataFrame:
+    rows = _molecules(t)
+    found = rows.join(skeletons.scaffold(rows), "molecule_id").withColumn("text", canonical.fragment_smiles(F.col("molecule.atoms"), F.col("molecule.bonds"), F.col("atoms")))
+    names = t.raw("part").select(F.col("p_partkey").alias("molecule_id"), F.get(F.array(*map(F.lit, CORES)), (F.col("p_size") % len(CORES)).cast("int")).alias("core"))
+    return found.join(names, "molecule_id").groupBy("core").agg(F.count("*").alias("n"), F.count_distinct("text").alias("texts"))
