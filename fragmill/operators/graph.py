@@ -52,6 +52,28 @@ def details(matches: DataFrame, drugs: DataFrame, related: DataFrame, key: str,
     return rows.select(*matches.columns, found.alias("drug_found"), F.when(found, picked).otherwise(none).alias("data"), F.coalesce(out, F.array().cast(near.schema[out].dataType)).alias(out))
 
 
+def effects(names: DataFrame, drugs: DataFrame, edges: DataFrame) -> DataFrame:
+    """(name, drug_found, indication_name, feature_name, target_name): of all drugs whose name contains a name, in any case, what their edges reach, each value once and sorted.
+
+    names (name), drugs (drug, drug_name), edges (src, dst, type): TREATS from a drug
+    to indications, HAS_CLINICAL_FEATURE from these to features, TARGETS from a drug
+    to targets, all undirected. A blank name finds nothing. The three ways are
+    gathered apart, so that one does not multiply the others.
+    """
+    asked = names.select("name").where("name is not null").distinct()
+    found = containing(drugs.select("drug", "drug_name"), "drug_name", asked, "name").select("name", "drug").distinct()
+    treats = hop(found, edges, "TREATS", "drug", "indication")
+    ways = {
+        "indication_name": gathered(treats, ["name"], "indication", "indication_name"),
+        "feature_name": gathered(hop(treats.select("name", "indication").distinct(), edges, "HAS_CLINICAL_FEATURE", "indication", "feature"), ["name"], "feature", "feature_name"),
+        "target_name": gathered(hop(found, edges, "TARGETS", "drug", "target"), ["name"], "target", "target_name"),
+    }
+    rows = asked
+    for way in ways.values():
+        rows = rows.join(way, "name", "left")
+    return rows.select("name", F.col("indication_name").isNotNull().alias("drug_found"), *(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ways))
+
+
 def labelled(nodes: DataFrame, label: str) -> DataFrame:
     """Nodes (labels array) that carry a label."""
     return nodes.where(F.array_contains("labels", label))

@@ -76,3 +76,12 @@ def changed(state: State, fragments: DataFrame | None = None, ingredients: DataF
         .unionByName(_joined(of(after[0], "left_semi"), of(after[1], "left_semi")))
     )
     return State(*after, folded(state.view.unionByName(moves), _VIEW, "occurrence_count"))
+
+
+def written(state: State, folder: str) -> State:
+    """The state as a new version below a folder that all executors share, read from there."""
+    out = []
+    for name, rows in state._asdict().items():
+        rows.write.parquet(f"{folder}/{name}")
+        out.append(rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{name}"))
+    return State(*out)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fragmill.functions import canonical, scalars, smiles
-from fragmill.operators import audit, dialogue, fragments, graph, matching, patterns, ranking, semantics, skeletons, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, maintained, matching, patterns, ranking, semantics, skeletons, telemetry, warehouse
 from fragmill.plans.analogues import CORES, Tables, with_views
 from fragmill.sources import readers, sinks
 from fragmill.streaming import ingest
@@ -1138,3 +1138,58 @@ def c15_scaffold_texts(t: Tables) -> DataFrame:
     found = rows.join(skeletons.scaffold(rows), "molecule_id").withColumn("text", canonical.fragment_smiles(F.col("molecule.atoms"), F.col("molecule.bonds"), F.col("atoms")))
     names = t.raw("part").select(F.col("p_partkey").alias("molecule_id"), F.get(F.array(*map(F.lit, CORES)), (F.col("p_size") % len(CORES)).cast("int")).alias("core"))
     return found.join(names, "molecule_id").groupBy("core").agg(F.count("*").alias("n"), F.count_distinct("text").alias("texts"))
+
+
+# Drugs by contained names, and a view kept up to date
+
+
+_EFFECT_TERMS = "a AS (SELECT DISTINCT string_split(p_name, ' ')[1] AS name FROM part UNION SELECT 'NO SUCH ' || n_name FROM nation)"
+
+
+@_query(
+    f"""WITH {_EFFECT_TERMS}, m AS (SELECT name, p_partkey, p_brand FROM a JOIN part ON contains(lower(p_name), lower(name))),
+    i AS (SELECT DISTINCT name, 's' || l_suppkey AS indication, s_nationkey FROM m JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey),
+    x AS (SELECT name, string_agg(DISTINCT indication, ',' ORDER BY indication) AS indications, string_agg(DISTINCT 'n' || s_nationkey, ',' ORDER BY 'n' || s_nationkey) AS features FROM i GROUP BY 1),
+    y AS (SELECT name, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS targets FROM m GROUP BY 1)
+    SELECT name, y.name IS NOT NULL AS drug_found, coalesce(indications, '') AS indications, coalesce(features, '') AS features, coalesce(targets, '') AS targets FROM a LEFT JOIN x USING (name) LEFT JOIN y USING (name)"""
+)
+def e02_effects(t: Tables) -> DataFrame:
+    part = t.raw("part")
+    names = part.select(F.split("p_name", " ")[0].alias("name")).union(t.raw("nation").select(F.concat(F.lit("NO SUCH "), "n_name"))).distinct()
+    drug = lambda c: F.concat(F.lit("p"), c)
+    edges = (
+        t.raw("lineitem").select(drug("l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"), F.lit("TREATS").alias("type")).distinct()
+        .union(t.raw("supplier").select(F.concat(F.lit("n"), "s_nationkey"), F.concat(F.lit("s"), "s_suppkey"), F.lit("HAS_CLINICAL_FEATURE")))
+        .union(part.select(drug("p_partkey"), "p_brand", F.lit("TARGETS")))
+    )
+    rows = graph.effects(names, part.select(drug("p_partkey").alias("drug"), F.col("p_name").alias("drug_name")), edges)
+    line = lambda c, out: F.array_join(c, ",").alias(out)
+    return rows.select("name", "drug_found", line("indication_name", "indications"), line("feature_name", "features"), line("target_name", "targets"))
+
+
+_KEPT_UP = """s AS (SELECT 'small' AS source, * FROM small UNION ALL SELECT 'big', * FROM big),
+    f AS (SELECT * FROM s WHERE NOT (batch = 1993 AND source = 'big') AND molecule_id NOT LIKE '%7'),
+    i AS (SELECT molecule_id, CASE WHEN molecule_id LIKE '%3' THEN 'renamed' ELSE ingredient_name END AS ingredient_name FROM ingredients WHERE molecule_id NOT LIKE '%9')"""
+
+
+@_query(
+    f"""{_KEPT_UP} SELECT source, molecule_id, fragment_hash, ingredient_name, {_CARRIED}, count(*) AS occurrence_count
+    FROM f LEFT JOIN i USING (molecule_id) GROUP BY source, molecule_id, fragment_hash, ingredient_name""",
+    "small", "big", "ingredients",
+)
+def d01_maintained_view(t: Tables) -> DataFrame:
+    """Small fragments and all ingredients come first, then the big ones and new names; then a batch, some molecules and some names go."""
+    rows = t.small().withColumn("source", F.lit("small")).unionByName(t.big().withColumn("source", F.lit("big")))
+    names, ends = t.ingredients(), lambda x: F.col("molecule_id").endswith(x)
+    small, big = rows.where("source = 'small'"), rows.where("source = 'big'")
+    gone = rows.where((F.col("batch") == 1993) & (F.col("source") == "big") | ends("7"))
+    state = maintained.empty(rows, names)
+    steps = [
+        (maintained.inserted(small), maintained.inserted(names)),
+        (maintained.inserted(big), maintained.replaced(names.where(ends("3")), names.where(ends("3")).withColumn("ingredient_name", F.lit("renamed")))),
+        (maintained.deleted(gone), maintained.deleted(names.where(ends("9")))),
+    ]
+    folder = ingest.work_folder(t.spark)
+    for step, (fragments_changed, names_changed) in enumerate(steps):
+        state = maintained.written(maintained.changed(state, fragments_changed, names_changed), f"{folder}/{step}")
+    return state.view
