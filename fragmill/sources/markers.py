@@ -2,6 +2,8 @@
 
 Register MarkerSource and read format "build_markers" with the option path, a
 folder that all executors reach by one path, and name ("_SUCCESS" unless given).
+Spark asks for spark.sql.python.filterPushdown.enabled to be true, as filters are
+pushed down.
 """
 
 from __future__ import annotations
