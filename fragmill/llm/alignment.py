@@ -22,7 +22,7 @@ from .common import cut, discard, joined, kept, partitions
 #: Where a text can be cut: at a space alone between two characters that are none. Neither tokenizer has a token across.
 CUTS = re.compile(r"(?<=\S)(?= \S)")
 #: Pieces of texts that are looked at in one turn, each different one once, and pieces encoded together.
-TURN, TOGETHER = 1_000_000, 20_000
+TURN, TOGETHER = 1_000_000, 3_000
 #: Different pairs that a task counts before it hands counts on.
 COUNTED = 200_000
 #: Keys of a part of the hash, on average.
