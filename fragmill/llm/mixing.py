@@ -54,46 +54,75 @@ def tempered(cells: DataFrame, dim: str, class_of: Column, power: float) -> dict
     return dict(shares.groupBy(class_of.alias("c")).agg(F.sum("t")).collect())
 
 
-def raked(tokens: np.ndarray, codes: dict[str, np.ndarray], targets: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
+def reachable(goal: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The goals with none above the most that its class has; what that leaves goes to the other classes in proportion."""
+    goal, full, total = goal.astype(float), np.zeros(len(goal), bool), min(goal.sum(), most.sum())
+    while (over := ~full & (goal > most)).any():
+        full |= over
+        goal[full] = most[full]
+        share = goal[~full] if goal[~full].sum() > 0 else most[~full]
+        if share.sum() > 0:
+            goal[~full] = share * (max(0.0, total - most[full].sum()) / share.sum())
+    return goal
+
+
+def _scaled(weight: np.ndarray, most: np.ndarray, goal: float) -> np.ndarray:
+    """weight times the factor with which the weights, none counted above its most, add up to the goal."""
+    if goal <= 0 or not len(weight):
+        return np.zeros_like(weight)
+    at = np.divide(most, weight, out=np.full(len(weight), math.inf), where=weight > 0)
+    order = np.argsort(at, kind="stable")
+    taken = np.concatenate([[0.0], np.cumsum(np.where(np.isinf(most), 0.0, most)[order])])[:-1]
+    left = np.cumsum(weight[order][::-1])[::-1]
+    factor = np.divide(goal - taken, left, out=np.full(len(left), math.inf), where=left > 0)
+    first = np.flatnonzero(factor <= at[order])
+    if not len(first) or math.isinf(factor[first[0]]):
+        return np.maximum(weight, np.where(np.isinf(most), weight, most))
+    return weight * factor[first[0]]
+
+
+def raked(tokens: np.ndarray, codes: dict[str, np.ndarray], targets: dict[str, np.ndarray], budget: float | None = None) -> tuple[np.ndarray, float]:
     """Weights of cells, and how far the worst marginal is from its target, relatively.
 
     tokens has a number for each cell, codes its class in each dimension, and
     targets what each class is to have, in any unit; not-a-number keeps its share
-    of the tokens. Weights begin as the tokens and are scaled by a factor for each
-    class of each dimension in turn, until every marginal is its target within
-    TOLERANCE. Where targets conflict, rounds end when they no longer come nearer.
+    of the tokens. Weights add up to the budget and none is above its tokens; without
+    a budget, they add up to the tokens and have no bound. A class whose target is
+    above its tokens gets these, and the others of its dimension share the rest.
+
+    Weights begin in proportion to the tokens and are scaled by a factor for each
+    class of each dimension in turn, bounds included, until every marginal is its
+    goal within TOLERANCE. Where goals conflict, rounds end when they no longer come
+    nearer. The second value counts conflicts and targets above the tokens alike.
     """
-    weight, goals, total = tokens.astype(float), {}, tokens.sum()
+    total = tokens.sum() if budget is None else min(budget, tokens.sum())
+    most = np.full(len(tokens), math.inf) if budget is None else tokens.astype(float)
+    weight, goals, short = tokens.astype(float), {}, 0.0
     for dim, target in targets.items():
         own = np.bincount(codes[dim], tokens, len(target))
         fixed = np.where(np.isnan(target) | (own == 0), 0.0, target)
-        free = np.where(np.isnan(target), own, 0.0)
-        goals[dim] = fixed * ((total - free.sum()) / fixed.sum() if fixed.sum() else 0.0) + free
+        free = np.where(np.isnan(target), own, 0.0) * (total / max(tokens.sum(), 1e-300))
+        wanted = fixed * ((total - free.sum()) / fixed.sum() if fixed.sum() else 0.0) + free
+        goals[dim] = wanted
+        if budget is not None:
+            # Classes with targets share first; what they all cannot take goes to the others.
+            held = reachable(np.where(fixed > 0, wanted, 0.0), np.where(fixed > 0, own, 0.0))
+            left = np.where(free > 0, free, 0.0)
+            goals[dim] = held + reachable(left * ((total - held.sum()) / left.sum() if left.sum() else 0.0), own)
+        short = max(short, float(np.max(np.abs(goals[dim] - wanted) / np.maximum(wanted, TOLERANCE * total), initial=0.0, where=wanted > 0)) if total else 0.0)
+    members = {d: [np.flatnonzero(c == k) for k in range(len(goals[d]))] for d, c in codes.items()}
     best, stalled, off = math.inf, 0, 0.0
     while total:
-        for dim, code in codes.items():
-            sums = np.bincount(code, weight, len(goals[dim]))
-            weight = weight * np.divide(goals[dim], sums, out=np.zeros_like(sums), where=sums > 0)[code]
-        off = max(float(np.max(np.abs(np.bincount(c, weight, len(goals[d])) - goals[d]) / np.maximum(goals[d], TOLERANCE * total))) for d, c in codes.items())
+        for dim, groups in members.items():
+            for own, goal in zip(groups, goals[dim]):
+                weight[own] = _scaled(weight[own], most[own], goal)
+        held = np.minimum(weight, most)
+        off = max(float(np.max(np.abs(np.bincount(c, held, len(goals[d])) - goals[d]) / np.maximum(goals[d], TOLERANCE * total))) for d, c in codes.items())
         stalled = stalled + 1 if off > 0.999 * best else 0
         best = min(best, off)
         if off <= TOLERANCE or stalled >= PATIENCE:
             break
-    return weight, off
-
-
-def sampled_at(tokens: np.ndarray, weight: np.ndarray, budget: float) -> np.ndarray:
-    """Probabilities of cells: in proportion to weight over tokens, 1 at most, so that so many tokens are expected."""
-    rate = weight / np.maximum(tokens, 1e-300)
-    order = np.argsort(-rate, kind="stable")
-    taken = np.concatenate([[0.0], np.cumsum(tokens[order])])[:-1]
-    left = np.cumsum(weight[order][::-1])[::-1]
-    # The first cell, from the highest rate down, that the factor it would need does not take whole.
-    factor = np.divide(budget - taken, left, out=np.full(len(left), math.inf), where=left > 0)
-    short = np.flatnonzero((factor * rate[order] < 1) | (factor <= 0))
-    if not len(short):
-        return (rate > 0).astype(float)
-    return np.minimum(1.0, rate * max(float(factor[short[0]]), 0.0))
+    return np.minimum(weight, most) if total else np.zeros(len(tokens)), max(off, short)
 
 
 def _chances(cells: DataFrame, alone: dict, class_of: dict, given: dict, fraction: float, power: float) -> DataFrame:
@@ -108,10 +137,10 @@ def _chances(cells: DataFrame, alone: dict, class_of: dict, given: dict, fractio
         codes[dim] = held[keys[dim]].map({v: i for i, v in enumerate(values)}).to_numpy(int)
         targets[dim] = np.array([wanted.get(v, math.nan) for v in values], float)
     tokens = held["tokens"].to_numpy(float)
-    weight, off = raked(tokens, codes, targets)
+    weight, off = raked(tokens, codes, targets, fraction * tokens.sum())
     if off > TOLERANCE:
-        warnings.warn(f"the targets conflict: the worst marginal is {off:.2%} off", stacklevel=3)
-    held["_probability"] = sampled_at(tokens, weight, fraction * tokens.sum())
+        warnings.warn(f"the targets conflict or are above what there is: the worst marginal is {off:.2%} off", stacklevel=3)
+    held["_probability"] = np.minimum(1.0, weight / np.maximum(tokens, 1e-300))
     columns = ", ".join(f"{k} string" for k in keys.values())
     return cells.sparkSession.createDataFrame(held[[*keys.values(), "n", "_probability"]], f"{columns}, n long, _probability double")
 
@@ -132,11 +161,12 @@ def mixed(
 
     Token weights of the cells (source, language, topic) are raked to target
     shares: those given by value for a dimension ("source", "lang", "topic"), else
-    its own shares to a power. A document's probability is its cell's weight over
-    its tokens, times the one factor that makes the expected tokens the wanted
-    fraction of all, 1 at most: cells that are too few for that are taken whole. A
+    its own shares to a power. Weights add up to the wanted fraction of all tokens,
+    and none is above its cell's tokens, so a document's probability, its cell's
+    weight over its tokens, is calibrated: expected tokens are the targets. A
     document is picked if a hash of its id is below its probability, so that one
-    seed always picks the same. A warning says so where targets conflict.
+    seed always picks the same. A warning names the worst marginal where targets
+    conflict or a value has too few tokens; it is then taken whole.
 
     Values with less than a 256th of all tokens and no target of their own are
     raked together, as small classes are in raking: they keep their shares of each

@@ -1,8 +1,12 @@
+import warnings
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from fragmill.llm import mixing as M
+from fragmill.llm import queries
 
 SCHEMA = "doc_id long, text string, lang string, source string, weight int, rate string"
 
@@ -46,14 +50,63 @@ def test_targets_in_conflict_say_how_far_they_are():
     assert M.raked(*coded(cells.iloc[:0], {"s": {}, "l": {"x": 1.0}}))[1] == 0.0
 
 
-def test_probabilities_follow_rates_up_to_one():
-    rng = np.random.default_rng(3)
-    tokens, weight = rng.integers(1, 100, 50).astype(float), rng.random(50) * 100
-    for fraction in (0.0, 0.1, 0.6, 0.95, 1.0):
-        p = M.sampled_at(tokens, weight, fraction * tokens.sum())
-        assert abs((p * tokens).sum() - fraction * tokens.sum()) < 1e-6 and p.max(initial=0) <= 1
-        free = p < 1
-        assert not free.any() or np.ptp((p / (weight / tokens))[free]) < 1e-9
+def bounded(cells, goals, budget):
+    """Projections in small steps: each class's factor by bisection, weights capped at the tokens."""
+    u, cap = cells["tokens"].to_numpy(float).copy(), cells["tokens"].to_numpy(float)
+    for _ in range(300):
+        for d, goal in goals.items():
+            for v, g in goal.items():
+                own = (cells[d] == v).to_numpy()
+                low, high = 0.0, 1e9
+                for _ in range(200):
+                    middle = (low + high) / 2
+                    low, high = (middle, high) if np.minimum(u[own] * middle, cap[own]).sum() < g else (low, middle)
+                u[own] *= high
+    return np.minimum(u, cap)
+
+
+def test_bounded_raking_meets_what_can_be_met():
+    cells = pd.DataFrame([(s, l, 10.0 + 7 * i * j + 30 * j) for i, s in enumerate("abc") for j, l in enumerate("xyz")], columns=["s", "l", "tokens"])
+    budget = 0.5 * cells["tokens"].sum()
+    goals = {"s": {"a": 0.25 * budget, "b": 0.35 * budget, "c": 0.4 * budget}, "l": {"x": 0.08 * budget, "y": 0.42 * budget, "z": 0.5 * budget}}
+    got, off = M.raked(*coded(cells, goals), budget)
+    assert off <= M.TOLERANCE and (got <= cells["tokens"] + 1e-9).all() and abs(got.sum() - budget) < 1e-3
+    assert abs(got - bounded(cells, goals, budget)).max() < 1e-2
+    for d in goals:
+        for v, g in goals[d].items():
+            assert abs(got[(cells[d] == v).to_numpy()].sum() - g) < 1e-3
+
+
+def test_a_target_above_the_tokens_takes_them_all_and_says_so():
+    cells = pd.DataFrame([("a", 10.0), ("b", 60.0), ("c", 130.0)], columns=["s", "tokens"])
+    got, off = M.raked(*coded(cells, {"s": {"a": 1.0, "b": 1.0, "c": 2.0}}), 100.0)
+    assert got.tolist() == pytest.approx([10.0, 30.0, 60.0]) and off == pytest.approx(0.6)
+    assert M.raked(*coded(cells, {"s": {"a": 1.0}}), 300.0)[0].tolist() == pytest.approx([10.0, 60.0, 130.0])
+    # b and c have no targets and keep their shares of half of all; a has less than the rest.
+    assert M.raked(*coded(cells, {"s": {"a": 1.0}}), 100.0)[0].tolist() == pytest.approx([5.0, 30.0, 65.0])
+    assert M.raked(*coded(cells, {"s": {"a": 1.0}}), 0.0)[0].tolist() == [0.0, 0.0, 0.0]
+    assert M.reachable(np.array([5.0, 0.0, 0.0]), np.array([1.0, 2.0, 6.0])).tolist() == [1.0, 1.0, 3.0]
+
+
+def test_given_documents_meet_their_tempered_targets(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("about", F.lit("all"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        rows = M.mixed(df, topic_col="about").select("_source", "_lang", "_tokens", "_probability").toPandas()
+    budget, expected = 0.5 * rows["_tokens"].sum(), rows["_probability"] * rows["_tokens"]
+    assert abs(expected.sum() / budget - 1) < 1e-4
+    for dim in ("_source", "_lang"):
+        own = rows.groupby(dim)["_tokens"].sum()
+        off = expected.groupby(rows[dim]).sum() / (own**0.7 / (own**0.7).sum() * budget) - 1
+        assert abs(off).max() < 0.01, (dim, off)
+
+
+def test_registered_query_warns_where_topics_settle_languages(spark):
+    with pytest.warns(UserWarning, match="worst marginal"):
+        rows = queries.op9_mixing(spark, "/root/testdata/sf0.01").toPandas()
+    assert rows["probability"].between(0, 1).all() and len(rows) == 1000
+    expected = (rows["probability"] * rows["n_tokens"]).sum()
+    assert abs(expected / rows["n_tokens"].sum() - 0.5) < 1e-3
 
 
 def test_small_values_are_raked_together(spark):
@@ -61,7 +114,7 @@ def test_small_values_are_raked_together(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = M.mixed(df, 0.5, targets={"source": {"big": 1.0, "tiny950": 1.0}}).toPandas()
     by = got.groupby("_source")["_probability"].first()
-    assert by["tiny950"] == 1 and by["tiny901"] == by["tiny999"] and set(got["_source"]) == set(got["source"])
+    assert by["tiny950"] == pytest.approx(1) and by["tiny901"] == by["tiny999"] and set(got["_source"]) == set(got["source"])
 
 
 def test_probabilities_give_the_budget_and_the_targets(spark):
@@ -81,17 +134,6 @@ def test_topics_can_be_given(spark):
     assert set(got["_topic"]) == {"rare", "common", "(none)"} and (got[got["_topic"] == "rare"]["_probability"] > 0.99).all()
 
 
-def test_probabilities_give_the_budget_and_the_targets(spark):
-    got = M.mixed(docs(spark), fraction=0.2, targets={"lang": {"en": 1.0, "fr": 1.0}}).toPandas()
-    assert len(got) == 600 and got["_probability"].between(0, 1).all()
-    expected = got["_probability"] * got["_tokens"]
-    assert abs(expected.sum() / got["_tokens"].sum() - 0.2) < 0.002
-    assert abs(expected.groupby(got["_lang"]).sum()["en"] / expected.sum() - 0.5) < 0.02
-    again = M.mixed(docs(spark).orderBy("text"), fraction=0.2, targets={"lang": {"en": 1.0, "fr": 1.0}}).toPandas()
-    assert set(again[again["_picked"]].doc_id) == set(got[got["_picked"]].doc_id)
-    assert M.mixed(docs(spark), fraction=1.0, power=1.0).where("not _picked").count() == 0
-
-
 def test_topics_and_tokens(spark):
     rows = M.with_tokens_and_topic(docs(spark, 80)).selectExpr("*", "transform(filter(split(text, ' '), w -> w <> ''), w -> pmod(hash(w), 8)) as c").toPandas()
     for r in rows.itertuples():
