@@ -106,14 +106,21 @@ def _pair(key: str, tag: str, a: Column, b: Column, size_a: int, size_b: int) ->
 
 
 def _shifted(part: Column, hexits: Column, hexadecimal: Column) -> Column:
-    """Each digit and letter moved within its own alphabet, the rest as it is; no half that is permuted is longer than 32."""
+    """Each digit and letter moved within its own alphabet, the rest as it is; no half that is permuted is longer than 32.
+
+    hexadecimal is "lower" or "upper" where digits and letters are one alphabet of
+    sixteen, "mixed" where letters of either case stay among the first six, else ''.
+    """
 
     def moved(c: Column, i: Column) -> Column:
         by = F.conv(F.substring(hexits, (i % 32) * 4 + 1, F.lit(4)), 16, 10).cast("int")
         at = lambda first, size: F.char(F.lit(first) + (F.ascii(c) - first + by) % size)
         sixteen = lambda digits: F.substring(F.lit(digits), (F.instr(F.lit(digits), c) - 1 + by) % 16 + 1, F.lit(1))
         return (
-            F.when(hexadecimal & c.rlike("[0-9a-f]"), sixteen("0123456789abcdef"))
+            F.when((hexadecimal == "lower") & c.rlike("[0-9a-f]"), sixteen("0123456789abcdef"))
+            .when((hexadecimal == "upper") & c.rlike("[0-9A-F]"), sixteen("0123456789ABCDEF"))
+            .when((hexadecimal == "mixed") & c.rlike("[a-f]"), at(97, 6))
+            .when((hexadecimal == "mixed") & c.rlike("[A-F]"), at(65, 6))
             .when(c.rlike("[0-9]"), at(48, 10))
             .when(c.rlike("[a-z]"), at(97, 26))
             .when(c.rlike("[A-Z]"), at(65, 26))
@@ -156,7 +163,7 @@ def _is_card(digits: Column) -> Column:
 
 def _phone(key: str, match: Column) -> Column:
     """The digits alone are permuted, so that one number is the same in every way of writing it."""
-    return _filled(match, _letters(key, F.lit("phone"), F.regexp_replace(match, "[^0-9]", ""), F.lit(False)))
+    return _filled(match, _letters(key, F.lit("phone"), F.regexp_replace(match, "[^0-9]", ""), F.lit("")))
 
 
 def _ssn(key: str, match: Column) -> Column:
@@ -173,7 +180,7 @@ def _account(key: str, match: Column) -> Column:
     """Digits before the last are permuted; the last follows as their check digit."""
     digits = F.regexp_replace(match, "[ -]", "")
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    new = _letters(key, F.lit("account"), body, F.lit(False))
+    new = _letters(key, F.lit("account"), body, F.lit(""))
     return _filled(match, F.concat(new, ((10 - _luhn(new)) % 10).cast("string")))
 
 
@@ -270,7 +277,7 @@ def _address(key: str, match: Column) -> Column:
 def _iban(key: str, match: Column) -> Column:
     """Country and grouping stay; the account is permuted and the check digits follow."""
     bare = F.replace(match, F.lit(" "), F.lit(""))
-    new = _letters(key, F.concat(F.lit("iban"), F.left(bare, F.lit(2))), F.substring(bare, 5, 99), F.lit(False))
+    new = _letters(key, F.concat(F.lit("iban"), F.left(bare, F.lit(2))), F.substring(bare, 5, 99), F.lit(""))
     blank = F.concat(F.left(bare, F.lit(2)), F.lit("00"), new)
     check = F.lpad((F.lit(98) - _iban_remainder(blank)).cast("string"), 2, "0")
     made = F.concat(F.left(bare, F.lit(2)), check, new)
@@ -293,9 +300,9 @@ def pseudonym(match: Column, kind: Column, key: str) -> Column:
         .when(kind == "iban", _iban(key, match))
         .when(kind == "phone", _phone(key, match))
         .when(kind == "ssn", _ssn(key, match))
-        .when(kind == "email", F.concat(_letters(key, kind, user, F.lit(False)), F.lit("@"), host))
-        .when(kind == "secret", _letters(key, kind, match, match == F.lower(match)))
-        .otherwise(_letters(key, kind, match, F.lit(False)))
+        .when(kind == "email", F.concat(_letters(key, kind, user, F.lit("")), F.lit("@"), host))
+        .when(kind == "secret", _letters(key, kind, match, F.when(match == F.lower(match), "lower").when(match == F.upper(match), "upper").otherwise("mixed")))
+        .otherwise(_letters(key, kind, match, F.lit("")))
     )
 
 
@@ -308,8 +315,11 @@ def pseudonymised(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     hexadecimal secrets are replaced by a keyed Feistel permutation within their
     format: length, punctuation, letter case and validity stay, different values
     stay different, and equal values are equal in every document, accounts and
-    phones also if they are grouped otherwise. at counts code points from 0, in
-    the text as it was.
+    phones also if they are grouped otherwise. An address stays four numbers, but
+    these may be longer or shorter. Dates before 1900-01-01 or after 2100-05-01 stay
+    as they are, as do values that are not valid. Users of e-mail addresses that
+    differ in letter case differ, and so are not linked. at counts code points from
+    0, in the text as it was.
 
     A null text stays null and an empty one empty, both with nothing found; text
     of any length is read whole. A column named found is replaced; no other is
