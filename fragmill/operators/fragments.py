@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fragmill.functions.rings import smallest_rings
+from fragmill.session import settled
 
 
 def with_bond_numbers(bonds: DataFrame) -> DataFrame:
@@ -52,34 +53,46 @@ def closed(units: DataFrame, systems: DataFrame | None = None) -> DataFrame:
 def enumerated(units: DataFrame, max_atoms: int, systems: DataFrame | None = None) -> DataFrame:
     """(molecule_id, units, atoms) of every connected, not necessarily induced, set of units with at most so many atoms.
 
-    units has (molecule_id, unit, atom), a row for each atom of a unit. Each round
-    joins the sets of the last with the units that share an atom and keeps each
-    new set once, so that sets grow by shuffles on the molecule and no set is
-    cut off by where it began. Sets that are too large are dropped before the next
-    round: a larger set holds them. The bound on atoms bounds the rounds.
+    units has (molecule_id, unit, atom), a row for each atom of a unit; systems
+    (molecule_id, unit) are taken whole or not at all (see closed). A set is told by
+    its ordinary units, as these bring the systems they touch, or is one system
+    alone. Sets of ordinary units grow from their smallest, each unit once as the
+    smallest: a set has a list of units that may join it, joining one drops those
+    before it in the list and adds what only the new one touches. So every set is
+    made once, from one other, and no round looks for sets that came twice. All
+    rounds keep the one partitioning by molecule, and a set that is too large is not
+    followed: a larger set holds it.
     """
     whole = closed(units, systems)
-    level = whole.select("molecule_id", F.col("has").alias("units"), F.col("own").alias("atoms")).where(F.size("atoms") <= max_atoms).distinct()
-    found = level
-    touch = units.select("molecule_id", F.col("atom").alias("at"), F.col("unit").alias("next")).join(
-        whole.withColumnRenamed("unit", "next"), ["molecule_id", "next"]
-    )
-    shared = units.sparkSession.conf.get("spark.checkpoint.dir", None)
+    alone = whole.limit(0) if systems is None else whole.join(systems.distinct(), ["molecule_id", "unit"], "left_semi")
+    ordinary = whole if systems is None else whole.join(systems.distinct(), ["molecule_id", "unit"], "left_anti")
+    molecules = ordinary.groupBy("molecule_id").agg(F.array_sort(F.collect_list(F.struct("unit", "has", "own"))).alias("items"))
+    beside = F.transform("items", lambda x, i: F.filter(F.sequence(F.lit(0), F.size("items") - 1), lambda j: (j != i) & F.arrays_overlap(x["own"], F.get("items", j)["own"])))
+    molecules = settled(molecules.withColumn("near", beside))
+    each = molecules.select("molecule_id", "near", F.posexplode("items").alias("root", "x"))
+    near = F.get("near", F.col("root"))
+    level = each.select(
+        "molecule_id", "root", F.col("x.has").alias("units"), F.col("x.own").alias("atoms"),
+        F.array_append(near, F.col("root")).alias("seen"), F.filter(near, lambda j: j > F.col("root")).alias("ahead"),
+    ).where(F.size("atoms") <= max_atoms)
+    level, found = settled(level), []
     while True:
-        grown = (
-            level.withColumn("at", F.explode("atoms"))
-            .join(touch, ["molecule_id", "at"])
-            .where(~F.array_contains("units", F.col("next")))
-            .select("molecule_id", F.array_sort(F.array_union("units", "has")).alias("units"), F.array_sort(F.array_union("atoms", "own")).alias("atoms"))
-            .where(F.size("atoms") <= max_atoms)
-            .distinct()
-        )
-        # A written copy where executors share a folder, so that a lost one costs a round at most.
-        grown = grown.checkpoint() if shared else grown.persist()
-        if grown.isEmpty():
-            # Systems bring units of their own, so one set may come up in several rounds.
-            return found.distinct() if systems is not None else found
-        found, level = found.unionByName(grown), grown
+        found.append(level.select("molecule_id", "units", "atoms"))
+        joins = level.where(F.size("ahead") > 0).join(molecules, "molecule_id").select("*", F.posexplode("ahead").alias("at", "new"))
+        item, beyond = F.get("items", F.col("new")), F.get("near", F.col("new"))
+        atoms = F.array_union("atoms", item["own"])
+        own = F.filter(F.array_except(beyond, "seen"), lambda j: j > F.col("root"))
+        grown = joins.where(F.size(atoms) <= max_atoms).select(
+            "molecule_id", "root", F.array_union("units", item["has"]).alias("units"), atoms.alias("atoms"),
+            F.array_union("seen", beyond).alias("seen"), F.concat(F.slice("ahead", F.col("at") + 2, F.size("ahead")), own).alias("ahead"),
+        )
+        level = settled(grown)
+        if level.isEmpty():
+            break
+    out = alone.where(F.size("own") <= max_atoms).select("molecule_id", F.array("unit").alias("units"), F.col("own").alias("atoms"))
+    for rows in found:
+        out = out.unionByName(rows)
+    return out.select("molecule_id", F.array_sort("units").alias("units"), F.array_sort("atoms").alias("atoms"))
 
 
 def labelled(fragments: DataFrame, atoms: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 _SHIPPED: set[str] = set()
@@ -36,3 +37,21 @@ def ship(spark: SparkSession) -> None:
     archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/fragmill", "zip", ROOT, "fragmill")
     spark.sparkContext.addPyFile(archive)
     _SHIPPED.add(application)
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share: below spark.checkpoint.dir, or, with a local master only, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows from a checkpoint in the shared folder: lineage ends, and how they are partitioned stays known."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession))
+    return df.checkpoint()

@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fragmill.operators import warehouse
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, or, with a local master only, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+from fragmill.session import work_folder
 
 
 def drained(stream: DataFrame, folder: str, write, mode: str = "append") -> None:
