@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragmill.functions.aromatic import aromatic
 from fragmill.functions.rings import ring_bonds, smallest_rings
 from fragmill.operators import telemetry
 from fragmill.operators.fragments import parts
@@ -38,8 +39,8 @@ def _charge(text: str | None) -> int:
 
 def implied(label: str, aromatic: bool, kinds: list[str]) -> int:
     """The hydrogens of an atom without brackets that has bonds of these kinds."""
-    used = sum(_ORDERS[k] for k in kinds) + aromatic
-    return max(0, next((v for v in _VALENCES.get(label, ()) if v >= used), 0) - used)
+    used, valences = sum(_ORDERS[k] for k in kinds) + aromatic, _VALENCES.get(label, ())
+    return max(0, next((v for v in valences[:1] if aromatic or v >= used), next((v for v in valences if v >= used), 0)) - used)
 
 
 def _systems(bonds: list[tuple[int, int, str]]) -> dict[int, int]:
@@ -63,7 +64,8 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
 
     A bond between lower-case atoms without a sign is aromatic if it lies in a
     ring, else single. Aromatic bonds that share atoms are one system, named by its
-    smallest atom; other bonds have none. Atoms outside brackets have the hydrogens
+    smallest atom; other bonds have none. Rings drawn with double bonds are found
+    to be aromatic by their electrons. Atoms outside brackets have the hydrogens
     that their valence leaves.
     """
     atoms, bonds, branch, rings = [], [], [], {}
@@ -126,6 +128,10 @@ def parsed(smiles: str | None) -> tuple[list, list] | None:
     keep = {n: i for i, n in enumerate(n for n, x in enumerate(atoms) if x[0] != "H")}
     atoms = [(keep[n], *x[:3], (implied(x[0], x[1], kinds[n]) if x[3] is None else x[3]) + aside[n]) for n, x in enumerate(atoms) if n in keep]
     bonds = [(keep[a], keep[b], k) for a, b, k in bonds if a in keep and b in keep]
+    if any(k == "=" for *_, k in bonds):
+        rings, ways = aromatic([x[1:] for x in atoms], bonds)
+        atoms = [(*x[:2], x[2] or x[0] in rings, *x[3:]) for x in atoms]
+        bonds = [(a, b, ":" if n in ways else k) for n, (a, b, k) in enumerate(bonds)]
     system = _systems(bonds)
     return atoms, [(a, b, k, system[a] if k == ":" else None) for a, b, k in bonds]
 

@@ -89,7 +89,7 @@ def test_features(spark):
 @pytest.mark.parametrize(
     ("text", "hydrogens", "charges"),
     [("CC(=O)O", [3, 0, 0, 1], [0] * 4), ("c1cc[nH]c1", [1, 1, 1, 1, 1], [0] * 5), ("c1ccncc1", [1, 1, 1, 0, 1, 1], [0] * 6), ("C[N+](=O)[O-]", [3, 0, 0, 0], [0, 1, 0, -1]),
-     ("[NH4+]", [4], [1]), ("[Fe++]", [0], [2]), ("[O-2]", [0], [-2]), ("CS(=O)(=O)C", [3, 0, 0, 0, 3], [0] * 5), ("c1ccc2ccccc2c1", [1, 1, 1, 0, 1, 1, 1, 1, 0, 1], [0] * 10), ("N[C@@H](C)C(=O)O", [2, 1, 3, 0, 0, 1], [0] * 6), ("[H]O[H]", [2], [0])],
+     ("[NH4+]", [4], [1]), ("[Fe++]", [0], [2]), ("[O-2]", [0], [-2]), ("CS(=O)(=O)C", [3, 0, 0, 0, 3], [0] * 5), ("c1ccc2ccccc2c1", [1, 1, 1, 0, 1, 1, 1, 1, 0, 1], [0] * 10), ("N[C@@H](C)C(=O)O", [2, 1, 3, 0, 0, 1], [0] * 6), ("[H]O[H]", [2], [0]), ("c1ccsc1", [1, 1, 1, 0, 1], [0] * 5), ("Cn1cccc1", [3, 0, 1, 1, 1, 1], [0] * 6)],
 )
 def test_hydrogens_and_charges(text, hydrogens, charges):
     atoms, _ = S.parsed(text)
