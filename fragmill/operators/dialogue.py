@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fragmill.operators.ranking import numbered_within
+
 CONCLUSIONS = (-1, 0, 1)
 
 
@@ -89,8 +91,9 @@ def reviewed(rows: DataFrame, done: str) -> DataFrame:
 
 def unique_names(rows: DataFrame, name: str, order: str, out: str) -> DataFrame:
     """out: the name, with 1, 2, ... behind it from its second time on, in order."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
-    return rows.withColumn(out, F.when(n == 0, F.col(name)).otherwise(F.concat(F.col(name), n.cast("string"))))
+    n = F.col("_nth") - 1
+    each = numbered_within(rows, [name], [order], "_nth")
+    return each.withColumn(out, F.when(n == 0, F.col(name)).otherwise(F.concat(F.col(name), n.cast("string")))).drop("_nth")
 
 
 def next_number(rows: DataFrame, column: str, least: int) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fragmill.streaming.ingest import work_folder
+from fragmill.session import work_folder
 
 
 def numbered(rows: DataFrame, order: list, out: str) -> DataFrame:
@@ -29,6 +31,17 @@ def numbered(rows: DataFrame, order: list, out: str) -> DataFrame:
     return local.join(starts, "_range").withColumn(out, F.col("_n") + F.col("_before")).select(*rows.columns, out)
 
 
+def numbered_within(rows: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
+    """rows with out, their number from 1 within each key in an order without ties: their number among all, less that of the key's first.
+
+    So a key with many rows is numbered by as many tasks as it fills ranges. Null keys are one key.
+    """
+    every = numbered(rows, [*keys, *order], "_place")
+    least = every.groupBy(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)]).agg(F.min("_place").alias("_least"))
+    match = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_of_{i}")) for i, k in enumerate(keys)])
+    return every.join(least, match).select(*rows.columns, (F.col("_place") - F.col("_least") + 1).alias(out))
+
+
 def last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that comes last by an order without ties: an aggregate, so a hot key costs a row a task."""
     rest = [c for c in rows.columns if c not in keys]

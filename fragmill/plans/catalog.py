@@ -567,7 +567,7 @@ def a24_success_and_failure(t: Tables) -> DataFrame:
 @_query("SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS place FROM part")
 def o11_ranking(t: Tables) -> DataFrame:
     rows = t.raw("part").select("p_brand", "p_partkey", F.col("p_size").alias("score"))
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("p_brand").orderBy(F.col("score").desc(), "p_partkey"))).drop("score")
+    return ranking.numbered_within(rows, ["p_brand"], [-F.col("score"), "p_partkey"], "place").drop("score")
 
 
 @_query("SELECT l_suppkey, l_partkey, min((l_orderkey, l_linenumber))[1] AS l_orderkey, min((l_orderkey, l_linenumber))[2] AS l_linenumber FROM lineitem GROUP BY 1, 2")

@@ -7,11 +7,11 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fragmill.operators.ranking import numbered
+from fragmill.operators.ranking import numbered, numbered_within
 from fragmill.operators.telemetry import missing
 from fragmill.session import work_folder
 
@@ -176,7 +176,7 @@ def report(rows: DataFrame, order: list[str], by: str | None = None) -> DataFram
     """rows with index, their number from 1 in an order, within each value of by if given."""
     if by is None:
         return numbered(rows, order, "index")
-    return rows.withColumn("index", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    return numbered_within(rows, [by], order, "index")
 
 
 def append_audit(records: DataFrame, path: str) -> None:
