@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fragmill.functions import canonical, scalars, smiles
-from fragmill.operators import audit, dialogue, fragments, graph, maintained, matching, patterns, ranking, semantics, skeletons, telemetry, warehouse
+from fragmill.operators import audit, dialogue, fragments, graph, maintained, matching, patterns, ranking, semantics, skeletons, split, telemetry, warehouse
 from fragmill.plans.analogues import CORES, Tables, with_views
 from fragmill.sources import readers, sinks
 from fragmill.streaming import ingest
@@ -1193,3 +1193,10 @@ def d01_maintained_view(t: Tables) -> DataFrame:
     for step, (fragments_changed, names_changed) in enumerate(steps):
         state = maintained.written(maintained.changed(state, fragments_changed, names_changed), f"{folder}/{step}")
     return state.view
+
+
+# All atoms of a peptide lie in its residues, so these alone are kept, one of each text; the last has an oxygen more.
+@_query("SELECT molecule_id, 'amino_acid_residue' AS semantic_type, true AS stop_decompose, count(DISTINCT (residue, last)) AS n FROM residues GROUP BY 1", "residues")
+def c29_semantic_split(t: Tables) -> DataFrame:
+    found = split.semantic_split(smiles.with_rings(smiles.molecules(t.peptides())), (3, 5))
+    return found.groupBy("molecule_id", "semantic_type", "stop_decompose").agg(F.count("*").alias("n"))
