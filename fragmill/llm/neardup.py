@@ -1,4 +1,4 @@
-"""Near-duplicates by a similarity of shingle sets: SimHashes of samples link most, an exact join on rare shingles the rest."""
+"""Near-duplicates by a similarity of shingle sets: balls around SimHashes and SimHashes of samples link most, an exact join on rare shingles the rest."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, cut, discard, fresh, joined, partitions
-from .simhash import shingle_hashes
+from .simhash import ball_components, shingle_hashes, simhash
 
 WORDS, SIMILARITY = 5, 0.8
 #: A shingle set has a least hash in each bin; each band of bins is a sample with a SimHash of its own.
@@ -27,10 +27,10 @@ PARITIES, SALT = 8, 500
 _EPSILON = 1e-9
 
 _KEYS = pa.schema(
-    [("doc_id", pa.int64()), ("body", pa.int64()), ("same", pa.binary()), ("n", pa.int32()), ("least", pa.binary()), ("fps", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("body", pa.int64()), ("fp", pa.int64()), ("same", pa.binary()), ("n", pa.int32()), ("least", pa.binary()), ("fps", pa.list_(pa.int64()))]
     + [("rare", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))]
 )
-_KEYS_DDL = "doc_id long, body long, same binary, n int, least binary, fps array<long>, rare array<long>, bits array<long>"
+_KEYS_DDL = "doc_id long, body long, fp long, same binary, n int, least binary, fps array<long>, rare array<long>, bits array<long>"
 _PAIR = "a struct<doc_id:long,body:long>, b struct<doc_id:long,body:long>"
 
 
@@ -143,6 +143,18 @@ def rare_pairs(kinds: DataFrame, roots: DataFrame, similarity: float) -> DataFra
     return pairs
 
 
+def ball_met(kinds: DataFrame) -> DataFrame:
+    """(node, n, lead) of every class: lead is the (node, n) of the smallest whose SimHash links within three bits reach.
+
+    kinds: (node, n, fp), fp the SimHash of a whole text. Fingerprints meet by
+    half-radius balls, as those of simhash_groups do.
+    """
+    points = kinds.select("fp", "node", "n")
+    leads = points.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("n"))
+    leads = ball_components(leads).select("fp", F.col("n").alias("size"), F.col("first").alias("lead"))
+    return cut(joined(points, leads, ["fp"], "size").select("node", "n", "lead"))
+
+
 def near_duplicates(
     df: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -152,13 +164,13 @@ def near_duplicates(
     least the given Jaccard similarity; group_id is the smallest id that links
     reach, and the document kept is the group's smallest by (id, body).
 
-    Equal sets are one class by a 128-bit hash. Classes emit the SimHash of each
-    of twelve samples of their shingles, and of neighbouring samples together, and
-    meet at equal ones: their half-radius ball is the fingerprint itself. Each
-    member of a bucket is compared with its first only, so no bucket makes pairs,
-    and pairs whose least hashes are unlike are not compared at once. An exact join
-    (rare_pairs) then compares all that these links leave apart, so that none is
-    lost. A pair's similarity is computed from both whole texts.
+    Equal sets are one class by a 128-bit hash. Classes meet by the balls around
+    the SimHash of a whole text (ball_met), and at equal SimHashes of each of
+    twelve samples of their shingles and of neighbouring samples together. Each
+    member of a component or bucket is compared with its first only, so none makes
+    pairs, and pairs whose least hashes are unlike are not compared at once. An
+    exact join (rare_pairs) then compares all that these links leave apart, so that
+    none is lost. A pair's similarity is computed from both whole texts.
 
     Texts with fewer words have one shingle, and those with none (null, empty,
     blank) are alike. Null ids come first. Rows that repeat id and text are one
@@ -168,7 +180,7 @@ def near_duplicates(
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [shingle_hashes(t.as_py(), words) for t in batch.column(2)]
-            rows = [(*sampled(h), *rarest(h, similarity, frequent, ranks)) for h in hashes]
+            rows = [(simhash(h), *sampled(h), *rarest(h, similarity, frequent, ranks)) for h in hashes]
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_KEYS)[2:])]
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=_KEYS)
@@ -195,17 +207,21 @@ def near_duplicates(
     keys = cut(docs.mapInArrow(keyed, _KEYS_DDL))
     node = F.struct("doc_id", "body")
     of_all = [F.first(c).alias(c) for c in ("n", "least", "fps", "rare", "bits")]
-    kinds = cut(keys.groupBy("same").agg(F.min(node).alias("node"), *of_all).withColumn("kind", F.monotonically_increasing_id()))
+    own = F.min_by("fp", node).alias("fp")
+    kinds = cut(keys.groupBy("same").agg(F.min(node).alias("node"), own, *of_all).withColumn("kind", F.monotonically_increasing_id()))
+    near = ball_met(kinds)
     after = F.concat(F.slice("fps", 2, BANDS), F.slice("fps", 1, 1))
     together = F.zip_with("fps", after, lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)))
     # Dealt anew, as few tasks have written the classes and each gives many rows here.
     dealt = kinds.select("node", "n", F.concat("fps", together).alias("fps")).repartition(partitions(df.sparkSession), "node")
     spots = cut(dealt.select("node", "n", F.posexplode("fps").alias("band", "fp")).where("fp is not null"))
     leads = spots.groupBy("band", "fp").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
-    met = joined(spots, cut(leads), ["band", "fp"], "size").where(F.col("node") > F.col("lead.node"))
+    met = joined(spots, cut(leads), ["band", "fp"], "size").select("node", "n", "lead").union(near)
     fair = F.least("n", "lead.n") >= similarity * F.greatest("n", "lead.n")
-    met = cut(met.where(fair).select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct())
-    discard(spots)
+    met = met.where((F.col("node") > F.col("lead.node")) & fair)
+    met = cut(met.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct())
+    for done in (spots, near):
+        discard(done)
     for end, out in (("a", "least"), ("b", "other")):
         often = met.groupBy(end).agg(F.count("*").alias("n"))
         # Written, as joined() deals out rows by their place and the rows of a join have none that lasts.

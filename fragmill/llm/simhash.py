@@ -188,6 +188,15 @@ def near_links(distinct: DataFrame) -> DataFrame:
     return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(ball_links, "a long, b long")
 
 
+def ball_components(distinct: DataFrame) -> DataFrame:
+    """(fp, n, first) of different fingerprints, first being the smallest of all that links within three bits reach."""
+    distinct = cut(distinct)
+    roots = components(near_links(distinct))
+    rooted = cut(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root")))
+    named = cut(rooted.groupBy("root").agg(F.min("first").alias("_first"), F.count("*").alias("_fps")))
+    return cut(joined(rooted.select("fp", "n", "root"), named, ["root"], "_fps").select("fp", "n", F.col("_first").alias("first")))
+
+
 def simhash_groups(df: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, fingerprint, component_id) of every row.
 
@@ -198,9 +207,6 @@ def simhash_groups(df: DataFrame, words: int = 5, id_col: str = "doc_id", text_c
     are not read; no rows give no rows.
     """
     docs = cut(fingerprints(df, words, id_col, text_col))
-    distinct = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
-    roots = components(near_links(distinct))
-    rooted = cut(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")))
-    named = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("fps")))
-    labels = joined(rooted.select("fp", "n", "root"), named, ["root"], "fps").select("fp", "n", "component_id")
-    return joined(docs, cut(labels), ["fp"]).select("doc_id", "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    labels = ball_components(distinct).withColumnRenamed("first", "component_id")
+    return joined(docs, labels, ["fp"]).select("doc_id", "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")

@@ -3,8 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from fragmill.llm.neardup import _sides, near_duplicates, one_of_each, rare_pairs, rarest
-from fragmill.llm.simhash import shingle_hashes
+from fragmill.llm import neardup
+from fragmill.llm.neardup import _sides, near_duplicates, one_of_each, rare_pairs, rarest, sampled
+from fragmill.llm.simhash import shingle_hashes, simhash
 
 SCHEMA = "node string, text string, doc_id long, fps int, same string"
 
@@ -145,3 +146,18 @@ def test_rare_pairs_hold_every_similar_pair(spark, common):
     sets = [shingles(t, 5) for t in texts]
     want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert want <= found and want
+
+
+def test_texts_within_three_bits_meet_by_the_ball(spark, monkeypatch):
+    # What is repeated weighs in the SimHash, not in the samples of the set: the pair is near, yet no sample is alike.
+    rng = random.Random(303)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)] * 12
+    a, b = (base + [f"new{rng.randrange(10**6)}" for _ in range(48)] for _ in range(2))
+    x, y = (shingle_hashes(" ".join(t), 5) for t in (a, b))
+    assert not set(enumerate(sampled(x)[3])) & set(enumerate(sampled(y)[3])) and 0 < (simhash(x) ^ simhash(y)).bit_count() <= 3
+    p, q = shingles(" ".join(a), 5), shingles(" ".join(b), 5)
+    assert len(p & q) >= 0.8 * len(p | q)
+    node = neardup.F.col("node")
+    monkeypatch.setattr(neardup, "rare_pairs", lambda kinds, *_: kinds.select(node.alias("a"), node.alias("b")).limit(0))
+    df = spark.createDataFrame([("n", " ".join(t), d, 1, "s") for d, t in ((4, b), (2, a), (9, ["other"] * 3))], SCHEMA)
+    assert sorted((r.doc_id, r.group_id) for r in near_duplicates(df).collect()) == [(2, 2), (4, 2), (9, 9)]
