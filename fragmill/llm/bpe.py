@@ -20,6 +20,8 @@ MAX_STATES = 100_000
 MAX_HELD = 400_000
 #: Pieces of a generation: when it is full it becomes the old one, in which pieces are still found.
 MAX_PIECES = 400_000
+#: Marks, by hash, of pieces that were met once; all are taken away when half are set.
+MARKS = 1 << 21
 #: Longer pieces are encoded without being remembered.
 LONG_PIECE = 64
 #: Characters of a text that are matched at once, and of texts in one batch of results.
@@ -321,24 +323,42 @@ class Codec:
 
 
 class _Pieces(dict):
-    """Packed tokens of pieces met before; what the last two generations do not use is forgotten."""
+    """Packed tokens of pieces met at least twice; what the last two generations do not use is forgotten.
+
+    Most different pieces of a corpus stand in it once, and would fill a worker's
+    memory. A first meeting leaves a mark only; two pieces with one mark are
+    remembered too early, which changes no result.
+    """
 
     def __init__(self, codec: Codec) -> None:
         super().__init__()
         self.codec = codec
         self.old: dict[str, bytes] = {}
+        self.marks, self.marked = bytearray(MARKS), 0
 
     def __missing__(self, piece: str) -> bytes:
         packed = self.old.get(piece)
-        if packed is None:
+        again = packed is not None
+        if not again:
             packed = self.codec.piece(piece)
-        if len(piece) <= LONG_PIECE:
+        if len(piece) <= LONG_PIECE and (again or self._met(piece)):
             if len(self) >= MAX_PIECES:
                 self.old = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
 
+    def _met(self, piece: str) -> bool:
+        """Whether the piece was met before; it is from now on."""
+        at = hash(piece) % MARKS
+        if self.marks[at]:
+            return True
+        if self.marked >= MARKS // 2:
+            self.marks, self.marked = bytearray(MARKS), 0
+        self.marks[at] = 1
+        self.marked += 1
+        return False
+
 
 def _codec(data: bytes, pattern: str) -> Codec:
     """One codec in each Python worker."""

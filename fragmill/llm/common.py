@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,10 +73,20 @@ def kept(key, build):
     """What build() gives, kept in this Python worker until another key is asked for: what stages keep does not add up."""
     if key not in _KEPT:
         _KEPT.clear()
+        give_back()
         _KEPT[key] = build()
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker outlives its stage, and allocators hold on to what the stage used."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, each with as many underscores before it as make it new among columns, in any case."""
     taken, out = {c.lower() for c in columns}, []

@@ -75,3 +75,11 @@ def test_odd_rows(spark):
     assert got == {(1, "", False), (2, "", False), (2, "é" * 300_000, True), (None, "a", True)}
     assert bpe.round_trip(rows.limit(0), RANKS, P.PATTERN).count() == 0
     assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, tokens array<int>"), RANKS, P.PATTERN).first().text == ""
+
+
+def test_pieces_that_stand_once_are_not_remembered(known):
+    own = bpe.Codec(bpe.parse_ranks(RANKS), P.PATTERN)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    once, twice = ([f" {a}zq{i:04}".translate(letters) for i in range(3000)] for a in "uv")
+    same(own, known, "".join([*once, *twice, *twice]))
+    assert set(twice) <= set(own.pieces) and len(set(once) & set(own.pieces)) < 60
