@@ -34,20 +34,17 @@ def with_minima(df: DataFrame, text_col: str, out: str) -> DataFrame:
     v, n = f"_v_{out}", f"_n_{out}"
     frame = df.withColumn(n, F.coalesce(F.char_length(text_col), F.lit(0)))
     frame = frame.withColumn(
-        v, F.transform(F.split(F.coalesce(text_col, F.lit("")), ""), lambda c: F.hash(c).cast("bigint").bitwiseAND(_LOW))
+        v, F.transform(F.split(F.coalesce(text_col, F.lit("")), ""), lambda c: F.xxhash64(c).bitwiseAND(_LOW))
     )
     step = 1
     for factor in _FACTORS:
         frame = frame.withColumn(v, _beside(v, step, _rolled(factor)))
         step *= 2
     grams = F.when(F.col(n) >= GRAM, F.slice(F.col(v), F.lit(1), F.greatest(F.col(n) - (GRAM - 1), F.lit(1)))).otherwise(
-        F.array(F.hash(text_col).cast("bigint").bitwiseAND(_LOW))
+        F.array(F.xxhash64(text_col).bitwiseAND(_LOW))
     )
     frame = frame.withColumn(v, grams).withColumn(
-        v,
-        F.transform(
-            v, lambda h, i: F.shiftleft(F.hash(h).cast("bigint").bitwiseAND(_LOW), 31).bitwiseOR(F.lit(_PLACE).cast("bigint") - i)
-        ),
+        v, F.transform(v, lambda h, i: F.xxhash64(h).bitwiseOR(F.lit(_PLACE).cast("bigint")) - i)
     )
     step = 1
     while step < WINDOW:
@@ -57,6 +54,23 @@ def with_minima(df: DataFrame, text_col: str, out: str) -> DataFrame:
     return frame.withColumn(out, F.when(F.col(n) == 0, F.array().cast("array<bigint>")).otherwise(whole)).drop(v, n)
 
 
+def begun(minima: Column, before: Column) -> Column:
+    """Of a text's different minima, in order, those of the windows that begin before a place; all these windows are full."""
+
+    def at(x: Column) -> Column:
+        return F.lit(_PLACE) - x.bitwiseAND(_PLACE)
+
+    def start(x: Column, i: Column) -> Column:
+        # A lesser gram is the minimum once a window reaches it, a greater one once the minimum before it is left behind.
+        last = F.get(minima, i - 1)
+        return F.coalesce(F.when(x < last, at(x) - (WINDOW - 1)).otherwise(at(last) + 1), F.lit(0))
+
+    # Starts ascend; the place is sorted among them, as a lambda would work it out again for each.
+    before = F.greatest(before, F.lit(0)).cast("bigint")
+    ranks = F.sort_array(F.concat(F.transform(minima, start), F.array(before)))
+    return F.slice(minima, F.lit(1), F.array_position(ranks, before).cast("int") - 1)
+
+
 def placed(minima: Column) -> Column:
     """array<struct<hash, at>> of the different minima, in order."""
     return F.transform(
@@ -72,7 +86,7 @@ def with_winnowed(df: DataFrame, text_col: str, out: str) -> DataFrame:
     hash, the rightmost of equals, and a gram kept by several windows stands once.
     Two texts that share 39 characters so share a hash. A text with fewer grams is
     one window, one with fewer characters is one gram, and an empty or null text
-    has none. Hashes have 32 bits; at counts from 0.
+    has none. Hashes are signed, 33 bits of a hash of the 32-bit rolling one; at counts from 0.
     """
     m = f"_m_{out}"
     return with_minima(df, text_col, m).withColumn(out, placed(F.array_distinct(m))).drop(m)
@@ -145,17 +159,20 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = with_minima(dealt_by_range(docs, "doc_id"), "text", "minima")
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("quarter", F.floor(F.col("n_chars") / 4).cast("int"))
-    # Windows within what is not edited keep their minima: only the end of the edited text is winnowed.
+    # Windows within one of the two texts keep their minima: only what lies around the seam is winnowed again.
     reach = WINDOW + GRAM - 2
-    rows = rows.withColumn("same", F.greatest(F.col("n_chars").cast("int") - F.col("quarter") - reach, F.lit(0)))
-    rows = rows.withColumn("head", F.array_distinct(F.slice("minima", F.lit(1), F.col("same")))).withColumn("minima", F.array_distinct("minima"))
+    rows = rows.withColumn("minima", F.array_distinct("minima")).withColumn("own", F.col("n_chars").cast("int") - F.col("quarter"))
+    rows = rows.withColumn("same", F.greatest(F.col("own") - reach, F.lit(0)))
     rows = following(rows, "doc_id", ["text", "minima"])
-    edited = F.concat(F.expr("left(text, cast(n_chars - quarter as int))"), F.left(F.col("next.text"), F.col("quarter")))
-    rows = rows.withColumn("edited", edited).withColumn("end", F.expr("substring(edited, same + 1)"))
-    rows = with_minima(rows, "end", "tail")
-    moved = F.transform(F.array_distinct("tail"), lambda x: x - F.col("same"))
-    short = (F.col("same") > 0) & (F.char_length("end") <= reach)
-    rows = rows.withColumn("edited_minima", F.when(short, F.col("head")).otherwise(F.array_distinct(F.concat("head", moved))))
+    rows = rows.withColumn("edited", F.concat(F.left("text", F.col("own")), F.left(F.col("next.text"), F.col("quarter"))))
+    rows = rows.withColumn("seam", F.expr(f"substring(edited, same + 1, own - same + {reach})"))
+    rows = with_minima(rows, "seam", "around")
+    head = begun(F.col("minima"), F.col("same"))
+    short = (F.col("same") > 0) & (F.char_length("seam") <= reach)
+    moved = F.when(short, F.array().cast("array<bigint>")).otherwise(F.transform("around", lambda x: x - F.col("same")))
+    others = begun(F.col("next.minima"), F.least(F.col("quarter"), F.char_length("next.text")) - reach)
+    others = F.transform(others, lambda x: x - F.col("own"))
+    rows = rows.withColumn("edited_minima", F.array_distinct(F.concat(head, moved, others)))
     return rows.select(
         "doc_id",
         "n_chars",

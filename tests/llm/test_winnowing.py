@@ -50,6 +50,31 @@ def test_edited_and_next(spark):
             assert abs(near - (len(sets[0] & other) / len(sets[0] | other) if sets[0] | other else 1.0)) < 1e-12
 
 
+def test_only_the_seam_is_winnowed_again(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = [(i, "".join(rng.choice("abc é🙂") for _ in range(4000))) for i in range(3)]
+    longest, plain = [], W.with_minima
+
+    def noted(df, text_col, out):
+        longest.append(df.agg(W.F.max(W.F.char_length(text_col))).first()[0])
+        return plain(df, text_col, out)
+
+    monkeypatch.setattr(W, "with_minima", noted)
+    assert W.edited_fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).count() == 3
+    assert longest == [4000, 76]
+
+
+def test_edited_text_around_the_seam(spark):
+    rng = random.Random(9)
+    sizes = [0, 1, 3, 4, 37, 38, 39, 40, 49, 50, 51, 52, 53, 76, 77, 148, 151, 152, 153, 156, 157, 160, 300, 900]
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("a", "ab", "abc é🙂") for n in sizes]
+    rng.shuffle(texts)
+    rows = W.edited_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    whole = kept(spark, [r.edited for r in rows])
+    for i, r in enumerate(rows):
+        assert [(g["hash"], g["at"]) for g in r.edited_kept] == whole[i]
+
+
 def test_odd_rows(spark):
     schema = "text string, doc_id long, next string, kept int, _v_kept int"
     rows = [("x" * 90_000, None, "a", 1, 1), ("same text", 4, "b", 2, 2), ("same text", 4, "c", 3, 3), (None, 9, None, None, None)]
