@@ -99,7 +99,7 @@ class Tables:
 
     def peptides(self) -> DataFrame:
         """An order is a peptide: its lines choose its residues, in order."""
-        lines = self.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+        lines = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
         residue = F.get(F.array(*map(F.lit, RESIDUES)), (F.col("part") % len(RESIDUES)).cast("int"))
         rows = lines.groupBy(F.col("l_orderkey").alias("molecule_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", residue.alias("r")))).alias("rs"))
         return rows.select("molecule_id", F.concat(F.array_join(F.transform("rs", lambda x: x["r"]), ""), F.lit("O")).alias("smiles"))

@@ -1105,8 +1105,8 @@ def f06_largest_part(t: Tables) -> DataFrame:
     "residues",
 )
 def c18_residues(t: Tables) -> DataFrame:
-    found = skeletons.residues(smiles.with_rings(smiles.molecules(t.peptides())))
-    return found.select("molecule_id", "name", "class", F.size("atoms").alias("atoms"), F.size("side_chain").alias("side_chain"))
+    sizes = F.size("atoms").alias("atoms"), F.size("side_chain").alias("side_chain")
+    return smiles.once(t.peptides(), lambda rows: skeletons.residues(smiles.with_rings(smiles.molecules(rows))).select("molecule_id", "name", "class", *sizes))
 
 
 # Rings are cut from both sides and from each other, ethers and the bond of an amide within, its nitrogen from a carbon with a carbon, and a sulfide from what follows.
