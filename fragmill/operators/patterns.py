@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fragmill.functions.smiles import parsed
+from fragmill.session import settled
 
 
 @dataclass(frozen=True)
@@ -123,6 +124,8 @@ def matches(structures: Iterable[Structure], atoms: DataFrame, bonds: DataFrame)
     with the steps of that depth and one with the bonds, whatever the number of
     structures: the plan is as long as the longest structure. What a structure
     must be without is found in the same walk and taken away by an anti-join.
+    Structures are broadcast; molecules never are, whatever Spark takes their size
+    to be, so the driver holds none of them.
     """
     structures = list(structures)
     spark: SparkSession = atoms.sparkSession
@@ -143,29 +146,30 @@ def matches(structures: Iterable[Structure], atoms: DataFrame, bonds: DataFrame)
     ways = bonds.select("molecule_id", "a", "b", kind.alias("kind"))
     ways = ways.union(ways.select("molecule_id", "b", "a", "kind")).distinct()
     degrees = ways.groupBy("molecule_id", F.col("a").alias("atom")).agg(F.count("*").alias("degree"))
-    each = atoms.select("molecule_id", "atom", "label", *(F.col(c) if c in atoms.columns else x.alias(c) for c, x in whole.items())).join(degrees, ["molecule_id", "atom"], "left")
+    each = atoms.select("molecule_id", "atom", "label", *(F.col(c) if c in atoms.columns else x.alias(c) for c, x in whole.items())).join(degrees.hint("merge"), ["molecule_id", "atom"], "left")
     each = each.withColumn("connections", F.coalesce("degree", F.lit(0)) + F.col("hydrogens")).drop("degree")
     told = ("label", "aromatic", "charge", "hydrogens", "connections")
     first = steps.where("depth = 0").withColumn("label", F.explode(F.array_distinct(F.flatten(F.transform("tests", lambda t: t["labels"])))))
-    found = each.join(first, "label").where(_passes(*map(F.col, told))).select("molecule_id", "node", F.array("atom").alias("atoms"))
-    ahead = ways.join(each.withColumnRenamed("atom", "b"), ["molecule_id", "b"]).union(
+    found = each.join(F.broadcast(first), "label").where(_passes(*map(F.col, told))).select("molecule_id", "node", F.array("atom").alias("atoms"))
+    ahead = ways.join(each.withColumnRenamed("atom", "b").hint("merge"), ["molecule_id", "b"]).union(
         each.select("molecule_id", F.col("atom").alias("b"), F.col("atom").alias("a"), F.lit(_STAYS).alias("kind"), *told)
     )
     for depth in range(1, max(r[2] for r in rows) + 1):
-        step = steps.where(F.col("depth") == depth).withColumnRenamed("node", "next")
-        grown = found.join(step, F.col("node") == F.col("parent")).withColumn("a", F.get("atoms", "at")).join(ahead, ["molecule_id", "a"])
+        step = F.broadcast(steps.where(F.col("depth") == depth).withColumnRenamed("node", "next"))
+        grown = found.join(step, F.col("node") == F.col("parent")).withColumn("a", F.get("atoms", "at")).join(ahead.hint("merge"), ["molecule_id", "a"])
         fits = F.when(F.col("closes").isNotNull(), F.get("atoms", "closes") == F.col("b")).when(F.col("kind") == _STAYS, True).otherwise(~F.array_contains("atoms", F.col("b")))
         kinds = F.when(F.col("kind") == _STAYS, F.array_contains("kinds", _STAYS)).otherwise((F.size("kinds") == 0) | F.array_contains("kinds", F.col("kind")))
         more = F.when(F.col("closes").isNull() & (F.col("kind") != _STAYS), F.array("b")).otherwise(F.array().cast("array<int>"))
         found = grown.where(kinds & fits & _passes(*map(F.col, told))).select("molecule_id", F.col("next").alias("node"), F.concat("atoms", more).alias("atoms"))
-    last = spark.createDataFrame(ends, "node int, name string, places array<int>")
+    last = F.broadcast(spark.createDataFrame(ends, "node int, name string, places array<int>"))
     found = found.join(last, "node").select("molecule_id", "name", F.transform("places", lambda p: F.get("atoms", p)).alias("atoms"))
     if bans:
-        barred = spark.createDataFrame(bans, "name string, place int, other string")
+        found = settled(found)
+        barred = F.broadcast(spark.createDataFrame(bans, "name string, place int, other string"))
         heads = found.select(F.col("molecule_id"), F.col("name").alias("other"), F.col("atoms")[0].alias("head")).distinct()
-        bad = found.join(barred, "name").withColumn("head", F.get("atoms", "place")).join(heads, ["molecule_id", "other", "head"], "left_semi")
-        found = found.join(spark.createDataFrame([(b[2],) for b in bans], "name string").distinct(), "name", "left_anti")
-        found = found.join(bad.select("molecule_id", "name", "atoms"), ["molecule_id", "name", "atoms"], "left_anti")
+        bad = found.join(barred, "name").withColumn("head", F.get("atoms", "place")).join(heads.hint("merge"), ["molecule_id", "other", "head"], "left_semi")
+        found = found.join(F.broadcast(spark.createDataFrame(sorted({(b[2],) for b in bans}), "name string")), "name", "left_anti")
+        found = found.join(bad.select("molecule_id", "name", "atoms").hint("merge"), ["molecule_id", "name", "atoms"], "left_anti")
     least = found.groupBy("molecule_id", "name", F.array_sort("atoms").alias("_set")).agg(F.min("atoms").alias("atoms"))
     return least.select("molecule_id", "name", "atoms")
 
@@ -182,11 +186,13 @@ def holding(searches: dict[str, list[str]], atoms: DataFrame, bonds: DataFrame)
     sizes = {t: len(Structure.of_smiles(t).atoms) for texts in searches.values() for t in texts}
     asked = [(s, k, t) for s, texts in searches.items() for k, t in enumerate(sorted(texts, key=lambda t: (-sizes[t], t)))]
     found = matches([Structure.of_smiles(t) for t in sizes], atoms, bonds).withColumn("set", F.array_sort("atoms"))
-    sets = found.join(spark.createDataFrame(asked, "search string, k int, name string"), "name").select("molecule_id", "search", "k", "set")
+    sets = found.join(F.broadcast(spark.createDataFrame(asked, "search string, k int, name string")), "name").select("molecule_id", "search", "k", "set")
+    sets = settled(sets)
     rows, last = sets.where("k = 0").select("molecule_id", "search", F.col("set").alias("used")), {s: len(t) - 1 for s, t in searches.items()}
     done = spark.createDataFrame([(s, k) for s, k in last.items()], "search string, last int")
+    is_done = lambda test: F.broadcast(done.where(test))
     for k in range(1, max(last.values()) + 1):
-        longer = rows.join(done.where(F.col("last") >= k), "search", "left_semi").join(sets.where(F.col("k") == k), ["molecule_id", "search"])
+        longer = rows.join(is_done(F.col("last") >= k), "search", "left_semi").join(sets.where(F.col("k") == k).hint("merge"), ["molecule_id", "search"])
         grown = longer.where(~F.arrays_overlap("used", "set")).select("molecule_id", "search", F.array_sort(F.concat("used", "set")).alias("used")).distinct()
-        rows = rows.join(done.where(F.col("last") < k), "search", "left_semi").unionByName(grown)
+        rows = rows.join(is_done(F.col("last") < k), "search", "left_semi").unionByName(grown)
     return rows.select("search", "molecule_id").distinct()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fragmill.functions import canonical, scalars, smiles
 from fragmill.operators import audit, dialogue, fragments, graph, maintained, matching, patterns, ranking, semantics, skeletons, split, telemetry, warehouse
 from fragmill.plans.analogues import CORES, Tables, with_views
+from fragmill.session import settled
 from fragmill.sources import readers, sinks
 from fragmill.streaming import ingest
 
@@ -1069,9 +1070,13 @@ def c20_functional_groups(t: Tables) -> DataFrame:
     "compounds",
 )
 def e01_smiles_search(t: Tables) -> DataFrame:
-    rows = smiles.molecules(t.compounds())
     searches = {"two nitriles": ["N#C", "N#C"], "acid with a ring": ["c1ccccc1", "C(=O)O"], "thiophene": ["c1ccsc1"], "amide and nitro": ["NC=O", "[N+](=O)[O-]"]}
-    return patterns.holding(searches, smiles.atoms_of(rows), smiles.bonds_of(rows))
+
+    def told(rows: DataFrame) -> DataFrame:
+        rows = settled(smiles.molecules(rows))
+        return patterns.holding(searches, smiles.atoms_of(rows), smiles.bonds_of(rows))
+
+    return smiles.once(t.compounds(), told)
 
 
 @_query(f"{_PIECES} SELECT molecule_id, CAST(c.heavy AS INT) AS n, CAST(h.heavy AS INT) AS first FROM compounds JOIN h USING (head) JOIN c USING (core) WHERE rings > 0", "compounds")
