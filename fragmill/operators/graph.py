@@ -107,16 +107,20 @@ def containing(names: DataFrame, name: str, terms: DataFrame, term: str) -> Data
     Both sides meet at a common run of three characters, so that no pair is tried
     that shares none: a term is looked up by its first run alone, a name offers all
     of its runs once each. A term shorter than that meets names at its own text,
-    which they offer likewise.
+    which they offer likewise. Each different name is looked at once and meets its
+    rows in a merge join, and so do the runs: a small file may hold very many names,
+    so its size is no reason to broadcast them.
     """
-    low_name, low_term = F.lower(F.coalesce(F.col(name), F.lit(""))), F.lower(F.col(term))
+    rows = names.withColumn("_low", F.lower(F.coalesce(F.col(name), F.lit(""))))
+    low_name, low_term = F.col("_low"), F.lower(F.col(term))
     grams = lambda n: F.transform(
         F.sequence(F.lit(1), F.greatest(F.char_length(low_name) - (n - 1), F.lit(1))), lambda i: F.substring(low_name, i, F.lit(n))
     )
     offers = F.array_distinct(F.concat(grams(1), grams(2), grams(3)))
-    left = names.withColumn("_run", F.explode(offers))
+    left = rows.select("_low").distinct().withColumn("_run", F.explode(offers))
     right = terms.where(low_term != "").withColumn("_run", F.left(low_term, F.lit(3)))
-    return left.join(right, "_run").where(F.contains(low_name, low_term)).drop("_run")
+    found = left.hint("merge").join(right, "_run").where(F.contains(low_name, low_term)).drop("_run")
+    return rows.hint("merge").join(found, "_low").drop("_low")
 
 
 def last_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 
 from fragmill.functions import smiles as S
-from fragmill.operators import patterns, skeletons
+from fragmill.operators import graph, patterns, skeletons
 from fragmill.plans import catalog
 
 
@@ -58,3 +58,13 @@ def test_molecules_are_not_broadcast_for_structures(spark):
     got = patterns.matches([patterns.Structure.of_smiles("CC#N")], S.atoms_of(rows), S.bonds_of(rows))
     # The steps are broadcast, from Python's rows; what the table gives is not.
     assert "Range" in plan(got) and not any("Range" in x for x in broadcasts(got))
+
+
+def test_names_that_contain_terms_are_not_broadcast(spark, sf):
+    names = spark.createDataFrame([(1, "Red Ring"), (2, "red ring"), (3, None), (4, "tin"), (5, "Red Ring")], "id int, name string")
+    terms = spark.createDataFrame([("RING",), ("ring",), ("",), (None,), ("i",)], "term string")
+    found = graph.containing(names, "name", terms, "term")
+    assert found.columns == ["id", "name", "term"]
+    assert sorted((r.id, r.term) for r in found.collect()) == sorted([(i, t) for i in (1, 2, 5) for t in ("RING", "ring", "i")] + [(4, "i")])
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    assert not broadcasts(graph.containing(part, "p_name", part.selectExpr("p_brand AS term").distinct(), "term"))
