@@ -116,7 +116,7 @@ def not_within(parts: DataFrame, residues: DataFrame, molecule: str) -> DataFram
     """parts whose atoms are not a proper subset of those of one of their molecule's residues."""
     inside = (F.size(F.array_except("atoms", "_residue")) == 0) & (F.size("atoms") < F.size("_residue"))
     held = residues.select(F.col(molecule).alias("_m"), F.col("atoms").alias("_residue"))
-    return parts.join(held, (F.col(molecule) == F.col("_m")) & inside, "left_anti")
+    return parts.join(held.hint("merge"), (F.col(molecule) == F.col("_m")) & inside, "left_anti")
 
 
 def connected_atoms(bonds: DataFrame, least: int, most: int) -> DataFrame:
@@ -127,7 +127,7 @@ def connected_atoms(bonds: DataFrame, least: int, most: int) -> DataFrame:
     for _ in range(most - 1):
         level = (
             level.withColumn("a", F.explode("atoms"))
-            .join(ways, ["molecule_id", "a"])
+            .join(ways.hint("merge"), ["molecule_id", "a"])
             .where(~F.array_contains("atoms", F.col("b")))
             .select("molecule_id", F.array_sort(F.array_append("atoms", F.col("b"))).alias("atoms"))
             .distinct()
@@ -155,12 +155,12 @@ def parts(atoms: Column, bonds: Column) -> Column:
 def _of_molecules(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     """(molecule_id, _atoms, _bonds): a row for each molecule that has atoms."""
     pairs = bonds.groupBy("molecule_id").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("_bonds"))
-    return atoms.groupBy("molecule_id").agg(F.array_sort(F.collect_set(F.col("atom").cast("int"))).alias("_atoms")).join(pairs, "molecule_id", "left")
+    return atoms.groupBy("molecule_id").agg(F.array_sort(F.collect_set(F.col("atom").cast("int"))).alias("_atoms")).join(pairs.hint("merge"), "molecule_id", "left")
 
 
 def uncovered_parts(atoms: DataFrame, bonds: DataFrame, covered: DataFrame) -> DataFrame:
     """(molecule_id, atoms) of every connected part of the atoms that no row of covered (molecule_id, atom) has."""
-    left = atoms.join(covered.select("molecule_id", "atom").distinct(), ["molecule_id", "atom"], "left_anti")
+    left = atoms.join(covered.select("molecule_id", "atom").distinct().hint("merge"), ["molecule_id", "atom"], "left_anti")
     rows = _of_molecules(left, bonds).select("molecule_id", F.explode(F.arrays_zip(part_of(F.col("_atoms"), F.col("_bonds")).alias("part"), F.col("_atoms").alias("atom"))).alias("x"))
     return rows.groupBy("molecule_id", "x.part").agg(F.array_sort(F.collect_list("x.atom")).alias("atoms")).drop("part")
 
@@ -169,7 +169,7 @@ def path_metrics(paths: DataFrame, atoms: DataFrame, bonds: DataFrame, carbons:
     """paths (molecule_id, path) with heavy_atoms, carbon_atoms, aromatic_atoms and rings, the bonds among a path's atoms beyond those that hold it together."""
     labels = atoms.groupBy("molecule_id").agg(F.map_from_entries(F.collect_list(F.struct("atom", "label"))).alias("_labels"))
     pairs = bonds.groupBy("molecule_id").agg(F.collect_set(F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).alias("_bonds"))
-    rows = paths.join(labels, "molecule_id").join(pairs, "molecule_id", "left")
+    rows = paths.join(labels.hint("merge"), "molecule_id").join(pairs.hint("merge"), "molecule_id", "left")
     count = lambda names: F.size(F.filter("path", lambda a: F.element_at("_labels", a).isin(*names)))
     among = F.size(F.filter(F.coalesce("_bonds", F.array().cast(pairs.schema["_bonds"].dataType)), lambda x: F.array_contains("path", x["a"]) & F.array_contains("path", x["b"])))
     return rows.select(*paths.columns, F.size("path").alias("heavy_atoms"), count(carbons).alias("carbon_atoms"), count(aromatic).alias("aromatic_atoms"), (among - F.size("path") + 1).alias("rings"))
@@ -193,7 +193,7 @@ def simple_paths(bonds: DataFrame, least: int, most: int) -> DataFrame:
     found = None
     for size in range(2, most + 1):
         level = (
-            level.withColumn("a", F.element_at("path", -1)).join(ways, ["molecule_id", "a"])
+            level.withColumn("a", F.element_at("path", -1)).join(ways.hint("merge"), ["molecule_id", "a"])
             .where(~F.array_contains("path", F.col("b")))
             .select("molecule_id", F.array_append("path", F.col("b")).alias("path"))
         )

@@ -140,7 +140,7 @@ def cut_parts(rows: DataFrame) -> DataFrame:
     """(molecule_id, atoms) of the parts that are left without the bonds that the rules cut; none where none is cut."""
     gone = cuts(rows).groupBy("molecule_id").agg(F.collect_set(F.struct("a", "b")).alias("_gone"))
     kept = F.filter(F.transform(BONDS, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))), lambda x: ~F.array_contains("_gone", x))
-    each = rows.join(gone, "molecule_id").select("molecule_id", F.explode(F.arrays_zip(part_of(_numbers(ATOMS), kept).alias("part"), _numbers(ATOMS).alias("atom"))).alias("x"))
+    each = rows.join(gone.hint("merge"), "molecule_id").select("molecule_id", F.explode(F.arrays_zip(part_of(_numbers(ATOMS), kept).alias("part"), _numbers(ATOMS).alias("atom"))).alias("x"))
     return each.groupBy("molecule_id", "x.part").agg(F.array_sort(F.collect_list("x.atom")).alias("atoms")).drop("part")
 
 

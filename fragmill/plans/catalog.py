@@ -1206,5 +1206,8 @@ def d01_maintained_view(t: Tables) -> DataFrame:
 # All atoms of a peptide lie in its residues, so these alone are kept, one of each text; the last has an oxygen more.
 @_query("SELECT molecule_id, 'amino_acid_residue' AS semantic_type, true AS stop_decompose, count(DISTINCT (residue, last)) AS n FROM residues GROUP BY 1", "residues")
 def c29_semantic_split(t: Tables) -> DataFrame:
-    found = split.semantic_split(smiles.with_rings(smiles.molecules(t.peptides())), (3, 5))
-    return found.groupBy("molecule_id", "semantic_type", "stop_decompose").agg(F.count("*").alias("n"))
+    def told(rows: DataFrame) -> DataFrame:
+        found = split.semantic_split(smiles.with_rings(smiles.molecules(rows)), (3, 5))
+        return found.groupBy("molecule_id", "semantic_type", "stop_decompose").agg(F.count("*").alias("n"))
+
+    return smiles.once(t.peptides(), told)
