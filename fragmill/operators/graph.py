@@ -16,14 +16,14 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 
 def hop(nodes: DataFrame, edges: DataFrame, kind: str, at: str, to: str) -> DataFrame:
-    """Nodes left-joined to what an undirected edge of a kind reaches; null where there is none."""
+    """Nodes left-joined to what an undirected edge of a kind reaches; null where there is none. Edges are many, so they are never broadcast."""
     step = undirected(edges.where(F.col("type") == kind)).select(F.col("src").alias(at), F.col("dst").alias(to))
-    return nodes.join(step, at, "left")
+    return nodes.join(step.hint("merge"), at, "left")
 
 
 def gathered(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Distinct values of each key, sorted; an empty array where all are null."""
-    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(out))
+    """Distinct values of each key, sorted; an empty array where all are null. Values are made one before they are gathered, so no task sees a key's rows."""
+    return rows.select(*keys, value).distinct().groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(out))
 
 
 def ordered_union(rows: DataFrame, key: str, order: str, values: str, out: str) -> DataFrame:

@@ -1166,7 +1166,7 @@ def e02_effects(t: Tables) -> DataFrame:
     names = part.select(F.split("p_name", " ")[0].alias("name")).union(t.raw("nation").select(F.concat(F.lit("NO SUCH "), "n_name"))).distinct()
     drug = lambda c: F.concat(F.lit("p"), c)
     edges = (
-        t.raw("lineitem").select(drug("l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"), F.lit("TREATS").alias("type")).distinct()
+        t.raw("lineitem").select(drug("l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"), F.lit("TREATS").alias("type"))
         .union(t.raw("supplier").select(F.concat(F.lit("n"), "s_nationkey"), F.concat(F.lit("s"), "s_suppkey"), F.lit("HAS_CLINICAL_FEATURE")))
         .union(part.select(drug("p_partkey"), "p_brand", F.lit("TARGETS")))
     )

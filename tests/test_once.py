@@ -68,3 +68,14 @@ def test_names_that_contain_terms_are_not_broadcast(spark, sf):
     assert sorted((r.id, r.term) for r in found.collect()) == sorted([(i, t) for i in (1, 2, 5) for t in ("RING", "ring", "i")] + [(4, "i")])
     part = spark.read.parquet(f"{sf}/part.parquet")
     assert not broadcasts(graph.containing(part, "p_name", part.selectExpr("p_brand AS term").distinct(), "term"))
+
+
+def test_effects_broadcast_neither_names_nor_edges(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet").selectExpr("concat('p', p_partkey) AS drug", "p_name AS drug_name", "p_brand")
+    edges = part.selectExpr("drug AS src", "p_brand AS dst", "'TARGETS' AS type")
+    assert not broadcasts(graph.hop(part.select("drug"), edges, "TARGETS", "drug", "target"))
+    few = graph.gathered(part.selectExpr("'all' AS k", "p_brand AS v"), ["k"], "v", "vs")
+    # Values are made one before a key gathers them, each in two steps.
+    assert plan(few).count("Aggregate(") == 4
+    none = graph.gathered(part.selectExpr("'all' AS k", "CAST(NULL AS STRING) AS v"), ["k"], "v", "vs")
+    assert few.collect()[0].vs == sorted({r.p_brand for r in part.collect()}) and none.collect()[0].vs == []
