@@ -79,3 +79,7 @@ def test_effects_broadcast_neither_names_nor_edges(spark, sf):
     assert plan(few).count("Aggregate(") == 4
     none = graph.gathered(part.selectExpr("'all' AS k", "CAST(NULL AS STRING) AS v"), ["k"], "v", "vs")
     assert few.collect()[0].vs == sorted({r.p_brand for r in part.collect()}) and none.collect()[0].vs == []
+
+
+def test_names_query_broadcasts_nothing(spark, sf):
+    assert not broadcasts(catalog.queries()["j08_names_containing"](spark, sf))
