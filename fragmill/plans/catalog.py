@@ -1130,14 +1130,18 @@ def c23_cuts(t: Tables) -> DataFrame:
 
 @_query("SELECT molecule_id, true AS same, count(*) OVER (PARTITION BY head, core, tail) AS copies FROM compounds", "compounds")
 def c02_canonical_texts(t: Tables) -> DataFrame:
-    rows = smiles.molecules(t.compounds())
     atoms, bonds, n = F.col("molecule.atoms"), F.col("molecule.bonds"), F.size("molecule.atoms")
     # The same molecule with its atoms numbered from the other end.
     turned = F.transform(atoms, lambda x: x.withField("atom", n - 1 - x["atom"]))
     ends = F.transform(bonds, lambda x: x.withField("a", n - 1 - x["a"]).withField("b", n - 1 - x["b"]))
-    texts = rows.select("molecule_id", canonical.canonical_smiles(atoms, bonds).alias("text"), canonical.canonical_smiles(turned, ends).alias("other"))
-    counts = texts.groupBy("text").agg(F.count("*").alias("copies"))
-    return texts.join(counts, "text").select("molecule_id", (F.col("text") == F.col("other")).alias("same"), "copies")
+
+    def told(rows: DataFrame) -> DataFrame:
+        """Each text once, with the molecules that have its canonical one."""
+        texts = settled(smiles.molecules(rows).select("molecule_id", "rows", canonical.canonical_smiles(atoms, bonds).alias("text"), canonical.canonical_smiles(turned, ends).alias("other")))
+        counts = texts.groupBy("text").agg(F.sum("rows").alias("copies"))
+        return texts.join(counts.hint("merge"), "text").select("molecule_id", (F.col("text") == F.col("other")).alias("same"), "copies")
+
+    return smiles.once(t.compounds(), told)
 
 
 @_query(f"{_PIECES} SELECT core, count(*) AS n, CAST(1 AS BIGINT) AS texts FROM compounds JOIN c USING (core) WHERE rings > 0 GROUP BY 1", "compounds")
