@@ -1146,10 +1146,14 @@ def c02_canonical_texts(t: Tables) -> DataFrame:
 
 @_query(f"{_PIECES} SELECT core, count(*) AS n, CAST(1 AS BIGINT) AS texts FROM compounds JOIN c USING (core) WHERE rings > 0 GROUP BY 1", "compounds")
 def c15_scaffold_texts(t: Tables) -> DataFrame:
-    rows = _molecules(t)
-    found = rows.join(skeletons.scaffold(rows), "molecule_id").withColumn("text", canonical.fragment_smiles(F.col("molecule.atoms"), F.col("molecule.bonds"), F.col("atoms")))
+    def told(rows: DataFrame) -> DataFrame:
+        rows = settled(smiles.with_rings(smiles.molecules(rows)))
+        found = rows.join(skeletons.scaffold(rows).hint("merge"), "molecule_id")
+        return found.select("molecule_id", canonical.fragment_smiles(F.col("molecule.atoms"), F.col("molecule.bonds"), F.col("atoms")).alias("text"))
+
+    found = smiles.once(t.compounds(), told)
     names = t.raw("part").select(F.col("p_partkey").alias("molecule_id"), F.get(F.array(*map(F.lit, CORES)), (F.col("p_size") % len(CORES)).cast("int")).alias("core"))
-    return found.join(names, "molecule_id").groupBy("core").agg(F.count("*").alias("n"), F.count_distinct("text").alias("texts"))
+    return found.join(names.hint("merge"), "molecule_id").groupBy("core").agg(F.count("*").alias("n"), F.count_distinct("text").alias("texts"))
 
 
 # Drugs by contained names, and a view kept up to date

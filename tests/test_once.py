@@ -36,7 +36,7 @@ def test_each_text_is_told_once(spark):
     assert "BroadcastExchange" not in plan(found)
 
 
-@pytest.mark.parametrize("name", ["c18_residues", "e01_smiles_search", "c20_functional_groups", "c29_semantic_split", "c02_canonical_texts"])
+@pytest.mark.parametrize("name", ["c18_residues", "e01_smiles_search", "c20_functional_groups", "c29_semantic_split", "c02_canonical_texts", "c15_scaffold_texts"])
 def test_query_reads_each_text_once(spark, sf, name, monkeypatch):
     seen, molecules = [], S.molecules
 
