@@ -145,8 +145,8 @@ def cut_parts(rows: DataFrame) -> DataFrame:
 
 
 def subset_metrics(subsets: DataFrame, rows: DataFrame) -> DataFrame:
-    """subsets (molecule_id, atoms) with heavy_atoms, ring_count, aromatic_ring_count and has_benzene of the rings that lie in them whole."""
-    each = subsets.join(rows.select("molecule_id", "molecule", "rings"), "molecule_id")
+    """subsets (molecule_id, atoms) with heavy_atoms, ring_count, aromatic_ring_count and has_benzene of the rings that lie in them whole. Molecules are not broadcast."""
+    each = subsets.join(rows.select("molecule_id", "molecule", "rings").hint("merge"), "molecule_id")
     whole = F.filter("rings", lambda r: F.size(F.array_except(r["atoms"], "atoms")) == 0)
     aromatic = F.filter(whole, lambda r: F.forall(r["atoms"], lambda a: F.get(ATOMS, a)["aromatic"]))
     return each.select(*subsets.columns, F.size("atoms").alias("heavy_atoms"), F.size(whole).alias("ring_count"), F.size(aromatic).alias("aromatic_ring_count"), F.exists(aromatic, lambda r: F.size(r["atoms"]) == 6).alias("has_benzene"))

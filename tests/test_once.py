@@ -36,7 +36,7 @@ def test_each_text_is_told_once(spark):
     assert "BroadcastExchange" not in plan(found)
 
 
-@pytest.mark.parametrize("name", ["c18_residues", "e01_smiles_search", "c20_functional_groups", "c29_semantic_split", "c02_canonical_texts", "c15_scaffold_texts"])
+@pytest.mark.parametrize("name", ["c18_residues", "e01_smiles_search", "c20_functional_groups", "c29_semantic_split", "c02_canonical_texts", "c15_scaffold_texts", "c17_subset_metrics"])
 def test_query_reads_each_text_once(spark, sf, name, monkeypatch):
     seen, molecules = [], S.molecules
 
@@ -83,3 +83,11 @@ def test_effects_broadcast_neither_names_nor_edges(spark, sf):
 
 def test_names_query_broadcasts_nothing(spark, sf):
     assert not broadcasts(catalog.queries()["j08_names_containing"](spark, sf))
+
+
+def test_metrics_broadcast_no_molecules(spark):
+    rows = S.with_rings(S.molecules(spark.createDataFrame([(1, "Cc1ccccc1"), (2, "CC")], "molecule_id int, smiles string")))
+    found = skeletons.subset_metrics(rows.selectExpr("molecule_id", "array(1, 2, 3, 4, 5, 6) atoms").where("molecule_id = 1"), rows)
+    assert [(r.heavy_atoms, r.ring_count, r.has_benzene) for r in found.collect()] == [(6, 1, True)]
+    few = S.with_rings(S.molecules(spark.range(3).selectExpr("id AS molecule_id", "'CC' AS smiles")))
+    assert not broadcasts(skeletons.subset_metrics(few.selectExpr("molecule_id", "array(0) atoms"), few))
